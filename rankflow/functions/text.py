@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +77,9 @@ def boundaries_text(spec: DataFrame) -> DataFrame:
     return spec.where(F.size("boundaries") > 0).select(
         F.col("name"), F.array_join(F.col("boundaries").cast("array<string>"), ",").alias("boundaries_text"))
 
+
+
+def rename_map(columns: Sequence[str], wanted: Sequence[str]) -> dict[str, str]:
+    """Columns whose spelling differs from a wanted name only by case."""
+    by_lower = {w.lower(): w for w in wanted}
+    return {c: by_lower[c.lower()] for c in columns if by_lower.get(c.lower(), c) != c}

@@ -24,7 +24,8 @@ def local_session(cpus: str = "*", partitions: int = 8, **settings: str) -> Spar
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("rankflow")
                .config("spark.sql.shuffle.partitions", str(partitions))
                .config("spark.driver.memory", "12g")
-               .config("spark.ui.enabled", "false"))
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

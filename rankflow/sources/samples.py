@@ -12,7 +12,10 @@ from rankflow.operators.layout import rebalanced
 from rankflow.registry import INT_SPARSE, LABELS, Registry
 
 PARTITIONS = ["dt", "hour", "scene_id"]
-HOURS = [f"{h:02d}" for h in range(24)]
+
+# Texts that the reader of raw tab-separated samples takes for missing.
+MISSING = ["", "\\N", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+           "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def write_samples(df: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -48,11 +51,16 @@ def read_many(spark: SparkSession, paths: Sequence[str], suffix: str = ".parquet
     return reader.parquet(*paths)
 
 
-def read_tsv(spark: SparkSession, path: str, columns: Sequence[str] | T.StructType) -> DataFrame:
-    r"""Headerless tab-separated text, `\N` for null, no quoting; names alone mean strings."""
+def read_tsv(spark: SparkSession, path: str, columns: Sequence[str] | T.StructType, missing: Sequence[str] = MISSING) -> DataFrame:
+    r"""Headerless tab-separated text without quoting; `\N` and the other `missing` texts are null.
+
+    Names alone mean strings.
+    """
     schema = columns if isinstance(columns, T.StructType) else T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (spark.read.schema(schema).option("sep", "\t").option("nullValue", "\\N").option("emptyValue", "")
-            .option("quote", "").option("escape", "").csv(path))
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    lines = spark.read.schema(raw).option("sep", "\t").option("quote", "").option("escape", "").csv(path)
+    return lines.select(*[
+        F.when(~F.col(f.name).isin(list(missing)), F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
