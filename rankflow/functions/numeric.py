@@ -80,7 +80,7 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], parts: int, accuracy: int
 
 def inverse_scale(col: Column, divisor: float = 222106) -> Column:
     """1 for values up to 0, falling towards 0 as the value grows."""
-    return 1 / (F.greatest(col.cast("double"), F.lit(0.0)) / F.lit(float(divisor)) + 1)
+    return 1 / (relu(col.cast("double")) / F.lit(float(divisor)) + 1)
 
 
 def sigmoid(col: Column) -> Column:
@@ -88,4 +88,4 @@ def sigmoid(col: Column) -> Column:
 
 
 def relu(col: Column) -> Column:
-    return F.greatest(col, F.lit(0.0))
+    return F.when(col.isNotNull(), F.greatest(col, F.lit(0.0)))

@@ -62,8 +62,10 @@ def parse_id_list(col: Column) -> Column:
 
 def clamp_gap(items: Column, limit: int = GAP_LIMIT) -> Column:
     """Cap the whole numbers in a list of texts; blanks stay, anything else becomes null."""
-    return F.transform(items, lambda x: F.when(x == "", x).otherwise(
-        F.least(x.try_cast("int"), F.lit(limit)).cast("string")))
+    def capped(x: Column) -> Column:
+        number = x.try_cast("int")
+        return F.when(x == "", x).when(number > limit, F.lit(str(limit))).otherwise(number.cast("string"))
+    return F.transform(items, capped)
 
 
 def pad_truncate(items: Column, length: int, fill: Column | None = None) -> Column:

@@ -1,7 +1,7 @@
 """Functions on array<double> columns.
 
-Where the width is known the sums are written out term by term, which keeps them
-inside generated code; the array lambdas are the form for unknown widths.
+For a known, moderate width the terms are written out, which keeps them inside
+generated code; array lambdas serve the other widths.
 """
 
 from __future__ import annotations
@@ -12,12 +12,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Beyond this many terms the generated method grows too large to be compiled.
+UNROLLED = 32
+
+
 def as_vector(col: Column) -> Column:
     return col.cast("array<double>")
 
 
 def dot(a: Column, b: Column, dim: int | None = None) -> Column:
-    if dim is None:
+    if dim is None or dim > UNROLLED:
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     return reduce(lambda s, x: s + x, [F.get(a, F.lit(i)) * F.get(b, F.lit(i)) for i in range(dim)])
 
@@ -40,9 +44,10 @@ def zero_vector(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0), dim)
 
 
-def sum_vectors(v: Column, dim: int) -> list[Column]:
-    """One sum per element: plain partial aggregates, combined before the shuffle."""
-    return [F.sum(F.get(v, F.lit(i))).alias(f"__s{i}") for i in range(dim)]
+def sum_vectors(v: Column, dim: int, weight: Column | None = None) -> list[Column]:
+    """One (weighted) sum per element: plain partial aggregates, combined before the shuffle."""
+    items = [F.get(v, F.lit(i)) for i in range(dim)]
+    return [F.sum(x if weight is None else x * weight).alias(f"__s{i}") for i, x in enumerate(items)]
 
 
 def collected_sums(dim: int) -> Column:

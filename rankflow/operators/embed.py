@@ -5,11 +5,11 @@ An embedding table is `feature, id, vec`.  Ids without a row have no vector.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.vectors import as_vector, collected_sums, sum_vectors, zero_vector
@@ -32,31 +32,51 @@ def lookup(df: DataFrame, emb: DataFrame, feature: str, column: str, out: str, b
 
 
 class Matrix:
-    """The rows of one small embedding table, held once per executor.
+    """The rows of one small embedding table, held once per executor."""
 
-    Built from a table whose rows are bounded; more rows than the bound are an error.
-    """
-
-    def __init__(self, emb: DataFrame, feature: str, bound: int):
-        if bound > BROADCAST_ROWS:
-            raise ValueError(f"{feature} may have {bound} rows, join it instead")
-        table = of_feature(emb, feature).limit(bound + 1).toArrow()
-        if table.num_rows > bound:
-            raise ValueError(f"{feature} has more than {bound} rows")
-        ids = table.column("id").to_numpy()
+    def __init__(self, spark: SparkSession, ids: np.ndarray, vecs: np.ndarray):
         order = np.argsort(ids)
-        vecs = np.array(table.column("vec").to_pylist(), dtype=np.float64)
         self.dim = vecs.shape[1]
-        self._shared = emb.sparkSession.sparkContext.broadcast((ids[order], vecs[order]))
+        self._shared = spark.sparkContext.broadcast((ids[order], vecs[order]))
 
     def rows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Vectors of the ids that have one, and which those are."""
         known, vecs = self._shared.value
+        if not len(known):
+            return vecs, np.zeros(len(ids), bool)
         at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
         found = known[at] == ids
         return vecs[at[found]], found
 
 
+def vectors_of(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long lists as a matrix."""
+    items = column.combine_chunks()
+    return items.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(items), -1)
+
+
+def load_matrices(emb: DataFrame, bounds: Mapping[str, int]) -> dict[str, Matrix]:
+    """Small embedding tables by feature, fetched together.
+
+    `bounds` gives the most rows each may have.  A bound beyond the broadcast limit and
+    a table beyond its bound are errors.
+    """
+    large = [f for f, n in bounds.items() if n > BROADCAST_ROWS]
+    if large:
+        raise ValueError(f"too large to hold per executor, join instead: {large}")
+    wanted = emb.where(F.col("feature").isin(list(bounds))).select("feature", "id", "vec")
+    table = wanted.limit(sum(bounds.values()) + 1).toArrow()
+    features = table.column("feature").to_numpy()
+    ids, vecs = table.column("id").to_numpy(), vectors_of(table.column("vec"))
+    out = {}
+    for feature, bound in bounds.items():
+        mine = features == feature
+        if mine.sum() > bound:
+            raise ValueError(f"{feature} has more than {bound} rows")
+        out[feature] = Matrix(emb.sparkSession, ids[mine], vecs[mine])
+    return out
+
+
 def list_rows(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Items of a list column and the row each belongs to."""
     sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -90,7 +110,7 @@ def safe_pool(ids: Column, emb: DataFrame, feature: str, bound: int, combiner: s
     """
     if combiner not in COMBINERS:
         raise ValueError(f"unknown combiner {combiner!r}")
-    matrix = Matrix(emb, feature, bound)
+    matrix = load_matrices(emb, {feature: bound})[feature]
     lowest = 1 if mask_zero else 0
 
     @F.arrow_udf("array<double>")
@@ -119,19 +139,19 @@ def pool(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, combin
         raise ValueError(f"unknown combiner {combiner!r}")
     weight = F.col(weights) if weights else F.transform(F.col(ids), lambda x: F.lit(1.0))
     pairs = F.arrays_zip(F.col(ids).alias("id"), weight.cast("array<double>").alias("w"))
-    items = df.select(key, F.posexplode(pairs).alias("pos", "i")).select(key, "pos", F.col("i.id").cast("bigint").alias("id"), "i.w")
+    items = df.select(F.col(key).alias("__row"), F.posexplode(pairs).alias("pos", "i")).select(
+        "__row", "pos", F.col("i.id").cast("bigint").alias("id"), "i.w")
     items = items.where((F.col("id") >= (1 if mask_zero else 0)) & (F.col("w") > 0))
-    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, [key, "pos"]).where(F.col("vec").isNotNull())
-    weighted = F.transform(F.col("vec"), lambda x: x * F.col("w"))
-    sums = found.withColumn("__v", weighted).groupBy(key).agg(
-        *sum_vectors(F.col("__v"), dim), F.sum("w").alias("__w"), F.sum(F.col("w") * F.col("w")).alias("__ww"))
+    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, ["__row", "pos"]).where(F.col("vec").isNotNull())
+    sums = found.groupBy("__row").agg(
+        *sum_vectors(F.col("vec"), dim, F.col("w")), F.sum("w").alias("__w"), F.sum(F.col("w") * F.col("w")).alias("__ww"))
     divisor = {"sum": F.lit(1.0), "mean": F.col("__w"), "sqrtn": F.sqrt("__ww")}[combiner]
-    return sums.select(key, F.transform(collected_sums(dim), lambda x: x / divisor).alias("vec"))
+    return sums.select(F.col("__row").alias(key), F.transform(collected_sums(dim), lambda x: x / divisor).alias("vec"))
 
 
 def lookup_sequence(ids: Column, emb: DataFrame, feature: str, bound: int) -> Column:
     """One vector per list position, in order; ids without a vector give the zero vector."""
-    matrix = Matrix(emb, feature, bound)
+    matrix = load_matrices(emb, {feature: bound})[feature]
 
     @F.arrow_udf("array<array<double>>")
     def vectors(lists: pa.Array) -> pa.Array:
@@ -148,11 +168,11 @@ def lookup_sequence(ids: Column, emb: DataFrame, feature: str, bound: int) -> Co
 def lookup_sequence_by_join(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str,
                             bound: int | None = None, dim: int = EMBEDDING_DIM) -> DataFrame:
     """As `lookup_sequence` for tables of any size: `key, vecs`."""
-    items = df.select(key, F.posexplode(ids).alias("pos", "id")).withColumn("id", F.col("id").cast("bigint"))
-    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, [key, "pos"])
+    items = df.select(F.col(key).alias("__row"), F.posexplode(ids).alias("pos", "id")).withColumn("id", F.col("id").cast("bigint"))
+    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, ["__row", "pos"])
     entry = F.struct("pos", F.coalesce("vec", zero_vector(dim)).alias("vec"))
-    lists = found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("l"))
-    return lists.select(key, F.col("l.vec").alias("vecs"))
+    lists = found.groupBy("__row").agg(F.array_sort(F.collect_list(entry)).alias("l"))
+    return lists.select(F.col("__row").alias(key), F.col("l.vec").alias("vecs"))
 
 
 def shard_of(id_col: Column, shards: int, buckets: int) -> Column:
@@ -194,10 +214,10 @@ def init_vector(feature: Column, id_col: Column, dim: int = EMBEDDING_DIM, seed:
         z = F.sqrt(-2 * F.ln(uniform("r")(i))) * F.cos(2 * np.pi * uniform("a")(i))
         return F.least(F.greatest(z, F.lit(-2.0)), F.lit(2.0)) * scale
 
-    return F.array(*[draw(F.lit(i)) for i in range(dim)])
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), draw)
 
 
 def initial_embeddings(spec: DataFrame, dim: int = EMBEDDING_DIM, seed: int = 42) -> DataFrame:
     """A full start table from the feature spec: one row per feature and id."""
-    ids = spec.select(F.col("name").alias("feature"), F.explode(F.sequence(F.lit(0), F.col("vocab_size") - 1)).cast("bigint").alias("id"))
+    ids = spec.select(F.col("name").alias("feature"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("vocab_size").cast("bigint") - 1)).alias("id"))
     return ids.select("feature", "id", init_vector(F.col("feature"), F.col("id"), dim, seed).cast("array<float>").alias("vec"))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from rankflow.functions.numeric import sigmoid
 from rankflow.functions.vectors import as_vector, dot
-from rankflow.operators.embed import Matrix, as_lists, list_rows, lookup
+from rankflow.operators.embed import as_lists, list_rows, load_matrices, lookup, vectors_of
 from rankflow.operators.layout import BROADCAST_ROWS
 from rankflow.registry import BEHAVIOUR_PARTS, BEHAVIOURS, EMBEDDING_DIM, GATES, QUERY, Registry
 
@@ -106,10 +106,11 @@ def initial_parameters(shape: Shape, seed: int = 42) -> dict[str, np.ndarray]:
 
 def parameter_table(spark: SparkSession, params: Mapping[str, np.ndarray]) -> DataFrame:
     """Dense parameters as `feature, id, vec` rows of CHUNK values; their number depends on the widths alone."""
-    rows = []
-    for name, value in params.items():
-        rows += [(name, i, c.tolist()) for i, c in enumerate(chunks(value))]
-    return spark.createDataFrame(rows, "feature string, id long, vec array<double>")
+    parts = {name: chunks(value) for name, value in params.items()}
+    table = pa.table({"feature": np.repeat(list(parts), [len(c) for c in parts.values()]),
+                      "id": np.concatenate([np.arange(len(c)) for c in parts.values()]),
+                      "vec": as_lists(np.concatenate(list(parts.values())))})
+    return spark.createDataFrame(table)
 
 
 def chunks(value: np.ndarray) -> np.ndarray:
@@ -124,9 +125,10 @@ def load_parameters(table: DataFrame, shape: Shape) -> dict[str, np.ndarray]:
     rows = table.where(F.col("feature").isin(list(wanted))).select("feature", "id", "vec").limit(limit + 1).toArrow()
     if rows.num_rows != limit:
         raise ValueError(f"expected {limit} parameter rows, found {rows.num_rows}")
-    order = np.lexsort((rows.column("id").to_numpy(), rows.column("feature").to_numpy(zero_copy_only=False)))
-    names = rows.column("feature").to_numpy(zero_copy_only=False)[order]
-    vecs = np.array(rows.column("vec").to_pylist())[order]
+    names = rows.column("feature").to_numpy()
+    order = np.lexsort((rows.column("id").to_numpy(), names))
+    names = names[order]
+    vecs = vectors_of(rows.column("vec"))[order]
     return {n: vecs[names == n].ravel()[: int(np.prod(s))].reshape(s) for n, s in wanted.items()}
 
 
@@ -197,7 +199,7 @@ class BatchReader:
     def __init__(self, shape: Shape, registry: Registry, emb: DataFrame, joined: Sequence[str]):
         self.shape, self.joined = shape, set(joined)
         names = {*shape.scalars, *shape.pooled, *shape.history, *shape.query, *shape.gates, shape.position}
-        self.tables = {n: Matrix(emb, n, registry[n].vocab_size) for n in sorted(names - self.joined)}
+        self.tables = load_matrices(emb, {n: registry[n].vocab_size for n in sorted(names - self.joined)})
 
     def _vectors(self, feature: str, ids: np.ndarray) -> np.ndarray:
         out = np.zeros((len(ids), self.shape.dim))
@@ -276,7 +278,7 @@ def chain_probabilities(ctr: Column, heads: Mapping[str, Column]) -> dict[str, C
 
 def attention_pool(query: Column, ids: Column, emb: DataFrame, feature: str, bound: int) -> Column:
     """Attention of a query vector over the vectors of a list of ids, id 0 left out."""
-    matrix = Matrix(emb, feature, bound)
+    matrix = load_matrices(emb, {feature: bound})[feature]
 
     @F.arrow_udf("array<double>")
     def attended(queries: pa.Array, lists: pa.Array) -> pa.Array:

@@ -6,7 +6,7 @@ and padding.  A value that found its vocabulary full is kept with id 0.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -116,25 +116,31 @@ def encode_list(df: DataFrame, vocab: DataFrame, members: Sequence[Feature], key
     """
     small = [f for f in members if f.vocab_size <= BROADCAST_ROWS]
     large = [f for f in members if f.vocab_size > BROADCAST_ROWS]
-    probes = {}
-    columns = {}
-    for f in small:
-        if f.emb_name not in probes:
-            probes[f.emb_name] = _probe(vocab, f.emb_name, f.vocab_size)
-        ids = probes[f.emb_name](list_items(F.col(f.name), f.emb_name))
-        columns[f.name] = pad_truncate(ids, f.maxlen, F.lit(0).cast("bigint"))
-    if columns:
-        df = df.withColumns(columns)
+    capacities = Registry(small).capacities()
+    probes = load_probes(vocab, capacities) if small else {}
+    df = df.withColumns({f.name: pad_truncate(probes[f.emb_name](list_items(F.col(f.name), f.emb_name)), f.maxlen,
+                                              F.lit(0).cast("bigint")) for f in small})
     return encode_list_by_join(df, vocab, large, key) if large else df
 
 
-def _probe(vocab: DataFrame, emb_name: str, capacity: int):
-    """An Arrow function from lists of values to lists of ids of one bounded vocabulary."""
-    part = vocab.where((F.col("emb_name") == emb_name) & (F.col("id") > 0)).select("value", "id")
-    table = part.limit(capacity + 1).toArrow()
-    if table.num_rows > capacity:
-        raise ValueError(f"vocabulary {emb_name} has more than {capacity} ids")
-    shared = vocab.sparkSession.sparkContext.broadcast(table.combine_chunks())
+def load_probes(vocab: DataFrame, capacities: Mapping[str, int]) -> dict[str, Callable[[Column], Column]]:
+    """Per vocabulary, an Arrow function from lists of values to lists of ids.
+
+    The vocabularies are fetched together; one with more ids than its capacity is an error.
+    """
+    wanted = vocab.where(F.col("emb_name").isin(list(capacities)) & (F.col("id") > 0)).select("emb_name", "value", "id")
+    table = wanted.limit(sum(capacities.values()) + 1).toArrow()
+    out = {}
+    for emb_name, capacity in capacities.items():
+        mine = table.filter(pc.field("emb_name") == emb_name).select(["value", "id"]).combine_chunks()
+        if mine.num_rows > capacity:
+            raise ValueError(f"vocabulary {emb_name} has more than {capacity} ids")
+        out[emb_name] = _probe(vocab.sparkSession, mine)
+    return out
+
+
+def _probe(spark: SparkSession, table: pa.Table) -> Callable[[Column], Column]:
+    shared = spark.sparkContext.broadcast(table)
 
     @F.arrow_udf("array<bigint>")
     def probe(lists: pa.Array) -> pa.Array:
@@ -143,8 +149,7 @@ def _probe(vocab: DataFrame, emb_name: str, capacity: int):
         ids = pc.fill_null(pc.take(known.column("id").combine_chunks(), at), 0)
         # offsets that match the flattened items: a null list has length 0
         sizes = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
-        ends = pc.cumulative_sum(sizes)
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
         return pa.ListArray.from_arrays(offsets, ids)
 
     return probe
@@ -162,14 +167,13 @@ def encode_list_by_join(df: DataFrame, vocab: DataFrame, members: Sequence[Featu
     for i, f in enumerate(members):
         items = F.coalesce(list_items(F.col(f.name), f.emb_name), F.array().cast("array<string>"))
         tagged.append(F.transform(F.slice(items, 1, f.maxlen), _positioned(i, f.emb_name)))
-    items = df.select(key, F.explode(F.concat(*tagged)).alias("i")).select(key, "i.*")
+    items = df.select(F.col(key).alias("__row"), F.explode(F.concat(*tagged)).alias("i")).select("__row", "i.*")
     usable = vocab.where("id > 0")
     bound = sum({f.emb_name: f.vocab_size for f in members}.values())
-    coded = lookup_join(items, usable, ["emb_name", "value"], bound, [key, "pos"])
-    coded = coded.where(F.col("id") > 0)
-    lists = coded.groupBy(key).agg(*[
+    coded = lookup_join(items, usable, ["emb_name", "value"], bound, ["__row", "pos"]).where("id > 0")
+    lists = coded.groupBy("__row").agg(*[
         F.map_from_entries(F.collect_list(F.when(F.col("feature") == i, F.struct("pos", "id")))).alias(f"__ids_{i}")
-        for i in range(len(members))])
+        for i in range(len(members))]).withColumnRenamed("__row", key)
     joined = df.join(lists, key, "left")
     return joined.select(*[_dense_list(members, c) for c in df.columns])
 

@@ -35,9 +35,9 @@ def sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.downsample_negatives(labelled(spark, sf_dir), "sample_id")
 
 
-# Hours are kept as four blocks of six, so that a month is a few hundred folders.
-_BLOCK = "CASE WHEN hr < '06' THEN '00' WHEN hr < '12' THEN '06' WHEN hr < '18' THEN '12' ELSE '18' END"
-_SCENE = "concat('scene', cast(sample_id % 3 AS VARCHAR(9)))"
+# Hours are kept as half days, so that a month is a hundred folders.
+_BLOCK = "CASE WHEN hr < '12' THEN '00' ELSE '12' END"
+_SCENE = "concat('scene', cast(sample_id % 2 AS VARCHAR(9)))"
 
 
 @cache
@@ -75,9 +75,9 @@ def read_all_samples(spark, sf_dir):
 
 @query("a1_read_samples_of_a_day", on("samples", f"""
 SELECT sample_id, book_id, ctr_label, {_BLOCK} AS hour FROM samples
-WHERE dt = '2024-01-09' AND {_BLOCK} IN ('06', '18') AND {_SCENE} = 'scene1'"""))
+WHERE dt = '2024-01-09' AND {_BLOCK} IN ('12') AND {_SCENE} = 'scene1'"""))
 def read_day(spark, sf_dir):
-    return source.read_samples(spark, stored(spark, sf_dir), "2024-01-09", ["06", "18"], "scene1",
+    return source.read_samples(spark, stored(spark, sf_dir), "2024-01-09", ["12"], "scene1",
                                ["sample_id", "book_id", "ctr_label", "hour"])
 
 
@@ -85,7 +85,7 @@ def read_day(spark, sf_dir):
 def stream(spark, sf_dir):
     root = stored(spark, sf_dir)
     schema = spark.read.parquet(root).schema
-    live = samples.drop_accidental(hourly.stream_samples(spark, root, schema, files_per_trigger=250))
+    live = samples.drop_accidental(hourly.stream_samples(spark, root, schema, files_per_trigger=50))
     out = new_path(spark, "streamed")
     wanted = live.select("sample_id", "reqtime", "ctr_label", "mtime_gap", "dt", "hour")
     hourly.write_available(wanted, out, new_path(spark, "stream_checkpoint")).awaitTermination()
