@@ -21,9 +21,12 @@ def as_vector(col: Column) -> Column:
 
 
 def dot(a: Column, b: Column, dim: int | None = None) -> Column:
-    if dim is None or dim > UNROLLED:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return reduce(lambda s, x: s + x, [F.get(a, F.lit(i)) * F.get(b, F.lit(i)) for i in range(dim)])
+    """Inner product, of the first `dim` elements if given."""
+    if dim is not None and dim <= UNROLLED:
+        return reduce(lambda s, x: s + x, [F.get(a, F.lit(i)) * F.get(b, F.lit(i)) for i in range(dim)])
+    if dim is not None:
+        a, b = F.slice(a, 1, dim), F.slice(b, 1, dim)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
 def relu_vector(v: Column) -> Column:

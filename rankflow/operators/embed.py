@@ -55,7 +55,7 @@ def vectors_of(column: pa.ChunkedArray) -> np.ndarray:
     return items.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(items), -1)
 
 
-def load_matrices(emb: DataFrame, bounds: Mapping[str, int]) -> dict[str, Matrix]:
+def load_matrices(emb: DataFrame, bounds: Mapping[str, int], dtype=np.float64) -> dict[str, Matrix]:
     """Small embedding tables by feature, fetched together.
 
     `bounds` gives the most rows each may have.  A bound beyond the broadcast limit and
@@ -67,7 +67,7 @@ def load_matrices(emb: DataFrame, bounds: Mapping[str, int]) -> dict[str, Matrix
     wanted = emb.where(F.col("feature").isin(list(bounds))).select("feature", "id", "vec")
     table = wanted.limit(sum(bounds.values()) + 1).toArrow()
     features = table.column("feature").to_numpy()
-    ids, vecs = table.column("id").to_numpy(), vectors_of(table.column("vec"))
+    ids, vecs = table.column("id").to_numpy(), vectors_of(table.column("vec")).astype(dtype)
     out = {}
     for feature, bound in bounds.items():
         mine = features == feature

@@ -169,8 +169,9 @@ def _rows(feature: str, ids: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
 def gradients(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, params: DataFrame, key: str) -> DataFrame:
     """Gradients of the mean losses over `df` as `feature, id, g` rows; `loss` is the row named so.
 
-    Each input partition sends its dense sums once, in chunks, and its embedding sums
-    per Arrow batch; everything is summed by the update's aggregation.
+    Each task sends its dense sums once, in chunks, and its embedding sums per Arrow
+    batch; everything is summed by the update's aggregation.  There is at most one task
+    per core, so the dense sums do not grow with the data.
     """
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.sum(non_member_weight(F.col("vip_label"))).alias("w")).first()
     rows, weighted = max(counts["n"], 1), max(counts["w"] or 0.0, 1.0)
@@ -183,7 +184,7 @@ def gradients(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = weights.value
-        dense = {name: np.zeros_like(v) for name, v in p.items()}
+        dense = {name: np.zeros(v.shape) for name, v in p.items()}
         loss, used = 0.0, False
         for batch in batches:
             touched = _Touched(shape.dim)
@@ -220,7 +221,8 @@ def gradients(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, p
                 parts = chunks(g)
                 yield _rows(name, np.arange(len(parts)), parts)
 
-    return source.select(*names).mapInArrow(run, GRADIENT_SCHEMA)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return source.select(*names).coalesce(cores).mapInArrow(run, GRADIENT_SCHEMA)
 
 
 def fit_mixture(steps: Sequence[DataFrame], shape: Shape, registry: Registry, emb_state: DataFrame, dense_state: DataFrame,

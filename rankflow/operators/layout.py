@@ -98,12 +98,14 @@ def lookup_join(facts: DataFrame, state: DataFrame, keys: Sequence[str], bound:
     return joined.select(*[F.col(c) for c in facts.columns], *[found[v].alias(v) for v in values])
 
 
-def with_bound(df: DataFrame, bound: int, what: str) -> DataFrame:
-    """Fail at run time, rather than broadcast without limit, when `df` has more rows than `bound`."""
-    seen = df.limit(bound + 1).count()
-    if seen > bound:
-        raise ValueError(f"{what} has more than {bound} rows")
-    return df
+def for_heavy_work(df: DataFrame) -> DataFrame:
+    """At least one partition per core, for steps whose cost lies in the work per row and not in reading.
+
+    For frames that only scan and project: asking others for their partitions would run
+    their shuffles.  Data of any size has more partitions than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def rebalanced(df: DataFrame, *cols: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from rankflow.functions.hashing import keep_share, md5_number
 from rankflow.functions.text import rename_map
 from rankflow.operators.layout import lookup_join, row_index
 from rankflow.registry import LABELS, Registry
+from rankflow.session import written
 
 LAST_POSITION = 60
 ACCIDENT_SECONDS = 60
@@ -108,7 +109,9 @@ def exact_sample(df: DataFrame, frac: float, by: str, key: str, seed: int = 42)
            .where((F.col("__seen") - F.col("__n") < F.col("__quota")) & (F.col("__seen") >= F.col("__quota")))
            .select(by, F.col("__bucket").alias("__edge"),
                    (F.col("__quota") - (F.col("__seen") - F.col("__n"))).alias("__rest")))
-    placed = lookup_join(hashed, cut, [by], None, [key]).where(F.col("__bucket") <= F.col("__edge"))
+    # one row per group; how many there are decides how they meet the rows
+    groups = df.select(by).distinct().count()
+    placed = lookup_join(hashed, written(cut, "cut"), [by], groups, [key]).where(F.col("__bucket") <= F.col("__edge"))
     below = placed.where(F.col("__bucket") < F.col("__edge"))
     rank = F.row_number().over(Window.partitionBy(by).orderBy("__hash", key))
     edge = placed.where(F.col("__bucket") == F.col("__edge")).withColumn("__rank", rank).where(
@@ -159,6 +162,24 @@ def label_samples(df: DataFrame) -> DataFrame:
     })
 
 
+def split_malformed(df: DataFrame, kinds: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose filled columns all read as their type, and the others, to be set aside and looked at.
+
+    `kinds` maps columns to Spark types.  Missing and blank values are no faults.
+    """
+    fault = F.lit(False)
+    for name, kind in kinds.items():
+        text = F.trim(F.col(name).cast("string"))
+        fault = fault | F.coalesce((text != "") & text.try_cast(kind).isNull(), F.lit(False))
+    return df.where(~fault), df.where(fault)
+
+
+def split_holdout(df: DataFrame, key: str, share: float, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """Rows to fit on, and a fixed share of keys to evaluate on."""
+    held = keep_share(F.col(key), share, seed)
+    return df.where(~held), df.where(held)
+
+
 def select_features(df: DataFrame, registry: Registry, keep: Sequence[str] = ()) -> DataFrame:
     """The registry's features that `df` has, in slot order, after the columns in `keep`."""
     return canonical_names(df, registry).select(*keep, *registry.present_in(df.columns).names())

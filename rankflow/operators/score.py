@@ -25,6 +25,7 @@ from rankflow.registry import BEHAVIOUR_PARTS, BEHAVIOURS, EMBEDDING_DIM, GATES,
 TASK_NAMES = ("ctr", "fvtr", "unlock", "cvr")
 INPUTS = ("share", "ctr", "fvtr", "unlock", "cvr")
 CHUNK = 64
+FLOAT = np.float32
 BATCH_ROWS = 4096
 
 
@@ -129,7 +130,7 @@ def load_parameters(table: DataFrame, shape: Shape) -> dict[str, np.ndarray]:
     order = np.lexsort((rows.column("id").to_numpy(), names))
     names = names[order]
     vecs = vectors_of(rows.column("vec"))[order]
-    return {n: vecs[names == n].ravel()[: int(np.prod(s))].reshape(s) for n, s in wanted.items()}
+    return {n: vecs[names == n].ravel()[: int(np.prod(s))].reshape(s).astype(FLOAT) for n, s in wanted.items()}
 
 
 # --- the model on one batch -------------------------------------------------------
@@ -149,7 +150,8 @@ def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, mask: np.ndarray) -> tup
     scores = np.where(mask, scores, -np.inf)
     top = np.where(mask.any(axis=1), scores.max(axis=1, initial=-np.inf), 0.0)
     e = np.where(mask, np.exp(np.where(mask, scores, 0.0) - np.where(np.isfinite(top), top, 0.0)[:, None]), 0.0)
-    weights = e / np.maximum(e.sum(axis=1, keepdims=True), 1e-300)
+    total = e.sum(axis=1, keepdims=True)
+    weights = e / np.where(total == 0, 1, total)
     return np.einsum("bl,bld->bd", weights, v), weights
 
 
@@ -199,10 +201,10 @@ class BatchReader:
     def __init__(self, shape: Shape, registry: Registry, emb: DataFrame, joined: Sequence[str]):
         self.shape, self.joined = shape, set(joined)
         names = {*shape.scalars, *shape.pooled, *shape.history, *shape.query, *shape.gates, shape.position}
-        self.tables = load_matrices(emb, {n: registry[n].vocab_size for n in sorted(names - self.joined)})
+        self.tables = load_matrices(emb, {n: registry[n].vocab_size for n in sorted(names - self.joined)}, FLOAT)
 
     def _vectors(self, feature: str, ids: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(ids), self.shape.dim))
+        out = np.zeros((len(ids), self.shape.dim), FLOAT)
         vecs, found = self.tables[feature].rows(ids)
         out[found] = vecs
         return out
@@ -210,7 +212,7 @@ class BatchReader:
     def scalar(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
         column = batch.column(name)
         if name in self.joined:
-            return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, self.shape.dim)
+            return column.flatten().to_numpy(zero_copy_only=False).astype(FLOAT).reshape(-1, self.shape.dim)
         return self._vectors(name, column.to_numpy(zero_copy_only=False).astype(np.int64))
 
     def ids(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -220,7 +222,7 @@ class BatchReader:
         ids = self.ids(batch, name)
         vecs = self._vectors(name, ids.ravel()).reshape(*ids.shape, -1)
         real = ids > 0
-        return (vecs * real[:, :, None]).sum(axis=1) / np.maximum(real.sum(axis=1), 1)[:, None]
+        return (vecs * real[:, :, None]).sum(axis=1) / np.maximum(real.sum(axis=1), 1).astype(FLOAT)[:, None]
 
     def inputs(self, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         s = self.shape
@@ -260,7 +262,7 @@ def score(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, param
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)
                 out = forward(weights.value, shape, reader.inputs(part))
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(out[h]) for h in heads],
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(out[h], pa.float64()) for h in heads],
                                                  names=[*kept, *heads])
 
     return source.mapInArrow(run, schema)

@@ -38,25 +38,22 @@ def list_items(col: Column, emb_name: str) -> Column:
 def vocab_values(df: DataFrame, registry: Registry, first_seen: str) -> DataFrame:
     """Distinct values of every vocabulary member with the earliest `first_seen`.
 
-    All members of all vocabularies go through one explode and one aggregation, so a
-    vocabulary shared by many columns has one set of values.  Equal values are
+    All members of all vocabularies go through one aggregation, so a vocabulary shared
+    by many columns has one set of values.  Equal values are
     combined before the shuffle.
     """
     registry = registry.present_in(df.columns)
-    parts = []
+    words: dict[str, list[Column]] = {}
     for f in registry.group("sparse"):
-        parts.append(F.array(F.struct(F.lit(f.emb_name).alias("emb_name"),
-                                      normalise_category(F.col(f.name)).alias("value"))))
+        words.setdefault(f.emb_name, []).append(F.array(normalise_category(F.col(f.name))))
     for f in registry.group("sequence"):
-        items = F.coalesce(list_items(F.col(f.name), f.emb_name), F.array().cast("array<string>"))
-        parts.append(F.transform(items, _tagged(f.emb_name)))
-    pairs = df.select(F.col(first_seen).alias("first_seen"), F.explode(F.concat(*parts)).alias("p"))
-    pairs = pairs.select("first_seen", "p.emb_name", "p.value").where(F.trim("value") != "")
-    return pairs.groupBy("emb_name", "value").agg(F.min("first_seen").alias("first_seen"))
-
-
-def _tagged(emb_name: str):
-    return lambda x: F.struct(F.lit(emb_name).alias("emb_name"), x.alias("value"))
+        items = list_items(F.col(f.name), f.emb_name)
+        words.setdefault(f.emb_name, []).append(F.coalesce(items, F.array().cast("array<string>")))
+    vocabularies = F.array(*[F.struct(F.lit(emb).alias("emb_name"), (F.concat(*lists) if len(lists) > 1 else lists[0]).alias("items"))
+                             for emb, lists in words.items()])
+    per_vocabulary = df.select(F.col(first_seen).alias("first_seen"), F.explode(vocabularies).alias("v"))
+    pairs = per_vocabulary.select("first_seen", F.col("v.emb_name").alias("emb_name"), F.explode("v.items").alias("value"))
+    return pairs.where(F.trim("value") != "").groupBy("emb_name", "value").agg(F.min("first_seen").alias("first_seen"))
 
 
 def extend_vocab(values: DataFrame, existing: DataFrame, capacities: Mapping[str, int],

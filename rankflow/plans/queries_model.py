@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.operators import embed, fit, metrics, samples, score, vocab
+from rankflow.operators.layout import for_heavy_work
 from rankflow.operators.optimizer import fresh_state
 from rankflow.plans import prepare
 from rankflow.plans.catalog import digest, digest_sql, on, query
@@ -122,13 +123,13 @@ def model_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Registry,
 
     Vocabularies, ranks and the encoded rows are written once.
     """
-    df = prepare.clean(samples_view(spark, sf_dir), REGISTRY, "sample_id")
+    df = prepare.clean(for_heavy_work(samples_view(spark, sf_dir)), REGISTRY, "sample_id")
     registry = REGISTRY.present_in(df.columns)
     words = written(vocab.extend_vocab(vocab.vocab_values(df, registry, "sample_id"), vocab.empty_vocab(spark), registry.capacities()), "vocab")
     tops = {f.name: f.vocab_size - 1 for f in registry.group("rank")}
     ranks = written(vocab.rank_vocab(vocab.count_values(df, list(tops)), tops), "ranks")
     rows = prepare.model_rows(prepare.encode(prepare.bucketed(df, registry), registry, words, ranks, "sample_id", tops), registry, "sample_id")
-    rows = written(rows, "encoded")
+    rows = for_heavy_work(written(rows, "encoded"))
     small = embed.initial_embeddings(registry.spec_df(spark).where(F.col("name") != "userid"))
     users = words.where("emb_name = 'userid' AND id > 0").select(F.lit("userid").alias("feature"), "id")
     users = users.select("feature", "id", embed.init_vector(F.col("feature"), F.col("id")).cast("array<float>").alias("vec"))

@@ -84,7 +84,7 @@ def read_day(spark, sf_dir):
 @query("a2_stream_samples", on("cleaned", f"SELECT sample_id, reqtime, ctr_label, mtime_gap, dt, {_BLOCK} AS hour FROM cleaned"))
 def stream(spark, sf_dir):
     root = stored(spark, sf_dir)
-    schema = spark.read.parquet(root).schema
+    schema = source.sample_schema(spark, root)
     live = samples.drop_accidental(hourly.stream_samples(spark, root, schema, files_per_trigger=50))
     out = new_path(spark, "streamed")
     wanted = live.select("sample_id", "reqtime", "ctr_label", "mtime_gap", "dt", "hour")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.text import boundaries_text
 from rankflow.operators import embed, optimizer, samples, vocab
+from rankflow.operators.layout import for_heavy_work
 from rankflow.operators.metrics import daily_counts
 from rankflow.plans.catalog import digest, digest_sql, on, query
 from rankflow.plans.queries_samples import REGISTRY, labelled
@@ -30,7 +31,7 @@ def small_registry() -> Registry:
 
 def member_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = samples.canonical_names(labelled(spark, sf_dir), REGISTRY)
-    return df.select("sample_id", "dt", *SCALARS, *LISTS)
+    return for_heavy_work(df.select("sample_id", "dt", *SCALARS, *LISTS))
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +224,8 @@ _CLICKS = ("SELECT sample_id, k, list_transform(string_split(replace(coalesce(us
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.split(F.translate(F.coalesce("userclickbooklistlatestbookid", F.lit("")), "_", ","), ",")
     ids = F.transform(items, lambda x: F.coalesce(F.substring(x, 2, 20).try_cast("bigint"), F.lit(0)))
-    return samples_view(spark, sf_dir).select("sample_id", F.substring("book_id", 2, 20).cast("bigint").alias("k"), ids.alias("ids"))
+    rows = samples_view(spark, sf_dir).select("sample_id", F.substring("book_id", 2, 20).cast("bigint").alias("k"), ids.alias("ids"))
+    return for_heavy_work(rows)
 
 
 _LOOKUP_SQL = on("samples", f"SELECT sample_id, {digest_sql('vec')} AS item FROM clicks JOIN v ON v.id = clicks.k", clicks=_CLICKS, v=_V)

@@ -37,16 +37,16 @@ _local_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where intermediate tables go: `spark.checkpoint.dir`, which every executor can reach.
+    """This application's folder for intermediate tables, under `spark.checkpoint.dir`, which every executor can reach.
 
     Only a local master may do without the setting.
     """
+    app = spark.sparkContext.applicationId
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
-        return folder.rstrip("/") + "/rankflow"
+        return f"{folder.rstrip('/')}/rankflow/{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
     if app not in _local_folder:
         _local_folder[app] = tempfile.mkdtemp(prefix="rankflow-")
     return _local_folder[app]
@@ -60,8 +60,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from the written table.
 
     Cuts the lineage in a way that survives lost executors, and pins whatever
-    depends on the physical layout, such as partition numbers.
+    depends on the physical layout, such as partition numbers.  `drop_written`
+    removes these tables when the application is done with them.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; frames that read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

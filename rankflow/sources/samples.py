@@ -23,17 +23,22 @@ def write_samples(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     rebalanced(df, *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(root)
 
 
+def sample_schema(spark: SparkSession, root: str) -> T.StructType:
+    """The schema of stored samples, with the partition columns as text: hour 07 stays 07 whatever the session infers."""
+    found = spark.read.parquet(root).schema
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in PARTITIONS else f for f in found])
+
+
 def read_samples(spark: SparkSession, root: str, dt: str | None = None, hours: Sequence[str] | None = None,
                  scene: str | None = None, columns: Sequence[str] | None = None, schema: T.StructType | None = None,
                  ignore_corrupt: bool = False) -> DataFrame:
     """Samples of a day, of some hours of it, of a scene; only the wanted files and columns are read.
 
     With `ignore_corrupt`, files that cannot be read are skipped, as are files that vanish.
+    Give the schema then, or it may be looked for in such a file.
     """
     reader = spark.read.option("ignoreCorruptFiles", ignore_corrupt).option("ignoreMissingFiles", ignore_corrupt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(root)
+    df = reader.schema(schema if schema is not None else sample_schema(spark, root)).parquet(root)
     if dt is not None:
         df = df.where(F.col("dt") == dt)
     if hours is not None:

@@ -51,10 +51,11 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf_dir: str, ru
 
 def main() -> int:
     import __spark_entry__ as entry
-    from rankflow.session import local_session
-
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session("8")
+    # a session as it comes, to show that no query depends on our own settings
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracle = entry.oracle_sql()
     bad = 0

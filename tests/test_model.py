@@ -203,9 +203,9 @@ def test_scores_of_single_rows_whatever_the_batch(spark):
     for row in rows:
         expected = score_one(row, registry, shape, vecs, p)
         for name, value in expected.items():
-            assert whole[row["id"]][name] == pytest.approx(value)
-            assert split[row["id"]][name] == pytest.approx(value)
-    assert alone.ctr == pytest.approx(whole[3].ctr)
+            assert whole[row["id"]][name] == pytest.approx(value, rel=1e-4)
+            assert split[row["id"]][name] == pytest.approx(value, rel=1e-4)
+    assert alone.ctr == pytest.approx(whole[3].ctr, rel=1e-5)
 
 
 def _loss(p, shape, x, labels, weights):
@@ -277,7 +277,7 @@ def test_mixture_loss_falls_and_partitions_do_not_matter(spark):
     a, b = [{(r.feature, r.id): r.g for r in optimizer.sum_gradients(
         fit.gradients(d, shape, registry, emb, dense, "id").where("feature IN ('book_id', 'userid')"), DIM).collect()}
         for d in (df.coalesce(1), df.repartition(5))]
-    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-3, abs=1e-6) for k in a)
     state = optimizer.fresh_state(emb, DIM)
     _, _, losses = fit.fit_mixture([df] * 4, shape, registry, state, dense, "id", lr=0.05)
     assert losses[-1] < losses[0]

@@ -145,3 +145,16 @@ def test_registry():
     more = r.with_dense([(1005, "ad_last_days", [0, 1, 2]), (1000, "chapter_number", [5])])
     assert more["chapter_number"].vocab_size == 2 and more["ad_last_days"].boundaries == (0.0, 1.0, 2.0)
     assert isinstance(more, Registry) and len(more.group("dense")) == len(r.group("dense")) + 1
+
+
+def test_malformed_rows_are_set_aside(spark):
+    df = spark.createDataFrame([(1, "1", "0.5"), (2, "x", "0.5"), (3, "", None), (4, None, "high"), (5, " 2 ", "1e3")], "id long, vip_type string, play_ratio string")
+    good, bad = samples.split_malformed(df, {"vip_type": "int", "play_ratio": "double"})
+    assert ids(good) == [1, 3, 5] and ids(bad) == [2, 4]
+
+
+def test_holdout_splits_by_key(spark):
+    df = spark.range(5000)
+    fit, held = samples.split_holdout(df, "id", 0.1)
+    assert sorted(ids(fit) + ids(held)) == list(range(5000)) and 400 < held.count() < 600
+    assert ids(held) == ids(samples.split_holdout(df.repartition(3), "id", 0.1)[1])

@@ -65,7 +65,7 @@ def test_stream_takes_each_file_once_and_equals_batch(spark):
     root, out, checkpoint = (new_path(spark, n) for n in ("in", "out", "check"))
     day = lambda d: hours(spark).where(F.col("dt") == d)
     source.write_samples(day("2024-01-01"), root)
-    schema = spark.read.parquet(root).schema
+    schema = source.sample_schema(spark, root)
 
     def run():
         live = samples.drop_accidental(hourly.stream_samples(spark, root, schema, 3))
@@ -123,4 +123,22 @@ def test_shared_folder_is_required_on_a_cluster(spark):
     with pytest.raises(RuntimeError):
         session.shared_folder(cluster)
     conf.get = lambda *a: "hdfs:///shared/"
-    assert session.shared_folder(cluster) == "hdfs:///shared/rankflow"
+    assert session.shared_folder(cluster) == "hdfs:///shared/rankflow/x"
+
+
+def test_written_tables_can_be_dropped():
+    """In a process of its own, as other tests go on using their tables."""
+    import subprocess
+    import sys
+    code = """
+import os, sys
+from rankflow.session import drop_written, local_session, shared_folder, written
+spark = local_session("1", 2)
+assert written(spark.range(3), "t").count() == 3 and os.listdir(shared_folder(spark))
+drop_written(spark)
+assert not os.path.exists(shared_folder(spark))
+spark.stop()
+"""
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=200, cwd=root)
