@@ -19,8 +19,9 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def row_index(df: DataFrame, order: Sequence[str], partitions: int | None = None, name: str = "row_index") -> DataFrame:
-    """Number the rows from 0 in the order of `order`, which must be unique.
+def row_index(df: DataFrame, order: Sequence[str], partitions: int | None = None, name: str = "row_index",
+              total: str | None = None) -> DataFrame:
+    """Number the rows from 0 in the order of `order`, which must be unique; `total` names a column for their number.
 
     Range partitions are sorted and numbered on their own, the result is written
     once, and the few per-partition counts give each partition its offset.  No
@@ -34,7 +35,9 @@ def row_index(df: DataFrame, order: Sequence[str], partitions: int | None = None
     # one row per partition: n rows at most
     counts = local.groupBy("__part").agg((F.max("__pos") + 1).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    whole = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+                            *([F.sum("__n").over(whole).alias(total)] if total else []))
     return (local.join(F.broadcast(offsets), "__part")
             .withColumn(name, F.col("__offset") + F.col("__pos"))
             .drop("__part", "__pos", "__offset"))

@@ -130,12 +130,10 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42, partitions: int | None
 def fixed_batches(df: DataFrame, size: int, order: Sequence[str], drop_remainder: bool = True,
                   partitions: int | None = None) -> DataFrame:
     """Add `batch_id`: consecutive groups of exactly `size` rows in the order of `order`, which must be unique."""
-    indexed = row_index(df, order, partitions, "__row")
-    batches = indexed.withColumn("batch_id", F.floor(F.col("__row") / F.lit(size)))
+    indexed = row_index(df, order, partitions, "__row", "__total")
     if drop_remainder:
-        total = indexed.agg(F.count(F.lit(1)).alias("n")).scalar()
-        batches = batches.where(F.col("__row") < total - F.pmod(total, F.lit(size)))
-    return batches.drop("__row")
+        indexed = indexed.where(F.col("__row") < F.col("__total") - F.pmod("__total", F.lit(size)))
+    return indexed.withColumn("batch_id", F.floor(F.col("__row") / F.lit(size))).drop("__row", "__total")
 
 
 def repeat_epochs(df: DataFrame, epochs: int) -> DataFrame:

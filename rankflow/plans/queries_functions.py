@@ -88,6 +88,11 @@ def hash_fast(spark, sf_dir):
         "sample_id", hashing.hash_bucket(F.col("userid"), 10_000_000).alias("userid"), hashing.hash_bucket(F.col("model"), 1001).alias("model"))
 
 
+@query("d5_hash_bucket_fingerprint")
+def hash_fingerprint(spark, sf_dir):
+    return samples_view(spark, sf_dir).select("sample_id", hashing.hash_bucket(F.col("userid"), 10_000_000, "fingerprint").alias("userid"))
+
+
 @query("d6_hash_bucket_integers", on("samples", f"""
 SELECT sample_id, CASE WHEN book_pos IS NOT NULL THEN {md5_sql('cast(book_pos AS VARCHAR)')} % 61 END AS book_pos,
        array_to_string(list_transform([sample_id, sample_id % 7, -sample_id], lambda x: {md5_sql('cast(x AS VARCHAR)')} % 10001), ',') AS ids FROM samples"""))
