@@ -87,19 +87,47 @@ def oov_report(vocab: DataFrame) -> DataFrame:
     return vocab.where("id = 0").groupBy("emb_name").agg(F.count(F.lit(1)).alias("refused"))
 
 
+def scalar_text(f: Feature, lowercase: bool = True) -> Column:
+    return normalise_category(F.col(f.name)) if lowercase else F.coalesce(F.col(f.name).cast("string"), F.lit("unknown"))
+
+
 def encode_scalar(df: DataFrame, vocab: DataFrame, members: Sequence[Feature], key: str,
                   lowercase: bool = True) -> DataFrame:
     """Replace scalar columns by their ids; unknown, blank and overflowed values become 0.
 
-    A vocabulary's rows with an id are bounded by its capacity, so small ones are
-    broadcast; large ones (user ids) go through the skew-safe shuffle join.
+    Vocabularies within the broadcast limit are probed inside the task: one projection
+    serves all their columns, however many, and nothing is shuffled.  Large ones (user
+    ids) are joined, see `encode_scalar_by_join`, and last, when the rows are smallest.
     """
+    small = [f for f in members if f.vocab_size <= BROADCAST_ROWS]
+    large = [f for f in members if f.vocab_size > BROADCAST_ROWS]
+    df = _probe_scalars(df, vocab, {f.name: (f.emb_name, scalar_text(f, lowercase)) for f in small}, Registry(small).capacities())
+    return encode_scalar_by_join(df, vocab, large, key, lowercase)
+
+
+def _probe_scalars(df: DataFrame, vocab: DataFrame, texts: Mapping[str, tuple[str, Column]],
+                   capacities: Mapping[str, int]) -> DataFrame:
+    """Ids of scalar columns, given per column its vocabulary and its text; one probe per vocabulary."""
+    if not texts:
+        return df
+    probes = load_probes(vocab, capacities)
+    by_vocabulary: dict[str, list[str]] = {}
+    for name, (emb_name, _) in texts.items():
+        by_vocabulary.setdefault(emb_name, []).append(name)
+    found = df.withColumns({f"__ids_{emb}": probes[emb](F.array(*[texts[n][1] for n in names]))
+                            for emb, names in by_vocabulary.items()})
+    ids = {n: F.get(f"__ids_{emb}", F.lit(i)).alias(n) for emb, names in by_vocabulary.items() for i, n in enumerate(names)}
+    return found.select(*[ids.get(c, F.col(c)) for c in df.columns])
+
+
+def encode_scalar_by_join(df: DataFrame, vocab: DataFrame, members: Sequence[Feature], key: str,
+                          lowercase: bool = True) -> DataFrame:
+    """As `encode_scalar`, one join per column, for vocabularies of any size."""
     columns = df.columns
     usable = vocab.where("id > 0")
     for f in members:
-        text = normalise_category(F.col(f.name)) if lowercase else F.coalesce(F.col(f.name).cast("string"), F.lit("unknown"))
         part = usable.where(F.col("emb_name") == f.emb_name).select(F.col("value").alias("__value"), F.col("id").alias("__id"))
-        keyed = df.withColumn("__value", text)
+        keyed = df.withColumn("__value", scalar_text(f, lowercase))
         found = lookup_join(keyed, part, ["__value"], f.vocab_size, [key])
         df = found.withColumn(f.name, F.coalesce("__id", F.lit(0))).select(*columns)
     return df
@@ -231,11 +259,10 @@ def rank_vocab(counts: DataFrame, tops: Mapping[str, int]) -> DataFrame:
     return ranked
 
 
-def encode_rank(df: DataFrame, previous: DataFrame, tops: Mapping[str, int], key: str) -> DataFrame:
-    """Replace each column by its rank in the previous run's map, 0 when it has none."""
-    columns = df.columns
-    for feature, n in tops.items():
-        part = previous.where(F.col("feature") == feature).select(
-            F.col("value").alias(feature), F.col("id").alias("__rank"))
-        df = lookup_join(df, part, [feature], n, [key]).withColumn(feature, F.coalesce("__rank", F.lit(0))).select(*columns)
-    return df
+def encode_rank(df: DataFrame, previous: DataFrame, tops: Mapping[str, int]) -> DataFrame:
+    """Replace each column by its rank in the previous run's map, 0 when it has none.
+
+    A map has as many rows as ranks are kept, so it is probed like a small vocabulary.
+    """
+    texts = {feature: (feature, F.col(feature).cast("string")) for feature in tops}
+    return _probe_scalars(df, previous.withColumnRenamed("feature", "emb_name"), texts, tops)

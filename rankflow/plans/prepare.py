@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.numeric import bucketize
 from rankflow.operators import samples, vocab
+from rankflow.operators.layout import BROADCAST_ROWS
 from rankflow.registry import LABELS, Registry
 
 
@@ -29,9 +30,13 @@ def encode(df: DataFrame, registry: Registry, vocabulary: DataFrame, ranks: Data
            tops: Mapping[str, int]) -> DataFrame:
     """Ids for all scalar, list and rank columns from finished maps."""
     have = registry.present_in(df.columns)
-    df = vocab.encode_scalar(df, vocabulary, have.group("sparse"), key)
+    small = [f for f in have.group("sparse") if f.vocab_size <= BROADCAST_ROWS]
+    large = [f for f in have.group("sparse") if f.vocab_size > BROADCAST_ROWS]
+    df = vocab.encode_scalar(df, vocabulary, small, key)
     df = vocab.encode_list(df, vocabulary, have.group("sequence"), key)
-    return vocab.encode_rank(df, ranks, {f: n for f, n in tops.items() if f in have}, key)
+    df = vocab.encode_rank(df, ranks, {f: n for f, n in tops.items() if f in have})
+    # the joins come last, when every other text has become a number
+    return vocab.encode_scalar_by_join(df, vocabulary, large, key)
 
 
 def model_rows(df: DataFrame, registry: Registry, key: str) -> DataFrame:

@@ -92,6 +92,13 @@ def scalar_ids(spark, sf_dir):
     return vocab.encode_scalar(rows, words, small_registry().group("sparse"), "sample_id")
 
 
+@query("f3_encode_scalar_by_join", on("labelled", f"SELECT sample_id, {_IDS} FROM labelled", **_VOCAB))
+def scalar_ids_by_join(spark, sf_dir):
+    words = written(vocabulary(spark, sf_dir), "vocab")
+    rows = member_rows(spark, sf_dir).select("sample_id", *SCALARS)
+    return vocab.encode_scalar_by_join(rows, words, small_registry().group("sparse"), "sample_id")
+
+
 def _list_ids_sql() -> str:
     parts = []
     for c in LISTS:
@@ -180,7 +187,7 @@ SELECT sample_id, coalesce((SELECT id FROM ranks r WHERE r.feature = 'mchid' AND
        coalesce((SELECT id FROM ranks r WHERE r.feature = 'model' AND r.value = l.model), 0) AS model FROM labelled l""", **_RANKS))
 def rank_ids(spark, sf_dir):
     previous = vocab.rank_vocab(counted(spark, sf_dir), RANKED)
-    return vocab.encode_rank(labelled(spark, sf_dir).select("sample_id", "mchid", "model"), previous, RANKED, "sample_id")
+    return vocab.encode_rank(labelled(spark, sf_dir).select("sample_id", "mchid", "model"), previous, RANKED)
 
 
 @query("g4_daily_counts", on("labelled", "SELECT dt, count(*) AS n FROM labelled GROUP BY dt"))

@@ -91,7 +91,9 @@ def test_encoding_by_probe_equals_encoding_by_join(spark):
     assert probed[2].clicks == [0, 0, 0, 0] and probed[2].gaps == [0, 0, 0]
     assert probed[4].clicks == [0, 0, 0, 0]
     assert probed[3].gaps == [0, ids["gap_day", "7"], 0] and probed[4].gaps == [ids["gap_day", "190"]] * 3
+    by_join = vocab.encode_scalar_by_join(rows(spark), words, registry.group("sparse"), "id").orderBy("id").collect()
     scalars = vocab.encode_scalar(rows(spark), words, registry.group("sparse"), "id").orderBy("id").collect()
+    assert [r.asDict() for r in scalars] == [r.asDict() for r in by_join]
     assert [r.book_id for r in scalars] == [ids["bid", "b1"], 0, ids["bid", "unknown"], ids["bid", "b1"], 0]
 
 
@@ -114,7 +116,7 @@ def test_ranks(spark):
     total = vocab.add_counts(counts, counts)
     ranks = vocab.rank_vocab(total, {"mchid": 3})
     assert {r.value: r.id for r in ranks.collect()} == {"a": 1, "b": 2, "c": 3}
-    coded = vocab.encode_rank(df, ranks, {"mchid": 3}, "id").orderBy("id").collect()
+    coded = vocab.encode_rank(df, ranks, {"mchid": 3}).orderBy("id").collect()
     assert [r.mchid for r in coded] == [1, 1, 1, 2, 2, 3, 3, 0, 0, 0]
 
 
