@@ -35,12 +35,16 @@ def list_items(col: Column, emb_name: str) -> Column:
     return clamp_gap(items) if emb_name in GAP_VOCABULARIES else items
 
 
+def _filled() -> Column:
+    """Neither missing nor all white space."""
+    return F.col("value").rlike(r"\S")
+
+
 def vocab_values(df: DataFrame, registry: Registry, first_seen: str) -> DataFrame:
     """Distinct values of every vocabulary member with the earliest `first_seen`.
 
     All members of all vocabularies go through one aggregation, so a vocabulary shared
-    by many columns has one set of values.  Equal values are
-    combined before the shuffle.
+    by many columns has one set of values.  Equal values are combined before the shuffle.
     """
     registry = registry.present_in(df.columns)
     words: dict[str, list[Column]] = {}
@@ -53,7 +57,7 @@ def vocab_values(df: DataFrame, registry: Registry, first_seen: str) -> DataFram
                              for emb, lists in words.items()])
     per_vocabulary = df.select(F.col(first_seen).alias("first_seen"), F.explode(vocabularies).alias("v"))
     pairs = per_vocabulary.select("first_seen", F.col("v.emb_name").alias("emb_name"), F.explode("v.items").alias("value"))
-    return pairs.where(F.trim("value") != "").groupBy("emb_name", "value").agg(F.min("first_seen").alias("first_seen"))
+    return pairs.where(_filled()).groupBy("emb_name", "value").agg(F.min("first_seen").alias("first_seen"))
 
 
 def extend_vocab(values: DataFrame, existing: DataFrame, capacities: Mapping[str, int],
@@ -67,7 +71,7 @@ def extend_vocab(values: DataFrame, existing: DataFrame, capacities: Mapping[str
     known = existing
     if retry_overflow:
         known = existing.where("id > 0")
-    wanted = (values.where(F.coalesce(F.trim("value") != "", F.lit(False)))
+    wanted = (values.where(_filled())
               .groupBy("emb_name", "value").agg(F.min("first_seen").alias("first_seen")))
     fresh = wanted.join(known, ["emb_name", "value"], "left_anti")
     indexed = row_index(fresh, ["emb_name", "first_seen", "value"], name="row")

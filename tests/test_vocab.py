@@ -15,7 +15,7 @@ def table(df):
     return {(r.emb_name, r.value): r.id for r in df.collect()}
 
 
-def reference_ids(pairs, known, capacity):
+def ids_one_by_one(pairs, known, capacity):
     """Ids by feeding the values one by one, in the declared order."""
     ids = dict(known)
     for emb, value, _ in sorted(pairs, key=lambda p: (p[0], p[2], p[1] or "")):
@@ -28,13 +28,13 @@ def reference_ids(pairs, known, capacity):
 
 def test_extend_vocab_over_capacity_and_twice(spark):
     capacity = {"a": 5, "b": 100}
-    day1 = [("a", "x", 3), ("a", "y", 1), ("a", "", 1), ("a", None, 1), ("a", "  ", 2), ("b", "x", 9), ("a", "x", 7)]
+    day1 = [("a", "x", 3), ("a", "y", 1), ("a", "", 1), ("a", None, 1), ("a", " \t\n", 2), ("b", "x", 9), ("a", "x", 7)]
     day2 = [("a", v, 10) for v in ("p", "q", "r", "s", "y")] + [("b", "w", 11), ("b", "x", 1)]
     first = vocab.extend_vocab(spark.createDataFrame(day1, VALUES), vocab.empty_vocab(spark), capacity)
-    expected = reference_ids(day1, {}, capacity)
+    expected = ids_one_by_one(day1, {}, capacity)
     assert table(first) == expected == {("a", "y"): 1, ("a", "x"): 2, ("b", "x"): 1}
     second = vocab.extend_vocab(spark.createDataFrame(day2, VALUES), first, capacity)
-    expected = reference_ids(day2, expected, capacity)
+    expected = ids_one_by_one(day2, expected, capacity)
     assert table(second) == expected
     assert sorted(i for (e, _), i in expected.items() if e == "a") == [0, 0, 1, 2, 3, 4]
     assert {(r.emb_name, r.refused) for r in vocab.oov_report(second).collect()} == {("a", 2)}
