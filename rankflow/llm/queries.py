@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import packing, quality, simhash
+from rankflow.llm import packing, quality, simhash, toxicity
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -38,3 +38,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality.score_quality(docs.select("doc_id", "text"), model)
             .select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score_toxicity(docs, model)
+            .select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted")))
