@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import packing, quality, simhash, toxicity
+from rankflow.llm import packing, quality, simhash, topk, toxicity
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -47,3 +47,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (toxicity.score_toxicity(docs, model)
             .select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
                     (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
+@query("op1_topk", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score
+          FROM v q JOIN v e ON q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
