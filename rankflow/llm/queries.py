@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import packing, quality, simhash, topk, toxicity
+from rankflow.llm import embed_dedup, packing, quality, simhash, topk, toxicity
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -59,3 +59,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op5_embedding_dedup", """
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+    r AS (SELECT vec_id AS node, vec_id AS reached FROM embeddings UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.reached),
+    c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node),
+    n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id""")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.embedding_components(table(spark, sf_dir, "embeddings"))
