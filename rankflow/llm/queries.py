@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import embed_dedup, packing, quality, simhash, topk, toxicity
+from rankflow.llm import embed_dedup, packing, quality, secrets, simhash, topk, toxicity
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -75,3 +75,12 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id""")
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train_markov(secrets.labelled_samples(docs)))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+                        F.sha2(secrets.listed("base"), 256).alias("base_sha256"), secrets.listed("spans").alias("spans"))
