@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import embed_dedup, packing, quality, secrets, simhash, topk, toxicity
+from rankflow.llm import embed_dedup, langid, packing, quality, secrets, sentencepiece, simhash, topk, toxicity
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -84,3 +84,19 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
                         F.sha2(secrets.listed("base"), 256).alias("base_sha256"), secrets.listed("spans").alias("spans"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = "piece_bpe_32k.model"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "parity",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query("op6_langid")
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return (langid.label_documents(docs.select("doc_id", "text"), langid.train_langid(docs))
+            .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"))
