@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import embed_dedup, langid, packing, quality, secrets, sentencepiece, simhash, topk, toxicity
+from rankflow.llm import embed_dedup, langid, packing, quality, secrets, sentencepiece, simhash, suffix_dedup, topk, toxicity
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -100,3 +100,10 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return (langid.label_documents(docs.select("doc_id", "text"), langid.train_langid(docs))
             .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
+                                                    F.sha2("kept", 256).alias("kept_sha256"))
