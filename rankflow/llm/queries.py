@@ -107,3 +107,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
                                                     F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

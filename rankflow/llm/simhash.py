@@ -196,22 +196,20 @@ def _blocks(prints: DataFrame, masks: list[int], block: int) -> DataFrame:
                        (F.col("c") > F.col("d")).cast("int").alias("side"), "fp", "node")
 
 
-def _edges(blocks: DataFrame, radius: int) -> DataFrame:
-    """A spanning forest of the links in each group of a block, as (a, b) of nodes."""
+def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
+    """Runs `found(fps, run, side, node)`, which returns arrays, over whole groups of blocks, a batch of rows at a time."""
     group = ["t", "key", "i", "j"]
     dealt = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def links(tab: pa.Table) -> pa.RecordBatch:
+    def work(tab: pa.Table) -> pa.RecordBatch:
         fps = tab["fp"].to_numpy().view(np.uint64)
-        node = tab["node"].to_numpy()
         keys = [tab[c].to_numpy() for c in group]
         change = np.zeros(len(fps), bool)
         for k in keys:
             change[1:] |= k[1:] != k[:-1]
-        run = np.cumsum(change)
-        root = _forest(len(fps), close_pairs(fps, run, tab["side"].to_numpy(), radius))
-        leaf = np.flatnonzero(root != np.arange(len(root)))
-        return pa.RecordBatch.from_arrays([pa.array(node[leaf]), pa.array(node[root[leaf]])], names=["a", "b"])
+        out = found(fps, np.cumsum(change), tab["side"].to_numpy(), tab["node"].to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
 
     def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []  # the last group may go on in the next batch
@@ -226,12 +224,22 @@ def _edges(blocks: DataFrame, radius: int) -> DataFrame:
                 same &= v == v[-1]
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             if cut:
-                yield links(whole.slice(0, cut))
+                yield work(whole.slice(0, cut))
                 waiting = whole.slice(cut).to_batches()
         if waiting:
-            yield links(pa.Table.from_batches(waiting).combine_chunks())
+            yield work(pa.Table.from_batches(waiting).combine_chunks())
+
+    return dealt.sortWithinPartitions(*group).mapInArrow(run_task, schema)
+
 
-    return dealt.sortWithinPartitions(*group).mapInArrow(run_task, "a long, b long")
+def _edges(blocks: DataFrame, radius: int) -> DataFrame:
+    """A spanning forest of the links in each group of a block, as (a, b) of nodes."""
+    def forest(fps, run, side, node):
+        root = _forest(len(fps), close_pairs(fps, run, side, radius))
+        leaf = np.flatnonzero(root != np.arange(len(root)))
+        return node[leaf], node[root[leaf]]
+
+    return _in_runs(blocks, forest, "a long, b long")
 
 
 def simhash_components(docs: DataFrame, words: int = 4, radius: int = 4, seed: int = 42, block: int = BLOCK,
@@ -260,11 +268,98 @@ def simhash_components(docs: DataFrame, words: int = 4, radius: int = 4, seed: i
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
+def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
+    """The sorted distinct 32-bit hashes of a text's shingles (cut as for the fingerprint)."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.empty(0, np.uint32)
+    digest = xxhash.xxh32_intdigest
+    return np.unique(np.array([digest(b" ".join(parts[i:i + words])) for i in range(max(len(parts) - words + 1, 1))], np.uint32))
+
+
+def _closest(blocks: DataFrame, radius: int, closest: int) -> DataFrame:
+    """Distinct candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there within `radius`."""
+    def pairs(fps, run, side, node):
+        a, b = [], []
+        for x, y in close_pairs(fps, run, side, radius):
+            a.append(x)
+            b.append(y)
+        if not a:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        x, y = np.concatenate(a), np.concatenate(b)
+        low, high = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+        far = np.bitwise_count(fps[x] ^ fps[y])
+        order = np.lexsort((low, far, high, run[x]))
+        low, high, of = low[order], high[order], run[x][order]
+        heads = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (of[1:] != of[:-1])])
+        rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.r_[heads, len(low)]))
+        return low[rank < closest], high[rank < closest]
+
+    return _in_runs(blocks, pairs, "a long, b long").where("a <> b").distinct()
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 15, tables: int = 64, key_bits: int = 16,
+                closest: int = 3, seed: int = 42, block: int = BLOCK) -> DataFrame:
+    """(doc_id, component_id): documents joined by links of a Jaccard similarity of `similarity` or more of their word shingles.
+
+    Two texts at 0.8 differ in about ten of 64 fingerprint bits, too many for a complete search, so candidates are found in
+    `tables` tables, each keyed by `key_bits` bits drawn at random, and compared bit-sliced there.  Every document offers its
+    `closest` neighbours of each group, which spans a group of copies without listing its pairs; every link is verified on
+    the whole shingle sets.  Texts with equal sets of words in order (fingerprints and sets alike) and texts without words are copies of
+    one another.  Rows with a null doc_id are left out.
+    """
+    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, bodies = [], []
+            for t in batch.column(1).to_pylist():
+                fps.append(fingerprint(t, words, seed))
+                bodies.append(xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)),
+                                              pa.array(np.array(bodies, np.uint64).view(np.int64))], names=["doc_id", "fp", "body"])
+
+    fp = written(own.mapInArrow(prints, "doc_id long, fp long, body long"), "fingerprints")
+    nodes = written(fp.groupBy("fp", "body").agg(F.min("doc_id").alias("node")), "nodes")
+    random = np.random.default_rng(seed)
+    masks = [sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)]
+    pairs = written(_closest(_blocks(nodes.select("fp", "node"), masks, block), radius, closest), "candidates")
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    leads = own.join(wanted, "doc_id").select("doc_id", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in
+                                                                         batch.column(1).to_pylist()], pa.binary())],
+                                             names=["doc_id", "shingles"])
+
+    held = written(leads.mapInArrow(sets, "doc_id long, shingles binary"), "shingles")
+    left = held.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
+    right = held.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(s, np.uint32), np.frombuffer(t, np.uint32)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) and both > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    links = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(verify, "a long, b long")
+    # rows that share an id tie their texts together
+    tied = fp.groupBy("doc_id").agg(F.count_distinct("fp", "body").alias("n")).where("n > 1").select("doc_id")
+    ties = fp.join(tied, "doc_id").join(nodes, ["fp", "body"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    found = connected_components(links.union(ties))
+    named = nodes.join(found, "node", "left").select("fp", "body", F.coalesce("component", "node").alias("component_id"))
+    return fp.join(named, ["fp", "body"]).select("doc_id", "component_id")
+
+
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its component; rows without an id stay.
+    """The rows of `docs` whose doc_id is the smallest of its component in `near_copies`; rows without an id stay.
 
-    Of rows that repeat a kept id, all stay: they are the same document.
+    Of rows that repeat a kept id, all stay: they are the same document.  All columns pass through.
     """
     name = fresh("__lead", docs.columns)
-    leads = (simhash_components(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct())
+    leads = near_copies(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(leads, docs["doc_id"] == leads[name], "left_semi").union(docs.where(docs["doc_id"].isNull()))
