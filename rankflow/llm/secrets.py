@@ -97,6 +97,10 @@ def _spans(found: Column, gaps: Column, kind: int, keep: Column) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(pieces, start, add, lambda acc: acc["out"])).otherwise(F.array().cast(SPAN))
 
 
+def _at_least(n: int):
+    return lambda value: F.length(value) >= n
+
+
 def find_secrets(docs: DataFrame, model: list[float], least_ratio: float = 12.0, least_mean: float = 0.6) -> DataFrame:
     """`docs` with `base` and `spans`: arrays of (start, kind, end), sorted; offsets in code points, end exclusive.
 
@@ -117,7 +121,7 @@ def find_secrets(docs: DataFrame, model: list[float], least_ratio: float = 12.0,
         some = F.size(F.col(f)) > 0
         df = df.withColumns({g: F.when(some, F.split(text, listed, -1)),
                              k: F.when(some, F.regexp_extract_all(text, F.lit(listed), F.lit(group))) if group else F.col(f)})
-        keep = F.transform(F.col(k), lambda v, least=least: F.length(v) >= least)
+        keep = F.transform(F.col(k), _at_least(least))
         df = df.withColumn(name(f"spans{i}"), _spans(F.col(f), F.col(g), i, keep)).drop(f, g, k)
     df = df.withColumn("base", F.array_sort(F.concat(*[F.col(name(f"spans{i}")) for i in range(len(BASE))])))
     df = df.drop(*[name(f"spans{i}") for i in range(len(BASE))])
