@@ -27,11 +27,11 @@ PAIRS = 1 << 18
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
+def fingerprint(text: str | None, words: int = 4, seed: int = 42, distinct: bool = False) -> int:
     """The 64-bit SimHash of a whole text; 0 without words.
 
     A-Z are lower-cased, words are runs without ASCII white space, shingles are `words` words joined by one space (all
-    words, if there are fewer), repeats included; a bit is 1 if it is set in over half the shingles' XXH64 values.
+    words, if there are fewer), repeats included unless `distinct`; a bit is 1 if it is set in over half the shingles' XXH64 values.
     """
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
@@ -43,11 +43,16 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
     stops = ends[min(words, len(parts)) - 1:] - 1
     digest = xxhash.xxh64_intdigest
     ones = np.zeros(BITS, np.int64)
+    seen: set[int] = set()
     for i in range(0, n, SLICE):
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[i:i + SLICE].tolist(), stops[i:i + SLICE].tolist())],
-                          dtype="<u8")
+        values = [digest(joined[a:b], seed) for a, b in zip(starts[i:i + SLICE].tolist(), stops[i:i + SLICE].tolist())]
+        if distinct:
+            values = list(set(values) - seen)
+            seen.update(values)
+        hashes = np.array(values, dtype="<u8")
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+    n = len(seen) if distinct else n
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
@@ -278,7 +283,7 @@ def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
 
 
 def _closest(blocks: DataFrame, radius: int, closest: int) -> DataFrame:
-    """Distinct candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there within `radius`."""
+    """Candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there within `radius`."""
     def pairs(fps, run, side, node):
         a, b = [], []
         for x, y in close_pairs(fps, run, side, radius):
@@ -295,35 +300,39 @@ def _closest(blocks: DataFrame, radius: int, closest: int) -> DataFrame:
         rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.r_[heads, len(low)]))
         return low[rank < closest], high[rank < closest]
 
-    return _in_runs(blocks, pairs, "a long, b long").where("a <> b").distinct()
+    return _in_runs(blocks, pairs, "a long, b long").where("a <> b")
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 15, tables: int = 64, key_bits: int = 16,
-                closest: int = 3, seed: int = 42, block: int = BLOCK) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 18, tables: int = 48, key_bits: int = 13,
+                closest: int = 3, seeds: tuple[int, ...] = (42, 43), block: int = BLOCK) -> DataFrame:
     """(doc_id, component_id): documents joined by links of a Jaccard similarity of `similarity` or more of their word shingles.
 
-    Two texts at 0.8 differ in about ten of 64 fingerprint bits, too many for a complete search, so candidates are found in
-    `tables` tables, each keyed by `key_bits` bits drawn at random, and compared bit-sliced there.  Every document offers its
-    `closest` neighbours of each group, which spans a group of copies without listing its pairs; every link is verified on
-    the whole shingle sets.  Texts with equal sets of words in order (fingerprints and sets alike) and texts without words are copies of
-    one another.  Rows with a null doc_id are left out.
+    Two texts at 0.8 differ in about ten of 64 fingerprint bits, too many for a complete search.  So each of `seeds` gives a
+    fingerprint of its own, and candidates are found in `tables` tables of each, keyed by `key_bits` bits drawn at random, and
+    compared bit-sliced there.  Every document offers its `closest` neighbours of each group, which spans a group of copies without
+    listing its pairs; every link is verified on the whole shingle sets.  Texts of the same words in order are copies of one
+    another, and so are texts without words.  Rows with a null doc_id are left out.
     """
     own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    names = [f"fp{i}" for i in range(len(seeds))]
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, bodies = [], []
-            for t in batch.column(1).to_pylist():
-                fps.append(fingerprint(t, words, seed))
-                bodies.append(xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)),
-                                              pa.array(np.array(bodies, np.uint64).view(np.int64))], names=["doc_id", "fp", "body"])
-
-    fp = written(own.mapInArrow(prints, "doc_id long, fp long, body long"), "fingerprints")
-    nodes = written(fp.groupBy("fp", "body").agg(F.min("doc_id").alias("node")), "nodes")
-    random = np.random.default_rng(seed)
-    masks = [sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)]
-    pairs = written(_closest(_blocks(nodes.select("fp", "node"), masks, block), radius, closest), "candidates")
+            texts = batch.column(1).to_pylist()
+            made = [[fingerprint(t, words, s, True) for t in texts] for s in seeds]
+            made.append([xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in texts])
+            yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(np.array(x, np.uint64).view(np.int64)) for x in made],
+                                             names=["doc_id", *names, "body"])
+
+    fp = written(own.mapInArrow(prints, "doc_id long, " + "".join(f"{n} long, " for n in names) + "body long"), "fingerprints")
+    nodes = written(fp.groupBy(*names, "body").agg(F.min("doc_id").alias("node")), "nodes")
+    pairs = None
+    for name, seed in zip(names, seeds, strict=True):
+        random = np.random.default_rng(seed)
+        masks = [sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)]
+        some = _closest(_blocks(nodes.select(F.col(name).alias("fp"), "node"), masks, block), radius, closest)
+        pairs = some if pairs is None else pairs.union(some)
+    pairs = written(pairs.distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     leads = own.join(wanted, "doc_id").select("doc_id", "text")
 
@@ -348,11 +357,12 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
 
     links = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(verify, "a long, b long")
     # rows that share an id tie their texts together
-    tied = fp.groupBy("doc_id").agg(F.count_distinct("fp", "body").alias("n")).where("n > 1").select("doc_id")
-    ties = fp.join(tied, "doc_id").join(nodes, ["fp", "body"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    same = [*names, "body"]
+    tied = fp.groupBy("doc_id").agg(F.count_distinct(*same).alias("n")).where("n > 1").select("doc_id")
+    ties = fp.join(tied, "doc_id").join(nodes, same).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = connected_components(links.union(ties))
-    named = nodes.join(found, "node", "left").select("fp", "body", F.coalesce("component", "node").alias("component_id"))
-    return fp.join(named, ["fp", "body"]).select("doc_id", "component_id")
+    named = nodes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
+    return fp.join(named, same).select("doc_id", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
