@@ -23,7 +23,7 @@ from rankflow.llm.quality import Ftrl
 # Signs that resemble letters (fixed values of the channel).
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a",
               "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
-SUBSTITUTE, DROP_SIGN, DROP_DIGIT, SHORTEN, SPLIT = 1.0, 2.5, 8.0, 0.5, 2.0
+SUBSTITUTE, DROP_SIGN, DROP_DIGIT, SHORTEN, SPLIT = 1.0, 2.5, 8.0, 0.5, 4.0
 # Letter codes: 0 is a word's edge, a-z are 1-26, all other letters share the rest.
 CODES = 64
 # Words remembered per task; a cache only.
@@ -148,7 +148,7 @@ class Restorer:
         if not core:
             return ()
         if _SEPARATED.fullmatch(core):
-            return tuple(self.decode(re.sub(r"[.\-_*~]", "", core), True).split())
+            return self.letters(re.sub(r"[.\-_*~]", "", core))
         out = []
         for piece in re.split(r"[.,;:?%&*#\"'`)\[\]{}<>=~^/\\\-_…«»“”„]+", core):
             letters = sum(map(str.isalpha, piece))
@@ -162,9 +162,13 @@ class Restorer:
                 out.extend(_LETTERS.findall(piece))
         return tuple(out)
 
+    def letters(self, joined: str) -> tuple[str, ...]:
+        """Readings of letters that stood one by one: as one word, and as the words it most likely was."""
+        return tuple(dict.fromkeys([self.decode(joined), *self.decode(joined, True).split()]))
+
     def spaced(self, text: str) -> list[str]:
         """Words spelled with a space after each letter."""
-        return [w for m in _ONE_BY_ONE.finditer(text) for w in self.decode(re.sub(r"\s", "", m.group()), True).split()]
+        return [w for m in _ONE_BY_ONE.finditer(text) for w in self.letters(re.sub(r"\s", "", m.group()))]
 
 
 def _grams(word: str, bits: int) -> list[int]:
@@ -279,7 +283,7 @@ def restore(docs: DataFrame, model: dict, name: str = "restored") -> DataFrame:
 
         def one(text: str | None) -> str:
             low = (text or "").lower()
-            joined = _ONE_BY_ONE.sub(lambda m: "".join(restorer.decode(re.sub(r"\s", "", m.group()), True)), low)
+            joined = _ONE_BY_ONE.sub(lambda m: restorer.letters(re.sub(r"\s", "", m.group()))[0], low)
             return " ".join(w for p in joined.split() for w in restorer.words(p))
 
         return lambda texts: [pa.array([one(t.as_py()) for t in texts], pa.string())]
