@@ -31,11 +31,11 @@ def _classes(text: Column) -> Column:
     return F.transform(F.split(text, ""), lambda c: F.coalesce(F.get(table, F.ascii(c)), F.lit(0)))
 
 
-def labelled_samples(docs: DataFrame, rows: int = 2000) -> DataFrame:
+def labelled_samples(docs: DataFrame, rows: int = 2000, digests: int = 4) -> DataFrame:
     """(text, label) to train on, from at most `rows` documents chosen by a hash of their id.
 
     Label 0 are the documents' words of 4 to 15 letters as ordinary identifiers use them: lower and upper case, capitalised and
-    joined by a sign or by case.  Label 1 are random strings: digests of the same words in base 64 and in letters and
+    joined by a sign or by case.  Label 1 are random strings: `digests` digests of each word in base 64 and in letters and
     digits.  Hexadecimal digits are the fixed patterns' business.
     """
     chosen = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -47,9 +47,10 @@ def labelled_samples(docs: DataFrame, rows: int = 2000) -> DataFrame:
     name = (F.when(n == 0, F.concat(low, F.lit("_"), low)).when(n == 1, F.upper("w"))
             .when(n == 2, F.concat(F.upper("w"), F.lit("_"), F.upper("w"))).when(n == 3, F.concat(low, F.initcap(low)))
             .when(n == 4, F.concat(low, F.lit("/"), low, F.lit("-"), low)).otherwise(low))
-    digest = F.base64(F.unhex(F.sha2(F.concat("w", other), 256)))
+    digest = F.base64(F.unhex(F.sha2(F.concat("w", other, F.col("k").cast("string")), 256)))
+    drawn = word.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(digests))))
     return word.select(name.alias("text"), F.lit(0).alias("label")).union(
-        word.select(F.when(n < 3, digest).otherwise(F.regexp_replace(digest, "[+/=]", "")).alias("text"), F.lit(1).alias("label")))
+        drawn.select(F.when(n < 3, digest).otherwise(F.regexp_replace(digest, "[+/=]", "")).alias("text"), F.lit(1).alias("label")))
 
 
 def train_markov(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
