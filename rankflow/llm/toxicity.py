@@ -29,7 +29,6 @@ CODES = 64
 # Words remembered per task; a cache only.
 CACHE = 200_000
 _ENDS = ".,;:?%&*#\"'`()[]{}<>=~^/\\-_…«»“”„"
-_ONE_BY_ONE = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SEPARATED = re.compile(r"(?:[^\W_]|[@$!|+(€£])(?:[.\-_*~](?:[^\W_]|[@$!|+(€£]))+")
 _RUN = re.compile(r"(.)\1\1")
@@ -46,22 +45,30 @@ def letter_code(c: str) -> int:
 _TABLE = np.array([letter_code(chr(i).lower()) if len(chr(i).lower()) == 1 else 27 for i in range(0x250)], np.int64)
 
 
+def _slices(texts: list[str | None], size: int = 1 << 20) -> Iterator[str]:
+    """All texts, each after two blanks, in strings of about `size` signs; neighbours cut from one text share two signs."""
+    held, n = [], 0
+    for text in texts:
+        for at in range(0, len(text or ""), size):
+            held.append(("  " if at == 0 else text[at - 2:at]) + text[at:at + size])
+            n += len(held[-1])
+            if n >= size:
+                yield "".join(held)
+                held, n = [], 0
+    if held:
+        yield "".join(held)
+
+
 def letter_counts(docs: DataFrame) -> np.ndarray:
     """Trigram counts of letter codes over all whole texts; each task sends its non-zero sums, which are added up before they
     reach the driver.  The result has 64^3 entries whatever the input."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CODES ** 3, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                for at in range(0, len(text), 1 << 18):
-                    # neighbouring slices share two signs, so no trigram is lost
-                    signs = np.frombuffer(text[max(at - 2, 0):at + (1 << 18)].encode("utf-32-le", "surrogatepass"), np.uint32)
-                    c = np.where(signs < len(_TABLE), _TABLE[np.minimum(signs, len(_TABLE) - 1)], 27 + signs % 37)
-                    if at == 0:
-                        c = np.r_[0, 0, c]
-                    total += np.bincount(c[:-2] * 4096 + c[1:-1] * 64 + c[2:], minlength=CODES ** 3)
+            for some in _slices(batch.column(0).to_pylist()):
+                signs = np.frombuffer(some.encode("utf-32-le", "surrogatepass"), np.uint32)
+                c = np.where(signs < len(_TABLE), _TABLE[np.minimum(signs, len(_TABLE) - 1)], 27 + signs % 37)
+                total += np.bincount(c[:-2] * 4096 + c[1:-1] * 64 + c[2:], minlength=CODES ** 3)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
 
@@ -166,25 +173,49 @@ class Restorer:
         """Readings of letters that stood one by one: as one word, and as the words it most likely was."""
         return tuple(dict.fromkeys([self.decode(joined), *self.decode(joined, True).split()]))
 
-    def spaced(self, text: str) -> list[str]:
-        """Words spelled with a space after each letter."""
-        return [w for m in _ONE_BY_ONE.finditer(text) for w in self.letters(re.sub(r"\s", "", m.group()))]
-
-
-def _grams(word: str, bits: int) -> list[int]:
-    """Hashed features of a word: itself and its 4- and 5-byte pieces, edges included."""
-    edged = f"^{word}$".encode("utf-8", "surrogatepass")
-    n, crc, shift = len(edged), zlib.crc32, 32 - bits
-    return [crc(p) >> shift for p in {edged, *[edged[i:i + 4] for i in range(n - 3)], *[edged[i:i + 5] for i in range(n - 4)]}]
-
-
-def _distinct_parts(text: str | None) -> tuple[str, set[str]]:
-    low = (text or "").lower()
-    return low, set(low.split())
+    def spaced(self, parts: list[str]) -> list[str]:
+        """Words spelled with white space after each letter: three or more parts of one sign in a row."""
+        return [w for run in _single_runs(parts) for w in self.letters("".join(parts[run[0]:run[1]]))]
+
+
+def _single_runs(parts: list[str]) -> list[tuple[int, int]]:
+    at = [i for i, p in enumerate(parts) if len(p) == 1]
+    runs, i = [], 0
+    while i < len(at):
+        j = i
+        while j + 1 < len(at) and at[j + 1] == at[j] + 1:
+            j += 1
+        if j - i >= 2:
+            runs.append((at[i], at[j] + 1))
+        i = j + 1
+    return runs
+
+
+def word_grams(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of many words and the word each belongs to: the word itself and its 4- and 5-byte pieces, edges
+    included."""
+    raw = [b"^%s$" % w.encode("utf-8", "surrogatepass") for w in words]
+    sizes = np.array([len(r) for r in raw], np.int64)
+    x = np.frombuffer(b"".join(raw) + bytes(4), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(raw)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))  # bytes from here to the word's end
+    n = len(owner)
+    four = x[:n] | x[1:n + 1] << np.uint64(8) | x[2:n + 2] << np.uint64(16) | x[3:n + 3] << np.uint64(24)
+    five = four | x[4:n + 4] << np.uint64(32)
+    shift = np.uint64(64 - bits)
+    out, who = [], []
+    for size, value in ((4, four), (5, five)):
+        there = left >= size
+        mixed = (value[there] + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)
+        out.append((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> shift)
+        who.append(owner[there])
+    out.append(np.array([zlib.crc32(r) >> (32 - bits) for r in raw], np.uint64))
+    who.append(np.arange(len(raw)))
+    return np.concatenate(out).astype(np.int64), np.concatenate(who)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 3, remainder: int = 1, bits: int = 20,
-                   sample_rows: int = 6_000, updates: int = 24_000, seed: int = 42) -> dict:
+                   sample_rows: int = 6_000, updates: int = 12_000, seed: int = 42) -> dict:
     """Channel and word model from labelled rows whose crc32(doc_id) modulo `modulus` is not `remainder`.
 
     Letter statistics cover all texts.  Features that speak for label 1 are scaled by their log-ratio (a
@@ -200,9 +231,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod
         for batch in batches:
             made = []
             for text in batch.column(1).to_pylist():
-                low, parts = _distinct_parts(text)
-                words = {w for p in parts for w in restorer.words(p)} | set(restorer.spaced(low))
-                made.append(np.array([g for w in words for g in _grams(w, bits)], np.int32).tobytes())
+                parts = (text or "").lower().split()
+                words = {w for p in set(parts) for w in restorer.words(p)} | set(restorer.spaced(parts))
+                made.append(word_grams(sorted(words), bits)[0].astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())],
                                              names=["id", "label", "at"])
 
@@ -231,8 +262,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod
     weights = model.weights(slice(None))
     bias = float(weights[-1])
     weights = weights[:-1] * scale
-    return {"bits": bits, "costs": costs, "bias": bias,
-            "weights": {int(i): float(weights[i]) for i in np.flatnonzero(weights)}}
+    used = np.flatnonzero(weights)
+    return {"bits": bits, "costs": costs, "bias": bias, "at": used, "weights": weights[used]}
 
 
 def score_toxicity(docs: DataFrame, model: dict, score: str = "score") -> DataFrame:
@@ -244,32 +275,48 @@ def score_toxicity(docs: DataFrame, model: dict, score: str = "score") -> DataFr
 
     def make():
         m = shared.value
-        restorer, weights, bits, bias = Restorer(m["costs"]), m["weights"], m["bits"], m["bias"]
+        restorer, bits, bias = Restorer(m["costs"]), m["bits"], m["bias"]
+        weights = np.zeros(1 << bits)
+        weights[m["at"]] = m["weights"]
+        # words and weights of the parts that weigh anything, which few do
         plain: dict[str, tuple] = {}
-        known: dict[str, float] = {}
-
-        def weight(word: str) -> float:
-            if word not in known:
-                if len(known) >= CACHE:
-                    known.clear()
-                known[word] = math.fsum(weights[g] for g in _grams(word, bits) if g in weights)
-            return known[word]
-
-        def reading(part: str) -> tuple:
-            """(word, weight) of the part's words that weigh anything; most parts have none."""
-            if len(plain) >= CACHE:
+
+        def learn(parts: set[str], extra: list[str]) -> dict[str, float]:
+            """Fills `plain` for new parts; the weights of all words in question."""
+            if len(plain) > CACHE:
                 plain.clear()
-            found = plain[part] = tuple((w, x) for w in restorer.words(part) if (x := weight(w)))
+                parts = parts_of_batch
+            read = {p: restorer.words(p) for p in parts if p not in plain}
+            words = list({w for ws in read.values() for w in ws}.union(extra))
+            found = {}
+            if words:
+                at, who = word_grams(words, bits)
+                found = {w: x for w, x in zip(words, np.bincount(who, weights[at], len(words)).tolist()) if x}
+            for p, ws in read.items():
+                plain[p] = tuple((w, found[w]) for w in ws if w in found)
             return found
 
-        def one(text: str | None) -> float:
-            low, parts = _distinct_parts(text)
-            words = {w: x for p in parts for w, x in (plain[p] if p in plain else reading(p))}
-            words.update((w, weight(w)) for w in restorer.spaced(low))
-            total = bias + math.fsum(words.values())
-            return 1 / (1 + math.exp(-min(max(total, -35), 35)))
+        def score_some(texts: list[str | None]) -> list[float]:
+            nonlocal parts_of_batch
+            split = [(t or "").lower().split() for t in texts]
+            distinct = [set(ps) for ps in split]
+            parts_of_batch = set().union(*distinct)
+            spaced = [restorer.spaced(ps) for ps in split]
+            found = learn(parts_of_batch.difference(plain), [w for ws in spaced for w in ws])
+            out = []
+            for parts, extra in zip(distinct, spaced, strict=True):
+                words = dict(x for p in parts if (xs := plain[p]) for x in xs)
+                words.update((w, found[w]) for w in extra if w in found)
+                total = bias + math.fsum(words.values())
+                out.append(1 / (1 + math.exp(-min(max(total, -35), 35))))
+            return out
+
+        parts_of_batch: set[str] = set()
+
+        def fn(texts: pa.Array):
+            return [pa.array([x for at in range(0, len(texts), 256) for x in score_some(texts[at:at + 256].to_pylist())], pa.float64())]
 
-        return lambda texts: [pa.array([one(t.as_py()) for t in texts], pa.float64())]
+        return fn
 
     return appended(docs, ["text"], [(score, "double")], make)
 
@@ -282,9 +329,13 @@ def restore(docs: DataFrame, model: dict, name: str = "restored") -> DataFrame:
         restorer = Restorer(shared.value)
 
         def one(text: str | None) -> str:
-            low = (text or "").lower()
-            joined = _ONE_BY_ONE.sub(lambda m: restorer.letters(re.sub(r"\s", "", m.group()))[0], low)
-            return " ".join(w for p in joined.split() for w in restorer.words(p))
+            parts = (text or "").lower().split()
+            out, at = [], 0
+            for a, b in [*_single_runs(parts), (len(parts), len(parts))]:
+                out += [w for p in parts[at:a] for w in restorer.words(p)]
+                out += restorer.letters("".join(parts[a:b]))[:1] if b > a else []
+                at = b
+            return " ".join(out)
 
         return lambda texts: [pa.array([one(t.as_py()) for t in texts], pa.string())]
 
