@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,88 +11,23 @@ def md5_number(col: Column) -> Column:
     return F.conv(F.substring(F.md5(col.cast("string")), 1, 15), 16, 10).cast("bigint")
 
 
-# Multipliers of the public 64-bit FarmHash fingerprint.
-_K0, _K1, _K2 = 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x9AE16A3B2F90404F
-_ALL = (1 << 64) - 1
-
-
-def _turn(x: int, bits: int) -> int:
-    return ((x >> bits) | (x << (64 - bits))) & _ALL
-
-
-def _pair(u: int, v: int, mul: int) -> int:
-    a = ((u ^ v) * mul) & _ALL
-    b = ((v ^ a ^ (a >> 47)) * mul) & _ALL
-    return ((b ^ (b >> 47)) * mul) & _ALL
-
-
-def fingerprint(text: bytes) -> int:
-    """FarmHash fingerprint of a key of up to 64 bytes."""
-    n = len(text)
-
-    def word(at: int, size: int = 8) -> int:
-        return int.from_bytes(text[at:at + size], "little")
-
-    mul = (_K2 + 2 * n) & _ALL
-    if n == 0:
-        return _K2
-    if n < 4:
-        y, z = text[0] + (text[n >> 1] << 8), n + (text[-1] << 2)
-        x = ((y * _K2) ^ (z * _K0)) & _ALL
-        return ((x ^ (x >> 47)) * _K2) & _ALL
-    if n < 8:
-        return _pair(n + (word(0, 4) << 3), word(n - 4, 4), mul)
-    if n <= 16:
-        a, b = (word(0) + _K2) & _ALL, word(n - 8)
-        return _pair((_turn(b, 37) * mul + a) & _ALL, ((_turn(a, 25) + b) * mul) & _ALL, mul)
-    if n <= 32:
-        a, b, c, d = word(0) * _K1 & _ALL, word(8), word(n - 8) * mul & _ALL, word(n - 16) * _K2 & _ALL
-        return _pair((_turn((a + b) & _ALL, 43) + _turn(c, 30) + d) & _ALL, (a + _turn((b + _K2) & _ALL, 18) + c) & _ALL, mul)
-    if n <= 64:
-        a, b, c, d = word(0) * _K2 & _ALL, word(8), word(n - 8) * mul & _ALL, word(n - 16) * _K2 & _ALL
-        y = (_turn((a + b) & _ALL, 43) + _turn(c, 30) + d) & _ALL
-        z = _pair(y, (a + _turn((b + _K2) & _ALL, 18) + c) & _ALL, mul)
-        e, f = word(16) * mul & _ALL, word(24)
-        g, h = (y + word(n - 32)) * mul & _ALL, (z + word(n - 24)) * mul & _ALL
-        return _pair((_turn((e + f) & _ALL, 43) + _turn(g, 30) + h) & _ALL, (e + _turn((f + a) & _ALL, 18) + g) & _ALL, mul)
-    raise ValueError("keys longer than 64 bytes have no fingerprint here; use another hash method")
-
-
-def _fingerprint_bucket(text: Column, buckets: int) -> Column:
-    """Each distinct value of an Arrow batch is hashed once."""
-
-    @F.arrow_udf("bigint")
-    def bucket(values: pa.Array) -> pa.Array:
-        coded = values.dictionary_encode()
-        ids = [fingerprint(v.encode()) % buckets for v in coded.dictionary.to_pylist()]
-        return pa.array(np.array(ids or [0], dtype=np.int64)).take(coded.indices)
-
-    return bucket(text)
-
-
 def hash_bucket(col: Column, buckets: int, method: str = "xxhash64") -> Column:
     """Bucket 0..buckets-1 of a string or integer; integers hash by their decimal text.  Null stays null.
 
-    `xxhash64` is the fast one, `md5` the one other engines can repeat, and
-    `fingerprint` the one whose buckets match embedding tables that were trained
-    with FarmHash buckets.
+    `xxhash64` is the fast one, `md5` the one other engines can repeat.
     """
     text = col.cast("string")
     if method == "xxhash64":
         bucket = F.pmod(F.xxhash64(text), F.lit(buckets).cast("bigint"))
     elif method == "md5":
         bucket = F.pmod(md5_number(text), F.lit(buckets).cast("bigint"))
-    elif method == "fingerprint":
-        return _fingerprint_bucket(text, buckets)
     else:
         raise ValueError(f"unknown hash method {method!r}")
     return F.when(text.isNotNull(), bucket)
 
 
 def hash_bucket_list(col: Column, buckets: int, method: str = "xxhash64") -> Column:
-    """Buckets of a list's items, by one of the methods that run inside Spark's expressions."""
-    if method == "fingerprint":
-        raise ValueError("lists take the xxhash64 or md5 method")
+    """Buckets of a list's items."""
     return F.transform(col, lambda x: hash_bucket(x, buckets, method))
 
 
@@ -109,5 +42,4 @@ def identity_bucket(col: Column, buckets: int, default: int | None = None) -> Co
 
 def keep_share(key: Column, frac: float, seed: int) -> Column:
     """True for a fixed `frac` of keys, the same whatever the partitioning."""
-    bucket = F.pmod(md5_number(F.concat(F.lit(f"{seed}:"), key.cast("string"))), F.lit(10_000).cast("bigint"))
-    return bucket < F.lit(frac * 10_000)
+    return md5_number(F.concat(F.lit(f"{seed}:"), key.cast("string"))) < F.lit(round(frac * (1 << 60)))

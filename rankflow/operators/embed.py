@@ -24,10 +24,10 @@ def of_feature(emb: DataFrame, feature: str) -> DataFrame:
 
 
 def lookup(df: DataFrame, emb: DataFrame, feature: str, column: str, out: str, bound: int | None, key: str,
-           dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Add the vector of the id in `column`; an id without one gets the zero vector."""
+           dim: int = EMBEDDING_DIM, counted: DataFrame | None = None) -> DataFrame:
+    """Add the vector of the id in `column`; an id without one gets the zero vector.  `counted` as in `lookup_join`."""
     part = of_feature(emb, feature).select(F.col("id").alias(column), F.col("vec").alias("__vec"))
-    found = lookup_join(df, part, [column], bound, [key])
+    found = lookup_join(df, part, [column], bound, [key], counted=None if counted is None else counted.select(column))
     return found.select(*[F.col(c) for c in df.columns], F.coalesce("__vec", zero_vector(dim)).alias(out))
 
 
@@ -106,7 +106,8 @@ def safe_pool(ids: Column, emb: DataFrame, feature: str, bound: int, combiner: s
     """Pool the vectors of a list of ids without a shuffle; an empty list gives the zero vector.
 
     Negative ids and weights that are not positive are dropped, and id 0 too with
-    `mask_zero`, which is right for lists that were padded.
+    `mask_zero`, which is right for lists that were padded.  Ids without a weight and
+    weights without an id count for nothing.
     """
     if combiner not in COMBINERS:
         raise ValueError(f"unknown combiner {combiner!r}")
@@ -116,9 +117,19 @@ def safe_pool(ids: Column, emb: DataFrame, feature: str, bound: int, combiner: s
     @F.arrow_udf("array<double>")
     def pooled(lists: pa.Array, shares: pa.Array) -> pa.Array:
         flat, rows = list_rows(lists)
-        w, _ = list_rows(shares)
-        keep = (flat >= lowest) & (w > 0)
-        flat, rows, w = flat[keep].astype(np.int64), rows[keep], w[keep]
+        given, owners = list_rows(shares)
+        w = np.zeros(len(flat))
+        if np.array_equal(rows, owners):
+            w = given.astype(np.float64)
+        else:
+            # the n-th weight of a row belongs to its n-th id
+            weight_of = dict(zip(zip(owners.tolist(), (np.arange(len(owners)) - np.searchsorted(owners, owners)).tolist()), given))
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            w = np.array([weight_of.get(at, 0.0) for at in zip(rows.tolist(), place.tolist())], np.float64)
+        if flat.dtype.kind == "f":  # a null among the ids
+            flat = np.nan_to_num(flat, nan=-1).astype(np.int64)
+        keep = (flat >= lowest) & (np.nan_to_num(w) > 0)
+        flat, rows, w = flat[keep], rows[keep], w[keep]
         vecs, found = matrix.rows(flat)
         return as_lists(_combine(vecs, w[found], rows[found], len(lists), combiner))
 
@@ -149,6 +160,28 @@ def pool(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, combin
     return sums.select(F.col("__row").alias(key), F.transform(collected_sums(dim), lambda x: x / divisor).alias("vec"))
 
 
+def with_safe_pool(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, out: str, bound: int | None, combiner: str = "mean",
+                   weights: str | None = None, mask_zero: bool = False, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Add the pooled vector of a list of ids, the zero vector for none, for tables of any size.
+
+    Tables within the broadcast limit are held per executor, larger ones joined; the result is the same.
+    """
+    if bound is not None and bound <= BROADCAST_ROWS:
+        vec = safe_pool(F.col(ids), emb, feature, bound, combiner, F.col(weights) if weights else None, mask_zero)
+        return df.withColumn(out, vec)
+    pooled = pool(df, ids, emb, feature, key, combiner, weights, bound, mask_zero, dim).select(key, F.col("vec").alias(out))
+    return df.drop(out).join(pooled, key, "left").withColumn(out, F.coalesce(out, zero_vector(dim)))
+
+
+def with_sequence(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, out: str, bound: int | None,
+                  dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Add one vector per list position, for tables of any size; a missing list has none."""
+    if bound is not None and bound <= BROADCAST_ROWS:
+        return df.withColumn(out, lookup_sequence(F.col(ids), emb, feature, bound))
+    lists = lookup_sequence_by_join(df, ids, emb, feature, key, bound, dim).select(key, F.col("vecs").alias(out))
+    return df.drop(out).join(lists, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<array<double>>")))
+
+
 def lookup_sequence(ids: Column, emb: DataFrame, feature: str, bound: int) -> Column:
     """One vector per list position, in order; ids without a vector give the zero vector."""
     matrix = load_matrices(emb, {feature: bound})[feature]

@@ -1,28 +1,18 @@
-"""Fitting: per-task baselines, the two-tower model, and gradient steps for the mixture."""
+"""Fitting: per-task baselines and the two-tower model."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import FMClassifier, LogisticRegression
 from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from rankflow.operators.embed import as_lists
-from rankflow.operators.metrics import non_member_weight
-from rankflow.operators.optimizer import adam_step, lazy_adam_step
-from rankflow.operators.score import (BATCH_ROWS, CHUNK, INPUTS, TASK_NAMES, BatchReader, Shape, chunks, forward,
-                                      join_large, load_parameters)
-from rankflow.registry import Registry
+
 from rankflow.session import written
 
 TASK_LABELS = {"ctr": "ctr_label", "fvtr": "finish_view_label", "unlock": "unlock_label", "cvr": "cvr_label"}
-GRADIENT_SCHEMA = "feature string, id long, g array<double>"
 
 
 def fit_tasks(df: DataFrame, features: Sequence[str], labels: Mapping[str, str] = TASK_LABELS, hash_bits: int = 18,
@@ -65,182 +55,3 @@ def predict_two_tower(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 # --- gradient of the mixture -------------------------------------------------------
-
-def _through(p, grads, name: str, x: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Add a linear layer's gradients and return the gradient of its input."""
-    flat = x.reshape(-1, x.shape[-1])
-    grads[f"{name}/w"] += flat.T @ d.reshape(-1, d.shape[-1])
-    if f"{name}/b" in grads:
-        grads[f"{name}/b"] += d.reshape(-1, d.shape[-1]).sum(axis=0)
-    return d @ p[f"{name}/w"].T
-
-
-def task_slopes(c: Mapping[str, np.ndarray], labels: Mapping[str, np.ndarray], weights: Mapping[str, np.ndarray],
-                eps: float = 1e-7) -> tuple[dict[str, np.ndarray], float]:
-    """Slope of the summed losses for every head and the position term, and the loss itself."""
-    debiased = c["ctr"] * c["pos"]
-    loss, d = 0.0, {t: np.zeros_like(debiased) for t in (*TASK_NAMES, "pos")}
-    d_first = np.zeros_like(debiased)
-    for t in TASK_NAMES:
-        p = debiased if t == "ctr" else debiased * c[t]
-        y, w = labels[t], weights[t]
-        loss += float(-(w * (y * np.log(p + eps) + (1 - y) * np.log(1 - p + eps))).sum())
-        slope = w * ((1 - y) / (1 - p + eps) - y / (p + eps))
-        if t == "ctr":
-            d_first += slope
-        else:
-            d_first += slope * c[t]
-            d[t] += slope * debiased
-    d["ctr"], d["pos"] = d_first * c["pos"], d_first * c["ctr"]
-    return d, loss
-
-
-def backward(p, shape: Shape, x, c, d, grads) -> dict[str, np.ndarray]:
-    """Add the dense gradients of a batch to `grads`; return those of the input vectors.
-
-    The gates do not pass a gradient to their inputs, and attention learns from the
-    shared and click inputs only.
-    """
-    n, width = len(x["fields"]), shape.fields * shape.dim
-    d_input = {i: np.zeros_like(c[f"input/{i}"]) for i in INPUTS}
-    last = len(shape.expert_units)
-    d_expert = {e: np.zeros((n, shape.expert_out)) for e in shape.experts}
-    for t in TASK_NAMES:
-        d_logit = (d[t] * c[t] * (1 - c[t]))[:, None]
-        d_mixed = _through(p, grads, f"head/{t}", c[f"mixed/{t}"], d_logit)
-        for i, e in enumerate([f"shared{i}" for i in range(shape.shared_experts)] + [t]):
-            d_expert[e] += c[f"mix/{t}"][:, i: i + 1] * d_mixed
-        d_mix = np.einsum("bo,beo->be", d_mixed, c[f"stack/{t}"])
-        d_mix = c[f"mix/{t}"] * (d_mix - (d_mix * c[f"mix/{t}"]).sum(axis=1, keepdims=True))
-        d_input[t] += _through(p, grads, f"mix/{t}", c[f"input/{t}"], d_mix)
-    for e in shape.experts:
-        source = "share" if e.startswith("shared") else e
-        h = d_expert[e]
-        for layer in range(last, -1, -1):
-            below = c[f"expert/{e}/{layer - 1}"] if layer else c[f"input/{source}"]
-            h = _through(p, grads, f"expert/{e}/{layer}", below, h * (c[f"expert/{e}/{layer}"] > 0))
-        d_input[source] += h
-    d_fields = np.zeros_like(x["fields"])
-    for i in INPUTS:
-        gated = d_input[i][:, :width].reshape(x["fields"].shape)
-        gate = c[f"gate_out/{i}"]
-        d_fields += gated * gate[:, :, None]
-        d_gate = (gated * x["fields"]).sum(axis=2) * gate * (1 - gate)
-        d_hidden = _through(p, grads, f"gate_out/{i}", c[f"gate/{i}"], d_gate) * (c[f"gate/{i}"] > 0)
-        _through(p, grads, f"gate/{i}", x["gates"], d_hidden)
-    d_att = d_input["share"][:, width:] + d_input["ctr"][:, width:]
-    a = c["att/weights"]
-    d_a = np.einsum("bd,bld->bl", d_att, c["att/v"])
-    d_s = a * (d_a - (d_a * a).sum(axis=1, keepdims=True)) / np.sqrt(shape.attention)
-    d_query = _through(p, grads, "att/q", c["query"], np.einsum("bl,bld->bd", d_s, c["att/k"]))
-    d_history = _through(p, grads, "att/k", x["history"], d_s[:, :, None] * c["att/q"][:, None, :])
-    d_history += _through(p, grads, "att/v", x["history"], a[:, :, None] * d_att[:, None, :])
-    h = _through(p, grads, "pos_out", c[f"pos/{len(shape.position_units) - 1}"], (d["pos"] * c["pos"] * (1 - c["pos"]))[:, None])
-    for layer in range(len(shape.position_units) - 1, -1, -1):
-        below = c[f"pos/{layer - 1}"] if layer else x["position"]
-        h = _through(p, grads, f"pos/{layer}", below, h * (c[f"pos/{layer}"] > 0))
-    return {"fields": d_fields, "query": d_query.reshape(n, shape.query_repeats, -1).sum(axis=1),
-            "history": d_history, "position": h}
-
-
-class _Touched:
-    """Gradient sums per embedding row of one task."""
-
-    def __init__(self, dim: int):
-        self.dim, self.parts = dim, {}
-
-    def add(self, feature: str, ids: np.ndarray, g: np.ndarray):
-        distinct, at = np.unique(ids, return_inverse=True)
-        sums = np.zeros((len(distinct), self.dim))
-        np.add.at(sums, at.ravel(), g)
-        self.parts.setdefault(feature, []).append((distinct, sums))
-
-    def batches(self) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-        for feature, parts in self.parts.items():
-            yield feature, np.concatenate([i for i, _ in parts]), np.concatenate([g for _, g in parts])
-        self.parts = {}
-
-
-def _rows(feature: str, ids: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([feature] * len(ids), pa.string()), pa.array(ids.astype(np.int64)), as_lists(g)],
-                                      names=["feature", "id", "g"])
-
-
-def gradients(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, params: DataFrame, key: str) -> DataFrame:
-    """Gradients of the mean losses over `df` as `feature, id, g` rows; `loss` is the row named so.
-
-    Each task sends its dense sums once, in chunks, and its embedding sums per Arrow
-    batch; everything is summed by the update's aggregation.  There is at most one task
-    per core, so the dense sums do not grow with the data.
-    """
-    counts = df.agg(F.count(F.lit(1)).alias("n"), F.sum(non_member_weight(F.col("vip_label"))).alias("w")).first()
-    rows, weighted = max(counts["n"], 1), max(counts["w"] or 0.0, 1.0)
-    weights = df.sparkSession.sparkContext.broadcast(load_parameters(params, shape))
-    source = df.withColumns({f"__id_{n}": F.col(n).cast("bigint") for n in shape.scalars})
-    source, joined = join_large(source, shape, registry, emb, key)
-    reader = BatchReader(shape, registry, emb, joined)
-    names = dict.fromkeys([*shape.scalars, *shape.pooled, *shape.history, *shape.query, *shape.gates, shape.position,
-                           *TASK_LABELS.values(), "vip_label", *[f"__id_{n}" for n in shape.scalars]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = weights.value
-        dense = {name: np.zeros(v.shape) for name, v in p.items()}
-        loss, used = 0.0, False
-        for batch in batches:
-            touched = _Touched(shape.dim)
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(start, BATCH_ROWS)
-                number = lambda c: part.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
-                labels = {t: number(c) for t, c in TASK_LABELS.items()}
-                shares = {t: np.full(part.num_rows, 1 / rows) for t in TASK_NAMES}
-                shares["cvr"] = (number("vip_label") <= 0) / weighted
-                x = reader.inputs(part)
-                c = forward(p, shape, x)
-                d, part_loss = task_slopes(c, labels, shares)
-                dx = backward(p, shape, x, c, d, dense)
-                loss, used = loss + part_loss, True
-                for i, n in enumerate(shape.scalars):
-                    touched.add(n, number(f"__id_{n}").astype(np.int64), dx["fields"][:, i])
-                for i, n in enumerate(shape.query):
-                    touched.add(n, number(f"__id_{n}").astype(np.int64), dx["query"][:, i * shape.dim:(i + 1) * shape.dim])
-                for i, n in enumerate(shape.pooled):
-                    ids = reader.ids(part, n)
-                    real = ids > 0
-                    g = dx["fields"][:, len(shape.scalars) + i] / np.maximum(real.sum(axis=1), 1)[:, None]
-                    touched.add(n, ids[real], np.repeat(g, real.sum(axis=1), axis=0))
-                for i, n in enumerate(shape.history):
-                    ids = reader.ids(part, n)
-                    g = dx["history"][:, :, i * shape.dim:(i + 1) * shape.dim]
-                    touched.add(n, ids[x["mask"]], g[x["mask"]])
-                touched.add(shape.position, number(shape.position).astype(np.int64), dx["position"])
-            for feature, ids, g in touched.batches():
-                yield _rows(feature, ids, g)
-        if used:
-            yield _rows("loss", np.array([0]), np.array([[loss]]))
-            for name, g in dense.items():
-                parts = chunks(g)
-                yield _rows(name, np.arange(len(parts)), parts)
-
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return source.select(*names).coalesce(cores).mapInArrow(run, GRADIENT_SCHEMA)
-
-
-def fit_mixture(steps: Sequence[DataFrame], shape: Shape, registry: Registry, emb_state: DataFrame, dense_state: DataFrame,
-                key: str, lr: float = 0.1, lazy: bool = False, first_step: int = 1) -> tuple[DataFrame, DataFrame, list[float]]:
-    """One synchronous Adam update per frame of `steps` (an hour or a day of encoded samples, say).
-
-    Returns the embedding state, the dense state and the loss before each update.  States are
-    written after every step, so a lost executor repeats one step at most.
-    """
-    update = lazy_adam_step if lazy else adam_step
-    dense_names = list(shape.parameters())
-    losses = []
-    for i, df in enumerate(steps):
-        grads = written(gradients(df, shape, registry, emb_state, dense_state, key), "gradients")
-        loss = grads.where("feature = 'loss'").agg(F.sum(F.get("g", F.lit(0)))).first()[0]
-        losses.append(float(loss or 0.0))
-        is_dense = F.col("feature").isin(dense_names)
-        of_rows = grads.where(~is_dense & (F.col("feature") != "loss"))
-        emb_state = written(update(emb_state, of_rows, first_step + i, lr, dim=shape.dim), "embedding_state")
-        dense_state = written(adam_step(dense_state, grads.where(is_dense), first_step + i, lr, dim=CHUNK), "dense_state")
-    return emb_state, dense_state, losses

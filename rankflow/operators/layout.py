@@ -11,8 +11,9 @@ from rankflow.session import written
 
 # A side is broadcast only when the caller can bound its rows by this.
 BROADCAST_ROWS = 200_000
-# A key is hot from this share of the rows on, so there are at most 1 / share of them.
-HOT_SHARE = 0.001
+# A key is hot from this part of an even partition on, and no more than so many keys are.
+HOT_PART = 0.1
+HOT_KEYS = 20_000
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -59,7 +60,15 @@ def sums_above(df: DataFrame, order: str, sums: Sequence[str], partitions: int |
             .drop("__part", *[f"__o_{c}" for c in sums]))
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_share(df: DataFrame) -> float:
+    """The share of the rows from which on a key is hot: a part of what one shuffle partition should hold.
+
+    There are at most 1 / share such keys, which bounds what is broadcast.
+    """
+    return max(HOT_PART / _partitions(df, None), 1 / HOT_KEYS)
+
+
+def hot_keys(facts: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """Keys that hold at least `share` of the rows: never more than 1 / share rows."""
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(
         " AND ".join(f"`{k}` IS NOT NULL" for k in keys))
@@ -68,7 +77,7 @@ def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
 
 
 def lookup_join(facts: DataFrame, state: DataFrame, keys: Sequence[str], bound: int | None,
-                spread_by: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+                spread_by: Sequence[str], share: float | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Left join of facts to a state table with at most one row per key.
 
     `bound` is what the caller can prove about the rows of `state` (a vocabulary's
@@ -76,12 +85,15 @@ def lookup_join(facts: DataFrame, state: DataFrame, keys: Sequence[str], bound:
     state rows of hot keys, which are few by definition, are broadcast, and the
     facts that hold them are spread over the shuffle by `spread_by`, so that no
     task receives a hot key's rows together.
+
+    Hot keys are counted in `counted`, a frame with the same keys; give the frame before
+    earlier joins, so that a chain of joins does not repeat them in every count.
     """
     keys = list(keys)
     if bound is not None and bound <= BROADCAST_ROWS:
         return facts.join(F.broadcast(state), keys, "left")
     values = [c for c in state.columns if c not in keys]
-    hot = hot_keys(facts, keys, share)
+    hot = hot_keys(facts if counted is None else counted, keys, share or hot_share(facts))
     hot_state = state.join(F.broadcast(hot), keys, "left_semi").select(*keys, F.struct(*values).alias("__hot"))
     seen = facts.join(F.broadcast(hot_state), keys, "left")
     # Rows that are answered already, or cannot match, must not meet in one task either:

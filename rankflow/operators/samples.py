@@ -93,27 +93,29 @@ _BUCKET_BITS = 16
 def exact_sample(df: DataFrame, frac: float, by: str, key: str, seed: int = 42) -> DataFrame:
     """Exactly round(frac * n) rows of each group: those with the lowest hash of `key`, which must be unique.
 
-    A group may hold much of the data, so it is never ranked as a whole.  Counts per
+    Rows with a null in `by` are a group like any other.  A group may hold much of the data, so it is never ranked as a whole.  Counts per
     (group, leading hash bits) find the bits at which the quota is reached; rows below
     are kept as they are, and only the one bucket at the edge is ranked, a 65536th of
     the group.
     """
     columns = df.columns
     number = md5_number(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    hashed = df.withColumn("__hash", number).withColumn("__bucket", F.shiftright("__hash", 60 - _BUCKET_BITS))
-    per_bucket = hashed.groupBy(by, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    group = Window.partitionBy(by)
+    # a text that no null hides in, as joins match no nulls
+    hashed = df.withColumn("__group", F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("")))
+    hashed = hashed.withColumn("__hash", number).withColumn("__bucket", F.shiftright("__hash", 60 - _BUCKET_BITS))
+    per_bucket = written(hashed.groupBy("__group", "__bucket").agg(F.count(F.lit(1)).alias("__n")), "buckets")
+    group = Window.partitionBy("__group")
     running = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (per_bucket.withColumns({"__seen": F.sum("__n").over(running),
                                    "__quota": F.bround(F.sum("__n").over(group) * F.lit(float(frac))).cast("bigint")})
            .where((F.col("__seen") - F.col("__n") < F.col("__quota")) & (F.col("__seen") >= F.col("__quota")))
-           .select(by, F.col("__bucket").alias("__edge"),
+           .select("__group", F.col("__bucket").alias("__edge"),
                    (F.col("__quota") - (F.col("__seen") - F.col("__n"))).alias("__rest")))
     # one row per group; how many there are decides how they meet the rows
-    groups = df.select(by).distinct().count()
-    placed = lookup_join(hashed, written(cut, "cut"), [by], groups, [key]).where(F.col("__bucket") <= F.col("__edge"))
+    groups = per_bucket.select("__group").distinct().count()
+    placed = lookup_join(hashed, written(cut, "cut"), ["__group"], groups, [key]).where(F.col("__bucket") <= F.col("__edge"))
     below = placed.where(F.col("__bucket") < F.col("__edge"))
-    rank = F.row_number().over(Window.partitionBy(by).orderBy("__hash", key))
+    rank = F.row_number().over(Window.partitionBy("__group").orderBy("__hash", key))
     edge = placed.where(F.col("__bucket") == F.col("__edge")).withColumn("__rank", rank).where(
         F.col("__rank") <= F.col("__rest"))
     return below.select(*columns).unionByName(edge.select(*columns))
@@ -127,9 +129,12 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42, partitions: int | None
             .sortWithinPartitions("__draw", key).drop("__draw"))
 
 
-def fixed_batches(df: DataFrame, size: int, order: Sequence[str], drop_remainder: bool = True,
+def fixed_batches(df: DataFrame, size: int, order: Sequence[str], drop_remainder: bool = False,
                   partitions: int | None = None) -> DataFrame:
-    """Add `batch_id`: consecutive groups of exactly `size` rows in the order of `order`, which must be unique."""
+    """Add `batch_id`: consecutive groups of `size` rows in the order of `order`, which must be unique.
+
+    The last one holds what is left, unless `drop_remainder` leaves it out.
+    """
     indexed = row_index(df, order, partitions, "__row", "__total")
     if drop_remainder:
         indexed = indexed.where(F.col("__row") < F.col("__total") - F.pmod("__total", F.lit(size)))

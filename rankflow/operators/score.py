@@ -1,271 +1,65 @@
-"""Batch scoring: attention, feature gates, expert mix, task heads, position term.
+"""Scoring: feature gates, expert mix, task heads, attention, position term, two towers.
 
-One Spark job: large embedding tables are joined, small ones and the dense weights
-are held once per executor, and each Arrow batch is a few matrix products.  A row's
-score depends on that row only.
+All but the attention over small tables are column expressions, so Spark plans and spreads the
+whole score; a row's score depends on that row only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankflow.functions.numeric import sigmoid
-from rankflow.functions.vectors import as_vector, dot
-from rankflow.operators.embed import as_lists, list_rows, load_matrices, lookup, vectors_of
-from rankflow.operators.layout import BROADCAST_ROWS
-from rankflow.registry import BEHAVIOUR_PARTS, BEHAVIOURS, EMBEDDING_DIM, GATES, QUERY, Registry
+from rankflow.functions.vectors import as_vector, dot, relu_vector, softmax, zero_vector
+from rankflow.operators.embed import as_lists, list_rows, load_matrices, lookup, of_feature
+from rankflow.operators.layout import BROADCAST_ROWS, lookup_join
+from rankflow.registry import EMBEDDING_DIM
 
 TASK_NAMES = ("ctr", "fvtr", "unlock", "cvr")
-INPUTS = ("share", "ctr", "fvtr", "unlock", "cvr")
-CHUNK = 64
-FLOAT = np.float32
-BATCH_ROWS = 4096
-
-
-@dataclass(frozen=True)
-class Shape:
-    """Which features feed which part of the model, and the layer widths."""
-
-    scalars: tuple[str, ...]
-    pooled: tuple[str, ...]
-    gates: tuple[str, ...]
-    query: tuple[str, ...]
-    history: tuple[str, ...]
-    position: str = "book_pos"
-    dim: int = EMBEDDING_DIM
-    attention: int = 128
-    gate_units: int = 512
-    expert_units: tuple[int, ...] = (512, 256, 128)
-    expert_out: int = 64
-    shared_experts: int = 3
-    position_units: tuple[int, ...] = (512, 64)
-
-    @staticmethod
-    def of(registry: Registry, **widths) -> "Shape":
-        """The model over whatever part of the default features `registry` holds."""
-        inside = lambda names: tuple(registry[n].name for n in names if n in registry)
-        history = inside(b + p for b in BEHAVIOURS for p in BEHAVIOUR_PARTS)
-        return Shape(scalars=tuple(registry.names("sparse", "dense", "rank")),
-                     pooled=tuple(n for n in registry.names("sequence") if n not in history),
-                     gates=inside(GATES), query=inside(QUERY), history=history, **widths)
-
-    @property
-    def fields(self) -> int:
-        return len(self.scalars) + len(self.pooled)
-
-    @property
-    def query_repeats(self) -> int:
-        return max(1, len(self.history) // max(1, len(self.query)))
-
-    @property
-    def experts(self) -> list[str]:
-        return [f"shared{i}" for i in range(self.shared_experts)] + list(TASK_NAMES)
-
-    def parameters(self) -> dict[str, tuple[int, ...]]:
-        """Name and size of every dense parameter."""
-        out: dict[str, tuple[int, ...]] = {}
-
-        def layer(name: str, rows: int, cols: int, bias: bool = True):
-            out[f"{name}/w"] = (rows, cols)
-            if bias:
-                out[f"{name}/b"] = (cols,)
-
-        width = self.fields * self.dim + self.attention
-        layer("att/q", len(self.query) * self.query_repeats * self.dim, self.attention)
-        layer("att/k", len(self.history) * self.dim, self.attention)
-        layer("att/v", len(self.history) * self.dim, self.attention)
-        for i in INPUTS:
-            layer(f"gate/{i}", len(self.gates) * self.dim, self.gate_units)
-            layer(f"gate_out/{i}", self.gate_units, self.fields, bias=False)
-        for e in self.experts:
-            for n, (a, b) in enumerate(zip((width, *self.expert_units), (*self.expert_units, self.expert_out))):
-                layer(f"expert/{e}/{n}", a, b)
-        for t in TASK_NAMES:
-            layer(f"mix/{t}", width, self.shared_experts + 1)
-            layer(f"head/{t}", self.expert_out, 1, bias=False)
-        for n, (a, b) in enumerate(zip((self.dim, *self.position_units), self.position_units)):
-            layer(f"pos/{n}", a, b)
-        layer("pos_out", self.position_units[-1], 1, bias=False)
-        return out
-
-
-def initial_parameters(shape: Shape, seed: int = 42) -> dict[str, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    out = {}
-    for name, size in shape.parameters().items():
-        limit = np.sqrt(6 / sum(size)) if len(size) == 2 else 0.0
-        out[name] = rng.uniform(-limit, limit, size)
-    return out
-
-
-def parameter_table(spark: SparkSession, params: Mapping[str, np.ndarray]) -> DataFrame:
-    """Dense parameters as `feature, id, vec` rows of CHUNK values; their number depends on the widths alone."""
-    parts = {name: chunks(value) for name, value in params.items()}
-    table = pa.table({"feature": np.repeat(list(parts), [len(c) for c in parts.values()]),
-                      "id": np.concatenate([np.arange(len(c)) for c in parts.values()]),
-                      "vec": as_lists(np.concatenate(list(parts.values())))})
-    return spark.createDataFrame(table)
-
-
-def chunks(value: np.ndarray) -> np.ndarray:
-    flat = value.ravel()
-    return np.pad(flat, (0, -len(flat) % CHUNK)).reshape(-1, CHUNK)
-
-
-def load_parameters(table: DataFrame, shape: Shape) -> dict[str, np.ndarray]:
-    """Dense parameters of a table, whose size the model's widths bound."""
-    wanted = shape.parameters()
-    limit = sum(-(-int(np.prod(s)) // CHUNK) for s in wanted.values())
-    rows = table.where(F.col("feature").isin(list(wanted))).select("feature", "id", "vec").limit(limit + 1).toArrow()
-    if rows.num_rows != limit:
-        raise ValueError(f"expected {limit} parameter rows, found {rows.num_rows}")
-    names = rows.column("feature").to_numpy()
-    order = np.lexsort((rows.column("id").to_numpy(), names))
-    names = names[order]
-    vecs = vectors_of(rows.column("vec"))[order]
-    return {n: vecs[names == n].ravel()[: int(np.prod(s))].reshape(s).astype(FLOAT) for n, s in wanted.items()}
-
-
-# --- the model on one batch -------------------------------------------------------
-
-def squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def softmax_rows(x: np.ndarray) -> np.ndarray:
-    e = np.exp(x - x.max(axis=-1, keepdims=True))
-    return e / e.sum(axis=-1, keepdims=True)
-
-
-def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled attention of one query over the unmasked positions; all masked gives zero."""
-    scores = np.einsum("bd,bld->bl", q, k) / np.sqrt(q.shape[1])
-    scores = np.where(mask, scores, -np.inf)
-    top = np.where(mask.any(axis=1), scores.max(axis=1, initial=-np.inf), 0.0)
-    e = np.where(mask, np.exp(np.where(mask, scores, 0.0) - np.where(np.isfinite(top), top, 0.0)[:, None]), 0.0)
-    total = e.sum(axis=1, keepdims=True)
-    weights = e / np.where(total == 0, 1, total)
-    return np.einsum("bl,bld->bd", weights, v), weights
-
-
-def linear(p: Mapping[str, np.ndarray], name: str, x: np.ndarray) -> np.ndarray:
-    return x @ p[f"{name}/w"] + p.get(f"{name}/b", 0.0)
-
-
-def forward(p: Mapping[str, np.ndarray], shape: Shape, x: Mapping[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """All head scores of a batch; every intermediate stays in the result for the gradient."""
-    n = len(x["fields"])
-    c: dict[str, np.ndarray] = {"query": np.tile(x["query"], shape.query_repeats)}
-    for part, source in (("q", c["query"]), ("k", x["history"]), ("v", x["history"])):
-        c[f"att/{part}"] = linear(p, f"att/{part}", source)
-    c["att"], c["att/weights"] = attend(c["att/q"], c["att/k"], c["att/v"], x["mask"])
-    for i in INPUTS:
-        c[f"gate/{i}"] = np.maximum(linear(p, f"gate/{i}", x["gates"]), 0)
-        c[f"gate_out/{i}"] = squash(linear(p, f"gate_out/{i}", c[f"gate/{i}"]))
-        gated = (c[f"gate_out/{i}"][:, :, None] * x["fields"]).reshape(n, -1)
-        c[f"input/{i}"] = np.concatenate([gated, c["att"]], axis=1)
-    for e in shape.experts:
-        h = c["input/share" if e.startswith("shared") else f"input/{e}"]
-        for layer in range(len(shape.expert_units) + 1):
-            h = c[f"expert/{e}/{layer}"] = np.maximum(linear(p, f"expert/{e}/{layer}", h), 0)
-    last = len(shape.expert_units)
-    for t in TASK_NAMES:
-        stack = [f"shared{i}" for i in range(shape.shared_experts)] + [t]
-        c[f"stack/{t}"] = np.stack([c[f"expert/{e}/{last}"] for e in stack], axis=1)
-        c[f"mix/{t}"] = softmax_rows(linear(p, f"mix/{t}", c[f"input/{t}"]))
-        c[f"mixed/{t}"] = np.einsum("be,beo->bo", c[f"mix/{t}"], c[f"stack/{t}"])
-        c[t] = squash(linear(p, f"head/{t}", c[f"mixed/{t}"]))[:, 0]
-    h = x["position"]
-    for layer in range(len(shape.position_units)):
-        h = c[f"pos/{layer}"] = np.maximum(linear(p, f"pos/{layer}", h), 0)
-    c["pos"] = squash(linear(p, "pos_out", h))[:, 0]
-    return c
-
-
-# --- batches from encoded rows -----------------------------------------------------
-
-class BatchReader:
-    """Turns Arrow batches of encoded rows into model inputs.
-
-    Scalar columns hold ids and list columns padded ids, except the features in
-    `joined`, whose column already holds the vector.
-    """
 
-    def __init__(self, shape: Shape, registry: Registry, emb: DataFrame, joined: Sequence[str]):
-        self.shape, self.joined = shape, set(joined)
-        names = {*shape.scalars, *shape.pooled, *shape.history, *shape.query, *shape.gates, shape.position}
-        self.tables = load_matrices(emb, {n: registry[n].vocab_size for n in sorted(names - self.joined)}, FLOAT)
-
-    def _vectors(self, feature: str, ids: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(ids), self.shape.dim), FLOAT)
-        vecs, found = self.tables[feature].rows(ids)
-        out[found] = vecs
-        return out
-
-    def scalar(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
-        column = batch.column(name)
-        if name in self.joined:
-            return column.flatten().to_numpy(zero_copy_only=False).astype(FLOAT).reshape(-1, self.shape.dim)
-        return self._vectors(name, column.to_numpy(zero_copy_only=False).astype(np.int64))
-
-    def ids(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
-        return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.int64)
-
-    def pooled(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
-        ids = self.ids(batch, name)
-        vecs = self._vectors(name, ids.ravel()).reshape(*ids.shape, -1)
-        real = ids > 0
-        return (vecs * real[:, :, None]).sum(axis=1) / np.maximum(real.sum(axis=1), 1).astype(FLOAT)[:, None]
-
-    def inputs(self, batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        s = self.shape
-        scalars = {n: self.scalar(batch, n) for n in {*s.scalars, *s.gates, *s.query, s.position}}
-        fields = [scalars[n] for n in s.scalars] + [self.pooled(batch, n) for n in s.pooled]
-        ids = [self.ids(batch, n) for n in s.history]
-        keys = [self._vectors(n, i.ravel()).reshape(*i.shape, -1) for n, i in zip(s.history, ids)]
-        return {"fields": np.stack(fields, axis=1),
-                "gates": np.concatenate([scalars[n] for n in s.gates], axis=1),
-                "query": np.concatenate([scalars[n] for n in s.query], axis=1),
-                "history": np.concatenate(keys, axis=2), "mask": np.any([i > 0 for i in ids], axis=0),
-                "position": scalars[s.position]}
-
-
-def join_large(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
-    """Replace the ids of features too large to hold per executor by their vectors."""
-    joined = [n for n in shape.scalars if registry[n].vocab_size > BROADCAST_ROWS]
-    for n in joined:
-        df = lookup(df, emb, n, n, "__vec", registry[n].vocab_size, key, shape.dim).drop(n).withColumnRenamed("__vec", n)
-    return df, joined
-
-
-def score(df: DataFrame, shape: Shape, registry: Registry, emb: DataFrame, params: DataFrame, key: str,
-          keep: Sequence[str] = ()) -> DataFrame:
-    """Head scores `ctr, fvtr, unlock, cvr` and position term `pos` of encoded rows, with `key` and `keep`."""
-    weights = df.sparkSession.sparkContext.broadcast(load_parameters(params, shape))
-    df, joined = join_large(df, shape, registry, emb, key)
-    reader = BatchReader(shape, registry, emb, joined)
-    kept = [key, *keep]
-    names = dict.fromkeys([*kept, *shape.scalars, *shape.pooled, *shape.history, *shape.query, *shape.gates, shape.position])
-    source = df.select(*names)
-    heads = [*TASK_NAMES, "pos"]
-    schema = T.StructType([source.schema[c] for c in kept] + [T.StructField(h, T.DoubleType()) for h in heads])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(start, BATCH_ROWS)
-                out = forward(weights.value, shape, reader.inputs(part))
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(out[h], pa.float64()) for h in heads],
-                                                 names=[*kept, *heads])
-
-    return source.mapInArrow(run, schema)
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def dense(x: Column, weights: Column, bias: Column | None = None) -> Column:
+    """A layer: one inner product per row of `weights` (an array of arrays), plus `bias`."""
+    out = let(x, lambda v: F.transform(weights, lambda row: dot(row, v)))
+    return out if bias is None else F.zip_with(out, bias, lambda a, b: a + b)
+
+
+def feature_gate(x: Column, fields: Column, hidden: Column, hidden_bias: Column, out: Column) -> Column:
+    """`fields` (an array of vectors), each scaled by its gate: a hidden layer and a sigmoid per field, over the gate input `x`."""
+    gates = F.transform(dense(relu_vector(dense(x, hidden, hidden_bias)), out), sigmoid)
+    return F.zip_with(fields, gates, lambda field, gate: F.transform(field, lambda v: v * gate))
+
+
+def expert(x: Column, layers: Sequence[tuple[Column, Column]]) -> Column:
+    """A stack of layers, each cut at zero."""
+    for weights, bias in layers:
+        x = relu_vector(dense(x, weights, bias))
+    return x
+
+
+def expert_mix(x: Column, experts: Sequence[Column], gate: Column, width: int, gate_bias: Column | None = None) -> Column:
+    """The experts' outputs, each of `width` elements, weighted by a softmax over `x`."""
+    return let(softmax_of(dense(x, gate, gate_bias)), lambda share: let(F.array(*experts), lambda outs: F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.aggregate(
+            F.zip_with(outs, share, lambda o, s: F.get(o, i) * s), F.lit(0.0), lambda total, v: total + v))))
+
+
+def softmax_of(v: Column) -> Column:
+    return let(v, softmax)
+
+
+def task_head(mixed: Column, weights: Column) -> Column:
+    """Probability of one task: a sigmoid over one inner product, without bias."""
+    return sigmoid(dot(mixed, weights))
 
 
 def position_debias(ctr: Column, pos: Column, debias: bool = True) -> Column:
@@ -304,14 +98,38 @@ def attention_pool(query: Column, ids: Column, emb: DataFrame, feature: str, bou
     return attended(as_vector(query), F.coalesce(ids, F.array()).cast("array<bigint>"))
 
 
+def with_attention(df: DataFrame, query: str, ids: str, emb: DataFrame, feature: str, key: str, out: str, bound: int | None,
+                   dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Add the attention of a query vector over a list of ids, for tables of any size; an empty list gives the zero vector.
+
+    Tables within the broadcast limit are held per executor.  Larger ones are joined item by item; a row's weighted sum is one
+    aggregate of its items, whose weights are taken against the row's highest score.
+    """
+    if bound is not None and bound <= BROADCAST_ROWS:
+        return df.withColumn(out, attention_pool(F.col(query), F.col(ids), emb, feature, bound))
+    items = df.select(F.col(key).alias("__row"), as_vector(F.col(query)).alias("__q"), F.posexplode(ids).alias("pos", "id"))
+    items = items.withColumn("id", F.col("id").cast("bigint")).where("id > 0")
+    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, ["__row", "pos"]).where("vec IS NOT NULL")
+    scored = found.withColumn("s", dot(F.col("vec"), F.col("__q")) / F.sqrt(F.size("__q").cast("double")))
+    # a row has as many items as its list, so its scores are one short array
+    lists = scored.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", "s", "vec"))).alias("l"))
+    share = let(F.array_max(F.transform("l", lambda x: x["s"])), lambda top: F.transform("l", lambda x: F.exp(x["s"] - top)))
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda a, b: a + b)
+    vec = let(share, lambda w: let(total(w), lambda all_: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: total(
+        F.zip_with(F.col("l"), w, lambda x, y: F.get(x["vec"], i) * y / all_)))))
+    pooled = lists.select(F.col("__row").alias(key), vec.alias(out))
+    return df.drop(out).join(pooled, key, "left").withColumn(out, F.coalesce(out, zero_vector(dim)))
+
+
 def dot_score(df: DataFrame, emb: DataFrame, left: tuple[str, str], right: tuple[str, str], bounds: tuple[int | None, int | None],
               key: str, dim: int = EMBEDDING_DIM, biases: Sequence[str] = ()) -> DataFrame:
     """Two-tower score: the last element of each vector is a bias, the others multiply.
 
     `left` and `right` are (column, embedding feature).  Adds the parts and `score`.
     """
+    rows = df
     for (column, feature), bound, side in zip((left, right), bounds, ("actor", "receiver")):
-        df = lookup(df, emb, feature, column, f"{side}_vec", bound, key, dim)
+        df = lookup(df, emb, feature, column, f"{side}_vec", bound, key, dim, counted=rows)
     a, r = F.col("actor_vec"), F.col("receiver_vec")
     last = F.lit(dim - 1)
     df = df.withColumns({"actor_bias": F.get(a, last), "receiver_bias": F.get(r, last),

@@ -65,7 +65,9 @@ def extend_vocab(values: DataFrame, existing: DataFrame, capacities: Mapping[str
     """The whole vocabulary after adding the new ones of `values` (emb_name, value, first_seen).
 
     New values get the next ids in the order (first_seen, value) while the id is below
-    the vocabulary's capacity; later ones get 0.  Existing ids never change.
+    the vocabulary's capacity; later ones get 0.  Existing ids never change.  With
+    `retry_overflow` refused values of `values` are tried again, and the other refused
+    ones stay as they are.  A vocabulary without a capacity is an error.
     """
     spark = values.sparkSession
     known = existing
@@ -81,9 +83,14 @@ def extend_vocab(values: DataFrame, existing: DataFrame, capacities: Mapping[str
     highest = known.groupBy("emb_name").agg(F.max("id").alias("highest"))
     room = start.join(limits, "emb_name", "left").join(highest, "emb_name", "left")
     next_id = F.coalesce("highest", F.lit(0)) + F.col("row") - F.col("start") + 1
+    unlimited = F.raise_error(F.concat(F.lit("no capacity is given for the vocabulary "), "emb_name")).cast("bigint")
     new = indexed.join(F.broadcast(room), "emb_name").select(
-        "emb_name", "value", F.when(next_id < F.col("capacity"), next_id).otherwise(F.lit(0)).alias("id"))
-    return known.select("emb_name", "value", "id").unionByName(new)
+        "emb_name", "value", F.when(next_id < F.coalesce(F.col("capacity"), unlimited), next_id).otherwise(F.lit(0)).alias("id"))
+    whole = known.select("emb_name", "value", "id").unionByName(new)
+    if not retry_overflow:
+        return whole
+    refused = existing.where("id = 0").join(wanted, ["emb_name", "value"], "left_anti")
+    return whole.unionByName(refused.select("emb_name", "value", "id"))
 
 
 def oov_report(vocab: DataFrame) -> DataFrame:
@@ -127,12 +134,13 @@ def _probe_scalars(df: DataFrame, vocab: DataFrame, texts: Mapping[str, tuple[st
 def encode_scalar_by_join(df: DataFrame, vocab: DataFrame, members: Sequence[Feature], key: str,
                           lowercase: bool = True) -> DataFrame:
     """As `encode_scalar`, one join per column, for vocabularies of any size."""
-    columns = df.columns
+    columns, first = df.columns, df
     usable = vocab.where("id > 0")
     for f in members:
         part = usable.where(F.col("emb_name") == f.emb_name).select(F.col("value").alias("__value"), F.col("id").alias("__id"))
         keyed = df.withColumn("__value", scalar_text(f, lowercase))
-        found = lookup_join(keyed, part, ["__value"], f.vocab_size, [key])
+        # the column's texts are those of the first frame, so its hot keys are counted before any join
+        found = lookup_join(keyed, part, ["__value"], f.vocab_size, [key], counted=first.select(scalar_text(f, lowercase).alias("__value")))
         df = found.withColumn(f.name, F.coalesce("__id", F.lit(0))).select(*columns)
     return df
 
@@ -169,13 +177,17 @@ def load_probes(vocab: DataFrame, capacities: Mapping[str, int]) -> dict[str, Ca
 
 
 def _probe(spark: SparkSession, table: pa.Table) -> Callable[[Column], Column]:
-    shared = spark.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast({"table": table})
 
     @F.arrow_udf("array<bigint>")
     def probe(lists: pa.Array) -> pa.Array:
-        known = shared.value
-        at = pc.index_in(lists.flatten(), value_set=known.column("value"))
-        ids = pc.fill_null(pc.take(known.column("id").combine_chunks(), at), 0)
+        held = shared.value
+        if "index" not in held:  # once per worker process, which keeps the broadcast value
+            held["index"] = dict(zip(held["table"].column("value").to_pylist(), held["table"].column("id").to_pylist(), strict=True))
+        index = held["index"]
+        coded = lists.flatten().dictionary_encode()
+        found = pa.array([index.get(v, 0) for v in coded.dictionary.to_pylist()], pa.int64())
+        ids = pc.fill_null(pc.take(found, coded.indices), 0)
         # offsets that match the flattened items: a null list has length 0
         sizes = pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32())
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])

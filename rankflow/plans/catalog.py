@@ -34,8 +34,8 @@ _CTES = {
         CASE WHEN length(reqtime) >= 13 THEN coalesce(try_cast(substr(reqtime, 12, 2) AS INT), -1) ELSE -1 END AS hour,
         '0' AS gap_day FROM cleaned""",
     "sampled": f"""SELECT * FROM labelled WHERE NOT {NEGATIVE_SQL}
-        OR {md5_sql("concat('42:', cast(sample_id AS VARCHAR))")} % 10000 < 5000""",
-    "raw_scored": "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in SCORE_COLUMNS.items()) + " FROM sampled",
+        OR {md5_sql("concat('42:', cast(sample_id AS VARCHAR))")} < 576460752303423488""",
+    "raw_scored": "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in SCORE_COLUMNS.items()) + " FROM labelled",
     "scored": """SELECT *, ctr * pos AS ctr_debiased, CASE WHEN vip_label > 0 THEN 0.0 ELSE 1.0 END AS non_member,
         ctr * pos * fvtr AS ctfvtr, ctr * pos * unlock AS ctunlock, ctr * pos * cvr AS ctcvr FROM raw_scored""",
 }

@@ -13,11 +13,12 @@ from rankflow.operators.layout import BROADCAST_ROWS
 from rankflow.registry import LABELS, Registry
 
 
-def clean(raw: DataFrame, registry: Registry, key: str, frac: float = 0.5, seed: int = 42) -> DataFrame:
-    """Drop accidental impressions, add labels, thin out negatives.  Row by row: nothing is shuffled."""
-    df = samples.canonical_names(raw, registry)
-    df = samples.label_samples(samples.drop_accidental(df))
-    return samples.downsample_negatives(df, key, frac, seed)
+def clean(raw: DataFrame, registry: Registry) -> DataFrame:
+    """Drop accidental impressions and add labels.  Row by row: nothing is shuffled.
+
+    Negatives are thinned out for fitting only, by `samples.downsample_negatives`; scores and losses cover all rows.
+    """
+    return samples.label_samples(samples.drop_accidental(samples.canonical_names(raw, registry)))
 
 
 def bucketed(df: DataFrame, registry: Registry) -> DataFrame:

@@ -82,15 +82,12 @@ def hash_text(spark, sf_dir):
         hashing.hash_bucket(F.col("model"), 1001, "md5").alias("model"))
 
 
-@query("d5_hash_bucket_fast")
+@query("d5_hash_bucket_fast", on("samples", "SELECT model, count(*) AS n, CASE WHEN model IS NULL THEN 0 ELSE 1 END AS buckets, model IS NOT NULL AS inside FROM samples GROUP BY model"))
 def hash_fast(spark, sf_dir):
-    return samples_view(spark, sf_dir).select(
-        "sample_id", hashing.hash_bucket(F.col("userid"), 10_000_000).alias("userid"), hashing.hash_bucket(F.col("model"), 1001).alias("model"))
-
-
-@query("d5_hash_bucket_fingerprint")
-def hash_fingerprint(spark, sf_dir):
-    return samples_view(spark, sf_dir).select("sample_id", hashing.hash_bucket(F.col("userid"), 10_000_000, "fingerprint").alias("userid"))
+    """Per model its rows, how many buckets they have, and whether those lie in range."""
+    rows = samples_view(spark, sf_dir).select("model", hashing.hash_bucket(F.col("model"), 1001).alias("bucket"))
+    return rows.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("bucket").cast("int").alias("buckets"),
+                                     F.coalesce((F.min("bucket") >= 0) & (F.max("bucket") < 1001), F.lit(False)).alias("inside"))
 
 
 @query("d6_hash_bucket_integers", on("samples", f"""

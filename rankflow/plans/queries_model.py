@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.operators import embed, fit, metrics, samples, score, vocab
-from rankflow.operators.layout import for_heavy_work
-from rankflow.operators.optimizer import fresh_state
-from rankflow.plans import prepare
-from rankflow.plans.catalog import digest, digest_sql, on, query
-from rankflow.plans.queries_samples import REGISTRY, labelled, sampled
+from rankflow.operators import embed, fit, metrics, samples, score
+from rankflow.plans.catalog import digest, digest_sql, md5_sql, on, query
+from rankflow.plans.queries_samples import labelled
 from rankflow.plans.queries_state import _CLICKS, _V, DIM, clicks, vector_bound, vectors
 from rankflow.plans.views import SCORE_COLUMNS, samples_view, table
-from rankflow.registry import Registry
 from rankflow.session import new_path, written
 from rankflow.sources import state
 
-TASK_LABELS = ["ctr_label", "cvr_label", "unlock_label", "finish_view_label"]
-
-
 def raw_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampled(spark, sf_dir).selectExpr("*", *[f"{e} AS {n}" for n, e in SCORE_COLUMNS.items()])
+    return labelled(spark, sf_dir).selectExpr("*", *[f"{e} AS {n}" for n, e in SCORE_COLUMNS.items()])
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,19 +57,31 @@ def report_overall(spark, sf_dir):
 
 # --- I -------------------------------------------------------------------------------------------
 
-@query("i1_attention_pool", on("samples", f"""
+_ATTENTION_SQL = on("samples", f"""
 SELECT clicks.sample_id, round(coalesce(s, 0), 6) + 0.0::DOUBLE AS attended FROM clicks LEFT JOIN (
   SELECT sample_id, sum(exp(score) * d) / sum(exp(score)) AS s FROM (
     SELECT sample_id, list_dot_product(q.vec, v.vec) / 8.0 AS score, list_sum(list_transform(v.vec, lambda x, i: x * i)) AS d
     FROM (SELECT sample_id, k, unnest(ids) AS id FROM clicks) c JOIN v ON v.id = c.id JOIN v q ON q.id = c.k WHERE c.id > 0)
-  GROUP BY sample_id) USING (sample_id)""", clicks=_CLICKS, v=_V))
-def attention(spark, sf_dir):
-    emb, bound = vectors(spark, sf_dir), vector_bound(spark, sf_dir)
-    rows = embed.lookup(clicks(spark, sf_dir), emb, "item", "k", "q", bound, "sample_id", DIM)
-    out = rows.select("sample_id", score.attention_pool(F.col("q"), F.col("ids"), emb, "item", bound).alias("vec"))
+  GROUP BY sample_id) USING (sample_id)""", clicks=_CLICKS, v=_V)
+
+
+def _attention(spark: SparkSession, sf_dir: str, bound: int | None) -> DataFrame:
+    emb = vectors(spark, sf_dir)
+    rows = embed.lookup(clicks(spark, sf_dir), emb, "item", "k", "q", vector_bound(spark, sf_dir), "sample_id", DIM)
+    out = score.with_attention(rows, "q", "ids", emb, "item", "sample_id", "vec", bound, DIM)
     return out.select("sample_id", digest(F.col("vec")).alias("attended"))
 
 
+@query("i1_attention_pool", _ATTENTION_SQL)
+def attention(spark, sf_dir):
+    return _attention(spark, sf_dir, vector_bound(spark, sf_dir))
+
+
+@query("i1_attention_pool_large_table", _ATTENTION_SQL)
+def attention_large(spark, sf_dir):
+    return _attention(spark, sf_dir, None)
+
+
 @query("i5_position_debias", on("raw_scored", "SELECT sample_id, round(ctr * pos, 6) AS debiased, round(ctr, 6) AS bare FROM raw_scored"))
 def debias(spark, sf_dir):
     ctr, pos = F.col("ctr"), F.col("pos")
@@ -118,34 +121,75 @@ def dot_large(spark, sf_dir):
     return _dot(spark, sf_dir, None)
 
 
-def model_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Registry, DataFrame]:
-    """Encoded samples, the features they have and a start table of their embeddings.
+# Weights that both engines can compute: each is a function of its place.
+def _weight(i: str, j: str, salt: int) -> str:
+    return f"(cast(({i} * 31 + {j} * 17 + {salt}) % 101 as double) - 50) / 200"
+
+
+def _matrix(rows: int, cols: int, salt: int) -> F.Column:
+    return F.expr(f"transform(sequence(0, {rows - 1}), i -> transform(sequence(0, {cols - 1}), j -> {_weight('i', 'j', salt)}))")
+
 
-    Vocabularies, ranks and the encoded rows are written once.
-    """
-    df = prepare.clean(for_heavy_work(samples_view(spark, sf_dir)), REGISTRY, "sample_id")
-    registry = REGISTRY.present_in(df.columns)
-    words = written(vocab.extend_vocab(vocab.vocab_values(df, registry, "sample_id"), vocab.empty_vocab(spark), registry.capacities()), "vocab")
-    tops = {f.name: f.vocab_size - 1 for f in registry.group("rank")}
-    ranks = written(vocab.rank_vocab(vocab.count_values(df, list(tops)), tops), "ranks")
-    rows = prepare.model_rows(prepare.encode(prepare.bucketed(df, registry), registry, words, ranks, "sample_id", tops), registry, "sample_id")
-    rows = for_heavy_work(written(rows, "encoded"))
-    small = embed.initial_embeddings(registry.spec_df(spark).where(F.col("name") != "userid"))
-    users = words.where("emb_name = 'userid' AND id > 0").select(F.lit("userid").alias("feature"), "id")
-    users = users.select("feature", "id", embed.init_vector(F.col("feature"), F.col("id")).cast("array<float>").alias("vec"))
-    return rows, registry, written(small.unionByName(users), "embeddings")
+def _vector(n: int, salt: int) -> F.Column:
+    return F.expr(f"transform(sequence(0, {n - 1}), i -> {_weight('i', '0', salt)})")
 
 
-def model_scores(spark: SparkSession, sf_dir: str, **widths) -> DataFrame:
-    rows, registry, emb = model_inputs(spark, sf_dir)
-    shape = score.Shape.of(registry, **widths)
-    params = score.parameter_table(spark, score.initial_parameters(shape))
-    return score.score(rows, shape, registry, emb, params, "sample_id", [*TASK_LABELS, "vip_label"])
+def _dense_sql(x: str, rows: int, cols: int, salt: int, bias: int | None = None, act: str = "{}") -> str:
+    value = (f"list_sum(list_transform(range(0, {cols}), lambda j: {_weight('i', 'j', salt)} * {x}[j + 1]))"
+             + (f" + {_weight('i', '0', bias)}" if bias is not None else ""))
+    return f"list_transform(range(0, {rows}), lambda i: {act.format(value)})"
 
 
-@query("i2_i4_score")
-def heads(spark, sf_dir):
-    return rounded(model_scores(spark, sf_dir), "ctr", "fvtr", "unlock", "cvr", "pos")
+_RELU, _SIGMOID = "greatest({}, 0.0)", "1 / (1 + exp(-({})))"
+_GATED = {"x": "SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings",
+          "hidden": f"SELECT *, {_dense_sql('x', 12, 64, 1, 2, _RELU)} AS h FROM x",
+          "gates": f"SELECT *, {_dense_sql('h', 4, 12, 3, None, _SIGMOID)} AS g FROM hidden",
+          "gated": "SELECT vec_id, x, list_transform(range(0, 64), lambda i: x[i + 1] * g[i // 16 + 1]) AS y FROM gates"}
+_MIXED = _GATED | {
+    "first": "SELECT vec_id, y" + "".join(f", {_dense_sql('y', 8, 64, 10 + e, 20 + e, _RELU)} AS a{e}" for e in range(4)) + " FROM gated",
+    "second": "SELECT vec_id, y" + "".join(f", {_dense_sql(f'a{e}', 6, 8, 30 + e, 40 + e, _RELU)} AS b{e}" for e in range(4)) + " FROM first",
+    "raw": f"SELECT *, {_dense_sql('y', 4, 64, 50, 51)} AS r FROM second",
+    "shares": "SELECT *, list_transform(r, lambda v: exp(v)) AS e FROM raw",
+    "mixed": "SELECT vec_id, list_transform(range(0, 6), lambda i: (" + " + ".join(f"b{e}[i + 1] * e[{e + 1}]" for e in range(4))
+             + ") / list_sum(e)) AS m FROM shares"}
+
+
+def _with(ctes: dict[str, str], sql: str) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes.items()) + "\n" + sql
+
+
+def gated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as four fields of 16, gated by itself, and the gated fields side by side."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    fields = F.array(*[F.slice("x", 16 * i + 1, 16) for i in range(4)])
+    gated = score.feature_gate(F.col("x"), fields, _matrix(12, 64, 1), _vector(12, 2), _matrix(4, 12, 3))
+    return rows.select("vec_id", F.flatten(gated).alias("y"))
+
+
+def mixed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three shared experts and one of the task's own, of two layers each, mixed by a gate."""
+    y = F.col("y")
+    experts = [score.expert(y, [(_matrix(8, 64, 10 + e), _vector(8, 20 + e)), (_matrix(6, 8, 30 + e), _vector(6, 40 + e))]) for e in range(4)]
+    return gated_rows(spark, sf_dir).select("vec_id", score.expert_mix(y, experts, _matrix(4, 64, 50), 6, _vector(4, 51)).alias("m"))
+
+
+@query("i2_feature_gate", _with(_GATED, f"SELECT vec_id, {digest_sql('y')} AS gated FROM gated"))
+def gate(spark, sf_dir):
+    return gated_rows(spark, sf_dir).select("vec_id", digest(F.col("y")).alias("gated"))
+
+
+@query("i3_expert_mix", _with(_MIXED, f"SELECT vec_id, {digest_sql('m')} AS mixed FROM mixed"))
+def mix(spark, sf_dir):
+    return mixed_rows(spark, sf_dir).select("vec_id", digest(F.col("m")).alias("mixed"))
+
+
+@query("i4_task_heads", _with(_MIXED, "SELECT vec_id" + "".join(
+    f", round({_SIGMOID.format(f'list_sum(list_transform(range(0, 6), lambda j: {_weight(str(t), chr(106), 60)} * m[j + 1]))')}, 6) AS {n}"
+    for t, n in enumerate(score.TASK_NAMES)) + " FROM mixed"))
+def task_heads(spark, sf_dir):
+    heads = _matrix(4, 6, 60)
+    return mixed_rows(spark, sf_dir).select("vec_id", *[
+        F.round(score.task_head(F.col("m"), F.get(heads, F.lit(t))), 6).alias(n) for t, n in enumerate(score.TASK_NAMES)])
 
 
 @query("a8_write_scores", on("raw_scored", """
@@ -239,30 +283,31 @@ def total(spark, sf_dir):
 
 # --- J: fitting --------------------------------------------------------------------------------------
 
-@query("j1_fit_tasks")
+_HELD = f"{md5_sql("concat('7:', cast(sample_id AS VARCHAR))")} < {round(0.2 * (1 << 60))}"
+_FITTED = ", ".join(f"round(r_{t}, 3) + 0.0::DOUBLE AS {t}" for t in fit.TASK_LABELS)
+_RATES = ", ".join(f"avg({label}) AS r_{t}" for t, label in fit.TASK_LABELS.items())
+
+
+@query("j1_fit_tasks", on("labelled", f"""
+SELECT h.gender, n, {_FITTED} FROM (SELECT gender, count(*) AS n FROM labelled WHERE gender IS NOT NULL AND {_HELD} GROUP BY gender) h
+JOIN (SELECT gender, {_RATES} FROM labelled WHERE NOT {_HELD} GROUP BY gender) k ON h.gender = k.gender"""))
 def tasks(spark, sf_dir):
+    """Scores of held-out rows, from a fit on the others: with one text as feature, the rates of its values there."""
     rows = written(labelled(spark, sf_dir), "labelled")
-    models = fit.fit_tasks(rows, ["book_id", "gender", "language", "mchid", "hour", "shelf_days", "useritemwatchleftforpay"], hash_bits=12)
-    out = fit.predict_tasks(rows.withColumn("pos", F.lit(1.0)), models)
-    return rounded(metrics.evaluate(metrics.with_chain(out, debias=False)), "loss", "auc")
+    kept, held = samples.split_holdout(rows, "sample_id", 0.2)
+    out = fit.predict_tasks(held, fit.fit_tasks(kept, ["gender"], max_iter=200))
+    parts = out.where("gender IS NOT NULL").groupBy("gender").agg(F.count(F.lit(1)).alias("n"), *[F.avg(t).alias(t) for t in fit.TASK_LABELS])
+    return parts.select("gender", "n", *[(F.round(t, 3) + F.lit(0.0)).alias(t) for t in fit.TASK_LABELS])
 
 
-@query("j2_fit_two_tower")
+@query("j2_fit_two_tower", on("labelled", f"SELECT count(*) AS n, true AS inside, true AS learnt FROM labelled WHERE {_HELD}"))
 def two_tower(spark, sf_dir):
+    """Held-out rows, whether their scores are probabilities, and whether the fitted rows' loss is below the base rate's."""
     rows = written(labelled(spark, sf_dir).select("sample_id", "userid", "book_id", "ctr_label"), "pairs")
-    model = fit.fit_two_tower(rows, "userid", "book_id", "ctr_label", hash_bits=10)
-    return rounded(fit.predict_two_tower(rows, model), "score").select("sample_id", "score")
-
-
-@query("j7_fit_mixture")
-def mixture(spark, sf_dir):
-    """Two updates with all samples, as evaluated before and after."""
-    rows, registry, emb = model_inputs(spark, sf_dir)
-    shape = score.Shape.of(registry, attention=16, gate_units=16, expert_units=(32, 16), expert_out=8, position_units=(16, 8))
-    dense = fresh_state(score.parameter_table(spark, score.initial_parameters(shape)), score.CHUNK)
-    emb_state, dense_state, _ = fit.fit_mixture([rows, rows], shape, registry, fresh_state(emb), dense, "sample_id", lr=0.01)
-    keep = [*TASK_LABELS, "vip_label"]
-    runs = [(0, emb, dense), (2, emb_state, dense_state)]
-    parts = [metrics.evaluate(metrics.with_chain(score.score(rows, shape, registry, e, d, "sample_id", keep))).withColumn("updates", F.lit(n))
-             for n, e, d in runs]
-    return rounded(parts[0].unionByName(parts[1]), "loss", "auc")
+    kept, held = samples.split_holdout(rows, "sample_id", 0.2)
+    model = fit.fit_two_tower(kept, "userid", "book_id", "ctr_label", max_iter=60)
+    out, own = fit.predict_two_tower(held, model), fit.predict_two_tower(kept, model)
+    y, p, rate = F.col("ctr_label"), F.col("score"), kept.agg(F.avg("ctr_label")).first()[0]
+    loss = lambda p: F.avg(-(y * F.ln(p + 1e-7) + (1 - y) * F.ln(1 - p + 1e-7)))
+    learnt = own.agg((loss(p) < loss(F.lit(rate))).alias("x")).first().x
+    return out.agg(F.count(F.lit(1)).alias("n"), ((F.min(p) >= 0) & (F.max(p) <= 1)).alias("inside"), F.lit(learnt).alias("learnt"))

@@ -35,8 +35,6 @@ def sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.downsample_negatives(labelled(spark, sf_dir), "sample_id")
 
 
-# Hours are kept as half days, so that a month is a hundred folders.
-_BLOCK = "CASE WHEN hr < '12' THEN '00' ELSE '12' END"
 _SCENE = "concat('scene', cast(sample_id % 2 AS VARCHAR(9)))"
 
 
@@ -44,7 +42,7 @@ _SCENE = "concat('scene', cast(sample_id % 2 AS VARCHAR(9)))"
 def stored(spark: SparkSession, sf_dir: str) -> str:
     """The samples as a partitioned table, as a log pipeline would leave them."""
     root = new_path(spark, "samples")
-    rows = samples_view(spark, sf_dir).withColumns({"hour": F.expr(_BLOCK), "scene_id": F.expr(_SCENE)})
+    rows = samples_view(spark, sf_dir).withColumns({"hour": F.col("hr"), "scene_id": F.expr(_SCENE)})
     source.write_samples(rows, root)
     return root
 
@@ -58,7 +56,7 @@ SELECT hour, len(list_filter([20, 30, 40, 50, 60, 70, 80, 90, 100, 120, 150, 200
        round(avg(unlock_label), 6) AS unlock_rate, round(avg(finish_view_label), 6) AS finish_view_rate
 FROM sampled GROUP BY 1, 2, 3"""))
 def label_rates_by_hour_and_bucket(spark, sf_dir):
-    df = prepare.bucketed(prepare.clean(samples_view(spark, sf_dir), REGISTRY, "sample_id"), REGISTRY)
+    df = prepare.bucketed(samples.downsample_negatives(prepare.clean(samples_view(spark, sf_dir), REGISTRY), "sample_id"), REGISTRY)
     labels = ["ctr_label", "cvr_label", "unlock_label", "finish_view_label"]
     out = label_summary(df, ["hour", "total_chapter_num", "shelf_days"], labels)
     return out.select("hour", "total_chapter_num", "shelf_days", "n",
@@ -67,21 +65,21 @@ def label_rates_by_hour_and_bucket(spark, sf_dir):
 
 # --- A: sources and sinks --------------------------------------------------------------
 
-@query("a1_read_samples", on("samples", f"SELECT sample_id, userid, play_ratio, dt, {_BLOCK} AS hour, {_SCENE} AS scene_id FROM samples"))
+@query("a1_read_samples", on("samples", f"SELECT sample_id, userid, play_ratio, dt, hr AS hour, {_SCENE} AS scene_id FROM samples"))
 def read_all_samples(spark, sf_dir):
     return source.read_samples(spark, stored(spark, sf_dir),
                                columns=["sample_id", "userid", "play_ratio", "dt", "hour", "scene_id"])
 
 
 @query("a1_read_samples_of_a_day", on("samples", f"""
-SELECT sample_id, book_id, ctr_label, {_BLOCK} AS hour FROM samples
-WHERE dt = '2024-01-09' AND {_BLOCK} IN ('12') AND {_SCENE} = 'scene1'"""))
+SELECT sample_id, book_id, ctr_label, hr AS hour FROM samples
+WHERE dt = '2024-01-09' AND hr IN ('07', '12') AND {_SCENE} = 'scene1'"""))
 def read_day(spark, sf_dir):
-    return source.read_samples(spark, stored(spark, sf_dir), "2024-01-09", ["12"], "scene1",
+    return source.read_samples(spark, stored(spark, sf_dir), "2024-01-09", ["07", "12"], "scene1",
                                ["sample_id", "book_id", "ctr_label", "hour"])
 
 
-@query("a2_stream_samples", on("cleaned", f"SELECT sample_id, reqtime, ctr_label, mtime_gap, dt, {_BLOCK} AS hour FROM cleaned"))
+@query("a2_stream_samples", on("cleaned", f"SELECT sample_id, reqtime, ctr_label, mtime_gap, dt, hr AS hour FROM cleaned"))
 def stream(spark, sf_dir):
     root = stored(spark, sf_dir)
     schema = source.sample_schema(spark, root)
@@ -119,12 +117,14 @@ def tsv(spark, sf_dir):
 @query("a5_project_examples", on("labelled", """
 SELECT sample_id, coalesce(book_id, '') AS book_id, cast(hour AS BIGINT) AS hour, 0 AS week_day, coalesce(userid, '') AS userid,
        coalesce(mchid, '') AS mchid, coalesce(model, '') AS model, cast(coalesce(trunc(total_chapter_num), 0) AS BIGINT) AS total_chapter_num,
-       0 AS page, cast(book_pos AS BIGINT) AS book_pos, '' AS ids_text, cast(ctr_label AS BIGINT) AS ctr_label,
-       cast(vip_label AS BIGINT) AS vip_label FROM labelled"""))
+       0 AS page, cast(book_pos AS BIGINT) AS book_pos, concat(CASE WHEN tag_set IS NULL THEN '' ELSE concat(sample_id, ',', sample_id % 7) END, '|') AS ids_text,
+       cast(ctr_label AS BIGINT) AS ctr_label, cast(vip_label AS BIGINT) AS vip_label FROM labelled"""))
 def examples(spark, sf_dir):
     kinds = source.example_types(REGISTRY)
-    out = source.project_examples(labelled(spark, sf_dir).drop(*[c for c in REGISTRY.names("sequence")]), kinds, ["sample_id"])
-    lists = F.concat_ws(",", *[F.array_join(F.col(n).cast("array<string>"), ",") for n in ("search_click_seq",)])
+    ids = F.when(F.col("tag_set").isNotNull(), F.array("sample_id", F.col("sample_id") % 7))
+    rows = labelled(spark, sf_dir).withColumn("tag_set", ids).drop(*[c for c in REGISTRY.names("sequence") if c != "tag_set"])
+    out = source.project_examples(rows, kinds, ["sample_id"])
+    lists = F.concat_ws("|", *[F.array_join(F.col(n).cast("array<string>"), ",") for n in ("tag_set", "search_click_seq")])
     return out.select("sample_id", "book_id", "hour", "week_day", "userid", "mchid", "model", "total_chapter_num", "page",
                       "book_pos", lists.alias("ids_text"), "ctr_label", "vip_label")
 
@@ -157,6 +157,19 @@ def ready(spark, sf_dir):
     return state.list_ready_partitions(manifest(spark, sf_dir))
 
 
+@query("a9_ready_partitions", on("samples", "SELECT DISTINCT dt, sample_id_hash AS ready FROM (SELECT dt, count(*) % 2 = 0 AS sample_id_hash FROM samples GROUP BY dt)"))
+def marked(spark, sf_dir):
+    """Days whose folder holds a marker file; the days with an even number of rows get one."""
+    root = new_path(spark, "marked")
+    rows = samples_view(spark, sf_dir).select("sample_id", "dt")
+    rows.write.partitionBy("dt").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(root)
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for r in rows.groupBy("dt").count().where("count % 2 = 0").collect():  # a row per day
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/dt={r.dt}", "_SUCCESS")).close()
+    return state.ready_partitions(spark, root)
+
+
 @query("a10_latest_version", on("samples", f"SELECT has_input, max({_VERSION}) AS version FROM manifest GROUP BY has_input", manifest=_MANIFEST))
 def newest(spark, sf_dir):
     return state.latest_version(manifest(spark, sf_dir), "has_input")
@@ -232,11 +245,11 @@ def downsample(spark, sf_dir):
 
 @query("c3_exact_sample", on("labelled", f"""
 SELECT sample_id, event_day FROM (
-  SELECT sample_id, dt AS event_day, row_number() OVER (PARTITION BY dt ORDER BY {md5_sql("concat('42:', cast(sample_id AS VARCHAR))")}, sample_id) AS rn,
-         count(*) OVER (PARTITION BY dt) AS n FROM labelled)
+  SELECT sample_id, event_day, row_number() OVER (PARTITION BY event_day ORDER BY {md5_sql("concat('42:', cast(sample_id AS VARCHAR))")}, sample_id) AS rn,
+         count(*) OVER (PARTITION BY event_day) AS n FROM (SELECT sample_id, CASE WHEN dt <> '2024-01-05' THEN dt END AS event_day FROM labelled))
 WHERE rn <= round_even(n * 0.5, 0)"""))
 def exact(spark, sf_dir):
-    df = labelled(spark, sf_dir).select("sample_id", F.col("dt").alias("event_day"))
+    df = labelled(spark, sf_dir).select("sample_id", F.when(F.col("dt") != "2024-01-05", F.col("dt")).alias("event_day"))
     return samples.exact_sample(df, 0.5, "event_day", "sample_id")
 
 
@@ -251,8 +264,7 @@ def shuffled(spark, sf_dir):
 
 
 @query("c6_fixed_batches", on("labelled", """
-SELECT sample_id, batch_id FROM (SELECT sample_id, cast(floor((row_number() OVER (ORDER BY sample_id) - 1) / 512) AS BIGINT) AS batch_id,
-    count(*) OVER () AS n, row_number() OVER (ORDER BY sample_id) AS rn FROM labelled) WHERE rn <= n - n % 512"""))
+SELECT sample_id, cast(floor((row_number() OVER (ORDER BY sample_id) - 1) / 512) AS BIGINT) AS batch_id FROM labelled"""))
 def batches(spark, sf_dir):
     return samples.fixed_batches(labelled(spark, sf_dir).select("sample_id"), 512, ["sample_id"])
 

@@ -284,26 +284,36 @@ def pool_sqrtn(spark, sf_dir):
     return joined.select("sample_id", F.coalesce(digest(F.col("vec")), F.lit(0.0)).alias("pooled"))
 
 
-def _safe(spark: SparkSession, sf_dir: str, combiner: str, weighted: bool, mask_zero: bool) -> DataFrame:
+def _safe(spark: SparkSession, sf_dir: str, combiner: str, weighted: bool, mask_zero: bool, bound: int | None) -> DataFrame:
     rows = _weighted(clicks(spark, sf_dir))
-    pooled = embed.safe_pool(F.col("ids"), vectors(spark, sf_dir), "item", vector_bound(spark, sf_dir), combiner,
-                             F.col("w") if weighted else None, mask_zero)
-    return rows.select("sample_id", pooled.alias("vec")).select("sample_id", digest(F.col("vec")).alias("pooled"))
+    out = embed.with_safe_pool(rows, "ids", vectors(spark, sf_dir), "item", "sample_id", "vec", bound, combiner, "w" if weighted else None,
+                               mask_zero, DIM)
+    return out.select("sample_id", digest(F.col("vec")).alias("pooled"))
 
 
 @query("h3_safe_pool_mean_masked", _pool_sql("1.0", "sum(w)", "id > 0"))
 def safe_mean(spark, sf_dir):
-    return _safe(spark, sf_dir, "mean", False, True)
+    return _safe(spark, sf_dir, "mean", False, True, vector_bound(spark, sf_dir))
 
 
 @query("h3_safe_pool_sum_weighted", _pool_sql(_POSITION_WEIGHT, "1", "w > 0"))
 def safe_sum(spark, sf_dir):
-    return _safe(spark, sf_dir, "sum", True, False)
+    return _safe(spark, sf_dir, "sum", True, False, vector_bound(spark, sf_dir))
 
 
 @query("h3_safe_pool_sqrtn_weighted", _pool_sql(_POSITION_WEIGHT, "sqrt(sum(w * w))", "w > 0"))
 def safe_sqrtn(spark, sf_dir):
-    return _safe(spark, sf_dir, "sqrtn", True, False)
+    return _safe(spark, sf_dir, "sqrtn", True, False, vector_bound(spark, sf_dir))
+
+
+@query("h3_safe_pool_mean_masked_large_table", _pool_sql("1.0", "sum(w)", "id > 0"))
+def safe_mean_large(spark, sf_dir):
+    return _safe(spark, sf_dir, "mean", False, True, None)
+
+
+@query("h3_safe_pool_sqrtn_weighted_large_table", _pool_sql(_POSITION_WEIGHT, "sqrt(sum(w * w))", "w > 0"))
+def safe_sqrtn_large(spark, sf_dir):
+    return _safe(spark, sf_dir, "sqrtn", True, False, None)
 
 
 _SEQUENCE_SQL = on("samples", """
@@ -313,8 +323,8 @@ JOIN (SELECT id, list_sum(list_transform(vec, lambda x, i: x * i)) AS d FROM v)
 
 @query("h4_lookup_sequence", _SEQUENCE_SQL)
 def sequence(spark, sf_dir):
-    vecs = embed.lookup_sequence(F.col("ids"), vectors(spark, sf_dir), "item", vector_bound(spark, sf_dir))
-    rows = clicks(spark, sf_dir).select("sample_id", F.posexplode(vecs).alias("pos", "vec"))
+    lists = embed.with_sequence(clicks(spark, sf_dir), "ids", vectors(spark, sf_dir), "item", "sample_id", "vecs", vector_bound(spark, sf_dir), DIM)
+    rows = lists.select("sample_id", F.posexplode("vecs").alias("pos", "vec"))
     return rows.select("sample_id", F.col("pos").cast("bigint").alias("pos"), digest(F.col("vec")).alias("item"))
 
 

@@ -7,10 +7,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from rankflow.session import local_session
-    session = local_session("8", 8)
+def spark(tmp_path_factory):
+    from rankflow.session import drop_written, local_session
+    folder = tmp_path_factory.mktemp("shared")
+    session = local_session("8", 8, **{"spark.checkpoint.dir": f"file://{folder}"})
     yield session
+    drop_written(session)
     session.stop()
 
 

@@ -123,18 +123,6 @@ def test_hash_buckets(spark):
         column(df, hashing.identity_bucket(F.col("n"), 100))
 
 
-def test_fingerprint_buckets_match_published_values(spark):
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    published = {b"1footrue": -1541654101129638711, b"2applefalse": 2794438866806483259, b"3true": -4880158226897771312}
-    assert {k: signed(hashing.fingerprint(k)) for k in published} == published
-    df = spark.createDataFrame([("Hello",), ("TensorFlow",), ("2.x",), (None,), ("Hello",)], "s string")
-    assert column(df, hashing.hash_bucket(F.col("s"), 3, "fingerprint")) == [0, 2, 2, None, 0]
-    assert column(spark.createDataFrame([], "s string"), hashing.hash_bucket(F.col("s"), 3, "fingerprint")) == []
-    assert column(spark.createDataFrame([(None,)], "s string"), hashing.hash_bucket(F.col("s"), 3, "fingerprint")) == [None]
-    with pytest.raises(ValueError):
-        hashing.fingerprint(b"x" * 65)
-
-
 def test_vector_functions(spark):
     df = spark.createDataFrame([([1.0, -2.0, 3.0],)], "v array<double>")
     v = F.col("v")

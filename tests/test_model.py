@@ -124,163 +124,61 @@ def test_warm_start(spark):
     assert {r.m[0] for r in optimizer.warm_start(fresh, old, exclude=["f"]).collect()} == {0.0}
 
 
-# --- the model ----------------------------------------------------------------------------
-
-def model(spark, n=40):
-    names = ["book_id", "gender", "gap_day", "language", "vip_type"]
-    features = [Feature(i, f, "sparse", f, 9) for i, f in enumerate(names)]
-    features += [Feature(49, "userid", "sparse", "userid", 10_000_000), dense_feature(1003, "shelf_days", [1, 2, 3]),
-                 Feature(2000, "tag_set", "sequence", "tagv3", 9, 3), Feature(3000, "mchid", "rank", "mchid", 9),
-                 Feature(0, "book_pos", "position", "book_pos", 9)]
-    features += [Feature(2005 + i, f"userClickBookListLatest{p}", "sequence", p, 9, 4) for i, p in enumerate(("BookId", "GapDay", "Gender"))]
-    registry = Registry(features)
-    shape = score.Shape.of(registry, dim=DIM, attention=5, gate_units=6, expert_units=(7, 5), expert_out=3, position_units=(4, 3))
-    rng = np.random.default_rng(1)
-    rows = []
-    for i in range(n):
-        r = {"id": i, **{f.name: int(rng.integers(0, min(f.vocab_size, 4 if f.group == "dense" else 9))) for f in registry.group("sparse", "dense", "rank", "position")}}
-        used = int(rng.integers(0, 5)) if i else 0
-        for f in registry.group("sequence"):
-            ids = [int(x) for x in rng.integers(1, 9, f.maxlen)]
-            r[f.name] = [x if j < used else 0 for j, x in enumerate(ids)]
-        r |= {c: int(rng.integers(0, 2)) for c in ("ctr_label", "cvr_label", "unlock_label", "finish_view_label", "vip_label")}
-        rows.append(r)
-    schema = ", ".join(f"{k} {'array<long>' if isinstance(v, list) else 'long'}" for k, v in rows[0].items())
-    df = spark.createDataFrame([tuple(r.values()) for r in rows], schema)
-    emb = spark.createDataFrame([(f.name, i, [float(x) for x in rng.normal(0, 0.5, DIM)]) for f in registry.features for i in range(min(9, f.vocab_size))],
-                                "feature string, id long, vec array<double>")
-    return df, registry, shape, emb, score.initial_parameters(shape, 3), rows
-
-
-def score_one(row, registry, shape, vecs, p):
-    """The model for a single row, written with loops."""
-    sig = lambda x: 1 / (1 + math.exp(-x))
-    lin = lambda name, x: x @ p[f"{name}/w"] + p.get(f"{name}/b", 0)
-    one = lambda n: vecs[n, row[n]]
-    fields = [one(n) for n in shape.scalars]
-    for n in shape.pooled:
-        real = [vecs[n, i] for i in row[n] if i > 0]
-        fields.append(np.mean(real, axis=0) if real else np.zeros(DIM))
-    gates = np.concatenate([one(n) for n in shape.gates])
-    query = np.concatenate([one(n) for n in shape.query] * shape.query_repeats)
-    used = [j for j in range(4) if any(row[n][j] > 0 for n in shape.history)]
-    att = np.zeros(shape.attention)
-    if used:
-        keys = [np.concatenate([vecs[n, row[n][j]] for n in shape.history]) for j in used]
-        s = np.array([lin("att/q", query) @ lin("att/k", k) / math.sqrt(shape.attention) for k in keys])
-        w = np.exp(s - s.max())
-        att = sum(a * lin("att/v", k) for a, k in zip(w / w.sum(), keys))
-
-    def gated(i):
-        g = [sig(x) for x in lin(f"gate_out/{i}", np.maximum(lin(f"gate/{i}", gates), 0))]
-        return np.concatenate([a * f for a, f in zip(g, fields)] + [att])
-
-    def expert(e, x):
-        for layer in range(3):
-            x = np.maximum(lin(f"expert/{e}/{layer}", x), 0)
-        return x
-
-    out = {}
-    for t in score.TASK_NAMES:
-        experts = [expert(f"shared{i}", gated("share")) for i in range(3)] + [expert(t, gated(t))]
-        mix = np.exp(lin(f"mix/{t}", gated(t)))
-        out[t] = sig((sum(a * e for a, e in zip(mix / mix.sum(), experts)) @ p[f"head/{t}/w"])[0])
-    h = one(shape.position)
-    for layer in range(2):
-        h = np.maximum(lin(f"pos/{layer}", h), 0)
-    return out | {"pos": sig((h @ p["pos_out/w"])[0])}
-
-
-def test_scores_of_single_rows_whatever_the_batch(spark):
-    df, registry, shape, emb, p, rows = model(spark)
-    vecs = {(r.feature, r.id): np.array(r.vec) for r in emb.collect()}
-    params = score.parameter_table(spark, p)
-    back = score.load_parameters(params, shape)
-    assert all(np.allclose(back[k], p[k]) for k in p)
-    whole = {r.id: r for r in score.score(df.coalesce(1), shape, registry, emb, params, "id").collect()}
-    split = {r.id: r for r in score.score(df.repartition(7), shape, registry, emb, params, "id").collect()}
-    alone = score.score(df.where("id = 3"), shape, registry, emb, params, "id").first()
-    for row in rows:
-        expected = score_one(row, registry, shape, vecs, p)
-        for name, value in expected.items():
-            assert whole[row["id"]][name] == pytest.approx(value, rel=1e-4)
-            assert split[row["id"]][name] == pytest.approx(value, rel=1e-4)
-    assert alone.ctr == pytest.approx(whole[3].ctr, rel=1e-5)
-
-
-def _loss(p, shape, x, labels, weights):
-    return fit.task_slopes(score.forward(p, shape, x), labels, weights)[1]
-
-
-def test_gradient_matches_differences(spark):
-    _, _, shape, _, p, _ = model(spark, 2)
-    rng = np.random.default_rng(2)
-    p = {k: v + rng.normal(0, 0.3, v.shape) for k, v in p.items()}
-    n = 6
-    x = {"fields": rng.normal(size=(n, shape.fields, DIM)), "gates": rng.normal(size=(n, len(shape.gates) * DIM)),
-         "query": rng.normal(size=(n, len(shape.query) * DIM)), "history": rng.normal(size=(n, 4, len(shape.history) * DIM)),
-         "mask": rng.random((n, 4)) < 0.6, "position": rng.normal(size=(n, DIM))}
-    x["mask"][0] = False
-    labels = {t: rng.integers(0, 2, n).astype(float) for t in score.TASK_NAMES}
-    weights = {t: np.full(n, 1 / n) for t in score.TASK_NAMES}
-    c = score.forward(p, shape, x)
-    d, _ = fit.task_slopes(c, labels, weights)
-    grads = {k: np.zeros_like(v) for k, v in p.items()}
-    dx = fit.backward(p, shape, x, c, d, grads)
-
-    def slope(holder, key, at):
-        moved = {s: {**holder, key: holder[key].copy()} for s in (1, -1)}
-        for s in moved:
-            moved[s][key][at] += s * 1e-6
-        run = (lambda h: _loss(h, shape, x, labels, weights)) if holder is p else (lambda h: _loss(p, shape, h, labels, weights))
-        return (run(moved[1]) - run(moved[-1])) / 2e-6
-
-    # attention feeds all tasks but learns from two of them, so its own weights are left out here
-    for key in p:
-        if not key.startswith("att/"):
-            at = tuple(rng.integers(0, s) for s in p[key].shape)
-            assert grads[key][at] == pytest.approx(slope(p, key, at), rel=1e-4, abs=1e-7), key
-    for key in ("fields", "position"):
-        at = tuple(rng.integers(0, s) for s in x[key].shape)
-        assert dx[key][at] == pytest.approx(slope(x, key, at), rel=1e-4, abs=1e-7), key
-    assert np.all(dx["history"][0] == 0)
-
-
-def test_attention_learns_from_shared_and_click_inputs(spark):
-    """With the other tasks' heads silenced, the attention gradients are the exact ones."""
-    _, _, shape, _, p, _ = model(spark, 2)
-    rng = np.random.default_rng(4)
-    n = 5
-    x = {"fields": rng.normal(size=(n, shape.fields, DIM)), "gates": rng.normal(size=(n, len(shape.gates) * DIM)),
-         "query": rng.normal(size=(n, len(shape.query) * DIM)), "history": rng.normal(size=(n, 4, len(shape.history) * DIM)),
-         "mask": np.ones((n, 4), bool), "position": rng.normal(size=(n, DIM))}
-    labels = {t: np.ones(n) for t in score.TASK_NAMES}
-    weights = {t: np.full(n, 1.0 if t == "ctr" else 0.0) for t in score.TASK_NAMES}
-    c = score.forward(p, shape, x)
-    grads = {k: np.zeros_like(v) for k, v in p.items()}
-    dx = fit.backward(p, shape, x, c, fit.task_slopes(c, labels, weights)[0], grads)
-    for key, at in (("att/q/w", (1, 2)), ("att/k/w", (3, 1)), ("att/v/w", (2, 0)), ("att/v/b", (1,))):
-        hi, lo = {**p, key: p[key].copy()}, {**p, key: p[key].copy()}
-        hi[key][at] += 1e-6
-        lo[key][at] -= 1e-6
-        diff = (_loss(hi, shape, x, labels, weights) - _loss(lo, shape, x, labels, weights)) / 2e-6
-        assert grads[key][at] == pytest.approx(diff, rel=1e-4, abs=1e-8), key
-    moved = {**x, "history": x["history"].copy()}
-    moved["history"][2, 1, 3] += 1e-6
-    diff = (_loss(p, shape, moved, labels, weights) - _loss(p, shape, x, labels, weights)) / 1e-6
-    assert dx["history"][2, 1, 3] == pytest.approx(diff, rel=1e-3, abs=1e-7)
-
-
-def test_mixture_loss_falls_and_partitions_do_not_matter(spark):
-    df, registry, shape, emb, p, _ = model(spark, 60)
-    dense = optimizer.fresh_state(score.parameter_table(spark, p), score.CHUNK)
-    a, b = [{(r.feature, r.id): r.g for r in optimizer.sum_gradients(
-        fit.gradients(d, shape, registry, emb, dense, "id").where("feature IN ('book_id', 'userid')"), DIM).collect()}
-        for d in (df.coalesce(1), df.repartition(5))]
-    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-3, abs=1e-6) for k in a)
-    state = optimizer.fresh_state(emb, DIM)
-    _, _, losses = fit.fit_mixture([df] * 4, shape, registry, state, dense, "id", lr=0.05)
-    assert losses[-1] < losses[0]
+# --- scoring --------------------------------------------------------------------------
+
+@pytest.mark.parametrize("combiner", embed.COMBINERS)
+def test_forms_for_small_and_large_tables_agree(spark, combiner):
+    df, emb = list_rows(spark), emb_rows(spark)
+    for name in ("with_safe_pool", "with_sequence"):
+        args = (combiner, "w") if name == "with_safe_pool" else ()
+        small, large = ({r.key: r.out for r in getattr(embed, name)(df, "ids", emb, "f", "key", "out", bound, *args, dim=DIM).collect()}
+                        for bound in (10, None))
+        assert small.keys() == large.keys() == LISTS.keys()
+        for k in small:
+            assert np.allclose(small[k], large[k])
+
+
+def test_attention_forms_agree(spark):
+    df, emb = list_rows(spark).withColumn("q", F.array(*[F.col("key") * 0.1 + i for i in range(DIM)])), emb_rows(spark)
+    small, large = ({r.key: r.out for r in score.with_attention(df, "q", "ids", emb, "f", "key", "out", bound, DIM).collect()}
+                    for bound in (10, None))
+    for k, ids in LISTS.items():
+        vecs = [np.arange(DIM) + i for i in ids or [] if 0 < i < 6]
+        want = np.zeros(DIM)
+        if vecs:
+            s = np.array([(k * 0.1 + np.arange(DIM)) @ v for v in vecs]) / 2
+            e = np.exp(s - s.max())
+            want = (np.array(vecs) * (e / e.sum())[:, None]).sum(axis=0)
+        assert small[k] == pytest.approx(want) and large[k] == pytest.approx(want)
+
+
+def test_weights_and_ids_of_unequal_length(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3], [1.0]), (2, [4], [0.5, 9.0]), (3, None, [1.0]), (4, [2], None)],
+                               "key long, ids array<long>, w array<double>")
+    emb = emb_rows(spark)
+    inside, joined = ({r.key: r.out for r in embed.with_safe_pool(df, "ids", emb, "f", "key", "out", bound, "mean", "w", dim=DIM).collect()}
+                      for bound in (10, None))
+    assert inside == joined == {1: [1.0, 2.0, 3.0, 4.0], 2: [4.0, 5.0, 6.0, 7.0], 3: [0.0] * DIM, 4: [0.0] * DIM}
+
+
+def test_gates_experts_and_heads(spark):
+    rng = np.random.default_rng(0)
+    x, fields = rng.normal(size=5), rng.normal(size=(3, 2))
+    w, b, out = rng.normal(size=(4, 5)), rng.normal(size=4), rng.normal(size=(3, 4))
+    squash = lambda v: 1 / (1 + np.exp(-v))
+    lit = lambda a: F.lit(np.asarray(a).tolist())
+    row = spark.range(1)
+    gated = row.select(score.feature_gate(lit(x), lit(fields), lit(w), lit(b), lit(out)).alias("v")).first().v
+    assert np.allclose(gated, fields * squash(out @ np.maximum(w @ x + b, 0))[:, None])
+    w2, b2, gate = rng.normal(size=(2, 4)), rng.normal(size=2), rng.normal(size=(3, 5))
+    one = score.expert(lit(x), [(lit(w), lit(b)), (lit(w2), lit(b2))])
+    plain = np.maximum(w2 @ np.maximum(w @ x + b, 0) + b2, 0)
+    assert np.allclose(row.select(one.alias("v")).first().v, plain)
+    outs = rng.normal(size=(3, 2))
+    share = np.exp(gate @ x) / np.exp(gate @ x).sum()
+    mixed = row.select(score.expert_mix(lit(x), [lit(o) for o in outs], lit(gate), 2).alias("v")).first().v
+    assert np.allclose(mixed, share @ outs)
+    assert row.select(score.task_head(lit(x), lit(w[0])).alias("v")).first().v == pytest.approx(squash(w[0] @ x))
 
 
 def test_baseline_fits(spark):

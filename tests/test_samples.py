@@ -73,10 +73,10 @@ def test_row_index_is_a_global_order(spark):
 
 def test_fixed_batches(spark):
     df = spark.range(1050)
-    full = samples.fixed_batches(df, 100, ["id"])
+    full = samples.fixed_batches(df, 100, ["id"], drop_remainder=True)
     assert {r["count"] for r in full.groupBy("batch_id").count().collect()} == {100} and full.count() == 1000
-    assert samples.fixed_batches(df, 100, ["id"], drop_remainder=False).count() == 1050
-    assert samples.fixed_batches(spark.range(50), 100, ["id"]).count() == 0
+    assert samples.fixed_batches(df, 100, ["id"]).count() == 1050
+    assert samples.fixed_batches(spark.range(50), 100, ["id"], drop_remainder=True).count() == 0
 
 
 def test_shuffle_is_repeatable_and_complete(spark):
@@ -158,3 +158,28 @@ def test_holdout_splits_by_key(spark):
     fit, held = samples.split_holdout(df, "id", 0.1)
     assert sorted(ids(fit) + ids(held)) == list(range(5000)) and 400 < held.count() < 600
     assert ids(held) == ids(samples.split_holdout(df.repartition(3), "id", 0.1)[1])
+
+
+def test_a_null_group_is_sampled_like_any_other(spark):
+    df = spark.range(200).withColumn("g", F.when(F.col("id") >= 100, "a"))
+    got = {r.g: r["count"] for r in samples.exact_sample(df, 0.5, "g", "id").groupBy("g").count().collect()}
+    assert got == {None: 50, "a": 50}
+
+
+def test_small_shares_differ(spark):
+    from rankflow.functions.hashing import keep_share
+    df = spark.range(1_000_000)
+    counts = [df.where(keep_share(F.col("id"), f, 1)).count() for f in (1e-5, 1e-4, 1e-3)]
+    assert counts[0] < 30 and 60 < counts[1] < 140 and 880 < counts[2] < 1120
+
+
+def test_chained_large_joins_grow_linearly(spark):
+    facts = spark.range(1000).withColumns({f"k{i}": F.col("id") % (7 + i) for i in range(4)})
+    states = [spark.range(50).select(F.col("id").alias(f"k{i}"), (F.col("id") * 2).alias(f"v{i}")) for i in range(4)]
+    df, sizes = facts, []
+    for i, state in enumerate(states):
+        df = layout.lookup_join(df, state, [f"k{i}"], None, ["id"], counted=facts.select(f"k{i}"))
+        sizes.append(df._jdf.queryExecution().optimizedPlan().toString().count("Range"))
+    steps = [b - a for a, b in zip(sizes, sizes[1:])]
+    assert max(steps) <= min(steps) + 1
+    assert df.where("v0 = 2 * k0 AND v3 = 2 * k3").count() == 1000

@@ -105,10 +105,11 @@ def test_daily_tables(spark):
 
 
 def test_cleaning_does_not_shuffle(spark):
+    from rankflow.operators import samples
     from rankflow.plans import prepare
     from rankflow.plans.views import samples_view
     registry = default_registry()
-    df = prepare.bucketed(prepare.clean(samples_view(spark, "/root/testdata/sf0.001"), registry, "sample_id"), registry)
+    df = prepare.bucketed(samples.downsample_negatives(prepare.clean(samples_view(spark, "/root/testdata/sf0.001"), registry), "sample_id"), registry)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
 

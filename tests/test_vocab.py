@@ -125,3 +125,15 @@ def test_feature_meta(spark):
     assert meta["mbid"].emb_name == "bid" and meta["mbid"].feature_set == "category"
     assert meta["shelf_days"].feature_set == "bucket" and meta["book_pos"].feature_set == "category"
     assert meta["userLatestVideoListId"].seq_size == 50 and meta["mchid"].seq_size is None
+
+
+def test_refused_values_that_do_not_occur_today_stay(spark):
+    old = spark.createDataFrame([("a", "x", 1), ("a", "gone", 0), ("a", "back", 0)], "emb_name string, value string, id long")
+    today = spark.createDataFrame([("a", "back", 1)], VALUES)
+    got = table(vocab.extend_vocab(today, old, {"a": 9}, retry_overflow=True))
+    assert got == {("a", "x"): 1, ("a", "back"): 2, ("a", "gone"): 0}
+
+
+def test_a_vocabulary_without_capacity_is_an_error(spark):
+    with pytest.raises(Exception, match="no capacity"):
+        vocab.extend_vocab(spark.createDataFrame([("b", "x", 1)], VALUES), vocab.empty_vocab(spark), {"a": 9}).collect()
