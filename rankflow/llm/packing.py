@@ -20,7 +20,7 @@ MIN_CUT = 32
 FAN_IN = 16
 END_ID = 2
 # Words remembered per task; a cache only.
-CACHE = 250_000
+CACHE = 400_000
 WIDTH = 4
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
@@ -32,8 +32,9 @@ DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, s
 class WordEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes, through a tokenizers file.
 
-    The vocabulary's splitting never lets a token cross a space or a line feed, so a text's ids are those of its parts
-    between them; each distinct part is encoded once and remembered.
+    The vocabulary lower-cases and its splitting never lets a token cross a space or a line feed, nor join a letter with the
+    punctuation behind it.  A text's ids are then those of its words, in lower case and without the signs at their end, and of
+    these signs; each distinct one is encoded once and remembered.
     """
 
     def __init__(self, path: str):
@@ -41,18 +42,41 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {"": b""}
-        new = list({p for ps in parts for p in ps}.difference(self.known))
+        self.parts: dict[bytes, bytes] = {b"": b""}  # between spaces
+        self.older: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {b"": b""}
+
+    def _encode(self, words: list[bytes]) -> None:
+        if len(self.words) > CACHE:
+            self.words = {b"": b""}
+        new = list({w for w in words if w not in self.words})
         for i in range(0, len(new), 4096):
             some = new[i:i + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, ps)) for ps in parts]
+            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
+            for w, e in zip(some, found, strict=True):
+                self.words[w] = np.array(e.ids, "<u4").tobytes()
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        # only A-Z are lowered here, which changes no id
+        split = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
+        if len(self.parts) > CACHE:
+            # what is still in use comes back from the older half
+            self.parts, self.older = {b"": b""}, self.parts
+        parts, older = self.parts, self.older
+        unseen = set().union(*split).difference(parts)
+        new = []
+        for p in unseen:
+            ids = older.get(p)
+            if ids is None:
+                head = p.rstrip(b".,;:!?%&*#$")
+                new.append((p, head, p[len(head):]) if head[-1:].isalpha() else (p, p, b""))
+            else:
+                parts[p] = ids
+        self._encode([h for _, h, _ in new] + list({t for _, _, t in new}))
+        words = self.words
+        for p, head, tail in new:
+            parts[p] = words[head] + words[tail]
+        return [b"".join(map(parts.__getitem__, ps)) for ps in split]
 
 
 class _Packer:
