@@ -32,6 +32,8 @@ LEAST_BUCKETS = 64
 # Bytes whose suffixes are sorted together, and distinct pieces of one key beyond which its strings are dealt out one by one.
 BLOCK = 1 << 20
 CROWD = 4096
+# Documents whose pieces are compared with one another before they travel.
+CUT_ROWS = 2000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _CODES = np.random.default_rng(2024).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -275,7 +277,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of text (kind 0) by key; of equal pieces in a batch only the smallest document's, the others are settled (1)."""
-        for batch in batches:
+        for batch in (b.slice(at, CUT_ROWS) for b in batches for at in range(0, b.num_rows, CUT_ROWS)):
             rows: list[tuple] = []
             first_owner: dict[tuple[int, bytes], int] = {}
             for doc, body, text, lists in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "body", "text", "runs")], strict=True):
