@@ -180,15 +180,15 @@ def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
     return root
 
 
-def _blocks(prints: DataFrame, masks: list[int], block: int) -> DataFrame:
-    """Rows (t, key, i, j, side, fp, node): the chunks of every block that are compared with one another.
+def _blocks(prints: DataFrame, masks: list[int], block: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (t, key, i, j, side, fp, node and the columns `more`): the chunks of every block that are compared with one another.
 
     A block of up to `block` fingerprints is one chunk.  A larger one is dealt into chunks by a hash, and each pair of chunks is
     compared in a group of its own, so that no task holds the whole block and no pair is lost.
     """
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
                        for t, m in enumerate(masks)])
-    rows = prints.select("fp", "node", F.explode(tables).alias("k")).select("fp", "node", "k.t", "k.key")
+    rows = prints.select("fp", "node", *more, F.explode(tables).alias("k")).select("fp", "node", *more, "k.t", "k.key")
     # blocks to split; Spark broadcasts their table only if its written size allows
     large = written(rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
                     .select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("chunks")), "large_blocks")
@@ -198,11 +198,11 @@ def _blocks(prints: DataFrame, masks: list[int], block: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1))
     rows = rows.withColumn("d", other)
     return rows.select("t", "key", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"),
-                       (F.col("c") > F.col("d")).cast("int").alias("side"), "fp", "node")
+                       (F.col("c") > F.col("d")).cast("int").alias("side"), "fp", "node", *more)
 
 
 def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
-    """Runs `found(fps, run, side, node)`, which returns arrays, over whole groups of blocks, a batch of rows at a time."""
+    """Runs `found(fps, run, rows)`, which returns arrays, over whole groups of blocks, a batch of rows at a time."""
     group = ["t", "key", "i", "j"]
     dealt = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
     names = [c.split()[0] for c in schema.split(", ")]
@@ -213,7 +213,7 @@ def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
         change = np.zeros(len(fps), bool)
         for k in keys:
             change[1:] |= k[1:] != k[:-1]
-        out = found(fps, np.cumsum(change), tab["side"].to_numpy(), tab["node"].to_numpy())
+        out = found(fps, np.cumsum(change), tab)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
 
     def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,8 +239,9 @@ def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
 
 def _edges(blocks: DataFrame, radius: int) -> DataFrame:
     """A spanning forest of the links in each group of a block, as (a, b) of nodes."""
-    def forest(fps, run, side, node):
-        root = _forest(len(fps), close_pairs(fps, run, side, radius))
+    def forest(fps, run, rows):
+        node = rows["node"].to_numpy()
+        root = _forest(len(fps), close_pairs(fps, run, rows["side"].to_numpy(), radius))
         leaf = np.flatnonzero(root != np.arange(len(root)))
         return node[leaf], node[root[leaf]]
 
@@ -273,6 +274,11 @@ def simhash_components(docs: DataFrame, words: int = 4, radius: int = 4, seed: i
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time."""
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     """The sorted distinct 32-bit hashes of a text's shingles (cut as for the fingerprint)."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -282,34 +288,41 @@ def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(parts[i:i + words])) for i in range(max(len(parts) - words + 1, 1))], np.uint32))
 
 
-def _closest(blocks: DataFrame, radius: int, closest: int) -> DataFrame:
-    """Candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there within `radius`."""
-    def pairs(fps, run, side, node):
-        a, b = [], []
-        for x, y in close_pairs(fps, run, side, radius):
-            a.append(x)
-            b.append(y)
-        if not a:
+def _closest(blocks: DataFrame, radius: int, both: int, closest: int) -> DataFrame:
+    """Candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there.
+
+    Neighbours differ in at most `radius` bits of this fingerprint and in at most `both` of this and the `other` one together.
+    """
+    def pairs(fps, run, rows):
+        node, other = rows["node"].to_numpy(), rows["other"].to_numpy().view(np.uint64)
+        low, high, far, of = [], [], [], []
+        for x, y in close_pairs(fps, run, rows["side"].to_numpy(), radius):
+            bits = np.bitwise_count(fps[x] ^ fps[y]).astype(np.int64) + np.bitwise_count(other[x] ^ other[y])
+            near = bits <= both
+            x, y = x[near], y[near]
+            low.append(np.minimum(node[x], node[y]))
+            high.append(np.maximum(node[x], node[y]))
+            far.append(bits[near])
+            of.append(run[x])
+        if not low:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        x, y = np.concatenate(a), np.concatenate(b)
-        low, high = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-        far = np.bitwise_count(fps[x] ^ fps[y])
-        order = np.lexsort((low, far, high, run[x]))
-        low, high, of = low[order], high[order], run[x][order]
-        heads = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (of[1:] != of[:-1])])
+        low, high, far, of = (np.concatenate(v) for v in (low, high, far, of))
+        order = np.lexsort((low, far, high, of))
+        low, high, of = low[order], high[order], of[order]
+        heads = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (of[1:] != of[:-1])][:len(low)])
         rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.r_[heads, len(low)]))
         return low[rank < closest], high[rank < closest]
 
     return _in_runs(blocks, pairs, "a long, b long").where("a <> b")
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 18, tables: int = 48, key_bits: int = 13,
-                closest: int = 3, seeds: tuple[int, ...] = (42, 43), block: int = BLOCK) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 18, both: int = 30, tables: int = 48,
+                key_bits: int = 13, closest: int = 2, seeds: tuple[int, int] = (42, 43), block: int = BLOCK) -> DataFrame:
     """(doc_id, component_id): documents joined by links of a Jaccard similarity of `similarity` or more of their word shingles.
 
     Two texts at 0.8 differ in about ten of 64 fingerprint bits, too many for a complete search.  So each of `seeds` gives a
     fingerprint of its own, and candidates are found in `tables` tables of each, keyed by `key_bits` bits drawn at random, and
-    compared bit-sliced there.  Every document offers its `closest` neighbours of each group, which spans a group of copies without
+    compared bit-sliced there: `radius` bits of the one and `both` bits of the two together may differ.  Every document offers its `closest` neighbours of each group, which spans a group of copies without
     listing its pairs; every link is verified on the whole shingle sets.  Texts of the same words in order are copies of one
     another, and so are texts without words.  Rows with a null doc_id are left out.
     """
@@ -317,7 +330,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     names = [f"fp{i}" for i in range(len(seeds))]
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             texts = batch.column(1).to_pylist()
             made = [[fingerprint(t, words, s, True) for t in texts] for s in seeds]
             made.append([xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in texts])
@@ -327,17 +340,18 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     fp = written(own.mapInArrow(prints, "doc_id long, " + "".join(f"{n} long, " for n in names) + "body long"), "fingerprints")
     nodes = written(fp.groupBy(*names, "body").agg(F.min("doc_id").alias("node")), "nodes")
     pairs = None
-    for name, seed in zip(names, seeds, strict=True):
+    for name, other, seed in zip(names, reversed(names), seeds, strict=True):
         random = np.random.default_rng(seed)
         masks = [sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)]
-        some = _closest(_blocks(nodes.select(F.col(name).alias("fp"), "node"), masks, block), radius, closest)
+        own_rows = nodes.select(F.col(name).alias("fp"), "node", F.col(other).alias("other"))
+        some = _closest(_blocks(own_rows, masks, block, ("other",)), radius, both, closest)
         pairs = some if pairs is None else pairs.union(some)
     pairs = written(pairs.distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     leads = own.join(wanted, "doc_id").select("doc_id", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in
                                                                          batch.column(1).to_pylist()], pa.binary())],
                                              names=["doc_id", "shingles"])
@@ -347,7 +361,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     right = held.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             keep = []
             for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(s, np.uint32), np.frombuffer(t, np.uint32)
