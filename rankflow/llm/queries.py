@@ -102,7 +102,22 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"))
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    c AS (SELECT doc_id, n, f, substr(h, 2 * f + 1, 612) AS part FROM (SELECT doc_id, n, h, unnest(range(0, n - 49, 256)) AS f FROM d WHERE n >= 50)),
+    w AS (SELECT doc_id, f + q AS p, substr(part, 2 * q + 1, 100) AS s
+          FROM (SELECT doc_id, f, part, unnest(range(0, least(256, n - 49 - f))) AS q FROM c)),
+    m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+    g AS (SELECT doc_id, p FROM w JOIN m USING (s) WHERE least < doc_id),
+    i AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM g),
+    r AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM i),
+    x AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM r GROUP BY doc_id, run),
+    y AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM x),
+    k AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+                 string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) AS head FROM y JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+           sha256(unhex(concat(coalesce(head, ''), substr(h, 2 * coalesce(last, 0) + 1)))) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)""")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
