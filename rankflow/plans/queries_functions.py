@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankflow.functions import hashing, numeric, text, vectors
+from rankflow.plans import prepare
 from rankflow.plans.catalog import digest, digest_sql, md5_sql, on, query
 from rankflow.plans.views import samples_view, table
-from rankflow.registry import default_registry
+from rankflow.registry import default_registry, load_dense_spec
+from rankflow.session import new_path
 
 REGISTRY = default_registry()
 
@@ -41,6 +43,24 @@ def bucketize_lines(spark, sf_dir):
     return cut.groupBy(*_LINE_CUTS).agg(F.count(F.lit(1)).alias("n"))
 
 
+# 228 features over the numbers of a line, each with 19 boundaries of its own.
+_WIDE = {f"f{i}": (f"l_extendedprice * {1 + i % 7} + l_quantity * {i}", [1000.0 * (i % 5 + 1) * (k + 1) for k in range(19)]) for i in range(228)}
+
+
+@query("d1_bucketize_wide", "SELECT l_orderkey, l_linenumber, cast(" + " + ".join(
+    f"{i + 1} * len(list_filter({cuts}, lambda b: b <= {e}))" for i, (e, cuts) in enumerate(_WIDE.values())) + " AS BIGINT) AS cut FROM lineitem")
+def bucketize_wide(spark, sf_dir):
+    """All dense columns at full width in one projection, with boundaries from a stored spec."""
+    path = new_path(spark, "dense_spec")
+    spec = [(5000 + i, name, cuts) for i, (name, (_, cuts)) in enumerate(_WIDE.items())]
+    spark.createDataFrame(spec, "slot_id int, name string, boundaries array<double>").coalesce(1).write.option(
+        "ignoreNullFields", "false").json(path)
+    registry = REGISTRY.with_dense(load_dense_spec(spark, path))
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", *[f"{e} AS {n}" for n, (e, _) in _WIDE.items()])
+    cut = prepare.bucketed(rows, registry)
+    return cut.select("l_orderkey", "l_linenumber", sum((F.col(n) * (i + 1) for i, n in enumerate(_WIDE)), F.lit(0)).cast("bigint").alias("cut"))
+
+
 @query("d2_min_max", """
 SELECT o_orderkey, round((o_totalprice - (SELECT min(o_totalprice) FROM orders)) / (SELECT max(o_totalprice) - min(o_totalprice) FROM orders), 6) AS scaled FROM orders""")
 def min_max(spark, sf_dir):
@@ -58,11 +78,21 @@ def quantile_scale(spark, sf_dir):
         "o_orderkey", F.round(numeric.quantile_scale(F.col("o_totalprice"), _PRICES), 6).alias("scaled"))
 
 
-@query("d3_fit_quantiles")
+@query("d3_fit_quantiles", """
+SELECT c AS name, i::INT AS part, count(*) > 0 AS close FROM (SELECT unnest(['l_extendedprice', 'l_partkey']) AS c),
+  (SELECT unnest(range(1, 10)) AS i), lineitem GROUP BY 1, 2""")
 def fit_quantiles(spark, sf_dir):
+    """Per cut, whether its rank is within the accuracy of the tenth it stands for."""
     lines = table(spark, sf_dir, "lineitem")
-    cuts = numeric.fit_quantiles(lines, ["l_extendedprice", "l_quantity"], 10)
-    return numeric.bucketize(lines.select(*cuts), cuts).groupBy("l_extendedprice").agg(F.count(F.lit(1)).alias("n"))
+    cuts = numeric.fit_quantiles(lines, ["l_extendedprice", "l_partkey"], 10)
+    n = lines.count()
+    wanted = [(c, i, v) for c, vs in cuts.items() for i, v in enumerate(vs, 1)]
+    share = [(F.avg((F.col(c) < v).cast("double")).alias(f"b{k}"), F.avg((F.col(c) <= v).cast("double")).alias(f"u{k}"))
+             for k, (c, _, v) in enumerate(wanted)]
+    row = lines.agg(*[x for pair in share for x in pair]).first()
+    slack = 1 / 1000 + 1 / n
+    close = [row[f"b{k}"] - slack <= i / 10 <= row[f"u{k}"] + slack for k, (_, i, _) in enumerate(wanted)]
+    return spark.createDataFrame([(c, i, x) for (c, i, _), x in zip(wanted, close, strict=True)], "name string, part int, close boolean")
 
 
 @query("d4_inverse_scale", """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rankflow.operators import embed, fit, metrics, samples, score
 from rankflow.plans.catalog import digest, digest_sql, md5_sql, on, query
 from rankflow.plans.queries_samples import labelled
-from rankflow.plans.queries_state import _CLICKS, _V, DIM, clicks, vector_bound, vectors
+from rankflow.plans.queries_state import _CLICKS, _V, _ZERO, DIM, clicks, vector_bound, vectors
 from rankflow.plans.views import SCORE_COLUMNS, samples_view, table
 from rankflow.session import new_path, written
 from rankflow.sources import state
@@ -60,8 +60,8 @@ def report_overall(spark, sf_dir):
 _ATTENTION_SQL = on("samples", f"""
 SELECT clicks.sample_id, round(coalesce(s, 0), 6) + 0.0::DOUBLE AS attended FROM clicks LEFT JOIN (
   SELECT sample_id, sum(exp(score) * d) / sum(exp(score)) AS s FROM (
-    SELECT sample_id, list_dot_product(q.vec, v.vec) / 8.0 AS score, list_sum(list_transform(v.vec, lambda x, i: x * i)) AS d
-    FROM (SELECT sample_id, k, unnest(ids) AS id FROM clicks) c JOIN v ON v.id = c.id JOIN v q ON q.id = c.k WHERE c.id > 0)
+    SELECT sample_id, list_dot_product(coalesce(q.vec, {_ZERO}), v.vec) / 8.0 AS score, list_sum(list_transform(v.vec, lambda x, i: x * i)) AS d
+    FROM (SELECT sample_id, k, unnest(ids) AS id FROM clicks) c JOIN v ON v.id = c.id LEFT JOIN v q ON q.id = c.k WHERE c.id > 0)
   GROUP BY sample_id) USING (sample_id)""", clicks=_CLICKS, v=_V)
 
 
@@ -97,15 +97,16 @@ def chain(spark, sf_dir):
     return raw_scored(spark, sf_dir).select("sample_id", *[F.round(c, 6).alias(n) for n, c in products.items()])
 
 
-_DOT_SQL = on("samples", """
-SELECT sample_id, round(a.vec[64], 6) AS actor_bias, round(1 / (1 + exp(-(a.vec[64] + b.vec[64] + list_dot_product(a.vec[1:63], b.vec[1:63])
-  + play))), 6) AS score FROM (SELECT sample_id, cast(userid AS BIGINT) AS u, cast(substr(book_id, 2) AS BIGINT) AS k, coalesce(play_ratio, 0) AS play FROM samples) s
-JOIN v a ON a.id = s.u JOIN v b ON b.id = s.k""", v=_V)
+_DOT_SQL = on("samples", f"""
+SELECT sample_id, round(a[64], 6) + 0.0::DOUBLE AS actor_bias, round(1 / (1 + exp(-(a[64] + b[64] + list_dot_product(a[1:63], b[1:63]) + play))), 6) AS score
+FROM (SELECT sample_id, coalesce(a.vec, {_ZERO}) AS a, coalesce(b.vec, {_ZERO}) AS b, play
+  FROM (SELECT sample_id, cast(userid AS BIGINT) AS u, cast(substr(book_id, 2) AS BIGINT) * 31 AS k, coalesce(play_ratio, 0) AS play FROM samples) s
+  LEFT JOIN v a ON a.id = s.u LEFT JOIN v b ON b.id = s.k)""", v=_V)
 
 
 def _dot(spark: SparkSession, sf_dir: str, bound: int | None) -> DataFrame:
     rows = samples_view(spark, sf_dir).select("sample_id", F.col("userid").cast("bigint").alias("u"),
-                                              F.substring("book_id", 2, 20).cast("bigint").alias("k"),
+                                              (F.substring("book_id", 2, 20).cast("bigint") * 31).alias("k"),
                                               F.coalesce("play_ratio", F.lit(0.0)).alias("play"))
     out = score.dot_score(rows, vectors(spark, sf_dir), ("u", "item"), ("k", "item"), (bound, bound), "sample_id", DIM, ["play"])
     return rounded(out, "actor_bias", "score").select("sample_id", "actor_bias", "score")

@@ -223,19 +223,22 @@ def vector_bound(spark: SparkSession, sf_dir: str) -> int:
 
 
 _V = "SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings"
-# ids from the click list: the number in the item, 0 (not kept) for items that are no number
+# vectors of unknown ids
+_ZERO = f"list_transform(range(0, {DIM}), lambda i: 0.0::DOUBLE)"
+# ids from the click list: 31 times the number in the item, so that many are unknown; 0 (not kept) for items that are no number
 _CLICKS = ("SELECT sample_id, k, list_transform(string_split(replace(coalesce(userclickbooklistlatestbookid, ''), '_', ','), ','), "
-           "lambda x: coalesce(try_cast(substr(x, 2) AS BIGINT), 0)) AS ids FROM (SELECT *, cast(substr(book_id, 2) AS BIGINT) AS k FROM samples)")
+           "lambda x: coalesce(try_cast(substr(x, 2) AS BIGINT) * 31, 0)) AS ids FROM (SELECT *, cast(substr(book_id, 2) AS BIGINT) * 31 AS k FROM samples)")
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.split(F.translate(F.coalesce("userclickbooklistlatestbookid", F.lit("")), "_", ","), ",")
-    ids = F.transform(items, lambda x: F.coalesce(F.substring(x, 2, 20).try_cast("bigint"), F.lit(0)))
-    rows = samples_view(spark, sf_dir).select("sample_id", F.substring("book_id", 2, 20).cast("bigint").alias("k"), ids.alias("ids"))
+    ids = F.transform(items, lambda x: F.coalesce(F.substring(x, 2, 20).try_cast("bigint") * 31, F.lit(0)))
+    k = F.substring("book_id", 2, 20).cast("bigint") * 31
+    rows = samples_view(spark, sf_dir).select("sample_id", k.alias("k"), ids.alias("ids"))
     return for_heavy_work(rows)
 
 
-_LOOKUP_SQL = on("samples", f"SELECT sample_id, {digest_sql('vec')} AS item FROM clicks JOIN v ON v.id = clicks.k", clicks=_CLICKS, v=_V)
+_LOOKUP_SQL = on("samples", f"SELECT sample_id, {digest_sql(f'coalesce(vec, {_ZERO})')} AS item FROM clicks LEFT JOIN v ON v.id = clicks.k", clicks=_CLICKS, v=_V)
 
 
 @query("h1_lookup", _LOOKUP_SQL)
@@ -317,8 +320,8 @@ def safe_sqrtn_large(spark, sf_dir):
 
 
 _SEQUENCE_SQL = on("samples", """
-SELECT sample_id, pos, round(d, 6) + 0.0::DOUBLE AS item FROM (SELECT sample_id, unnest(ids) AS id, unnest(range(0, len(ids))) AS pos FROM clicks)
-JOIN (SELECT id, list_sum(list_transform(vec, lambda x, i: x * i)) AS d FROM v) USING (id)""", clicks=_CLICKS, v=_V)
+SELECT sample_id, pos, round(coalesce(d, 0), 6) + 0.0::DOUBLE AS item FROM (SELECT sample_id, unnest(ids) AS id, unnest(range(0, len(ids))) AS pos FROM clicks)
+LEFT JOIN (SELECT id, list_sum(list_transform(vec, lambda x, i: x * i)) AS d FROM v) USING (id)""", clicks=_CLICKS, v=_V)
 
 
 @query("h4_lookup_sequence", _SEQUENCE_SQL)

@@ -6,7 +6,6 @@ DataFrame where a query needs to join against it.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -270,10 +269,13 @@ def dense_feature(slot_id: int, name: str, boundaries: Sequence[float]) -> Featu
     return Feature(slot_id, name, "dense", name, len(cuts) + 1, boundaries=cuts)
 
 
-def load_dense_spec(path: str) -> list[tuple[int, str, list[float]]]:
-    """Read a JSON list of {"slot_id", "name", "boundaries"} objects for `with_dense`."""
-    with open(path, encoding="utf-8") as f:
-        return [(r["slot_id"], r["name"], r["boundaries"]) for r in json.load(f)]
+def load_dense_spec(spark: SparkSession, path: str) -> list[tuple[int, str, list[float]]]:
+    """Read {"slot_id", "name", "boundaries"} objects for `with_dense`, one or a list of them per line, wherever Spark can read.
+
+    There is one row per feature, a few hundred in all.
+    """
+    rows = spark.read.schema("slot_id int, name string, boundaries array<double>").json(path).collect()
+    return sorted((r.slot_id, r.name, r.boundaries) for r in rows)
 
 
 def default_registry() -> Registry:
