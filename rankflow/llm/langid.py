@@ -21,7 +21,11 @@ PAD = 256
 SEGMENT = 96
 # Segments that run through the network together.
 TOGETHER = 1024
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # a few signs of this kind, such as ², are no letters
+
+
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -154,7 +158,7 @@ def train_langid(docs: DataFrame, modulus: int = 4, remainder: int = 2, rows_per
             for doc, lang, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
                 random = np.random.default_rng([seed, doc & 0xFFFFFFFF])
-                if _LETTER.search(text):
+                if has_letter(text):
                     out += [(doc, lang, raw[a:a + length]) for a in
                             sorted({int(a) for a in random.integers(0, max(len(raw) - length, 0) + 1, per_document)})]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()),
@@ -212,7 +216,7 @@ def label_documents(docs: DataFrame, model: dict, pred: str = "lang_pred", score
 
             for i, t in enumerate(texts):
                 text = t.as_py()
-                if not langs or text is None or not _LETTER.search(text):
+                if not langs or text is None or not has_letter(text):
                     continue
                 raw = text.encode("utf-8", "surrogatepass")
                 for at in range(0, len(raw), SEGMENT * TOGETHER):  # a very long text goes through in several pieces

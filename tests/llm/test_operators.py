@@ -263,6 +263,7 @@ def test_language_id(spark, docs, nothing):
         assert 0 <= out[i][1] <= 1 and sum(out[i][2].values()) == len(text.encode())
     edge = by_id(langid.label_documents(docs, model), "lang_pred", "score")
     assert all((edge[i][0] == "und") == (i in (0, 1, 2, 3)) for i in edge)
+    assert not langid.has_letter("² ½ 12 _") and langid.has_letter("² é")
     assert langid.label_documents(nothing, model).count() == 0
     assert by_id(langid.label_documents(docs, langid.train_langid(nothing)), "lang_pred", "score")[5] == ("und", 0.0)
 
