@@ -346,8 +346,9 @@ def shards(spark, sf_dir):
 
 
 @query("h6_assemble", on("samples", f"""
-SELECT sample_id, 192 AS width, {digest_sql('list_concat(a.vec, b.vec, a.vec)')} AS assembled FROM clicks
-JOIN v a ON a.id = clicks.k JOIN v b ON b.id = clicks.k + 1""", clicks=_CLICKS, v=_V))
+SELECT sample_id, 192 AS width, {digest_sql('list_concat(a, b, a)')} AS assembled FROM (
+  SELECT sample_id, coalesce(a.vec, {_ZERO}) AS a, coalesce(b.vec, {_ZERO}) AS b FROM clicks
+  LEFT JOIN v a ON a.id = clicks.k LEFT JOIN v b ON b.id = clicks.k + 1)""", clicks=_CLICKS, v=_V))
 def assembled(spark, sf_dir):
     emb, bound = vectors(spark, sf_dir), vector_bound(spark, sf_dir)
     rows = clicks(spark, sf_dir).withColumn("next", F.col("k") + 1)
