@@ -1,4 +1,6 @@
-"""Every registered query against its SQL twin."""
+"""Every registered query against its SQL twin; those of the training-data operators have tests of their own."""
+
+import re
 
 import pytest
 
@@ -11,7 +13,7 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)))
 def test_query(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, entry.queries()[name], entry.oracle_sql().get(name)) == ""
 
