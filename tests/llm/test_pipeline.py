@@ -8,9 +8,10 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from rankflow.llm import simhash
-from rankflow.llm.queries import QUERIES
+from rankflow.llm.queries import ORACLE, QUERIES
 from rankflow.llm.suffix_dedup import brute_force
 from rankflow.session import written
+from tests.compare import compare, duck
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +71,23 @@ def test_all_documents_are_packed(stages):
     assert (totals.n == totals.of).all()
 
 
-def test_queries_are_registered(spark, sf_dir):
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_against_its_sql_twin(spark, sf_dir, name):
+    assert compare(spark, duck(sf_dir), sf_dir, QUERIES[name], ORACLE[name]) == ""
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("op2_sentencepiece", {"parity", "round_trip"}), ("op3_secrets", {"n_assign", "n_access", "n_hex", "base_sha256", "spans"}),
+    ("op4_packing", {"start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}),
+    ("op8_simhash", {"fingerprint", "component_id"}), ("op10_quality", {"held_out", "score", "predicted"})])
+def test_query_covers_all_documents(spark, sf_dir, name, columns):
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    assert columns | {"doc_id"} <= set(got.columns)
+    assert set(got.doc_id) == set(spark.read.parquet(f"{sf_dir}/documents.parquet").toPandas().doc_id)
+    if name == "op2_sentencepiece":
+        assert got.parity.all() and got.round_trip.all()
+
+
+def test_queries_are_registered():
     assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in QUERIES if k.startswith("op")}
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in QUERIES
