@@ -137,6 +137,11 @@ class Codec:
         self.word = re.compile(f"{MARK}+[^{MARK}]*")
         self.known: dict[str, bytes] = {}
         self.wrong: set[str] = set()
+        # for decoding word by word: pieces that start a word, and a decoder that leaves the first blank
+        self.starts = np.array([p["text"].startswith(MARK) for p in self.model["pieces"]])
+        from tokenizers import decoders
+        self.plain.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
+        self.read: dict[bytes, str] = {}
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """Ids as little-endian unsigned 32-bit bytes, and whether the original library gives the same ones."""
@@ -162,8 +167,20 @@ class Codec:
                 [not wrong or wrong.isdisjoint(ws) for ws in words])
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
-        """Texts of id lists; control pieces leave nothing, unknown pieces what the original prints for them."""
-        return self.tokenizer.decode_batch([a.tolist() for a in ids], skip_special_tokens=False) if ids else []
+        """Texts of id lists.  Where words can be encoded one by one they can be decoded so too, and each is decoded once."""
+        if not self.by_word or any(len(a) and not 0 <= a.min() <= a.max() < len(self.starts) for a in ids):
+            return self.tokenizer.decode_batch([a.tolist() for a in ids], skip_special_tokens=False) if ids else []
+        words = []
+        for a in ids:
+            raw = a.astype("<u4").tobytes()
+            cuts = [0, *(np.flatnonzero(self.starts[a[1:]]) * 4 + 4).tolist(), len(raw)]
+            words.append([raw[x:y] for x, y in zip(cuts, cuts[1:])])
+        if len(self.read) > CACHE:
+            self.read = {}
+        new = list({w for ws in words for w in ws}.difference(self.read))
+        found = self.plain.decode_batch([np.frombuffer(w, "<u4").tolist() for w in new], skip_special_tokens=False) if new else []
+        self.read.update(zip(new, found, strict=True))
+        return ["".join(map(self.read.__getitem__, ws)).removeprefix(" ") for ws in words]
 
 
 def _load(path: str) -> bytes:
@@ -174,14 +191,23 @@ def _load(path: str) -> bytes:
         return f.read()
 
 
+def _codec(held, path: str, threads: int) -> Codec:
+    """The worker process's codec: it keeps its copy of the broadcast value, and with it the codec, from task to task."""
+    if "codec" not in held.value:
+        held.value["codec"] = Codec(_load(path), threads)
+    return held.value["codec"]
+
+
 def encode(docs: DataFrame, path: str, ids: str = "ids", parity: str = "parity", threads: int = 2) -> DataFrame:
     """`docs` with the ids of each whole text (array of ints) and whether the original library gives the same ones.
 
-    `path` is a model file, or its name among the installed public vocabularies; each task loads it.  A null or empty
+    `path` is a model file, or its name among the installed public vocabularies; each worker process loads it.  A null or empty
     text has no ids.  Nothing is shuffled; other columns pass through, columns of the same names are replaced.
     """
+    held = docs.sparkSession.sparkContext.broadcast({})
+
     def make():
-        codec = Codec(_load(path), threads)
+        codec = _codec(held, path, threads)
 
         def fn(texts: pa.Array):
             raw, same = [], []
@@ -200,8 +226,10 @@ def encode(docs: DataFrame, path: str, ids: str = "ids", parity: str = "parity",
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded", threads: int = 2) -> DataFrame:
     """`df` with the text of each id list; a null list gives a null text, an empty one an empty text."""
+    held = df.sparkSession.sparkContext.broadcast({})
+
     def make():
-        codec = Codec(_load(path), threads)
+        codec = _codec(held, path, threads)
 
         def fn(lists: pa.Array):
             out: list[str | None] = []
