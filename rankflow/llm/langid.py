@@ -78,9 +78,40 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def positions(p: dict, text: np.ndarray) -> np.ndarray:
-    """Probabilities of every position, (time, row, language)."""
+    """Probabilities of every position, (time, language, row).
+
+    The same network as `_read`, with the rows of the text along the last axis, where numpy is fastest.
+    """
+    n, t = text.shape
     k = p["uf"].shape[0]
-    return _softmax(_read(p, "f", text) @ p["w"][:k] + _read(p, "b", text) @ p["w"][k:] + p["c"])
+    steps = np.ascontiguousarray(text.T).astype(np.intp)
+    there = (steps != PAD).astype(np.float32)
+    whole = there.all(axis=1)
+    total = np.zeros((t, len(p["c"]), n), np.float32) + p["c"][:, None]
+    for d, w in (("f", p["w"][:k]), ("b", p["w"][k:])):
+        x, u, w = (np.ascontiguousarray(a.T) for a in (p[f"x{d}"], p[f"u{d}"], w))
+        h = np.zeros((k, n), np.float32)
+        for i in range(t) if d == "f" else range(t - 1, -1, -1):
+            own = x.take(steps[i], axis=1)
+            hu = u @ h
+            gates = own[:2 * k] + hu[:2 * k]
+            np.negative(gates, gates)
+            np.exp(gates, gates)
+            gates += 1
+            np.reciprocal(gates, gates)
+            new = hu[2 * k:] * gates[k:]
+            new += own[2 * k:]
+            np.tanh(new, new)
+            h -= new
+            h *= gates[:k]
+            h += new
+            if not whole[i]:
+                h *= there[i]
+            total[i] += w @ h
+    total -= total.max(axis=1, keepdims=True)
+    np.exp(total, total)
+    total /= total.sum(axis=1, keepdims=True)
+    return total
 
 
 def gradients(p: dict, text: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -207,10 +238,10 @@ def label_documents(docs: DataFrame, model: dict, pred: str = "lang_pred", score
                     part, own = text[at:at + TOGETHER], owner[at:at + TOGETHER]
                     prob = positions(m, part)
                     there = (part != PAD).T
-                    np.add.at(sums, own, (prob * there[:, :, None]).sum(axis=0))
+                    np.add.at(sums, own, np.einsum("tln,tn->nl", prob, there.astype(np.float32)))
                     np.add.at(sizes, own, there.sum(axis=0))
                     if name:
-                        best = prob.argmax(axis=2)
+                        best = prob.argmax(axis=1)
                         for i in range(len(langs)):
                             np.add.at(counts[:, i], own, ((best == i) & there).sum(axis=0))
 

@@ -268,6 +268,16 @@ def test_language_id(spark, docs, nothing):
     assert by_id(langid.label_documents(docs, langid.train_langid(nothing)), "lang_pred", "score")[5] == ("und", 0.0)
 
 
+def test_both_ways_of_reading_agree():
+    p = langid.new_network(3, 4, 1)
+    text = np.array([[1, 2, 3, 4, 5], [2, 2, 7, langid.PAD, langid.PAD]], np.int16)
+    both = np.concatenate([langid._read(p, d, text) for d in "fb"], axis=2)
+    want = langid._softmax(both @ p["w"] + p["c"])
+    got = langid.positions(p, text).transpose(0, 2, 1)
+    there = (text != langid.PAD).T
+    assert np.allclose(got[there], want[there], atol=1e-5)
+
+
 def test_backpropagation_matches_differences():
     random = np.random.default_rng(3)
     p = {k: v.astype(np.float64) for k, v in langid.new_network(3, 4, 1).items()}
