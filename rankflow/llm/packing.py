@@ -19,8 +19,8 @@ OPEN = 64
 MIN_CUT = 32
 FAN_IN = 16
 END_ID = 2
-# Words remembered per task; a cache only.
-CACHE = 400_000
+# Words remembered per worker; a cache only.
+CACHE = 500_000
 WIDTH = 4
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
@@ -45,16 +45,30 @@ class WordEncoder:
         self.parts: dict[bytes, bytes] = {b"": b""}  # between spaces
         self.older: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {b"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, words: list[bytes]) -> None:
         if len(self.words) > CACHE:
             self.words = {b"": b""}
-        new = list({w for w in words if w not in self.words})
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for w, e in zip(some, found, strict=True):
-                self.words[w] = np.array(e.ids, "<u4").tobytes()
+        new = [(w, w.decode("utf-8", "replace")) for w in {w for w in words if w not in self.words}]
+        letters = [(w, t) for w, t in new if t.isalpha()]
+        others = [(w, t) for w, t in new if not t.isalpha()]
+        # a word of letters ends with its only word end, so many can be encoded as one text
+        for i in range(0, len(letters), 1024):
+            some = letters[i:i + 1024]
+            ids = np.array(self.tokenizer.encode(" ".join(t for _, t in some), add_special_tokens=False).ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(some):
+                raw = ids.tobytes()
+                self.words.update((w, raw[a * WIDTH:b * WIDTH]) for (w, _), a, b in zip(some, [0, *cuts], cuts))
+            else:
+                others += some
+        for i in range(0, len(others), 4096):
+            some = others[i:i + 4096]
+            found = self.tokenizer.encode_batch([t for _, t in some], add_special_tokens=False)
+            self.words.update((w, np.array(e.ids, "<u4").tobytes()) for (w, _), e in zip(some, found, strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         # only A-Z are lowered here, which changes no id
@@ -163,7 +177,7 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
          min_cut: int = MIN_CUT, fan_in: int = FAN_IN, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
     """Pack all documents into sequences of at most `size` tokens, one row per piece.
 
-    A document's ids are those of `encoder` (made once per task) and `end_id`; a null text is empty, so every row has at
+    A document's ids are those of `encoder` (made once per worker process) and `end_id`; a null text is empty, so every row has at
     least one id.  Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, with `keep_ids`, the piece's
     ids as little-endian unsigned 32-bit bytes.
 
@@ -172,13 +186,15 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
     of them, cut to fill every sequence but the last.  Each round is computed once and written, so a lost executor cannot make
     two rounds disagree.  Repeated rows are packed as often as they occur; equal ids do not matter.
     """
+    # each worker process keeps its copy, and with it the encoder, from task to task
+    held = docs.sparkSession.sparkContext.broadcast({})
+
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first_id = _task(0)
-        encode, packer = None, _Packer(size, open_windows, min_cut, first_id, keep_ids)
+        packer = _Packer(size, open_windows, min_cut, first_id, keep_ids)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            if encode is None:
-                encode = encoder()
+            encode = held.value.get("encode") or held.value.setdefault("encode", encoder())
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
                 for doc, ids in zip(some.column(0).to_pylist(), encode([t or "" for t in some.column(1).to_pylist()]), strict=True):
