@@ -213,7 +213,7 @@ def _shared_runs(keyed: DataFrame, length: int, buckets: int) -> DataFrame:
             for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)]):
                 used, local = np.unique(doc[a:b], return_inverse=True)
                 rows.append((int(bucket[a]), key[a:b].tobytes(), local.astype(np.int32).tobytes(),
-                             first[a:b].astype(np.int64).tobytes(), (count[a:b] * np.where(settled[a:b], -1, 1)).astype(np.int8).tobytes(),
+                             first[a:b].astype(np.int32).tobytes(), (count[a:b] * np.where(settled[a:b], -1, 1)).astype(np.int8).tobytes(),
                              ids[used].tobytes(), bodies[used].tobytes()))
             names = ["bucket", "key", "doc", "first", "count", "ids", "bodies"]
             kinds = [pa.int32()] + [pa.binary()] * 6
@@ -221,7 +221,7 @@ def _shared_runs(keyed: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def meet(tab: pa.Table) -> pa.Table:
         parts = {c: [np.frombuffer(x, t) for x in tab[c].to_pylist()] for c, t in
-                 (("key", np.uint64), ("doc", np.int32), ("first", np.int64), ("count", np.int8), ("ids", np.int64),
+                 (("key", np.uint64), ("doc", np.int32), ("first", np.int32), ("count", np.int8), ("ids", np.int64),
                   ("bodies", np.int64))}
         shift = np.cumsum([0] + [len(x) for x in parts["ids"]][:-1])
         key, first, count, ids, bodies = (np.concatenate(parts[c]) for c in ("key", "first", "count", "ids", "bodies"))
@@ -272,7 +272,13 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text")
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-total // (18 * BUCKET_RUNS)))
-    shared = (_shared_runs(keyed, length, buckets).groupBy("doc_id", "body").agg(F.collect_list("runs").alias("runs")))
+    # later copies of a text go whole; only its first document is looked at piece by piece
+    texts = keyed.select("doc_id", "body", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("sha"))
+    copied = written(texts.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+                     .select("sha", "least"), "copied")
+    copies = written(texts.join(copied, "sha").where("least < doc_id").select("doc_id", "body", "n").distinct(), "copies")
+    shared = (_shared_runs(keyed, length, buckets).groupBy("doc_id", "body").agg(F.collect_list("runs").alias("runs"))
+              .join(copies.select("doc_id", "body"), ["doc_id", "body"], "left_anti"))
     with_text = keyed.join(shared, ["doc_id", "body"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,7 +383,9 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
                                                             pa.list_(pa.int64()))], names=["doc_id", "body", "starts"])
 
     whole = settled.where("kind = 1").select("doc_id", "body", "piece").mapInArrow(spread, "doc_id long, body long, starts array<long>")
-    return (whole.union(later).groupBy("doc_id", "body").agg(F.collect_list("starts").alias("starts")))
+    gone = copies.where(F.col("n") >= length).select("doc_id", "body", F.array(F.lit(0).cast("long"), (F.col("n") - length + 1).cast("long"))
+                                                     .alias("starts"))
+    return (whole.union(later).union(gone).groupBy("doc_id", "body").agg(F.collect_list("starts").alias("starts")))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
