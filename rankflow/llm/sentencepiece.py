@@ -17,7 +17,7 @@ MARK = "▁"
 # Fixed numbers of the model format.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-CACHE = 250_000
+CACHE = 600_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
