@@ -202,19 +202,19 @@ def _blocks(prints: DataFrame, masks: list[int], block: int, more: tuple[str, ..
 
 
 def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
-    """Runs `found(fps, run, rows)`, which returns arrays, over whole groups of blocks, a batch of rows at a time."""
+    """Runs `found(fps, run, rows)`, which gives pieces of arrays, over whole groups of blocks, a batch of rows at a time."""
     group = ["t", "key", "i", "j"]
     dealt = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def work(tab: pa.Table) -> pa.RecordBatch:
+    def work(tab: pa.Table) -> Iterator[pa.RecordBatch]:
         fps = tab["fp"].to_numpy().view(np.uint64)
         keys = [tab[c].to_numpy() for c in group]
         change = np.zeros(len(fps), bool)
         for k in keys:
             change[1:] |= k[1:] != k[:-1]
-        out = found(fps, np.cumsum(change), tab)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
+        for out in found(fps, np.cumsum(change), tab):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
 
     def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []  # the last group may go on in the next batch
@@ -229,10 +229,10 @@ def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
                 same &= v == v[-1]
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             if cut:
-                yield work(whole.slice(0, cut))
+                yield from work(whole.slice(0, cut))
                 waiting = whole.slice(cut).to_batches()
         if waiting:
-            yield work(pa.Table.from_batches(waiting).combine_chunks())
+            yield from work(pa.Table.from_batches(waiting).combine_chunks())
 
     return dealt.sortWithinPartitions(*group).mapInArrow(run_task, schema)
 
@@ -243,7 +243,7 @@ def _edges(blocks: DataFrame, radius: int) -> DataFrame:
         node = rows["node"].to_numpy()
         root = _forest(len(fps), close_pairs(fps, run, rows["side"].to_numpy(), radius))
         leaf = np.flatnonzero(root != np.arange(len(root)))
-        return node[leaf], node[root[leaf]]
+        yield node[leaf], node[root[leaf]]
 
     return _in_runs(blocks, forest, "a long, b long")
 
@@ -288,6 +288,24 @@ def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(parts[i:i + words])) for i in range(max(len(parts) - words + 1, 1))], np.uint32))
 
 
+# Bits of an outline.
+OUTLINE = 2048
+
+
+def outline(shingles: np.ndarray) -> bytes:
+    """The size of a shingle set and which of OUTLINE classes of hashes it holds."""
+    held = np.zeros(OUTLINE, bool)
+    held[shingles % OUTLINE] = True
+    return np.uint32(len(shingles)).tobytes() + np.packbits(held).tobytes()
+
+
+def may_reach(a: bytes, b: bytes, similarity: float) -> bool:
+    """False only if two sets cannot be as similar: each class that one of them holds alone is an element of one of them alone."""
+    total = int.from_bytes(a[:4], "little") + int.from_bytes(b[:4], "little")
+    alone = (int.from_bytes(a[4:], "little") ^ int.from_bytes(b[4:], "little")).bit_count()
+    return (total - alone) / 2 >= similarity * (total + alone) / 2 - 1e-9
+
+
 def _closest(blocks: DataFrame, radius: int, both: int, closest: int) -> DataFrame:
     """Candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there.
 
@@ -305,26 +323,57 @@ def _closest(blocks: DataFrame, radius: int, both: int, closest: int) -> DataFra
             far.append(bits[near])
             of.append(run[x])
         if not low:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return
         low, high, far, of = (np.concatenate(v) for v in (low, high, far, of))
         order = np.lexsort((low, far, high, of))
         low, high, of = low[order], high[order], of[order]
         heads = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (of[1:] != of[:-1])][:len(low)])
         rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.r_[heads, len(low)]))
-        return low[rank < closest], high[rank < closest]
+        yield low[rank < closest], high[rank < closest]
 
     return _in_runs(blocks, pairs, "a long, b long").where("a <> b")
 
 
+def _apart(blocks: DataFrame, radius: int, masks: list[int], earlier: list[int]) -> DataFrame:
+    """All pairs (a, b) of a group that differ in at most `radius` bits and whose components differ, each pair once.
+
+    A pair is given by the first of `masks` it agrees under, and not at all if the `other` fingerprints differ in at most `radius`
+    bits and agree under one of `earlier`.  Groups are worked off piece by piece.
+    """
+    def first(bits: np.ndarray, keys: list[int]) -> np.ndarray:
+        at = np.full(len(bits), len(keys))
+        for t in reversed(range(len(keys))):
+            at[bits & np.uint64(keys[t]) == 0] = t
+        return at
+
+    def pairs(fps, run, rows):
+        node, other, table = rows["node"].to_numpy(), rows["other"].to_numpy().view(np.uint64), rows["t"].to_numpy()
+        component = rows["component"].to_numpy()
+        for x, y in close_pairs(fps, run, rows["side"].to_numpy(), radius):
+            open_ = component[x] != component[y]
+            x, y = x[open_], y[open_]
+            new = first(fps[x] ^ fps[y], masks) == table[x]
+            x, y = x[new], y[new]
+            if earlier:
+                bits = other[x] ^ other[y]
+                new = (np.bitwise_count(bits) > radius) | (first(bits, earlier) == len(earlier))
+                x, y = x[new], y[new]
+            yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+
+    return _in_runs(blocks, pairs, "a long, b long")
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 18, both: int = 30, tables: int = 48,
                 key_bits: int = 13, closest: int = 2, seeds: tuple[int, int] = (42, 43), block: int = BLOCK) -> DataFrame:
     """(doc_id, component_id): documents joined by links of a Jaccard similarity of `similarity` or more of their word shingles.
 
     Two texts at 0.8 differ in about ten of 64 fingerprint bits, too many for a complete search.  So each of `seeds` gives a
     fingerprint of its own, and candidates are found in `tables` tables of each, keyed by `key_bits` bits drawn at random, and
-    compared bit-sliced there: `radius` bits of the one and `both` bits of the two together may differ.  Every document offers its `closest` neighbours of each group, which spans a group of copies without
-    listing its pairs; every link is verified on the whole shingle sets.  Texts of the same words in order are copies of one
-    another, and so are texts without words.  Rows with a null doc_id are left out.
+    compared bit-sliced there.  First every document offers its `closest` neighbours of each group, with at most `radius` bits of the
+    one and `both` bits of the two fingerprints different, which joins a group of copies without listing its pairs.  Then all
+    other pairs of a group within `radius` are taken whose documents are not joined yet, so no neighbour hides another.  Every
+    link is verified on the whole shingle sets.  Texts of the same words in order are copies of one another, and so are texts
+    without words.  Rows with a null doc_id are left out.
     """
     own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = [f"fp{i}" for i in range(len(seeds))]
@@ -339,26 +388,25 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
 
     fp = written(own.mapInArrow(prints, "doc_id long, " + "".join(f"{n} long, " for n in names) + "body long"), "fingerprints")
     nodes = written(fp.groupBy(*names, "body").agg(F.min("doc_id").alias("node")), "nodes")
-    pairs = None
-    for name, other, seed in zip(names, reversed(names), seeds, strict=True):
+    masks = []
+    for seed in seeds:
         random = np.random.default_rng(seed)
-        masks = [sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)]
-        own_rows = nodes.select(F.col(name).alias("fp"), "node", F.col(other).alias("other"))
-        some = _closest(_blocks(own_rows, masks, block, ("other",)), radius, both, closest)
-        pairs = some if pairs is None else pairs.union(some)
-    pairs = written(pairs.distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    leads = own.join(wanted, "doc_id").select("doc_id", "text")
+        masks.append([sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)])
+
+    def blocks(rows: DataFrame, i: int, *more: str) -> DataFrame:
+        sides = rows.select(F.col(names[i]).alias("fp"), "node", F.col(names[1 - i]).alias("other"), *more)
+        return _blocks(sides, masks[i], block, ("other", *more))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _small(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in
-                                                                         batch.column(1).to_pylist()], pa.binary())],
-                                             names=["doc_id", "shingles"])
+            made = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in made], pa.binary()),
+                                              pa.array([outline(x) for x in made], pa.binary())], names=["doc_id", "shingles", "outline"])
 
-    held = written(leads.mapInArrow(sets, "doc_id long, shingles binary"), "shingles")
-    left = held.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
-    right = held.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            keep = [may_reach(x, y, similarity) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _small(batches):
@@ -369,12 +417,29 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
                 keep.append(both >= similarity * (len(x) + len(y) - both) and both > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(verify, "a long, b long")
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        held = written(own.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(
+            sets, "doc_id long, shingles binary, outline binary"), "shingles")
+        # outlines rule most pairs out, so few whole sets are shuffled
+        for column, test in (("outline", possible), ("shingles", verify)):
+            left = held.select(F.col("doc_id").alias("a"), F.col(column).alias("s"))
+            right = held.select(F.col("doc_id").alias("b"), F.col(column).alias("t"))
+            pairs = (pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(test, "a long, b long").distinct())
+        return pairs
+
+    near = _closest(blocks(nodes, 0), radius, both, closest).union(_closest(blocks(nodes, 1), radius, both, closest))
+    seen = written(near.distinct(), "candidates")
     # rows that share an id tie their texts together
     same = [*names, "body"]
     tied = fp.groupBy("doc_id").agg(F.count_distinct(*same).alias("n")).where("n > 1").select("doc_id")
     ties = fp.join(tied, "doc_id").join(nodes, same).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    found = connected_components(links.union(ties))
+    joined = written(connected_components(verified(seen).union(ties)), "joined")
+    open_ = written(nodes.join(joined, "node", "left").select(*names, "node", F.coalesce("component", "node").alias("component")), "open")
+    rest = _apart(blocks(open_, 0, "component"), radius, masks[0], []).union(
+        _apart(blocks(open_, 1, "component"), radius, masks[1], masks[0]))
+    rest = written(rest.join(seen, ["a", "b"], "left_anti"), "candidates")
+    found = connected_components(verified(rest).union(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     named = nodes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
     return fp.join(named, same).select("doc_id", "component_id")
 

@@ -385,6 +385,33 @@ def test_near_copies(spark, docs, nothing):
     assert simhash.drop_near_copies(nothing).count() == 0
 
 
+def test_near_copies_within_a_template(spark):
+    """Pairs at 0.8 among documents that share a template at 0.7, which lie closer by chance."""
+    random = np.random.default_rng(3)
+    tokens = lambda n: [f"w{x}" for x in random.integers(0, 1 << 40, n)]
+    template = tokens(200)
+    rows = [(i, " ".join(template + tokens(40))) for i in range(400)]
+    for i in range(400, 460, 2):
+        own = tokens(40)
+        rows += [(i, " ".join(template + own)), (i + 1, " ".join(template + own[:18] + tokens(22)))]
+    sets = {i: set(simhash.shingle_set(t).tolist()) for i, t in rows}
+    want = groups(list(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert len(set(want.values())) == 430
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(simhash.near_copies(df), "component_id") == {i: (c,) for i, c in want.items()}
+
+
+def test_outlines_rule_no_pair_out():
+    random = np.random.default_rng(4)
+    for n in (1, 5, 60, 700, 5000):
+        a = np.unique(random.integers(0, 1 << 32, n).astype(np.uint32))
+        for gone in (0, n // 10, n // 5, n // 2):
+            b = np.union1d(a[gone:], random.integers(0, 1 << 32, gone // 4).astype(np.uint32))
+            same = len(np.intersect1d(a, b))
+            if same >= 0.8 * (len(a) + len(b) - same):
+                assert simhash.may_reach(simhash.outline(a), simhash.outline(b), 0.8)
+
+
 def test_components(spark):
     random = np.random.default_rng(2)
     pairs = [(int(a), int(b)) for a, b in random.integers(0, 300, (180, 2))] + [(1000, i) for i in range(400, 700)] + [
