@@ -1,7 +1,8 @@
 """Near-duplicate vectors by sorted projection passes.
 
 In each pass vectors are ordered lexicographically by concatenated random hashes (the signs of random projections), and each is
-compared with a bounded window of its successors.  Pairs verified in any pass are united across passes.
+compared with a bounded window of its successors.  Pairs verified in any pass are united across passes.  What the windows leave out is
+then compared block against block within each label, so no link is lost at any size.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ PASSES = 8
 WINDOW = 64
 SIGNS = 32
 CHUNK = 1024
+# Vectors of one label that are compared with as many others in one task.
+BLOCK = 8192
 # Radians kept free on either side of a bound, far above the rounding of a cosine.
 MARGIN = 1e-6
 
@@ -84,6 +87,42 @@ def _projection_edges(nodes: DataFrame, threshold: float, passes: int, window: i
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def _left_out(nodes: DataFrame, threshold: float, block: int, tile: int = CHUNK) -> DataFrame:
+    """Links (a, b) between components that the passes have not joined; `nodes` has grp, node, v, component.
+
+    Labels are dealt into blocks by a hash, and each pair of blocks is compared in a group of its own, tile by tile.  Every pair
+    of a label is compared, so the work grows with the square of a label's size.
+    """
+    n = F.count(F.lit(1))
+    # a middling label is dealt into up to eight blocks all the same, so that it is not one task
+    sizes = nodes.groupBy("grp").agg(F.greatest(F.ceil(n / block), F.least(F.ceil(n / 512), F.lit(8))).cast("int").alias("blocks"))
+    rows = nodes.join(sizes, "grp").withColumn("c", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "grp", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"), (F.col("c") > F.col("d")).alias("right"), "node",
+        "component", "v")
+
+    def compare(part: pa.Table) -> pa.Table:
+        u, component = _units(part["v"].combine_chunks()), part["component"].to_numpy()
+        right = part["right"].to_numpy()
+        one = part["i"][0].as_py() == part["j"][0].as_py()
+        a = np.arange(len(u)) if one else np.flatnonzero(~right)
+        b = a if one else np.flatnonzero(right)
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for x in range(0, len(a), tile):
+                for y in range(x if one else 0, len(b), tile):
+                    p, q = a[x:x + tile], b[y:y + tile]
+                    m, n = np.nonzero(u[p] @ u[q].T >= threshold)
+                    apart = component[p[m]] != component[q[n]]
+                    yield p[m[apart]], q[n[apart]]
+
+        root = _forest(len(u), pairs())
+        leaf = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": component[leaf], "b": component[root[leaf]]})
+
+    return rows.groupBy("grp", "i", "j").applyInArrow(compare, "a long, b long").where("a <> b").distinct()
+
+
 def _link_counts(members: DataFrame, threshold: float, chunk: int) -> DataFrame:
     """(node, links) for members (component, node, m, v) of components with several nodes.
 
@@ -129,12 +168,12 @@ def _link_counts(members: DataFrame, threshold: float, chunk: int) -> DataFrame:
 
 
 def embedding_components(embeddings: DataFrame, threshold: float = 0.93, passes: int = PASSES, window: int = WINDOW,
-                         chunk: int = CHUNK, seed: int = 42) -> DataFrame:
+                         chunk: int = CHUNK, seed: int = 42, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row; vectors link at a cosine of `threshold` or more if their labels are equal.
 
-    Equal vectors of a label are one node, however many rows hold them.  Passes find links between nodes; a pair within the threshold
-    is missed only if it is further apart than the window in every pass and no chain of other links joins it.  Links
-    inside a component are then counted exactly, so they do not depend on the passes.
+    Equal vectors of a label are one node, however many rows hold them.  Passes find most links between nodes; pairs of a label
+    that they left in different components are then compared block against block, so components are exact.  Links inside a
+    component are counted exactly.
 
     Rows whose label, vector or any component is null, whose vector is zero or not finite, or whose length differs do not
     link; alone they are their own component.  A null vec_id has no links, a null component and is kept.  Rows that repeat a
@@ -153,6 +192,10 @@ def embedding_components(embeddings: DataFrame, threshold: float = 0.93, passes:
     good = rows.where("grp IS NOT NULL")
     nodes = written(good.groupBy("grp", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("m")), "nodes")
     found = written(connected_components(_projection_edges(nodes, threshold, passes, window, seed)), "components")
+    state = written(nodes.join(found, "node", "left").select("grp", "node", "v", F.coalesce("component", "node").alias("component")), "state")
+    more = written(_left_out(state, threshold, block), "left_out")
+    if more.head(1):
+        found = written(connected_components(more.union(found.select("node", "component"))), "components")
     members = nodes.join(found, "node")
     counted = _link_counts(members.select("component", "node", "m", "v"), threshold, chunk)
     known = found.join(counted, "node", "left").select("node", "component", "links")

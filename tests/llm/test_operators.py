@@ -243,6 +243,18 @@ def test_embedding_components(spark, chunk):
     assert embed_dedup.embedding_components(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"block": 100}])
+def test_embedding_links_outside_the_windows(spark, options):
+    """Lone pairs that lie apart in every pass, as those of a large label do."""
+    random = np.random.default_rng(1)
+    x = random.normal(size=(400, 16))
+    x[300:] = x[200:300] + random.normal(size=(100, 16)) * 0.25
+    vectors, labels = dict(enumerate(x.tolist())), dict.fromkeys(range(400), 0)
+    df = spark.createDataFrame([(i, v, 0) for i, v in vectors.items()], "vec_id long, embedding array<float>, label int")
+    got = embed_dedup.embedding_components(df, passes=1, window=1, **options)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got.collect()} == plain_links(vectors, labels)
+
+
 # --- 6 ---
 
 LANGS = {"aa": "baba kala mana tasa".split(), "bb": "üxö wüy öwü yxü".split(), "cc": "niri sili tivi piki".split()}
