@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,10 +30,13 @@ CODES = 64
 # Words remembered per task; a cache only.
 CACHE = 200_000
 _ENDS = ".,;:?%&*#\"'`()[]{}<>=~^/\\-_…«»“”„"
+# what stands at a word's edge and resembles no letter
+_MUTE = "".join(c for c in _ENDS if c not in LOOKS_LIKE)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SEPARATED = re.compile(r"(?:[^\W_]|[@$!|+(€£])(?:[.\-_*~](?:[^\W_]|[@$!|+(€£]))+")
 _RUN = re.compile(r"(.)\1\1")
 _SIGNS = re.compile("[" + re.escape("".join(LOOKS_LIKE)) + "]")
+_SPLIT = re.compile(r"[.,;:?%&*#\"'`)\[\]{}<>=~^/\\\-_…«»“”„]+")
 _TAIL = re.compile(r"([^\w\s])\1+$|[!|+]$")
 
 
@@ -102,6 +106,10 @@ class Decoder:
             while j < len(seen) and seen[j] == c:
                 j += 1
             n, i = j - i, j
+            if not c.isalnum() and c not in LOOKS_LIKE:
+                # a separator stands for nothing, or for the edge between two words
+                steps.append([("", DROP_SIGN), (" ", 0.0)])
+                continue
             letters = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTE) for x in LOOKS_LIKE.get(c, "")]
             if n <= 2:
                 step = [(x, p) for x, p in letters]
@@ -116,6 +124,10 @@ class Decoder:
         return steps
 
     def __call__(self, seen: str, one_by_one: bool = False) -> str:
+        return self.best(seen, one_by_one)[1]
+
+    def best(self, seen: str, one_by_one: bool = False) -> tuple[float, str]:
+        """Cost and text of the best reading that has letters; an empty one without a price if there is none."""
         costs = self.costs
         # state: the last two codes -> (cost, reading)
         paths = {0: (0.0, "")}
@@ -137,7 +149,7 @@ class Decoder:
                     if s not in after or total < after[s][0]:
                         after[s] = (total, text + letters)
             paths = after
-        return min(((cost + costs[state * 64], text) for state, (cost, text) in paths.items()), default=(0.0, ""))[1]
+        return min(((cost + costs[state * 64], text) for state, (cost, text) in paths.items() if text.strip()), default=(0.0, ""))
 
 
 class Restorer:
@@ -148,38 +160,57 @@ class Restorer:
 
     def words(self, part: str) -> tuple[str, ...]:
         """Restored words of one part without white space."""
-        core = part.strip(_ENDS)
+        whole = part.strip(_MUTE)
+        if whole.isalpha():
+            return (self.decode(whole) if _RUN.search(whole) else whole,)
+        out = self.whole(whole)
+        core = _TAIL.sub("", part.strip(_ENDS)).strip(_ENDS)
+        if core != whole or _SPLIT.search(core):
+            out += self.pieces(core)
+        return tuple(dict.fromkeys(out))
+
+    def whole(self, seen: str) -> list[str]:
+        """The most likely reading of all signs of a part, edges and separators included; numbers stay numbers if that costs less."""
+        if not any(c in LOOKS_LIKE or not (c.isalpha() or unicodedata.combining(c) or unicodedata.category(c)[0] == "M") for c in seen):
+            return _LETTERS.findall(seen)
+        cost, text = self.decode.best(seen)
+        if all(c.isdigit() or not c.isalnum() and c not in LOOKS_LIKE for c in seen) and cost >= self.decode.costs[0] * (len(seen) + 1):
+            return []
+        return text.split()
+
+    def pieces(self, core: str) -> list[str]:
+        """The readings of a part without the signs at its edges, piece by piece between separators."""
         if core.isalpha():
-            return (self.decode(core) if _RUN.search(core) else core,)
-        core = _TAIL.sub("", core).strip(_ENDS)
-        if not core:
-            return ()
+            return [self.decode(core) if _RUN.search(core) else core]
         if _SEPARATED.fullmatch(core):
-            return self.letters(re.sub(r"[.\-_*~]", "", core))
+            return list(self.letters(re.sub(r"[.\-_*~]", "", core)))
         out = []
-        for piece in re.split(r"[.,;:?%&*#\"'`)\[\]{}<>=~^/\\\-_…«»“”„]+", core):
-            letters = sum(map(str.isalpha, piece))
-            if not letters:
+        for piece in _SPLIT.split(core):
+            if not any(map(str.isalpha, piece)):
                 continue
             if piece.isalpha() and not _RUN.search(piece):
                 out.append(piece)
-            elif letters * 3 >= len(piece) and (_SIGNS.search(piece) or _RUN.search(piece)):
+            elif _SIGNS.search(piece) or _RUN.search(piece):
                 out.extend(self.decode(piece).split())
             else:
                 out.extend(_LETTERS.findall(piece))
-        return tuple(out)
+        return out
 
     def letters(self, joined: str) -> tuple[str, ...]:
         """Readings of letters that stood one by one: as one word, and as the words it most likely was."""
         return tuple(dict.fromkeys([self.decode(joined), *self.decode(joined, True).split()]))
 
     def spaced(self, parts: list[str]) -> list[str]:
-        """Words spelled with white space after each letter: three or more parts of one sign in a row."""
-        return [w for run in _single_runs(parts) for w in self.letters("".join(parts[run[0]:run[1]]))]
+        """Words spelled with white space after each letter: three or more parts of one sign in a row, punctuation aside."""
+        return [w for run in _single_runs(parts) for w in self.letters("".join(map(_trimmed, parts[run[0]:run[1]])))]
+
+
+def _trimmed(part: str) -> str:
+    return part if len(part) == 1 else part.strip(_ENDS + "!|+")
 
 
 def _single_runs(parts: list[str]) -> list[tuple[int, int]]:
-    at = [i for i, p in enumerate(parts) if len(p) == 1]
+    at = [i for i, p in enumerate(parts) if len(p) == 1 or len(p) <= 4 and len(_trimmed(p)) == 1]
     runs, i = [], 0
     while i < len(at):
         j = i

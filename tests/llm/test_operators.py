@@ -332,6 +332,19 @@ def test_toxicity_reads_disguised_words(spark, docs, rude, nothing):
     assert set(by_id(toxicity.score_toxicity(docs, untaught), "score").values()) == {(0.5,)}
 
 
+def test_every_disguise_reaches_the_lattice(spark):
+    """Few letters, signs at the edge, and separators of any kind and number."""
+    words = "moron idiot shit ass crap asshole the of and hello world is good well known rap great idea to or music 2024-01-02 1500".split()
+    text = " ".join(np.random.default_rng(0).choice(words, 4000).tolist())
+    read = toxicity.Restorer(toxicity.letter_costs(toxicity.letter_counts(spark.createDataFrame([(text,)], "text string")))).words
+    for seen, word in (("1d107", "idiot"), ("455h0l3", "asshole"), ("5h17", "shit"), ("@$$", "ass"), ("shi+", "shit"), ("idio+", "idiot"),
+                       ("a$$", "ass"), ("(rap", "crap"), ("mo.ron", "moron"), ("m--o--r--o--n", "moron"), ("m/o/r/o/n", "moron")):
+        assert word in read(seen), seen
+    assert {"and", "or"} <= set(read("and/or")) and "great" in read("great!!") and "rap" in read("(rap") and read("2024-01-02") == ()
+    restorer = toxicity.Restorer(toxicity.letter_costs(toxicity.letter_counts(spark.createDataFrame([(text,)], "text string"))))
+    assert "moron" in restorer.spaced("m. o, r. o, n! that".split())
+
+
 # --- 8 ---
 
 def plain_print(text, words=4):
