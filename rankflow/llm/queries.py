@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import embed_dedup, langid, packing, quality, secrets, sentencepiece, simhash, suffix_dedup, topk, toxicity
+from rankflow.llm import (embed_dedup, fim, html, langid, packing, quality, secrets, sentencepiece, simhash, spelling, suffix_dedup,
+                          topk, toxicity)
 from rankflow.llm.common import held_out, table
 
 QUERIES = {}
@@ -124,6 +125,57 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_spelling", """
+    WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+    runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+    per_doc AS (SELECT doc_id, w, count(*) AS n FROM runs GROUP BY doc_id, w),
+    points AS (SELECT *, flatten(list_transform(string_split(concat(doc_id, ':', w), ''), lambda x:
+        CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x) >> 6)::BIGINT, 128 + (unicode(x) & 63)::BIGINT] END)) AS b
+        FROM per_doc),
+    hashed AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) AS h
+               FROM points, crc),
+    seen AS (SELECT CASE WHEN h % 97 = 0 THEN concat(substr(w, 1, h % length(w)), substr(w, h % length(w) + 2)) ELSE w END AS word, n FROM hashed),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM seen WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    less AS (SELECT word, n, -1 AS place, word AS v FROM words
+             UNION ALL SELECT word, n, i, concat(substr(word, 1, i), substr(word, i + 2)) FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+    near AS (SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.v = b.v AND a.word <> b.word
+             AND (a.place = b.place OR a.place = -1 OR b.place = -1)),
+    best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, encode(near))) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+    found AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+              CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+    chain AS (SELECT word AS start, word AS last, form AS next FROM found
+              UNION ALL SELECT start, found.word, found.form FROM chain JOIN found ON found.word = chain.next)
+    SELECT word, form, last AS root, n, n_near::BIGINT AS n_near, form_n FROM found JOIN chain ON start = word AND next IS NULL""")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), typo_modulus=97)
+    return spelling.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_html")
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op13_fim", """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                      sha256(concat('1:', doc_id)) AS s FROM documents),
+    h AS (SELECT doc_id, text, u, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: concat('0x', substr(s, i, 8))::BIGINT) AS h FROM d),
+    c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                 CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain'
+                      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+                  ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256, sha256(text) AS restored_sha256 FROM p""")
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.fill_in_middle(docs).select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                                           F.sha2("restored", 256).alias("restored_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

@@ -89,5 +89,5 @@ def test_query_covers_all_documents(spark, sf_dir, name, columns):
 
 
 def test_queries_are_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in QUERIES if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in QUERIES if k.startswith("op")}
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in QUERIES
