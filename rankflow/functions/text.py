@@ -56,6 +56,11 @@ def normalise_category(col: Column) -> Column:
     return F.lower(F.coalesce(col.cast("string"), F.lit("unknown")))
 
 
+def cross(parts: Sequence[Column]) -> Column:
+    """Several categories as one: their normalised texts joined by underscores, a missing one as 'unknown'."""
+    return F.concat_ws("_", *[normalise_category(p) for p in parts])
+
+
 def parse_id_list(col: Column) -> Column:
     return F.split(F.translate(col.cast("string"), "_", ","), ",")
 
@@ -80,7 +85,6 @@ def boundaries_text(spec: DataFrame) -> DataFrame:
         F.col("name"), F.array_join(F.col("boundaries").cast("array<string>"), ",").alias("boundaries_text"))
 
 
-
 def rename_map(columns: Sequence[str], wanted: Sequence[str]) -> dict[str, str]:
     """Columns whose spelling differs from a wanted name only by case."""
     by_lower = {w.lower(): w for w in wanted}

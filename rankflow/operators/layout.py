@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankflow.session import written
 
@@ -127,3 +128,48 @@ def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     """Group rows by `cols` for writing; adaptive execution splits a group that is too large."""
     return df.hint("rebalance", *[F.col(c) for c in cols]) if cols else df.hint("rebalance")
 
+
+
+def as_of_join(facts: DataFrame, states: DataFrame, keys: Sequence[str], time: str, state_time: str, strict: bool = False,
+               partitions: int | None = None) -> DataFrame:
+    """Add to every fact the values of the latest state of its key that is not later than the fact (`strict`: earlier).
+
+    Both sides are range-partitioned together by key and time and written once; states are carried forward inside a partition, and
+    the few that a partition takes over from those before it, one at most, come from a row per partition.  A key with much of
+    the data is cut by time like any other, so no task sees all of its rows.  Facts without a state, key or time get nulls.  Of
+    several states of one key and time the one with the greatest values counts.  The states' columns must be new
+    to the facts, but for the keys.
+    """
+    keys, values = list(keys), [c for c in states.columns if c not in (*keys, state_time)]
+    n = _partitions(facts, partitions)
+    kind = facts.schema[time].dataType
+    fact_side = facts.select(*[F.col(k) for k in keys], F.col(time).alias("__time"), F.lit(0 if strict else 1).alias("__side"),
+                             F.struct(*facts.columns).alias("__fact"), F.lit(None).cast(_struct_type(states, values)).alias("__state"))
+    known = states.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*keys, state_time)))
+    state_side = known.select(*[F.col(k).cast(facts.schema[k].dataType).alias(k) for k in keys], F.col(state_time).cast(kind).alias("__time"),
+                              F.lit(1 if strict else 0).alias("__side"), F.lit(None).cast(fact_side.schema["__fact"].dataType).alias("__fact"),
+                              F.struct(*values).alias("__state"))
+    # rows of one key and moment are told apart by a hash, so they need not share a partition
+    both = fact_side.unionByName(state_side).withColumn("__tie", F.xxhash64("__fact"))
+    order = [*keys, "__time", "__side", "__tie"]
+    laid = written(both.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "as_of")
+    whole = F.struct(*keys)
+    ends = laid.groupBy("__part").agg(F.min(whole).alias("first"), F.max(whole).alias("last"))
+    # the state that the last key of a partition hands on: the group of that key only
+    handed = (laid.join(F.broadcast(ends.select("__part", "last")), "__part").where(F.col("__state").isNotNull() & (whole == F.col("last")))
+              .groupBy("__part").agg(F.max(F.struct("__time", "__state")).alias("handed")))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.last(F.when(F.col("handed").isNotNull(), F.struct("last", "handed.__state")), ignorenulls=True).over(before)
+    carried = (ends.join(handed, "__part", "left").withColumn("__from", latest).where(F.col("__from.last") == F.col("first"))
+               .select("__part", "first", F.col("__from.__state").alias("__carried")))
+    inside = Window.partitionBy("__part", *keys).orderBy("__time", "__side", "__state").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = laid.withColumn("__here", F.last("__state", ignorenulls=True).over(inside)).where("__fact IS NOT NULL")
+    found = filled.join(F.broadcast(carried), "__part", "left")
+    # a fact without a time sorts before all states of its key
+    usable = F.col("__time").isNotNull()
+    state = F.coalesce(F.col("__here"), F.when(whole == F.col("first"), F.col("__carried")))
+    return found.select("__fact.*", *[F.when(usable, state[v]).alias(v) for v in values])
+
+
+def _struct_type(df: DataFrame, columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions.hashing import keep_share, md5_number
-from rankflow.functions.text import rename_map
+from rankflow.functions.text import cross, rename_map
 from rankflow.operators.layout import lookup_join, row_index
-from rankflow.registry import LABELS, Registry
+from rankflow.registry import LABELS, Registry, crossed_features
 from rankflow.session import written
 
 LAST_POSITION = 60
@@ -183,6 +183,13 @@ def split_holdout(df: DataFrame, key: str, share: float, seed: int = 7) -> tuple
     return df.where(~held), df.where(held)
 
 
+def with_crosses(df: DataFrame) -> DataFrame:
+    """Add every crossed feature whose three columns are there; one projection."""
+    have = {c.lower() for c in df.columns}
+    return df.withColumns({name: cross([F.col(p) for p in parts]) for name, parts in crossed_features().items()
+                           if all(p in have for p in parts)})
+
+
 def select_features(df: DataFrame, registry: Registry, keep: Sequence[str] = ()) -> DataFrame:
     """The registry's features that `df` has, in slot order, after the columns in `keep`."""
     return canonical_names(df, registry).select(*keep, *registry.present_in(df.columns).names())

@@ -176,6 +176,11 @@ BEHAVIOURS = ["userWatchBookListLatest", "userFollowBookListLatest", "userAttrib
 BEHAVIOUR_PARTS = ["BookId", "GapDay", "Gender"]
 GAP_VOCABULARIES = ("gap_day", "play_gap")
 
+# The parts that crossed features are named after (a request's, a user's, a book's).
+CROSSED_REQUEST = {"os": "os", "prov": "prov", "gender": "gender", "vipType": "vip_type", "mMediaSource": "m_media_source"}
+CROSSED_USER = {"MbGender": "mb_gender", "MbMaketype": "mb_maketype"}
+CROSSED_BOOK = {"BGender": "b_gender", "BMaketype": "b_maketype"}
+
 _GROUPS = ("sparse", "dense", "sequence", "rank", "position")
 
 
@@ -262,6 +267,12 @@ class Registry:
         return spark.createDataFrame(rows, schema)
 
 
+def crossed_features() -> dict[str, tuple[str, str, str]]:
+    """Name of every crossed feature and the three columns it is made of."""
+    return {r + u + b: (request, user, book) for r, request in CROSSED_REQUEST.items()
+            for u, user in CROSSED_USER.items() for b, book in CROSSED_BOOK.items()}
+
+
 def dense_feature(slot_id: int, name: str, boundaries: Sequence[float]) -> Feature:
     cuts = tuple(float(b) for b in boundaries)
     if list(cuts) != sorted(cuts):
