@@ -16,7 +16,7 @@ from rankflow.plans.queries_samples import REGISTRY, labelled
 from rankflow.plans.views import samples_view, table
 from rankflow.registry import Registry
 from rankflow.session import new_path, written
-from rankflow.sources import state
+from rankflow.sources import bucketed, state
 
 SCALARS = ["book_id", "mbid", "gender", "language", "vip_type", "gap_day", "userid"]
 LISTS = ["tag_set", "userClickBookListLatestBookId", "userClickBookListLatestGapDay", "userClickBookListLatestGender"]
@@ -345,6 +345,33 @@ def shards(spark, sf_dir):
     return embed.sharded(vectors(spark, sf_dir), 7, vector_bound(spark, sf_dir)).select("id", "shard")
 
 
+def bucketed_vectors(spark: SparkSession, sf_dir: str) -> str:
+    return bucketed.write_bucketed(vectors(spark, sf_dir).select("id", "vec"), "id", 16)
+
+
+@query("h1_lookup_bucketed", on("samples", f"""
+SELECT sample_id, u, coalesce(d, 0) AS found FROM (SELECT sample_id, CASE WHEN sample_id % 7 <> 0 THEN cast(userid AS BIGINT) END AS u FROM samples)
+LEFT JOIN (SELECT vec_id AS u, {digest_sql('embedding::DOUBLE[]')} AS d FROM embeddings) USING (u)"""))
+def lookup_bucketed(spark, sf_dir):
+    """The state table stays in its buckets; hot and missing keys are answered where the rows lie."""
+    rows = samples_view(spark, sf_dir).select("sample_id", F.when(F.col("sample_id") % 7 != 0, F.col("userid").cast("bigint")).alias("u"))
+    found = bucketed.bucketed_lookup(rows, bucketed_vectors(spark, sf_dir), "id", "u", share=0.02)
+    return found.select("sample_id", "u", F.coalesce(digest(F.col("vec").cast("array<double>")), F.lit(0.0)).alias("found"))
+
+
+@query("h5_update_bucketed", f"""
+SELECT id, {digest_sql('vec')} AS vec FROM (
+  SELECT coalesce(c.user_id, e.vec_id) AS id, CASE WHEN c.user_id IS NULL THEN e.embedding::DOUBLE[] ELSE [c.s, c.n] END AS vec
+  FROM embeddings e FULL JOIN (SELECT CASE WHEN user_id % 3 = 0 THEN user_id + 1000000 ELSE user_id END AS user_id, sum(value) AS s, count(*)::DOUBLE AS n
+                               FROM events GROUP BY 1) c ON c.user_id = e.vec_id)""")
+def update_bucketed(spark, sf_dir):
+    """A day's changed and new rows merged into the buckets of the table, which is not shuffled."""
+    changes = table(spark, sf_dir, "events").groupBy(F.expr("if(user_id % 3 = 0, user_id + 1000000, user_id)").alias("id")).agg(
+        F.array(F.sum("value"), F.count(F.lit(1)).cast("double")).alias("vec"))
+    old = bucketed.write_bucketed(vectors(spark, sf_dir).select("id", F.col("vec").cast("array<double>").alias("vec")), "id", 16)
+    return spark.table(bucketed.update_bucketed(old, changes, "id", 16)).select("id", digest(F.col("vec")).alias("vec"))
+
+
 @query("h6_assemble", on("samples", f"""
 SELECT sample_id, 192 AS width, {digest_sql('list_concat(a, b, a)')} AS assembled FROM (
   SELECT sample_id, coalesce(a.vec, {_ZERO}) AS a, coalesce(b.vec, {_ZERO}) AS b FROM clicks
