@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.operators import embed, fit, metrics, samples, score
+from rankflow.operators import embed, fit, metrics, network, samples, score, vocab
+from rankflow.operators.layout import for_heavy_work
+from rankflow.plans import prepare, scoring
 from rankflow.plans.catalog import digest, digest_sql, md5_sql, on, query
-from rankflow.plans.queries_samples import labelled
+from rankflow.plans.queries_samples import REGISTRY, labelled
 from rankflow.plans.queries_state import _CLICKS, _V, _ZERO, DIM, clicks, vector_bound, vectors
 from rankflow.plans.views import SCORE_COLUMNS, samples_view, table
 from rankflow.session import new_path, written
 from rankflow.sources import state
 
+
 def raw_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(spark, sf_dir).selectExpr("*", *[f"{e} AS {n}" for n, e in SCORE_COLUMNS.items()])
 
@@ -193,6 +196,112 @@ def task_heads(spark, sf_dir):
         F.round(score.task_head(F.col("m"), F.get(heads, F.lit(t))), 6).alias(n) for t, n in enumerate(score.TASK_NAMES)])
 
 
+# The whole graph with small layers: five gates, three shared and four own experts, four mixing gates and heads.
+_EXTRA, _GATE_UNITS, _EXPERT_UNITS = 4, 12, (8, 6)
+_LAYERS = {layer.name: (layer, 100 + 3 * i) for i, layer in enumerate(network.task_layers(4, 64, _EXTRA, 16, gate_units=_GATE_UNITS, expert_units=_EXPERT_UNITS))}
+
+
+def weight_table(spark: SparkSession, layers: dict[str, tuple[network.Layer, int]]) -> DataFrame:
+    """The weights that the SQL twin computes as well: a function of a weight's place and its layer's salt."""
+    one = spark.range(1)
+    parts = [one.select(F.lit(n).alias("layer"), F.posexplode(_matrix(layer.outputs, layer.inputs, salt)).alias("place", "weights"))
+             .select("layer", "place", "weights", F.expr(_weight("place", "0", salt + 1)).alias("bias")) for n, (layer, salt) in layers.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _layer_sql(name: str, x: str, layers=_LAYERS) -> str:
+    layer, salt = layers[name]
+    act = {"relu": _RELU, "sigmoid": _SIGMOID, "softmax": "exp({})", "none": "{}"}[layer.activation]
+    return _dense_sql(x, layer.outputs, layer.inputs, salt, salt + 1 if layer.bias else None, act)
+
+
+_NAMED = ("share", *score.TASK_NAMES)
+_EXPERTS = {**{f"shared_{i}": "share" for i in range(network.SHARED_EXPERTS)}, **{f"{t}_expert": t for t in score.TASK_NAMES}}
+_GRAPH = {
+    "v0": "SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings",
+    "v1": "SELECT *" + "".join(f", {_layer_sql(f'{n}_gate', 'x')} AS h_{n}" for n in _NAMED) + " FROM v0",
+    "v2": "SELECT vec_id, x" + "".join(f", {_layer_sql(f'{n}_gate_out', f'h_{n}')} AS g_{n}" for n in _NAMED) + " FROM v1",
+    "v3": "SELECT vec_id" + "".join(f", list_concat(list_transform(range(0, 64), lambda i: x[i + 1] * g_{n}[i // 16 + 1]), x[1:{_EXTRA}]) AS in_{n}"
+                                    for n in _NAMED) + " FROM v2",
+    "v4": "SELECT *" + "".join(f", {_layer_sql(f'{e}_0', f'in_{n}')} AS a_{e}" for e, n in _EXPERTS.items())
+          + "".join(f", {_layer_sql(f'{t}_mix', f'in_{t}')} AS m_{t}" for t in score.TASK_NAMES) + " FROM v3",
+    "v5": "SELECT vec_id" + "".join(f", {_layer_sql(f'{e}_1', f'a_{e}')} AS b_{e}" for e in _EXPERTS) + "".join(f", m_{t}" for t in score.TASK_NAMES) + " FROM v4",
+    "v6": "SELECT vec_id" + "".join(f", list_transform(range(0, {_EXPERT_UNITS[-1]}), lambda i: (" + " + ".join(
+        f"b_{e}[i + 1] * m_{t}[{k + 1}]" for k, e in enumerate((*[f"shared_{i}" for i in range(network.SHARED_EXPERTS)], f"{t}_expert")))
+        + f") / list_sum(m_{t})) AS z_{t}" for t in score.TASK_NAMES) + " FROM v5"}
+
+
+@query("i2_i4_score_small_layers", _with(_GRAPH, "SELECT vec_id" + "".join(
+    f", round(({_layer_sql(f'{t}_out', f'z_{t}')})[1], 6) AS {t}" for t in score.TASK_NAMES) + " FROM v6"))
+def scored_small(spark, sf_dir):
+    net = network.Network(weight_table(spark, _LAYERS), [layer for layer, _ in _LAYERS.values()], "float64")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    out = network.score_tasks(rows.withColumn("few", F.slice("x", 1, _EXTRA)), net, "x", "x", "few")
+    return out.select("vec_id", *[F.round(t, 6).alias(t) for t in score.TASK_NAMES])
+
+
+@query("i2_i4_score")
+def scored_whole(spark, sf_dir):
+    """Samples from raw columns to the four probabilities and the position term, all layers at full width, weights as at the start."""
+    df = prepare.clean(for_heavy_work(samples_view(spark, sf_dir)), REGISTRY)
+    registry = REGISTRY.present_in(df.columns)
+    words = written(vocab.extend_vocab(vocab.vocab_values(df, registry, "sample_id"), vocab.empty_vocab(spark), registry.capacities()), "vocab")
+    tops = {f.name: f.vocab_size - 1 for f in registry.group("rank")}
+    ranks = written(vocab.rank_vocab(vocab.count_values(df, list(tops)), tops), "ranks")
+    rows = prepare.model_rows(prepare.encode(prepare.bucketed(df, registry), registry, words, ranks, "sample_id", tops), registry, "sample_id")
+    rows = for_heavy_work(written(rows, "encoded"))
+    emb = scoring.start_table(spark, registry, words)
+    out = scoring.score_rows(rows, registry, emb, network.generated_weights(spark, scoring.model_layers(registry)), "sample_id")
+    return rounded(out, "ctr", "fvtr", "unlock", "cvr", "pos").select("sample_id", "ctr_label", "ctr", "fvtr", "unlock", "cvr", "pos")
+
+
+# Queries, keys and values of 128 elements, a key being two vectors side by side: the item and another one after it.
+_PROJECTED = {n: (network.Layer(n, inputs, network.ATTENTION_UNITS, "none"), salt) for n, inputs, salt in (("query", DIM, 7), ("key", 2 * DIM, 11), ("value", 2 * DIM, 13))}
+
+
+def _projected_sql(name: str, vec: str, start: int = 0) -> str:
+    layer, salt = _PROJECTED[name]
+    return f"list_transform(range(0, {layer.outputs}), lambda i: list_sum(list_transform(range(0, {DIM}), lambda j: {_weight('i', f'(j + {start})', salt)} * {vec}[j + 1])))"
+
+
+def _bias_sql(name: str) -> str:
+    layer, salt = _PROJECTED[name]
+    return f"(SELECT list_transform(range(0, {layer.outputs}), lambda i: {_weight('i', '0', salt + 1)}))"
+
+
+_SUMMED = "list_transform(list_zip({0}, {1}), lambda p: p[1] + p[2])"
+_NONE = f"list_transform(range(0, {network.ATTENTION_UNITS}), lambda i: 0.0::DOUBLE)"
+
+
+@query("i1_projected_attention", on("samples", f"""
+SELECT clicks.sample_id, round(coalesce(s, 0), 6) + 0.0::DOUBLE AS attended FROM clicks LEFT JOIN (
+  SELECT sample_id, sum(exp(score) * d) / sum(exp(score)) AS s FROM (
+    SELECT sample_id, list_dot_product({_SUMMED.format(f"coalesce(q.q, {_NONE})", _bias_sql('query'))}, {_SUMMED.format(_SUMMED.format("a.k1", f"coalesce(b.k2, {_NONE})"), _bias_sql('key'))}) / sqrt(128) AS score,
+      list_sum(list_transform({_SUMMED.format(_SUMMED.format("a.v1", f"coalesce(b.v2, {_NONE})"), _bias_sql('value'))}, lambda x, i: x * i)) AS d
+    FROM (SELECT sample_id, k, unnest(ids) AS id FROM clicks) c JOIN p a ON a.id = c.id LEFT JOIN p b ON b.id = c.id + 1 LEFT JOIN p q ON q.id = c.k WHERE c.id > 0)
+  GROUP BY sample_id) USING (sample_id)""", clicks=_CLICKS, v=_V,
+    p="SELECT id, " + ", ".join(f"{_projected_sql(n, 'vec', start)} AS {c}" for n, start, c in (
+        ("query", 0, "q"), ("key", 0, "k1"), ("key", DIM, "k2"), ("value", 0, "v1"), ("value", DIM, "v2"))) + " FROM v"))
+def projected_attention(spark, sf_dir):
+    layers = [layer for layer, _ in _PROJECTED.values()]
+    net = network.Network(weight_table(spark, _PROJECTED), layers, "float64")
+    emb, bound = vectors(spark, sf_dir), vector_bound(spark, sf_dir)
+    one, two = network.parts_of([("item", "item")], DIM), network.parts_of([("item", "item"), ("after", "item")], DIM)
+    tables = written(network.project_table(emb, net, "query", one, DIM).unionByName(network.project_table(emb, net, "key", two, DIM)).unionByName(
+        network.project_table(emb, net, "value", two, DIM)), "projected")
+    rows = clicks(spark, sf_dir)
+    ids = F.col("ids").cast("array<bigint>")
+    # an id without a row is padding to its part; the item beside it decides whether the position counts
+    real = F.transform(ids, lambda x: F.when(x > 0, x).otherwise(0))
+    after = F.transform(ids, lambda x: F.when(x > 0, x + 1).otherwise(0))
+    known = network.projected_attention(net, tables, dict.fromkeys(["query/item", "key/item", "key/after", "value/item", "value/after"], bound),
+                                        {"item": F.col("k")}, {"item": real, "after": after})
+    return rows.select("sample_id", digest(known).alias("attended"))
+
+
 @query("a8_write_scores", on("raw_scored", """
 SELECT sample_id, dt, round(ctr, 6) AS ctr, round(fvtr, 6) AS fvtr, round(unlock, 6) AS unlock, round(cvr, 6) AS cvr FROM raw_scored"""))
 def write_scores(spark, sf_dir):
