@@ -39,10 +39,6 @@ def softmax(v: Column) -> Column:
     return F.transform(shifted, lambda x: x / total)
 
 
-def scale_vector(v: Column, factor: Column) -> Column:
-    return F.transform(v, lambda x: x * factor)
-
-
 def zero_vector(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0), dim)
 

@@ -52,6 +52,3 @@ def fit_two_tower(df: DataFrame, actor: str, receiver: str, label: str, factors:
 
 def predict_two_tower(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias("score"))
-
-
-# --- gradient of the mixture -------------------------------------------------------

@@ -5,7 +5,8 @@ import math
 from datetime import datetime
 
 import pytest
-from hypothesis import given, settings
+import xxhash
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -129,3 +130,15 @@ def test_vector_functions(spark):
     assert column(df, vectors.dot(v, v)) == column(df, vectors.dot(v, v, 3)) == [14.0]
     assert column(df, vectors.relu_vector(v)) == [[1.0, 0.0, 3.0]]
     assert sum(column(df, vectors.softmax(v))[0]) == pytest.approx(1.0)
+
+
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40)), min_size=1, max_size=20), st.integers(1, 10**7))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_fast_buckets_are_those_of_the_published_hash(spark, texts, buckets):
+    """The 64-bit xxHash of the text's UTF-8 bytes with seed 42, read as signed, modulo the buckets."""
+    texts = [None if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = [r.b for r in df.select("i", hashing.hash_bucket(F.col("s"), buckets).alias("b")).orderBy("i").collect()]
+    for text, bucket in zip(texts, got):
+        want = None if text is None else xxhash.xxh64(text.encode(), seed=42).intdigest()
+        assert bucket == (None if want is None else (want - (1 << 64) * (want >> 63)) % buckets)

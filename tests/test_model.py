@@ -236,3 +236,19 @@ def test_log_loss(spark):
     assert none == 0.0
     clipped = df.agg(metrics.log_loss(F.col("y"), F.col("p"), clip=True).alias("l")).first().l
     assert clipped == pytest.approx((-math.log(0.8) - math.log(0.7) - 2 * math.log(1e-7)) / 4, rel=1e-6)
+
+
+def test_two_tower_scores_by_the_plain_formula(spark):
+    """A bias per id, the product of their vectors and the intercept, from the stored weights."""
+    rows = [(f"a{i % 5}", f"b{i % 7}", int((i % 5) * (i % 7) % 3 == 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "a string, b string, y int")
+    model = fit.fit_two_tower(df, "a", "b", "y", factors=3, hash_bits=6, max_iter=10)
+    fm = model.stages[1]
+    factors, linear = fm.factors.toArray(), fm.linear.toArray()
+    scored = model.stages[0].transform(fit.predict_two_tower(df, model)).select("pair", "score").distinct().collect()
+    assert len(scored) == 35
+    for r in scored:
+        places = r["pair"].indices
+        raw = fm.intercept + sum(linear[i] * v for i, v in zip(places, r["pair"].values))
+        raw += sum(factors[i] @ factors[j] * r["pair"][int(i)] * r["pair"][int(j)] for i in places for j in places if i < j)
+        assert abs(r.score - 1 / (1 + np.exp(-raw))) < 1e-9
