@@ -14,26 +14,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from rankflow.llm.common import fresh
+from rankflow.llm.common import by_bytes
 from rankflow.session import written
 
 LENGTH = 50
 GRAM = 16
-# Longest run of strings that travels as one piece of text.
-RUN = 64
-# Bytes hashed at once.
+# Bytes hashed at once, and bytes of texts that are worked on together; a longer text stands alone.
 SLICE = 1 << 16
+TEXTS = 4 << 20
+# Documents of such a slice; their numbers in it take two bytes.
+TEXT_ROWS = 1 << 16
 # Runs that one hash bucket holds on average, and the least number of buckets.
 BUCKET_RUNS = 1_000_000
 LEAST_BUCKETS = 64
 # Bytes whose suffixes are sorted together, and distinct pieces of one key beyond which its strings are dealt out one by one.
-BLOCK = 1 << 20
-CROWD = 4096
-# Documents whose pieces are compared with one another before they travel.
-CUT_ROWS = 2000
+BLOCK = 1 << 18
+CROWD = 16_384
+# Bits of a least gram's hash that travel as the key of a run, and of those of the grams beside it.  Strings of equal keys are compared, so a
+# chance match costs work only.
+KEY_BITS, SIDE_BITS = 48, 16
+# A run: its key, where its first string starts, how many strings it holds, the hashes beside its gram.
+_RUN = np.dtype([("key", "<u8"), ("first", "<i4"), ("count", "u1"), ("before", "<u2"), ("after", "<u2")])
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _CODES = np.random.default_rng(2024).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -49,8 +55,8 @@ def _powers() -> list[np.uint64]:
 _POWERS = _powers()
 
 
-def least_grams(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For every string of `length` bytes the smallest hash of the 16-byte grams in it."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of every 16-byte gram."""
     h = _CODES[data]
     for i, p in enumerate(_POWERS):
         s = 1 << i
@@ -58,32 +64,68 @@ def least_grams(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
     h ^= h >> np.uint64(29)
     h *= _MIX[1]
     h ^= h >> np.uint64(32)
-    width, reach = length - GRAM + 1, 1
+    return h
+
+
+def least_places(h: np.ndarray, width: int) -> np.ndarray:
+    """For every `width` neighbouring hashes the place of the smallest, the first one of equal ones."""
+    place, reach = np.arange(len(h)), 1
+
+    def halves(step: int) -> None:
+        nonlocal h, place
+        later = h[step:] < h[:-step]
+        h = np.where(later, h[step:], h[:-step])
+        place = np.where(later, place[step:], place[:-step])
+
     while reach * 2 <= width:
-        h = np.minimum(h[:-reach], h[reach:])
+        halves(reach)
         reach *= 2
     if reach < width:
-        h = np.minimum(h[:len(h) - (width - reach)], h[width - reach:])
-    return h
+        halves(width - reach)
+    return place
+
 
+def runs(raw: bytes, length: int = LENGTH) -> np.ndarray:
+    """Runs of neighbouring strings of `length` bytes with the same least gram, as _RUN.
 
-def runs(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first, count): runs of at most RUN neighbouring strings that share their least gram."""
+    Equal strings hold their least gram at the same place.  Either the 16 bytes before that gram or those after it lie in the string as well, so
+    of two equal strings' runs not only the keys agree but also one of the hashes beside the gram (0: the text ends before).  Works slice by
+    slice, so that a long text takes little memory.
+    """
     data = np.frombuffer(raw, np.uint8)
     n = len(data) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    keys = [least_grams(data[a:a + SLICE + length - 1], length) for a in range(0, n, SLICE)]
-    key = keys[0] if len(keys) == 1 else np.concatenate(keys)
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    count = np.diff(np.r_[first, n])
-    if count.max() > RUN:
-        pieces = -(-count // RUN)
-        inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        ends = np.repeat(first + count, pieces)
-        first = np.repeat(first, pieces) + inner * RUN
-        count = np.minimum(ends - first, RUN)
-    return key[first], first, count
+    width = length - GRAM + 1
+    found = []
+    for a in range(0, n, SLICE):
+        b, low = min(a + SLICE, n), max(a - GRAM, 0)
+        h = gram_hashes(data[low:b + length - 1 + 2 * GRAM])
+        place = least_places(h[a - low:b - low + width - 1], width)
+        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        gram = place[first] + (a - low)
+        # the least of many hashes is small; mixed, keys spread over all buckets
+        key = (h[gram] * _MIX[2]) >> np.uint64(64 - KEY_BITS)
+        side = np.zeros(len(h) + 2 * GRAM, np.uint16)
+        side[GRAM:-GRAM] = (h >> np.uint64(20)).astype(np.uint16) | np.uint16(1)
+        out = np.empty(len(first), _RUN)
+        out["key"], out["first"], out["count"] = key, first + a, np.diff(np.r_[first, len(place)])
+        out["before"], out["after"] = side[gram], side[gram + 2 * GRAM]
+        found.append(out)
+    return np.concatenate(found) if found else np.empty(0, _RUN)
+
+
+def _met(key: np.ndarray, side: np.ndarray, who: np.ndarray, told: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(shared, head) per run: whether its key and side occur with several owners, or with one that is `told` to; and whether it is the first such."""
+    both = key << np.uint64(SIDE_BITS) | side
+    order = np.argsort(both, kind="stable")
+    sorted_both, sorted_who = both[order], who[order]
+    heads = np.flatnonzero(np.r_[True, sorted_both[1:] != sorted_both[:-1]])
+    found = np.minimum.reduceat(sorted_who, heads) < np.maximum.reduceat(sorted_who, heads)
+    if told is not None:
+        found |= np.maximum.reduceat(told[order], heads)
+    shared, head = np.empty(len(both), bool), np.zeros(len(both), bool)
+    shared[order] = np.repeat(found, np.diff(np.r_[heads, len(both)]))
+    head[order[heads]] = True
+    return shared, head
 
 
 def suffix_order(s: np.ndarray, depth: int = LENGTH, cover: int = 1) -> np.ndarray:
@@ -160,83 +202,96 @@ def _intervals(flags: np.ndarray, offset: int) -> np.ndarray:
     return edges.reshape(-1, 2) + offset
 
 
-def _shared_runs(keyed: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(doc_id, body, runs): the runs whose key occurs in several documents; `runs` holds (key, first, count) as longs.
+def _text_slices(batch: pa.RecordBatch, text: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most TEXTS bytes of texts, or one text, and TEXT_ROWS rows."""
+    sizes = pc.fill_null(pc.binary_length(text), 0).to_pylist()
+    for a, b in by_bytes(map(range, sizes), TEXTS):
+        for at in range(a, b, TEXT_ROWS):
+            yield batch.slice(at, min(TEXT_ROWS, b - at))
+
 
-    A task tells its buckets each key once, however many of its documents share it; those it knows to be shared are returned at
-    once.  So a key that very many documents hold sends one entry per batch of documents.
+def _shared_runs(keyed: DataFrame, text_of, length: int, buckets: int) -> DataFrame:
+    """(doc_id, body, runs): which of a text's runs, as numbers of four bytes, have a key that occurs in several documents with the same gram
+    before or after it.
+
+    One pass over the texts.  Each slice of texts tells the buckets of its keys each pair of key and side once, however many of its documents
+    share it; runs it knows to be shared travel beside, through any bucket.  So a key that very many documents hold sends few entries per slice.
     """
-    def gather(batch: pa.RecordBatch):
-        ids, bodies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        found = [runs((t or "").encode("utf-8", "surrogatepass"), length) for t in batch.column(2).to_pylist()]
-        key = np.concatenate([f[0] for f in found])
-        doc = np.repeat(np.arange(len(ids)), [len(f[0]) for f in found])
-        order = np.lexsort((ids[doc], key))
-        key, doc = key[order], doc[order]
-        first, count = (np.concatenate([f[i] for f in found])[order] for i in (1, 2))
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)])
-        sizes = np.diff(np.r_[heads, len(key)])
-        several = ids[doc[heads]] != ids[doc[heads + sizes - 1]] if len(heads) else np.empty(0, bool)
-        return ids, bodies, key, doc, first, count, heads, sizes, several
-
-    def rows_of(ids, bodies, doc, key, first, count) -> pa.RecordBatch:
-        order = np.argsort(doc, kind="stable")
+    def rows_of(ids, bodies, doc, number) -> pa.RecordBatch:
+        order = np.lexsort((number, doc))
         doc = doc[order]
         heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]][:len(doc)])
-        packed = np.stack([key[order].view(np.int64), first[order], count[order]], axis=1)
+        packed = number[order].astype("<u4")
         return pa.RecordBatch.from_arrays(
             [pa.array(ids[doc[heads]]), pa.array(bodies[doc[heads]]),
-             pa.array([x.tobytes() for x in np.split(packed, heads[1:])] if len(heads) else [], pa.binary())],
+             pa.array([packed[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(doc)])], pa.binary())],
             names=["doc_id", "body", "runs"])
 
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, bodies, key, doc, first, count, heads, sizes, several = gather(batch)
-            hit = np.repeat(several, sizes)
-            yield rows_of(ids, bodies, doc[hit], key[hit], first[hit], count[hit])
+    # narrow columns of their own, which compress better; the highest bit of `far` says that a run is known to be shared already
+    kept = {"low": "<u4", "high": "<u2", "before": "<u2", "after": "<u2", "near": "<u2", "far": "<u2", "doc": "<u2", "ids": "<i8", "bodies": "<i4"}
+    names = ["bucket", "known", *kept]
+
+    def told(ids: np.ndarray, bodies: np.ndarray, texts: list) -> list[dict]:
+        parts = [runs(t.encode("utf-8", "surrogatepass"), length) for t in texts]
+        sizes = np.array([len(p) for p in parts])
+        doc = np.repeat(np.arange(len(ids)), sizes)
+        if not len(doc):
+            return []
+        number = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        found = np.concatenate(parts)
+        del parts
+        key, who = found["key"].copy(), ids[doc]
+        by_before, by_after = (_met(key, found[side].astype(np.uint64), who) for side in ("before", "after"))
+        settled = by_before[0] | by_after[0]
+        sent = by_before[1] | by_after[1]
+        bucket = (key >> np.uint64(KEY_BITS - 32)).astype(np.int64) * buckets >> 32
+
+        def row(place: int, known: bool, of: np.ndarray) -> dict:
+            used, local = np.unique(doc[of], return_inverse=True)
+            columns = {"near": number[of] & 0xFFFF, "far": number[of] >> 16 | settled[of] << 15, "doc": local, "ids": ids[used], "bodies": bodies[used]}
+            if not known:
+                columns |= {"low": key[of] & np.uint64(0xFFFFFFFF), "high": key[of] >> np.uint64(32), "before": found["before"][of],
+                            "after": found["after"][of]}
+            return {"bucket": place, "known": known, **{c: x.astype(kept[c]).tobytes() for c, x in columns.items()}}
+
+        rows = [row(int(who[settled][0] % buckets), True, np.flatnonzero(settled))] if settled.any() else []
+        order = np.flatnonzero(sent)
+        order = order[np.argsort(bucket[order], kind="stable")]
+        cuts = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1]])
+        return rows + [row(int(bucket[order[a]]), False, order[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(order)])]
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, bodies, key, doc, first, count, heads, sizes, several = gather(batch)
-            # all runs of the first document go, if it is the only one here; of others one entry that says so
-            lone = np.repeat(~several, sizes)
-            lone[heads] = True
-            key, doc, first, count = key[lone], doc[lone], first[lone], count[lone].astype(np.int32)
-            settled = np.repeat(several, sizes)[lone]
-            bucket = (key >> np.uint64(32)).astype(np.int64) * buckets >> 32
-            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][:len(bucket)])
-            rows = []
-            for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)]):
-                used, local = np.unique(doc[a:b], return_inverse=True)
-                rows.append((int(bucket[a]), key[a:b].tobytes(), local.astype(np.int32).tobytes(),
-                             first[a:b].astype(np.int32).tobytes(), (count[a:b] * np.where(settled[a:b], -1, 1)).astype(np.int8).tobytes(),
-                             ids[used].tobytes(), bodies[used].tobytes()))
-            names = ["bucket", "key", "doc", "first", "count", "ids", "bodies"]
-            kinds = [pa.int32()] + [pa.binary()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+            for part in _text_slices(batch, text_of(batch)):
+                rows = told(part.column("doc_id").to_numpy(), part.column("body").to_numpy(), text_of(part).to_pylist())
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], k) for c, k in zip(
+                        names, [pa.int32(), pa.bool_()] + [pa.binary()] * len(kept))], names=names)
+
+    def numbers(part: dict) -> np.ndarray:
+        return (part["far"] & np.uint16(0x7FFF)).astype(np.int64) << 16 | part["near"]
 
     def meet(tab: pa.Table) -> pa.Table:
-        parts = {c: [np.frombuffer(x, t) for x in tab[c].to_pylist()] for c, t in
-                 (("key", np.uint64), ("doc", np.int32), ("first", np.int32), ("count", np.int8), ("ids", np.int64),
-                  ("bodies", np.int64))}
-        shift = np.cumsum([0] + [len(x) for x in parts["ids"]][:-1])
-        key, first, count, ids, bodies = (np.concatenate(parts[c]) for c in ("key", "first", "count", "ids", "bodies"))
-        doc = np.concatenate([d.astype(np.int64) + s for d, s in zip(parts["doc"], shift)])
-        order = np.argsort(key, kind="stable")
-        key, doc, first, count = key[order], doc[order], first[order], count[order]
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        who = ids[doc]
-        shared = ((np.minimum.reduceat(who, heads) < np.maximum.reduceat(who, heads)) | (np.minimum.reduceat(count, heads) < 0))
-        hit = np.repeat(shared, np.diff(np.r_[heads, len(key)])) & (count > 0)
-        return pa.Table.from_batches([rows_of(ids, bodies, doc[hit], key[hit], first[hit], count[hit].astype(np.int64))])
-
-    out = "doc_id long, body long, runs binary"
-    told = keyed.mapInArrow(tell, "bucket int, key binary, doc binary, first binary, count binary, ids binary, bodies binary")
-    return keyed.mapInArrow(known, out).union(told.groupBy("bucket").applyInArrow(meet, out))
+        out = [pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int32()), pa.array([], pa.binary())], names=["doc_id", "body", "runs"])]
+        for r in tab.filter(tab["known"]).to_pylist():
+            part = {c: np.frombuffer(r[c], kept[c]) for c in ("near", "far", "doc", "ids", "bodies")}
+            out.append(rows_of(part["ids"], part["bodies"], part["doc"], numbers(part)))
+        tab = tab.filter(pc.invert(tab["known"]))
+        if len(tab):
+            lists = {c: [np.frombuffer(x, t) for x in tab[c].to_pylist()] for c, t in kept.items()}
+            shift = np.cumsum([0] + [len(x) for x in lists["ids"]][:-1])
+            doc = np.concatenate([d.astype(np.int64) + s for d, s in zip(lists.pop("doc"), shift)])
+            part = {c: np.concatenate(x) for c, x in lists.items()}
+            key = part.pop("high").astype(np.uint64) << np.uint64(32) | part.pop("low")
+            who, settled = part["ids"][doc], part["far"] >> 15 > 0
+            shared = _met(key, part.pop("before").astype(np.uint64), who, settled)[0] | _met(key, part.pop("after").astype(np.uint64), who, settled)[0]
+            hit = shared & ~settled
+            if hit.any():
+                out.append(rows_of(part["ids"], part["bodies"], doc[hit], numbers(part)[hit]))
+        return pa.Table.from_batches(out)
+
+    rows = keyed.mapInArrow(tell, ", ".join([f"{names[0]} int", f"{names[1]} boolean", *[f"{n} binary" for n in kept]]))
+    return rows.groupBy("bucket").applyInArrow(meet, "doc_id long, body int, runs binary")
 
 
 def _settle(rows: list[tuple], length: int) -> Iterator[tuple]:
@@ -260,62 +315,88 @@ def _settle(rows: list[tuple], length: int) -> Iterator[tuple]:
             yield doc, body, np.array([[first, first + len(piece) - length + 1]])
 
 
-def repeated_strings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
+def _body() -> Column:
+    """Tells rows of one id and different texts apart."""
+    return F.shiftright(F.xxhash64("text"), 32).cast("int")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, row, part): every row with its id and a hash of its text, dealt by both.
+
+    All that follows reads this one shuffle of the texts.  Spark finds it again if every user asks for the same columns, and the partition's
+    number keeps filters and joins from being moved to the other side of it.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _body().alias("body"), row.alias("row")).repartition("doc_id", "body")
+    return dealt.withColumn("part", F.spark_partition_id())
+
+
+def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(doc_id, body, starts): per document the starts of strings of `length` bytes that a document with a smaller id holds too.
 
-    `body` is xxhash64 of the text; `starts` are arrays of half-open intervals as pairs of longs, possibly overlapping.  Work is
+    `keyed` are the same rows from `_keyed`.
+    `body` is half of the xxhash64 of the text; `starts` are arrays of half-open intervals as pairs of longs, possibly overlapping.  Work is
     proportional to the text; suffixes are sorted in blocks of at most `block` bytes and one key.  A key with over `crowd`
     different pieces is not sorted in one task: its strings are grouped by their bytes instead.
     """
     spark = docs.sparkSession
-    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text")
-    total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    total = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-total // (18 * BUCKET_RUNS)))
     # later copies of a text go whole; only its first document is looked at piece by piece
-    texts = keyed.select("doc_id", "body", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("sha"))
+    texts = usable.select(F.col("doc_id").cast("long").alias("doc_id"), _body().alias("body"), F.octet_length("text").alias("n"),
+                          F.sha2("text", 256).alias("sha"))
     copied = written(texts.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
                      .select("sha", "least"), "copied")
     copies = written(texts.join(copied, "sha").where("least < doc_id").select("doc_id", "body", "n").distinct(), "copies")
-    shared = (_shared_runs(keyed, length, buckets).groupBy("doc_id", "body").agg(F.collect_list("runs").alias("runs"))
-              .join(copies.select("doc_id", "body"), ["doc_id", "body"], "left_anti"))
-    with_text = keyed.join(shared, ["doc_id", "body"])
+    first = keyed.where("doc_id IS NOT NULL AND row.text IS NOT NULL").join(copies.select("doc_id", "body"), ["doc_id", "body"], "left_anti")
+
+    def text_of(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column("row").field("text")
+
+    shared = (_shared_runs(first, text_of, length, buckets).groupBy("doc_id", "body").agg(F.collect_list("runs").alias("runs")))
+    with_text = first.join(shared, ["doc_id", "body"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pieces of text (kind 0) by key; of equal pieces in a batch only the smallest document's, the others are settled (1)."""
-        for batch in (b.slice(at, CUT_ROWS) for b in batches for at in range(0, b.num_rows, CUT_ROWS)):
-            rows: list[tuple] = []
-            first_owner: dict[tuple[int, bytes], int] = {}
-            for doc, body, text, lists in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "body", "text", "runs")], strict=True):
+        """Pieces of text (kind 0) by key; of equal pieces in a slice only the smallest document's, the others are settled (1)."""
+        for batch in (p for b in batches for p in _text_slices(b, text_of(b))):
+            ids, bodies = batch.column("doc_id").to_numpy(), batch.column("body").to_numpy()
+            number: dict[bytes, int] = {}  # equal pieces have equal keys
+            found, which = [], []
+            for text, lists in zip(text_of(batch).to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                at = np.unique(np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 3) for x in lists]), axis=0)
-                for key, first, count in at.tolist():
-                    piece = raw[first:first + count - 1 + length]
-                    owner = first_owner.get((key, piece))
-                    if owner is None or doc < owner:
-                        first_owner[key, piece] = doc
-                    rows.append((key, doc, body, first, piece))
-            done: dict[tuple[int, int], list] = {}
-            out = []
-            for key, doc, body, first, piece in rows:
-                if first_owner[key, piece] < doc:
-                    done.setdefault((doc, body), []).append((first, first + len(piece) - length + 1))
-                else:
-                    out.append((0, key, doc, body, first, piece))
-            out += [(1, body, doc, body, 0, np.array(x, np.int64).tobytes()) for (doc, body), x in done.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(
-                (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                names=["kind", "key", "doc_id", "body", "first", "piece"])
-
-    pieces = with_text.select("doc_id", "body", "text", "runs").mapInArrow(
-        cut, "kind int, key long, doc_id long, body long, first long, piece binary")
+                at = runs(raw, length)[np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in lists]))]
+                found.append(at)
+                which.append(np.array([number.setdefault(raw[a:a + c], len(number)) for a, c in zip(
+                    at["first"].tolist(), (at["count"].astype(np.int64) + (length - 1)).tolist())], np.int64))
+            doc = np.repeat(np.arange(len(ids)), [len(f) for f in found])
+            at, which = np.concatenate(found), np.concatenate(which)
+            owner = np.full(len(number), np.iinfo(np.int64).max)
+            np.minimum.at(owner, which, ids[doc])
+            goes = owner[which] < ids[doc]
+            pieces = list(number)
+            sent = np.flatnonzero(~goes)
+            gone = np.flatnonzero(goes)  # in the order of the documents
+            spans = np.stack([at["first"][gone].astype(np.int64), at["first"][gone].astype(np.int64) + at["count"][gone]], 1)
+            heads = np.flatnonzero(np.r_[True, doc[gone][1:] != doc[gone][:-1]][:len(gone)])
+            lost = doc[gone][heads]
+            columns = [
+                pa.array(np.repeat([0, 1], [len(sent), len(lost)]).astype(np.int32)),
+                pa.array(np.r_[at["key"][sent].astype(np.int64), bodies[lost].astype(np.int64)]), pa.array(np.r_[ids[doc[sent]], ids[lost]]),
+                pa.array(np.r_[bodies[doc[sent]], bodies[lost]]), pa.array(np.r_[at["first"][sent].astype(np.int64), np.zeros(len(lost), np.int64)]),
+                pa.array([pieces[i] for i in which[sent].tolist()] + [spans[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(gone)])],
+                         pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "key", "doc_id", "body", "first", "piece"])
+
+    pieces = with_text.select("doc_id", "body", "row", "runs", "part").mapInArrow(
+        cut, "kind int, key long, doc_id long, body int, first long, piece binary")
     dealt = (pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "kind", "key")
              .sortWithinPartitions("kind", "key"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["kind", "doc_id", "body", "first", "piece"])
+                (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["kind", "doc_id", "body", "first", "piece"])
 
         def packed(found) -> list[tuple]:
             by_doc: dict[tuple[int, int], list] = {}
@@ -370,22 +451,41 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD,
         if ready or current:
             yield made(packed(_settle(ready + current, length)))
 
-    settled = written(dealt.mapInArrow(settle, "kind int, doc_id long, body long, first long, piece binary"), "repeats")
-    single = settled.where("kind = 2").select("doc_id", "body", "first", "piece")
-    first_of = single.groupBy("piece").agg(F.min("doc_id").alias("least"))
-    later = single.join(first_of, "piece").where("least < doc_id").groupBy("doc_id", "body").agg(
-        F.flatten(F.collect_list(F.array("first", F.col("first") + 1))).alias("starts"))
+    # strings dealt out one by one meet at their bytes, in the order of the documents; cut sends each once per slice, so none is hot
+    place = F.when(F.col("kind") == 2, F.xxhash64("piece")).otherwise(F.xxhash64("doc_id", "body"))
+    settled = (dealt.mapInArrow(settle, "kind int, doc_id long, body int, first long, piece binary").withColumn("place", place)
+               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place").sortWithinPartitions("place", "kind", "piece", "doc_id"))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Intervals of starts per document: those found already, and those of single strings behind the first document that holds them."""
+        last, least = None, 0
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()],
-                                                            pa.list_(pa.int64()))], names=["doc_id", "body", "starts"])
-
-    whole = settled.where("kind = 1").select("doc_id", "body", "piece").mapInArrow(spread, "doc_id long, body long, starts array<long>")
+            kind, ids, bodies, first = (batch.column(c).to_numpy() for c in ("kind", "doc_id", "body", "first"))
+            spans: list[np.ndarray] = [np.empty((0, 2), np.int64)]
+            owner: list[np.ndarray] = [np.empty(0, np.int64)]
+            alone = []
+            for i, (k, piece) in enumerate(zip(kind.tolist(), batch.column("piece").to_pylist(), strict=True)):
+                if k == 1:
+                    spans.append(np.frombuffer(piece, np.int64).reshape(-1, 2))
+                    owner.append(np.full(len(spans[-1]), i))
+                elif piece != last:
+                    last, least = piece, ids[i]
+                elif ids[i] > least:
+                    alone.append(i)
+            spans.append(np.stack([first[alone], first[alone] + 1], 1))
+            owner.append(np.array(alone, np.int64))
+            at, row = np.concatenate(spans), np.concatenate(owner)
+            order = np.lexsort((bodies[row], ids[row]))
+            at, row = at[order], row[order]
+            heads = np.flatnonzero(np.r_[True, (ids[row][1:] != ids[row][:-1]) | (bodies[row][1:] != bodies[row][:-1])][:len(row)])
+            ends = np.r_[heads, len(row)].astype(np.int32) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row[heads]]), pa.array(bodies[row[heads]]),
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(at.ravel()))], names=["doc_id", "body", "starts"])
+
+    found = settled.mapInArrow(later, "doc_id long, body int, starts array<long>")
     gone = copies.where(F.col("n") >= length).select("doc_id", "body", F.array(F.lit(0).cast("long"), (F.col("n") - length + 1).cast("long"))
                                                      .alias("starts"))
-    return (whole.union(later).union(gone).groupBy("doc_id", "body").agg(F.collect_list("starts").alias("starts")))
+    return found.union(gone).groupBy("doc_id", "body").agg(F.collect_list("starts").alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
@@ -395,48 +495,51 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, bl
     smaller doc_id too; all is judged on the input.  Rows with a null doc_id neither lose nor remove anything; rows that share an id
     do not remove one another.  Columns of the result's names are replaced, all others pass through.
     """
-    from pyspark.sql.types import BinaryType, LongType, StructField, StructType
-    if length < GRAM + 8:
-        raise ValueError(f"strings must be {GRAM + 8} bytes long at least")
+    if not 3 * GRAM - 1 <= length < GRAM + 128:
+        raise ValueError(f"strings must be {3 * GRAM - 1} to {GRAM + 127} bytes long")
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
     columns = docs.columns
-    starts, row = fresh("__starts", columns), fresh("__row", columns)
-    found = repeated_strings(docs, length, crowd, block).select(F.col("doc_id").alias("__d"), F.col("body").alias("__b"),
-                                                                F.col("starts").alias(starts))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("__d"), F.xxhash64("text").alias("__b"),
-                        F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row))
-    joined = keyed.join(found, ["__d", "__b"], "left").select(*[F.col(f"{row}.`{c}`").alias(c) for c in columns], starts)
+    keyed = _keyed(docs)
+    found = repeated_strings(docs, keyed, length, crowd, block)
+    joined = keyed.join(found, ["doc_id", "body"], "left").select("row", "starts", "part")
     schema = StructType(list(docs.schema.fields) + [StructField("kept", BinaryType())]
                         + [StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")])
-    place = columns.index("text")
+    place = [c.lower() for c in columns].index("text")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, sizes, removed, spans = [], [], [], []
-            for text, lists in zip(batch.column(place), batch.column(len(columns)), strict=True):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                sizes.append(len(raw))
-                if not lists.is_valid or not len(lists):
-                    kept.append(raw)
-                    removed.append(0)
-                    spans.append(0)
-                    continue
-                at = np.concatenate([x.values.to_numpy() for x in lists]).reshape(-1, 2)
-                change = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(change, at[:, 0], 1)
-                np.add.at(change, at[:, 1] + length - 1, -1)
-                gone = _intervals(np.cumsum(change[:-1]) > 0, 0)
-                kept.append(b"".join(raw[a:b] for a, b in zip([0, *gone[:, 1].tolist()], [*gone[:, 0].tolist(), len(raw)])))
-                removed.append(int((gone[:, 1] - gone[:, 0]).sum()))
-                spans.append(len(gone))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(columns))]
-                + [pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (sizes, removed, spans)]],
-                names=[*columns, "kept", "n_bytes", "n_removed", "n_spans"])
+            for part in _text_slices(batch, batch.column("row").flatten()[place]):
+                yield dropped(part)
+
+    def dropped(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept, sizes, removed, spans = [], [], [], []
+        given = batch.column("row").flatten()
+        for text, lists in zip(given[place], batch.column("starts"), strict=True):
+            raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            sizes.append(len(raw))
+            if not lists.is_valid or not len(lists):
+                kept.append(raw)
+                removed.append(0)
+                spans.append(0)
+                continue
+            gone = _united(np.concatenate([x.values.to_numpy() for x in lists]).reshape(-1, 2), length)
+            kept.append(b"".join(raw[a:b] for a, b in zip([0, *gone[:, 1].tolist()], [*gone[:, 0].tolist(), len(raw)])))
+            removed.append(int((gone[:, 1] - gone[:, 0]).sum()))
+            spans.append(len(gone))
+        return pa.RecordBatch.from_arrays([*given, pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (sizes, removed, spans)]],
+                                          names=[*columns, "kept", "n_bytes", "n_removed", "n_spans"])
 
     return joined.mapInArrow(drop, schema)
 
 
+def _united(starts: np.ndarray, length: int) -> np.ndarray:
+    """The maximal runs of bytes (start, end) that strings of `length` bytes cover whose starts lie in the half-open intervals given."""
+    starts = starts[np.argsort(starts[:, 0], kind="stable")]
+    ends = np.maximum.accumulate(starts[:, 1] + (length - 1))
+    heads = np.flatnonzero(np.r_[True, starts[1:, 0] > ends[:-1]])
+    return np.stack([starts[heads, 0], np.r_[ends[heads[1:] - 1], ends[-1]]], 1)
+
+
 def brute_force(docs: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int, tuple[int, int, int, str]]:
     """The same on a few documents with distinct ids, string by string, for tests: id -> (bytes, removed, spans, sha256 of the rest)."""
     least: dict[bytes, int] = {}
