@@ -180,15 +180,15 @@ def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
     return root
 
 
-def _blocks(prints: DataFrame, masks: list[int], block: int, more: tuple[str, ...] = ()) -> DataFrame:
-    """Rows (t, key, i, j, side, fp, node and the columns `more`): the chunks of every block that are compared with one another.
+def _blocks(prints: DataFrame, masks: list[int], block: int) -> DataFrame:
+    """Rows (t, key, i, j, side, fp, node): the chunks of every block that are compared with one another.
 
     A block of up to `block` fingerprints is one chunk.  A larger one is dealt into chunks by a hash, and each pair of chunks is
     compared in a group of its own, so that no task holds the whole block and no pair is lost.
     """
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
                        for t, m in enumerate(masks)])
-    rows = prints.select("fp", "node", *more, F.explode(tables).alias("k")).select("fp", "node", *more, "k.t", "k.key")
+    rows = prints.select("fp", "node", F.explode(tables).alias("k")).select("fp", "node", "k.t", "k.key")
     # blocks to split; Spark broadcasts their table only if its written size allows
     large = written(rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
                     .select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("chunks")), "large_blocks")
@@ -198,7 +198,7 @@ def _blocks(prints: DataFrame, masks: list[int], block: int, more: tuple[str, ..
     other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1))
     rows = rows.withColumn("d", other)
     return rows.select("t", "key", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"),
-                       (F.col("c") > F.col("d")).cast("int").alias("side"), "fp", "node", *more)
+                       (F.col("c") > F.col("d")).cast("int").alias("side"), "fp", "node")
 
 
 def _in_runs(blocks: DataFrame, found, schema: str) -> DataFrame:
@@ -274,181 +274,12 @@ def simhash_components(docs: DataFrame, words: int = 4, radius: int = 4, seed: i
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
-def _small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The same rows, few at a time."""
-    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
-
-
-def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
-    """The sorted distinct 32-bit hashes of a text's shingles (cut as for the fingerprint)."""
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.empty(0, np.uint32)
-    digest = xxhash.xxh32_intdigest
-    return np.unique(np.array([digest(b" ".join(parts[i:i + words])) for i in range(max(len(parts) - words + 1, 1))], np.uint32))
-
-
-# Bits of an outline.
-OUTLINE = 2048
-
-
-def outline(shingles: np.ndarray) -> bytes:
-    """The size of a shingle set and which of OUTLINE classes of hashes it holds."""
-    held = np.zeros(OUTLINE, bool)
-    held[shingles % OUTLINE] = True
-    return np.uint32(len(shingles)).tobytes() + np.packbits(held).tobytes()
-
-
-def may_reach(a: bytes, b: bytes, similarity: float) -> bool:
-    """False only if two sets cannot be as similar: each class that one of them holds alone is an element of one of them alone."""
-    total = int.from_bytes(a[:4], "little") + int.from_bytes(b[:4], "little")
-    alone = (int.from_bytes(a[4:], "little") ^ int.from_bytes(b[4:], "little")).bit_count()
-    return (total - alone) / 2 >= similarity * (total + alone) / 2 - 1e-9
-
-
-def _closest(blocks: DataFrame, radius: int, both: int, closest: int) -> DataFrame:
-    """Candidate pairs (a, b): each row of a group with its `closest` earlier neighbours there.
-
-    Neighbours differ in at most `radius` bits of this fingerprint and in at most `both` of this and the `other` one together.
-    """
-    def pairs(fps, run, rows):
-        node, other = rows["node"].to_numpy(), rows["other"].to_numpy().view(np.uint64)
-        low, high, far, of = [], [], [], []
-        for x, y in close_pairs(fps, run, rows["side"].to_numpy(), radius):
-            bits = np.bitwise_count(fps[x] ^ fps[y]).astype(np.int64) + np.bitwise_count(other[x] ^ other[y])
-            near = bits <= both
-            x, y = x[near], y[near]
-            low.append(np.minimum(node[x], node[y]))
-            high.append(np.maximum(node[x], node[y]))
-            far.append(bits[near])
-            of.append(run[x])
-        if not low:
-            return
-        low, high, far, of = (np.concatenate(v) for v in (low, high, far, of))
-        order = np.lexsort((low, far, high, of))
-        low, high, of = low[order], high[order], of[order]
-        heads = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (of[1:] != of[:-1])][:len(low)])
-        rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.r_[heads, len(low)]))
-        yield low[rank < closest], high[rank < closest]
-
-    return _in_runs(blocks, pairs, "a long, b long").where("a <> b")
-
-
-def _apart(blocks: DataFrame, radius: int, masks: list[int], earlier: list[int]) -> DataFrame:
-    """All pairs (a, b) of a group that differ in at most `radius` bits and whose components differ, each pair once.
-
-    A pair is given by the first of `masks` it agrees under, and not at all if the `other` fingerprints differ in at most `radius`
-    bits and agree under one of `earlier`.  Groups are worked off piece by piece.
-    """
-    def first(bits: np.ndarray, keys: list[int]) -> np.ndarray:
-        at = np.full(len(bits), len(keys))
-        for t in reversed(range(len(keys))):
-            at[bits & np.uint64(keys[t]) == 0] = t
-        return at
-
-    def pairs(fps, run, rows):
-        node, other, table = rows["node"].to_numpy(), rows["other"].to_numpy().view(np.uint64), rows["t"].to_numpy()
-        component = rows["component"].to_numpy()
-        for x, y in close_pairs(fps, run, rows["side"].to_numpy(), radius):
-            open_ = component[x] != component[y]
-            x, y = x[open_], y[open_]
-            new = first(fps[x] ^ fps[y], masks) == table[x]
-            x, y = x[new], y[new]
-            if earlier:
-                bits = other[x] ^ other[y]
-                new = (np.bitwise_count(bits) > radius) | (first(bits, earlier) == len(earlier))
-                x, y = x[new], y[new]
-            yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-
-    return _in_runs(blocks, pairs, "a long, b long")
-
-
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 18, both: int = 30, tables: int = 48,
-                key_bits: int = 13, closest: int = 2, seeds: tuple[int, int] = (42, 43), block: int = BLOCK) -> DataFrame:
-    """(doc_id, component_id): documents joined by links of a Jaccard similarity of `similarity` or more of their word shingles.
-
-    Two texts at 0.8 differ in about ten of 64 fingerprint bits, too many for a complete search.  So each of `seeds` gives a
-    fingerprint of its own, and candidates are found in `tables` tables of each, keyed by `key_bits` bits drawn at random, and
-    compared bit-sliced there.  First every document offers its `closest` neighbours of each group, with at most `radius` bits of the
-    one and `both` bits of the two fingerprints different, which joins a group of copies without listing its pairs.  Then all
-    other pairs of a group within `radius` are taken whose documents are not joined yet, so no neighbour hides another.  Every
-    link is verified on the whole shingle sets.  Texts of the same words in order are copies of one another, and so are texts
-    without words.  Rows with a null doc_id are left out.
-    """
-    own = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    names = [f"fp{i}" for i in range(len(seeds))]
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            texts = batch.column(1).to_pylist()
-            made = [[fingerprint(t, words, s, True) for t in texts] for s in seeds]
-            made.append([xxhash.xxh64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split())) for t in texts])
-            yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(np.array(x, np.uint64).view(np.int64)) for x in made],
-                                             names=["doc_id", *names, "body"])
-
-    fp = written(own.mapInArrow(prints, "doc_id long, " + "".join(f"{n} long, " for n in names) + "body long"), "fingerprints")
-    nodes = written(fp.groupBy(*names, "body").agg(F.min("doc_id").alias("node")), "nodes")
-    masks = []
-    for seed in seeds:
-        random = np.random.default_rng(seed)
-        masks.append([sum(1 << int(b) for b in random.choice(BITS, key_bits, replace=False)) for _ in range(tables)])
-
-    def blocks(rows: DataFrame, i: int, *more: str) -> DataFrame:
-        sides = rows.select(F.col(names[i]).alias("fp"), "node", F.col(names[1 - i]).alias("other"), *more)
-        return _blocks(sides, masks[i], block, ("other", *more))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            made = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in made], pa.binary()),
-                                              pa.array([outline(x) for x in made], pa.binary())], names=["doc_id", "shingles", "outline"])
-
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            keep = [may_reach(x, y, similarity) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            keep = []
-            for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(s, np.uint32), np.frombuffer(t, np.uint32)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) and both > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        held = written(own.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(
-            sets, "doc_id long, shingles binary, outline binary"), "shingles")
-        # outlines rule most pairs out, so few whole sets are shuffled
-        for column, test in (("outline", possible), ("shingles", verify)):
-            left = held.select(F.col("doc_id").alias("a"), F.col(column).alias("s"))
-            right = held.select(F.col("doc_id").alias("b"), F.col(column).alias("t"))
-            pairs = (pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(test, "a long, b long").distinct())
-        return pairs
-
-    near = _closest(blocks(nodes, 0), radius, both, closest).union(_closest(blocks(nodes, 1), radius, both, closest))
-    seen = written(near.distinct(), "candidates")
-    # rows that share an id tie their texts together
-    same = [*names, "body"]
-    tied = fp.groupBy("doc_id").agg(F.count_distinct(*same).alias("n")).where("n > 1").select("doc_id")
-    ties = fp.join(tied, "doc_id").join(nodes, same).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    joined = written(connected_components(verified(seen).union(ties)), "joined")
-    open_ = written(nodes.join(joined, "node", "left").select(*names, "node", F.coalesce("component", "node").alias("component")), "open")
-    rest = _apart(blocks(open_, 0, "component"), radius, masks[0], []).union(
-        _apart(blocks(open_, 1, "component"), radius, masks[1], masks[0]))
-    rest = written(rest.join(seen, ["a", "b"], "left_anti"), "candidates")
-    found = connected_components(verified(rest).union(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-    named = nodes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
-    return fp.join(named, same).select("doc_id", "component_id")
-
-
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its component in `near_copies`; rows without an id stay.
+    """The rows of `docs` whose doc_id is the smallest of its component in `simhash_components`; rows without an id stay.
 
-    Of rows that repeat a kept id, all stay: they are the same document.  All columns pass through.
+    Of rows that repeat a kept id, all stay: they are the same document.  All columns pass through; `options` are those of
+    `simhash_components`.
     """
     name = fresh("__lead", docs.columns)
-    leads = near_copies(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    leads = simhash_components(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(leads, docs["doc_id"] == leads[name], "left_semi").union(docs.where(docs["doc_id"].isNull()))

@@ -390,51 +390,42 @@ def test_bit_sliced_links_are_complete(spark, radius, block, crowded):
     assert {i: found.get(i, i) for i in want} == want
 
 
-def test_near_copies(spark, docs, nothing):
-    base = {i: prose(i, 120).split() for i in range(8)}
-    rows = []
-    for i, words in base.items():
-        for j in range(6):
-            copy = list(words)
-            for p in np.random.default_rng([i, j]).integers(0, len(copy), j):
-                copy[p] = f"new{p}"
-            rows.append((i * 10 + j, " ".join(copy).upper() if j == 1 else " ".join(copy), 1))
-    rows += [(90, None, 1), (91, "", 1), (92, "one", 1), (93, "ONE", 1), (None, "one", 1), (0, rows[0][1], 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
-    sets = {i: set(simhash.shingle_set(t).tolist()) for i, t, _ in rows if i is not None}
-    want = groups(list(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    assert by_id(simhash.near_copies(df), "component_id") == {i: (c,) for i, c in want.items()}
-    kept = [r.doc_id for r in simhash.drop_near_copies(df).collect()]
-    assert collections.Counter(kept) == collections.Counter(
-        [i for i, _, _ in rows if i is None or want[i] == i])
-    assert simhash.drop_near_copies(nothing).count() == 0
-
+def plain_fingerprint(text, words=4, seed=42):
+    parts = re.findall(b"[^\\x20\\x09-\\x0D]+", (text or "").encode().lower())
+    if not parts:
+        return 0
+    h = [xxhash.xxh64_intdigest(b" ".join(parts[i:i + words]), seed) for i in range(max(len(parts) - words + 1, 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_one_document_of_each_group_stays(spark, docs, texts, nothing):
+    """Chains of links count, and rows without an id stay."""
+    base = prose(7, 400).split()
+    family = []
+    for i in range(40):
+        words = list(base)
+        words[i * 9] = "changed"
+        family.append((1000 + i, " ".join(words)))
+    rows = [*texts.items(), *family, (None, " ".join(base)), (1001, family[1][1])]
+    df = spark.createDataFrame([(i, t, "en", None, None, 0.5, "b", 1, "c") for i, t in rows], DOCS).repartition(3)
+    prints = {(i, t): plain_fingerprint(t) for i, t in rows if i is not None}
+    root = {i: i for i, _ in prints}
 
-def test_near_copies_within_a_template(spark):
-    """Pairs at 0.8 among documents that share a template at 0.7, which lie closer by chance."""
-    random = np.random.default_rng(3)
-    tokens = lambda n: [f"w{x}" for x in random.integers(0, 1 << 40, n)]
-    template = tokens(200)
-    rows = [(i, " ".join(template + tokens(40))) for i in range(400)]
-    for i in range(400, 460, 2):
-        own = tokens(40)
-        rows += [(i, " ".join(template + own)), (i + 1, " ".join(template + own[:18] + tokens(22)))]
-    sets = {i: set(simhash.shingle_set(t).tolist()) for i, t in rows}
-    want = groups(list(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    assert len(set(want.values())) == 430
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert by_id(simhash.near_copies(df), "component_id") == {i: (c,) for i, c in want.items()}
-
-
-def test_outlines_rule_no_pair_out():
-    random = np.random.default_rng(4)
-    for n in (1, 5, 60, 700, 5000):
-        a = np.unique(random.integers(0, 1 << 32, n).astype(np.uint32))
-        for gone in (0, n // 10, n // 5, n // 2):
-            b = np.union1d(a[gone:], random.integers(0, 1 << 32, gone // 4).astype(np.uint32))
-            same = len(np.intersect1d(a, b))
-            if same >= 0.8 * (len(a) + len(b) - same):
-                assert simhash.may_reach(simhash.outline(a), simhash.outline(b), 0.8)
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for (i, _), x in prints.items():
+        for (j, _), y in prints.items():
+            if i < j and (x ^ y).bit_count() <= 4:
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    kept = simhash.drop_near_copies(df)
+    assert kept.columns == df.columns
+    got = collections.Counter(r.doc_id for r in kept.collect())
+    assert set(got) == {i for i in root if find(i) == i} | {None} and got[None] == 1
+    assert sum(1 for i in range(1000, 1040) if i in got) < 40
+    assert simhash.drop_near_copies(nothing).count() == 0
 
 
 def test_components(spark):

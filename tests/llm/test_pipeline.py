@@ -1,17 +1,16 @@
 """The pipeline's stages, each on its own input, and the registered queries as a whole."""
 
-import collections
 
 import numpy as np
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from rankflow.llm import simhash
 from rankflow.llm.queries import ORACLE, QUERIES
 from rankflow.llm.suffix_dedup import brute_force
 from rankflow.session import written
 from tests.compare import compare, duck
+from tests.llm.test_operators import plain_fingerprint
 
 
 @pytest.fixture(scope="module")
@@ -36,23 +35,20 @@ def test_toxic_documents_go(stages, spark, sf_dir):
 
 
 def test_one_of_each_group_stays(stages):
-    sets = {i: set(simhash.shingle_set(t).tolist()) for i, t in zip(stages[1].doc_id, stages[1].text)}
-    near = collections.defaultdict(set)
-    for i, s in sets.items():
-        for x in s:
-            near[x].add(i)
-    pairs = {(a, b) for ids in near.values() for a in ids for b in ids if a < b}
-    root = {i: i for i in sets}
+    """Fingerprints of four-word shingles that differ in four bits at most are links."""
+    prints = {i: plain_fingerprint(t) for i, t in zip(stages[1].doc_id, stages[1].text)}
+    root = {i: i for i in prints}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
-    for a, b in pairs:
-        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-            x, y = sorted((find(a), find(b)))
-            root[y] = x
-    assert set(stages[2].doc_id) == {i for i in sets if find(i) == i}
+    for a, x in prints.items():
+        for b, y in prints.items():
+            if a < b and (x ^ y).bit_count() <= 4:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    assert set(stages[2].doc_id) == {i for i in prints if find(i) == i}
 
 
 def test_repeats_are_cut(stages):
