@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more; the smallest id stays."""
+    """One document of each group of near copies, linked as by `op8_simhash`; the smallest id stays, and so do rows without an id."""
     return simhash.drop_near_copies(docs)
 
 
