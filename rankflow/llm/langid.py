@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import appended, held_out
@@ -167,19 +167,18 @@ def train_network(texts: np.ndarray, labels: np.ndarray, languages: int, hidden:
 
 
 def train_langid(docs: DataFrame, modulus: int = 4, remainder: int = 2, rows_per_language: int = 500, per_document: int = 4,
-                 length: int = 64, hidden: int = 8, steps: int = 400, most_languages: int = 200, seed: int = 42) -> dict:
+                 length: int = 64, hidden: int = 8, steps: int = 400, seed: int = 42) -> dict:
     """A model from text and non-null lang of documents whose crc32(doc_id) modulo `modulus` is not `remainder`.
 
-    The sample is bounded: at most `rows_per_language` documents of each of the `most_languages` most frequent languages, chosen by a hash of their id, and of each
-    `per_document` segments of `length` bytes, chosen by a hash as well.  Without labelled texts there is no language and every
+    The sample is bounded: at most `rows_per_language` documents of each language, chosen by a hash of their id, and of each `per_document` segments of `length` bytes, chosen by a hash as well.  Without labelled texts there is no language and every
     prediction is `und`.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                         & ~held_out("doc_id", modulus, remainder))
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    # a top-n of each language: no task gets all rows of a frequent one
-    ids = [r.doc_id for lang in sorted(r.lang for r in counts.collect()) for r in
-           usable.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_language).select("doc_id").collect()]
+    # one pass for all languages; Spark keeps the first of each language in every task, so no task gets all rows of a frequent one
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    first = usable.select("lang", "doc_id").withColumn("place", place).where(F.col("place") <= rows_per_language)
+    ids = [r.doc_id for r in first.select("doc_id").collect()]
     chosen = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], "doc_id long")
     taught = usable.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "lang", "text")
 

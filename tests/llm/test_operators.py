@@ -280,6 +280,14 @@ def test_language_id(spark, docs, nothing):
     assert by_id(langid.label_documents(docs, langid.train_langid(nothing)), "lang_pred", "score")[5] == ("und", 0.0)
 
 
+def test_every_language_is_learnt(spark):
+    rows = [(i, f"{WORDS[i % 20]} {chr(0x400 + i % 201) * 5} {prose(i, 3)}", f"l{i % 201}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train_langid(df, rows_per_language=2, per_document=1, steps=2)
+    taught = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(model["langs"]) == taught and len(taught) > 200
+
+
 def test_both_ways_of_reading_agree():
     p = langid.new_network(3, 4, 1)
     text = np.array([[1, 2, 3, 4, 5], [2, 2, 7, langid.PAD, langid.PAD]], np.int16)
