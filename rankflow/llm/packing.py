@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.llm.words import Remembered, assembled, distinct, slices
 from rankflow.session import written
 
 SIZE = 4096
@@ -19,8 +20,8 @@ OPEN = 64
 MIN_CUT = 32
 FAN_IN = 16
 END_ID = 2
-# Words remembered per worker; a cache only.
-CACHE = 500_000
+# Bytes of words remembered per worker; a cache only.
+MEMORY = 96 << 20
 WIDTH = 4
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()),
@@ -34,63 +35,61 @@ class WordEncoder:
 
     The vocabulary lower-cases and its splitting never lets a token cross a space or a line feed, nor join a letter with the
     punctuation behind it.  A text's ids are then those of its words, in lower case and without the signs at their end, and of
-    these signs; each distinct one is encoded once and remembered.
+    these signs; each distinct one is encoded once and remembered, in `memory` bytes for parts and for words each.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[bytes, bytes] = {b"": b""}  # between spaces
-        self.older: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {b"": b""}
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # words of a-z need no normalising, and are split by the blanks between them alone
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        self.parts, self.words = Remembered(memory), Remembered(memory)  # between blanks; without the signs at the end
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, words: list[bytes]) -> None:
-        if len(self.words) > CACHE:
-            self.words = {b"": b""}
-        new = [(w, w.decode("utf-8", "replace")) for w in {w for w in words if w not in self.words}]
-        letters = [(w, t) for w, t in new if t.isalpha()]
-        others = [(w, t) for w, t in new if not t.isalpha()]
+        simple, letters, others = [], [], []
+        for w in self.words.unknown(words):
+            t = w.decode("utf-8", "replace")
+            (simple if w.isalpha() else letters if t.isalpha() else others).append((w, t))
         # a word of letters ends with its only word end, so many can be encoded as one text
-        for i in range(0, len(letters), 1024):
-            some = letters[i:i + 1024]
-            ids = np.array(self.tokenizer.encode(" ".join(t for _, t in some), add_special_tokens=False).ids, "<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(some):
-                raw = ids.tobytes()
-                self.words.update((w, raw[a * WIDTH:b * WIDTH]) for (w, _), a, b in zip(some, [0, *cuts], cuts))
-            else:
-                others += some
+        for tokenizer, some in ((self.plain, simple), (self.tokenizer, letters)):
+            groups = [some[i:i + 1024] for i in range(0, len(some), 1024)]
+            found = tokenizer.encode_batch_fast([" ".join(t for _, t in g) for g in groups], add_special_tokens=False)
+            for group, encoded in zip(groups, found, strict=True):
+                ids = np.array(encoded.ids, "<u4")
+                cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+                if len(cuts) == len(group):
+                    raw = ids.tobytes()
+                    self.words.add([w for w, _ in group], [raw[a * WIDTH:b * WIDTH] for a, b in zip([0, *cuts], cuts)])
+                else:
+                    others += group
         for i in range(0, len(others), 4096):
             some = others[i:i + 4096]
-            found = self.tokenizer.encode_batch([t for _, t in some], add_special_tokens=False)
-            self.words.update((w, np.array(e.ids, "<u4").tobytes()) for (w, _), e in zip(some, found, strict=True))
+            found = self.tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False)
+            self.words.add([w for w, _ in some], [np.array(e.ids, "<u4").tobytes() for e in found])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        # only A-Z are lowered here, which changes no id
-        split = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
-        if len(self.parts) > CACHE:
-            # what is still in use comes back from the older half
-            self.parts, self.older = {b"": b""}, self.parts
-        parts, older = self.parts, self.older
-        unseen = set().union(*split).difference(parts)
-        new = []
-        for p in unseen:
-            ids = older.get(p)
-            if ids is None:
-                head = p.rstrip(b".,;:!?%&*#$")
-                new.append((p, head, p[len(head):]) if head[-1:].isalpha() else (p, p, b""))
-            else:
-                parts[p] = ids
-        self._encode([h for _, h, _ in new] + list({t for _, _, t in new}))
-        words = self.words
-        for p, head, tail in new:
-            parts[p] = words[head] + words[tail]
-        return [b"".join(map(parts.__getitem__, ps)) for ps in split]
+        # every text starts with a blank, so every part does; only A-Z are lowered here, which changes no id
+        raw = [b" " + t.encode("utf-8", "replace").lower().replace(b"\n", b" ") for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        starts = np.flatnonzero(data == 32)
+        if not len(starts):
+            return []
+        parts, places = distinct(data, starts)
+        new = self.parts.unknown(parts)
+        heads = [p.rstrip(b".,;:!?%&*#$") for p in new]
+        heads = [h if h[-1:].isalpha() else p for p, h in zip(new, heads)]
+        tails = [p[len(h):] for p, h in zip(new, heads)]
+        heads = [h[1:] for h in heads]
+        self._encode(list({*heads, *tails}))
+        known = self.words.used
+        self.parts.add(new, [known[h] + known[t] for h, t in zip(heads, tails)])
+        bounds = np.searchsorted(starts, np.cumsum([0, *map(len, raw)]))
+        return assembled(list(map(self.parts.used.__getitem__, parts)), places, bounds)
 
 
 class _Packer:
@@ -195,8 +194,8 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             encode = held.value.get("encode") or held.value.setdefault("encode", encoder())
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for a, b in slices(batch.column(1)):
+                some = batch.slice(a, b - a)
                 for doc, ids in zip(some.column(0).to_pylist(), encode([t or "" for t in some.column(1).to_pylist()]), strict=True):
                     ids += end
                     packer.add(doc, 0, ids, len(ids) // WIDTH)
