@@ -91,7 +91,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = "piece_bpe_32k.model"
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    back = sentencepiece.encode(docs, model, decoded="decoded")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "parity",
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

@@ -12,12 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rankflow.llm.common import appended
+from rankflow.llm.words import Remembered, assembled, distinct, slices
 
 MARK = "▁"
 # Fixed numbers of the model format.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-CACHE = 600_000
+# Bytes of words remembered per worker, for encoding and for decoding each; a cache only.
+MEMORY = 96 << 20
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -116,71 +118,131 @@ class Codec:
     """Encoder and decoder of one task.
 
     Where no piece holds a marker after another sign, pieces never cross the start of a word, so a normalised text is encoded
-    word by word and each distinct word once; `parity` then compares each such word with the original library.  Other
-    models are encoded and compared text by text.
+    and decoded word by word, each distinct word once, thousands of them in one call.  A text's parity then says that the
+    original library normalises the whole text alike and gives the same ids for each of its words.  Other models are encoded,
+    decoded and compared text by text.
     """
 
-    def __init__(self, data: bytes, threads: int):
+    def __init__(self, data: bytes, threads: int, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
-        self.model = parse_model(data)
-        self.tokenizer = build_tokenizer(self.model)
-        self.normalizer, self.plain = self.tokenizer.normalizer, build_tokenizer(self.model)
-        from tokenizers import normalizers
-        self.plain.normalizer = normalizers.Sequence([])
+        from tokenizers import decoders, normalizers, pre_tokenizers
+        self.threads, self.model = threads, parse_model(data)
+        self.tokenizer, self.plain, self.alone = (build_tokenizer(self.model) for _ in range(3))
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
+        pieces = [p["text"] for p in self.model["pieces"]]
         crossing = re.compile(f"[^{MARK}]{MARK}")
         self.by_word = (self.model["dummy_prefix"] and self.model["escape"] and not self.model["squeeze"]
-                        and not any(crossing.search(p["text"]) for p in self.model["pieces"])
+                        and not any(crossing.search(p) for p in pieces)
                         and not any(p["type"] == USER for p in self.model["pieces"]))
-        self.word = re.compile(f"{MARK}+[^{MARK}]*")
-        self.known: dict[str, bytes] = {}
-        self.wrong: set[str] = set()
-        # for decoding word by word: pieces that start a word, and a decoder that leaves the first blank
-        self.starts = np.array([p["text"].startswith(MARK) for p in self.model["pieces"]])
-        from tokenizers import decoders
+        # for words: texts come normalised, are split before each marker (but in words with several) and keep their first
+        # blank when decoded
+        self.plain.normalizer = self.alone.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
         self.plain.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
-        self.read: dict[bytes, str] = {}
+        self.starts = np.array([p.startswith(MARK) for p in pieces])
+        # markers in a piece; two stand for pieces whose text may hold blanks of another kind
+        self.marks = np.array([p["text"].count(MARK) if p["type"] == NORMAL else 0 if p["type"] == BYTE and p["text"] != "<0x20>"
+                               else 2 for p in self.model["pieces"]])
+        self.known, self.read, self.wrong = Remembered(memory), Remembered(memory), set()
+
+    def _normal(self, texts: list[str]) -> list[str]:
+        if self.model["charsmap"]:
+            return [self.tokenizer.normalizer.normalize_str(t) if t else "" for t in texts]
+        return [MARK + t.replace(" ", MARK) if t else "" for t in texts]
+
+    def _ids(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of words one by one, by both libraries; each starts with markers."""
+        own = [e.ids for e in self.alone.encode_batch_fast(words, add_special_tokens=False)]
+        there = []
+        for w in words:
+            if w.strip(MARK):
+                # the original adds the first marker itself
+                there.append(self.original.encode(w[1:].replace(MARK, " ")))
+            else:
+                # and drops the one of an empty text, so markers alone are read behind a letter
+                there.append(self.original.encode("a" + w.replace(MARK, " "))[len(self.original.encode("a")):])
+        return own, there
+
+    def _learn(self, new: list[bytes]) -> None:
+        texts = [w.decode("utf-8") for w in new]
+        simple = [(w, t) for w, t in zip(new, texts) if len(t) > 1 and t.count(MARK) == 1]
+        others = [(w, t) for w, t in zip(new, texts) if len(t) == 1 or t.count(MARK) > 1]
+        groups = [simple[i:i + 512] for i in range(0, len(simple), 512)]
+        runs = ["".join(t for _, t in g) for g in groups]
+        found = self.plain.encode_batch_fast(runs, add_special_tokens=False)
+        there = self.original.encode([r[1:].replace(MARK, " ") for r in runs], num_threads=self.threads) if runs else []
+        for group, encoded, other in zip(groups, found, there, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids)).tolist()
+            if len(cuts) == len(group) + 1 and encoded.ids == other:
+                raw = ids.tobytes()
+                self.known.add([w for w, _ in group], [raw[x * 4:y * 4] for x, y in zip(cuts, cuts[1:])])
+            else:
+                others += group
+        for i in range(0, len(others), 4096):
+            some = others[i:i + 4096]
+            own, there = self._ids([t for _, t in some])
+            self.known.add([w for w, _ in some], [np.array(x, "<u4").tobytes() for x in own])
+            self.wrong.update(w for (w, _), x, y in zip(some, own, there, strict=True) if x != y)
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """Ids as little-endian unsigned 32-bit bytes, and whether the original library gives the same ones."""
+        if not any(texts):
+            return [b""] * len(texts), [True] * len(texts)
         if not self.by_word:
-            ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)] if texts else []
-            same = [a == b for a, b in zip(ids, self.original.encode(texts), strict=True)] if texts else []
+            ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            same = [a == b for a, b in zip(ids, self.original.encode(texts, num_threads=self.threads), strict=True)]
             return [np.array(a if t else [], "<u4").tobytes() for a, t in zip(ids, texts)], [s or not t for s, t in zip(same, texts)]
-        words = [self.word.findall(self.normalizer.normalize_str(t)) if t else [] for t in texts]
-        if len(self.known) > CACHE:
-            self.known, self.wrong = {}, set()
-        new = list({w for ws in words for w in ws}.difference(self.known))
-        for at in range(0, len(new), 8192):
-            some = new[at:at + 8192]
-            encoded = self.plain.encode_batch(some, add_special_tokens=False)
-            # the original adds the first marker itself
-            there = self.original.encode([w[1:].replace(MARK, " ") for w in some])
-            for w, e, other in zip(some, encoded, there, strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-                if e.ids != other and w != MARK:
-                    self.wrong.add(w)
-        wrong = self.wrong
-        return ([b"".join(map(self.known.__getitem__, ws)) for ws in words],
-                [not wrong or wrong.isdisjoint(ws) for ws in words])
+        normal = self._normal(texts)
+        same = [not t or n == self.original.normalize(t) for t, n in zip(texts, normal, strict=True)]
+        raw = [n.encode("utf-8") for n in normal]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        at = np.cumsum([0, *map(len, raw)])
+        # a word starts at a marker that no other one precedes in its text
+        marks = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
+        starts = np.union1d(marks[np.diff(marks, prepend=-9) != 3], at[:-1][np.diff(at) > 0])
+        words, places = distinct(data, starts)
+        self._learn(self.known.unknown(words))
+        bounds = np.searchsorted(starts, at)
+        if not self.wrong.isdisjoint(words):
+            bad = np.array([w in self.wrong for w in words])[places.to_numpy()]
+            same = [s and not bad[a:b].any() for s, a, b in zip(same, bounds, bounds[1:])]
+        return assembled(list(map(self.known.used.__getitem__, words)), places, bounds), same
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of id lists.  Where words can be encoded one by one they can be decoded so too, and each is decoded once."""
-        if not self.by_word or any(len(a) and not 0 <= a.min() <= a.max() < len(self.starts) for a in ids):
-            return self.tokenizer.decode_batch([a.tolist() for a in ids], skip_special_tokens=False) if ids else []
-        words = []
-        for a in ids:
-            raw = a.astype("<u4").tobytes()
-            cuts = [0, *(np.flatnonzero(self.starts[a[1:]]) * 4 + 4).tolist(), len(raw)]
-            words.append([raw[x:y] for x, y in zip(cuts, cuts[1:])])
-        if len(self.read) > CACHE:
-            self.read = {}
-        new = list({w for ws in words for w in ws}.difference(self.read))
-        found = self.plain.decode_batch([np.frombuffer(w, "<u4").tolist() for w in new], skip_special_tokens=False) if new else []
-        self.read.update(zip(new, found, strict=True))
-        return ["".join(map(self.read.__getitem__, ws)).removeprefix(" ") for ws in words]
+        sizes = np.cumsum([0, *map(len, ids)])
+        flat = np.concatenate(ids) if sizes[-1] else np.zeros(0, np.int64)
+        if not len(flat):
+            return [""] * len(ids)
+        if not self.by_word or not 0 <= flat.min() <= flat.max() < len(self.starts):
+            return self.tokenizer.decode_batch([a.tolist() for a in ids], skip_special_tokens=False)
+        firsts = self.starts[flat]
+        firsts[sizes[:-1][np.diff(sizes) > 0]] = True
+        starts = np.flatnonzero(firsts)
+        words, places = distinct(flat.astype("<u4").view(np.uint8), starts * 4)
+        new = self.read.unknown(words)
+        lists = [np.frombuffer(w, "<u4") for w in new]
+        whole = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+        ends = np.cumsum([0, *map(len, lists)])
+        # words with one marker, their first sign, can be told apart in a common text
+        single = (np.add.reduceat(self.marks[whole], ends[:-1]) == 1) & self.starts[whole[ends[:-1]]] if lists else []
+        simple = [(w, x) for w, x, s in zip(new, lists, single) if s]
+        others = [(w, x) for w, x, s in zip(new, lists, single) if not s]
+        groups = [simple[i:i + 512] for i in range(0, len(simple), 512)]
+        found = self.plain.decode_batch([np.concatenate([x for _, x in g]).tolist() for g in groups], skip_special_tokens=False)
+        for group, text in zip(groups, found, strict=True):
+            parts = text.encode("utf-8").split(b" ")
+            if len(parts) == len(group) + 1 and not parts[0]:
+                self.read.add([w for w, _ in group], [b" " + p for p in parts[1:]])
+            else:
+                others += group
+        found = self.plain.decode_batch([x.tolist() for _, x in others], skip_special_tokens=False) if others else []
+        self.read.add([w for w, _ in others], [t.encode("utf-8") for t in found])
+        raw = assembled(list(map(self.read.used.__getitem__, words)), places, np.searchsorted(starts, sizes))
+        return [r.removeprefix(b" ").decode("utf-8") for r in raw]
 
 
 def _load(path: str) -> bytes:
@@ -198,30 +260,36 @@ def _codec(held, path: str, threads: int) -> Codec:
     return held.value["codec"]
 
 
-def encode(docs: DataFrame, path: str, ids: str = "ids", parity: str = "parity", threads: int = 2) -> DataFrame:
+def _encoded(codec: Codec, texts: pa.Array, decoded: bool) -> list[pa.Array]:
+    raw, same, back = [], [], []
+    for a, b in slices(texts):
+        r, s = codec.encode([t or "" for t in texts[a:b].to_pylist()])
+        raw += r
+        same += s
+        if decoded:
+            back += codec.decode([np.frombuffer(x, "<u4") for x in r])
+    offsets = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
+    values = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
+    out = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(same, pa.bool_())]
+    return [*out, pa.array(back, pa.string())] if decoded else out
+
+
+def encode(docs: DataFrame, path: str, ids: str = "ids", parity: str = "parity", threads: int = 2,
+           decoded: str | None = None) -> DataFrame:
     """`docs` with the ids of each whole text (array of ints) and whether the original library gives the same ones.
 
     `path` is a model file, or its name among the installed public vocabularies; each worker process loads it.  A null or empty
-    text has no ids.  Nothing is shuffled; other columns pass through, columns of the same names are replaced.
+    text has no ids.  With `decoded`, a column of that name holds the ids read back as text, in the same pass and by the same
+    worker.  Nothing is shuffled; other columns pass through, columns of the same names are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast({})
 
     def make():
         codec = _codec(held, path, threads)
+        return lambda texts: _encoded(codec, texts, decoded is not None)
 
-        def fn(texts: pa.Array):
-            raw, same = [], []
-            for at in range(0, len(texts), 512):
-                r, s = codec.encode([t or "" for t in texts[at:at + 512].to_pylist()])
-                raw += r
-                same += s
-            offsets = np.cumsum([0, *[len(r) // 4 for r in raw]]).astype(np.int32)
-            values = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(same, pa.bool_())]
-
-        return fn
-
-    return appended(docs, ["text"], [(ids, "array<int>"), (parity, "boolean")], make)
+    back = [(decoded, "string")] if decoded is not None else []
+    return appended(docs, ["text"], [(ids, "array<int>"), (parity, "boolean"), *back], make)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded", threads: int = 2) -> DataFrame:
