@@ -31,16 +31,17 @@ def _classes(text: Column) -> Column:
     return F.transform(F.split(text, ""), lambda c: F.coalesce(F.get(table, F.ascii(c)), F.lit(0)))
 
 
-def labelled_samples(docs: DataFrame, rows: int = 2000, digests: int = 4) -> DataFrame:
-    """(text, label) to train on, from at most `rows` documents chosen by a hash of their id.
+def labelled_samples(docs: DataFrame, random_words: int = 20_000, digests: int = 4) -> DataFrame:
+    """(text, label) to train on, from all documents.
 
-    Label 0 are the documents' words of 4 to 15 letters as ordinary identifiers use them: lower and upper case, capitalised and
-    joined by a sign or by case.  Label 1 are random strings: `digests` digests of each word in base 64 and in letters and
-    digits.  Hexadecimal digits are the fixed patterns' business.
+    Label 0 is every distinct word of 4 to 15 letters of all whole texts, as ordinary identifiers use them: lower and upper case,
+    capitalised and joined by a sign or by case.  Label 1 are random strings: `digests` digests of each of at most `random_words`
+    words, chosen by hash, in base 64 and in letters and digits; such strings are alike whatever they are drawn from, so
+    their number is bounded.  Hexadecimal digits are the fixed patterns' business.  Null texts have no words.
     """
-    chosen = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     words = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z])[A-Za-z]{4,15}(?![A-Za-z])"), F.lit(0))
-    word = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select(F.explode(F.array_distinct(words)).alias("w")).distinct()
+    word = docs.select(F.explode(F.array_distinct(words)).alias("w")).distinct()
+    chosen = word.orderBy(F.xxhash64("w"), "w").limit(random_words)
     low = F.lower("w")
     other = F.lower(F.reverse("w"))
     n = F.pmod(F.xxhash64("w"), F.lit(6))
@@ -48,7 +49,7 @@ def labelled_samples(docs: DataFrame, rows: int = 2000, digests: int = 4) -> Dat
             .when(n == 2, F.concat(F.upper("w"), F.lit("_"), F.upper("w"))).when(n == 3, F.concat(low, F.initcap(low)))
             .when(n == 4, F.concat(low, F.lit("/"), low, F.lit("-"), low)).otherwise(low))
     digest = F.base64(F.unhex(F.sha2(F.concat("w", other, F.col("k").cast("string")), 256)))
-    drawn = word.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(digests))))
+    drawn = chosen.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(digests))))
     return word.select(name.alias("text"), F.lit(0).alias("label")).union(
         drawn.select(F.when(n < 3, digest).otherwise(F.regexp_replace(digest, "[+/=]", "")).alias("text"), F.lit(1).alias("label")))
 
