@@ -92,6 +92,43 @@ def test_sentencepiece(docs, texts, nothing):
     assert sentencepiece.encode(nothing, model).count() == 0
 
 
+def test_sentencepiece_word_by_word_and_back_in_one_pass(docs, texts):
+    import public_tokenizers
+    import sentencepiece as original
+    model = "piece_bpe_32k.model"
+    library = original.SentencePieceProcessor(model_file=public_tokenizers.path(model))
+    for i, (ids, parity, back) in by_id(sentencepiece.encode(docs, model, decoded="back"), "ids", "parity", "back").items():
+        assert ids == library.encode(texts[i] or "") and parity and back == (texts[i] or "")
+    random = np.random.default_rng(4)
+    odd = ["", " ", "a ", "▁", " ▁▁x", "\t \n"] + ["".join(random.choice(list(" ▁aé𝒳\n.,1b\u3000\xa0"), n)) for n in random.integers(0, 14, 3000)]
+    # so little memory that words are forgotten all the time
+    codec = sentencepiece.Codec(sentencepiece._load(model), 1, memory=1)
+    for at in range(0, len(odd), 500):
+        raw, same = codec.encode(odd[at:at + 500])
+        ids = [np.frombuffer(r, "<u4") for r in raw]
+        assert [x.tolist() for x in ids] == library.encode(odd[at:at + 500]) and all(same)
+        assert codec.decode(ids) == codec.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+    lists = [random.choice([0, 1, 2, 3, 35, 40, 200, 259, 300, 1678, 29871, 29874], n) for n in random.integers(0, 8, 500)]
+    assert codec.decode(lists) == codec.tokenizer.decode_batch([x.tolist() for x in lists], skip_special_tokens=False)
+
+
+def test_parity_sees_a_wrong_normaliser_and_wrong_words():
+    codec = sentencepiece.Codec(sentencepiece._load("piece_bpe_32k.model"), 1)
+    texts = ["plain words", "two  blanks", ""]
+    assert codec.encode(texts)[1] == [True, True, True]
+    normal = codec._normal
+    codec._normal = lambda ts: [t.replace("▁▁", "▁") for t in normal(ts)]
+    assert codec.encode(texts)[1] == [True, False, True]
+    codec = sentencepiece.Codec(sentencepiece._load("piece_bpe_32k.model"), 1)
+    pieces = codec.model["pieces"]
+    for p in pieces:
+        p["score"] = -p["score"] if len(p["text"]) == 2 else p["score"]
+    codec.plain = codec.alone = sentencepiece.build_tokenizer(codec.model)
+    from tokenizers import normalizers
+    codec.plain.normalizer = normalizers.Sequence([])
+    assert codec.encode(["blanks together", "", "x"])[1] == [False, True, True]
+
+
 def test_unigram_tokenizer():
     model = {"pieces": [{"text": t, "score": s, "type": k} for t, s, k in
                         [("<unk>", 0.0, 2), ("▁ab", -1.0, 1), ("a", -2.0, 1), ("b", -2.0, 1), ("▁", -3.0, 1)]],
@@ -140,6 +177,13 @@ def test_markov_models_find_random_strings(spark):
         assert [(s.start, s.end, s.kind) for s in got[i][0]] == ([(2, 2 + len(t), 3)] if i < len(hidden) else [])
 
 
+def test_ordinary_words_of_all_documents_teach_the_models(spark):
+    df = spark.createDataFrame([(i, f"word{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)} x") for i in range(3000)]
+                               + [(None, "nobody"), (1, None)], "doc_id long, text string")
+    rows = secrets.labelled_samples(df, random_words=50, digests=2).collect()
+    assert sum(r.label == 0 for r in rows) == 3001 and sum(r.label == 1 for r in rows) == 100
+
+
 def test_redaction_covers_all_spans(spark, docs, texts, nothing):
     cases = dict(texts) | {100 + i: t for i, t in enumerate(SECRETS)}
     df = spark.createDataFrame([(i, t, 7) for i, t in cases.items()], "doc_id long, text string, spans int")
@@ -200,6 +244,23 @@ def test_word_encoder_agrees_with_whole_texts(texts):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_with_the_vocabulary(docs, texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    name = "word_bpe_49k.json"
+    whole = Tokenizer.from_file(public_tokenizers.path(name))
+    want = {i: [*whole.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()}
+    seen = collections.Counter()
+    for r in packing.pack(docs, packing.word_encoder(name), size=256).collect():
+        part = np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()
+        assert r.ids == part and r.ids_crc32 == zlib.crc32(part) and r.doc_tokens == len(want[r.doc_id])
+        seen[r.doc_id] += r.length
+    assert seen == {i: len(ids) for i, ids in want.items()}
+    forgetful = packing.WordEncoder(public_tokenizers.path(name), memory=1)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() + [2] for x in forgetful([t or "" for t in texts.values()])] == list(want.values())
+
+
 # --- 5 ---
 
 def plain_links(vectors, labels, threshold=0.93):
