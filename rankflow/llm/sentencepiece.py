@@ -169,18 +169,20 @@ class Codec:
         texts = [w.decode("utf-8") for w in new]
         simple = [(w, t) for w, t in zip(new, texts) if len(t) > 1 and t.count(MARK) == 1]
         others = [(w, t) for w, t in zip(new, texts) if len(t) == 1 or t.count(MARK) > 1]
-        groups = [simple[i:i + 512] for i in range(0, len(simple), 512)]
-        runs = ["".join(t for _, t in g) for g in groups]
-        found = self.plain.encode_batch_fast(runs, add_special_tokens=False)
-        there = self.original.encode([r[1:].replace(MARK, " ") for r in runs], num_threads=self.threads) if runs else []
-        for group, encoded, other in zip(groups, found, there, strict=True):
-            ids = np.array(encoded.ids, "<u4")
-            cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids)).tolist()
-            if len(cuts) == len(group) + 1 and encoded.ids == other:
-                raw = ids.tobytes()
-                self.known.add([w for w, _ in group], [raw[x * 4:y * 4] for x, y in zip(cuts, cuts[1:])])
-            else:
-                others += group
+        # a few groups at a time, as the libraries' results take many times the ids
+        for i in range(0, len(simple), 16_384):
+            groups = [simple[j:j + 512] for j in range(i, min(i + 16_384, len(simple)), 512)]
+            runs = ["".join(t for _, t in g) for g in groups]
+            found = self.plain.encode_batch_fast(runs, add_special_tokens=False)
+            there = self.original.encode([r[1:].replace(MARK, " ") for r in runs], num_threads=self.threads)
+            for group, encoded, other in zip(groups, found, there, strict=True):
+                ids = np.array(encoded.ids, "<u4")
+                cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids)).tolist()
+                if len(cuts) == len(group) + 1 and encoded.ids == other:
+                    raw = ids.tobytes()
+                    self.known.add([w for w, _ in group], [raw[x * 4:y * 4] for x, y in zip(cuts, cuts[1:])])
+                else:
+                    others += group
         for i in range(0, len(others), 4096):
             some = others[i:i + 4096]
             own, there = self._ids([t for _, t in some])
@@ -231,14 +233,15 @@ class Codec:
         single = (np.add.reduceat(self.marks[whole], ends[:-1]) == 1) & self.starts[whole[ends[:-1]]] if lists else []
         simple = [(w, x) for w, x, s in zip(new, lists, single) if s]
         others = [(w, x) for w, x, s in zip(new, lists, single) if not s]
-        groups = [simple[i:i + 512] for i in range(0, len(simple), 512)]
-        found = self.plain.decode_batch([np.concatenate([x for _, x in g]).tolist() for g in groups], skip_special_tokens=False)
-        for group, text in zip(groups, found, strict=True):
-            parts = text.encode("utf-8").split(b" ")
-            if len(parts) == len(group) + 1 and not parts[0]:
-                self.read.add([w for w, _ in group], [b" " + p for p in parts[1:]])
-            else:
-                others += group
+        for i in range(0, len(simple), 16_384):
+            groups = [simple[j:j + 512] for j in range(i, min(i + 16_384, len(simple)), 512)]
+            found = self.plain.decode_batch([np.concatenate([x for _, x in g]).tolist() for g in groups], skip_special_tokens=False)
+            for group, text in zip(groups, found, strict=True):
+                parts = text.encode("utf-8").split(b" ")
+                if len(parts) == len(group) + 1 and not parts[0]:
+                    self.read.add([w for w, _ in group], [b" " + p for p in parts[1:]])
+                else:
+                    others += group
         found = self.plain.decode_batch([x.tolist() for _, x in others], skip_special_tokens=False) if others else []
         self.read.add([w for w, _ in others], [t.encode("utf-8") for t in found])
         raw = assembled(list(map(self.read.used.__getitem__, words)), places, np.searchsorted(starts, sizes))
