@@ -177,13 +177,6 @@ def test_markov_models_find_random_strings(spark):
         assert [(s.start, s.end, s.kind) for s in got[i][0]] == ([(2, 2 + len(t), 3)] if i < len(hidden) else [])
 
 
-def test_ordinary_words_of_all_documents_teach_the_models(spark):
-    df = spark.createDataFrame([(i, f"word{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)} x") for i in range(3000)]
-                               + [(None, "nobody"), (1, None)], "doc_id long, text string")
-    rows = secrets.labelled_samples(df, random_words=50, digests=2).collect()
-    assert sum(r.label == 0 for r in rows) == 3001 and sum(r.label == 1 for r in rows) == 100
-
-
 def test_redaction_covers_all_spans(spark, docs, texts, nothing):
     cases = dict(texts) | {100 + i: t for i, t in enumerate(SECRETS)}
     df = spark.createDataFrame([(i, t, 7) for i, t in cases.items()], "doc_id long, text string, spans int")
