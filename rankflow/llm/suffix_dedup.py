@@ -214,8 +214,9 @@ def _shared_runs(keyed: DataFrame, text_of, length: int, buckets: int) -> DataFr
     """(doc_id, body, runs): which of a text's runs, as numbers of four bytes, have a key that occurs in several documents with the same gram
     before or after it.
 
-    One pass over the texts.  Each slice of texts tells the buckets of its keys each pair of key and side once, however many of its documents
-    share it; runs it knows to be shared travel beside, through any bucket.  So a key that very many documents hold sends few entries per slice.
+    One pass over the texts.  Each slice of texts tells the buckets of its keys each pair of key and side that several of its documents share
+    once; runs it knows to be shared travel beside, through any bucket.  So a key that very many documents hold sends few entries per slice.
+    Runs that no other document of the slice shares are all told, those that one document repeats too.
     """
     def rows_of(ids, bodies, doc, number) -> pa.RecordBatch:
         order = np.lexsort((number, doc))
@@ -243,7 +244,8 @@ def _shared_runs(keyed: DataFrame, text_of, length: int, buckets: int) -> DataFr
         key, who = found["key"].copy(), ids[doc]
         by_before, by_after = (_met(key, found[side].astype(np.uint64), who) for side in ("before", "after"))
         settled = by_before[0] | by_after[0]
-        sent = by_before[1] | by_after[1]
+        # a run of one document's only is told as often as it occurs there: each occurrence may have to go
+        sent = by_before[1] | by_after[1] | ~settled
         bucket = (key >> np.uint64(KEY_BITS - 32)).astype(np.int64) * buckets >> 32
 
         def row(place: int, known: bool, of: np.ndarray) -> dict:

@@ -532,6 +532,20 @@ def test_repeats(spark, docs, texts, nothing, crowd, block):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_repeats_within_a_document_of_another_slice(spark):
+    # two documents share each passage, and the later one repeats it
+    cases = {i: prose(500 + i, 20) for i in range(24)}
+    cases |= {100 + i: f"{t} a{i} {prose(600 + i, 9)} {t} b{i} {t}{t}" for i, t in cases.items()}
+    df = spark.createDataFrame(list(cases.items()), "doc_id long, text string")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # documents lie in many tasks, so in many slices
+    try:
+        got = by_id(suffix_dedup.remove_repeats(df).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+    finally:
+        spark.conf.unset(coalesce)
+    assert got == suffix_dedup.brute_force([(i, t.encode()) for i, t in cases.items()])
+
+
 def test_equal_and_missing_ids_do_not_remove_one_another(spark):
     text = prose(1, 40)
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text), (2, text)], "doc_id long, text string")
