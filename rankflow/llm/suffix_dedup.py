@@ -196,10 +196,9 @@ def string_minima(pieces: list[bytes], owners: np.ndarray, length: int = LENGTH)
     return np.split(out, np.cumsum(counts)[:-1])
 
 
-def _intervals(flags: np.ndarray, offset: int) -> np.ndarray:
+def _intervals(flags: np.ndarray) -> np.ndarray:
     """Starts and ends of the runs of true flags, in rows."""
-    edges = np.flatnonzero(np.diff(np.r_[False, flags, False].astype(np.int8)))
-    return edges.reshape(-1, 2) + offset
+    return np.flatnonzero(np.diff(np.r_[False, flags, False].astype(np.int8))).reshape(-1, 2)
 
 
 def _text_slices(batch: pa.RecordBatch, text: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -296,10 +295,17 @@ def _shared_runs(keyed: DataFrame, text_of, length: int, buckets: int) -> DataFr
     return rows.groupBy("bucket").applyInArrow(meet, "doc_id long, body int, runs binary")
 
 
+def _placed(found: np.ndarray, first: int, more: bytes | None) -> np.ndarray:
+    """Intervals of a piece's strings, at each place where the document holds the piece."""
+    if more is None:
+        return found + first
+    return (found + np.r_[first, np.frombuffer(more, "<i4")][:, None, None]).reshape(-1, 2)
+
+
 def _settle(rows: list[tuple], length: int) -> Iterator[tuple]:
-    """(doc_id, body, intervals) of removed strings among rows (key, doc_id, body, first, piece) of whole keys."""
+    """(doc_id, body, intervals) of removed strings among rows (key, doc_id, body, first, piece, more) of whole keys."""
     by_key: dict[int, dict[bytes, int]] = {}
-    for key, doc, _, _, piece in rows:
+    for key, doc, _, _, piece, _ in rows:
         pieces = by_key.setdefault(key, {})
         if pieces.get(piece, doc) >= doc:
             pieces[piece] = doc
@@ -308,13 +314,13 @@ def _settle(rows: list[tuple], length: int) -> Iterator[tuple]:
     if several:
         minima = string_minima([p for p, _ in several], np.array([d for _, d in several], np.int64), length)
         least = {p: m for (p, _), m in zip(several, minima)}
-    for key, doc, body, first, piece in rows:
+    for key, doc, body, first, piece, more in rows:
         if piece in least:
-            found = _intervals(least[piece] < doc, first)
+            found = _intervals(least[piece] < doc)
             if len(found):
-                yield doc, body, found
+                yield doc, body, _placed(found, first, more)
         elif by_key[key][piece] < doc:
-            yield doc, body, np.array([[first, first + len(piece) - length + 1]])
+            yield doc, body, _placed(np.array([[0, len(piece) - length + 1]]), first, more)
 
 
 def _body() -> Column:
@@ -360,7 +366,10 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
     with_text = first.join(shared, ["doc_id", "body"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pieces of text (kind 0) by key; of equal pieces in a slice only the smallest document's, the others are settled (1)."""
+        """Pieces of text (kind 0) by key; of equal pieces in a slice only the smallest document's, the others are settled (1).
+
+        A piece that its document repeats goes once, with the places behind the first as numbers of four bytes in `more`.
+        """
         for batch in (p for b in batches for p in _text_slices(b, text_of(b))):
             ids, bodies = batch.column("doc_id").to_numpy(), batch.column("body").to_numpy()
             number: dict[bytes, int] = {}  # equal pieces have equal keys
@@ -378,6 +387,16 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
             goes = owner[which] < ids[doc]
             pieces = list(number)
             sent = np.flatnonzero(~goes)
+            pair = doc[sent] * len(number) + which[sent]
+            order = np.argsort(pair, kind="stable")
+            sent, pair = sent[order], pair[order]
+            places = at["first"][sent]
+            heads = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][:len(sent)])
+            ends = np.r_[heads[1:], len(sent)]
+            more = [None] * len(heads)
+            for i in np.flatnonzero(ends - heads > 1).tolist():
+                more[i] = places[heads[i] + 1:ends[i]].tobytes()
+            sent = sent[heads]
             gone = np.flatnonzero(goes)  # in the order of the documents
             spans = np.stack([at["first"][gone].astype(np.int64), at["first"][gone].astype(np.int64) + at["count"][gone]], 1)
             heads = np.flatnonzero(np.r_[True, doc[gone][1:] != doc[gone][:-1]][:len(gone)])
@@ -387,28 +406,30 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
                 pa.array(np.r_[at["key"][sent].astype(np.int64), bodies[lost].astype(np.int64)]), pa.array(np.r_[ids[doc[sent]], ids[lost]]),
                 pa.array(np.r_[bodies[doc[sent]], bodies[lost]]), pa.array(np.r_[at["first"][sent].astype(np.int64), np.zeros(len(lost), np.int64)]),
                 pa.array([pieces[i] for i in which[sent].tolist()] + [spans[a:b].tobytes() for a, b in zip(heads, np.r_[heads[1:], len(gone)])],
-                         pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["kind", "key", "doc_id", "body", "first", "piece"])
+                         pa.binary()),
+                pa.array(more + [None] * len(lost), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "key", "doc_id", "body", "first", "piece", "more"])
 
     pieces = with_text.select("doc_id", "body", "row", "runs", "part").mapInArrow(
-        cut, "kind int, key long, doc_id long, body int, first long, piece binary")
+        cut, "kind int, key long, doc_id long, body int, first long, piece binary, more binary")
     dealt = (pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "kind", "key")
              .sortWithinPartitions("kind", "key"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["kind", "doc_id", "body", "first", "piece"])
+                (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                names=["kind", "doc_id", "body", "first", "piece", "more"])
 
         def packed(found) -> list[tuple]:
             by_doc: dict[tuple[int, int], list] = {}
             for doc, body, x in found:
                 by_doc.setdefault((doc, body), []).append(x)
-            return [(1, doc, body, 0, np.concatenate(x).astype(np.int64).tobytes()) for (doc, body), x in by_doc.items()]
+            return [(1, doc, body, 0, np.concatenate(x).astype(np.int64).tobytes(), None) for (doc, body), x in by_doc.items()]
 
         def one_by_one(rows: list[tuple]) -> list[tuple]:
-            return [(2, doc, body, first + i, piece[i:i + length]) for _, doc, body, first, piece in rows
-                    for i in range(len(piece) - length + 1)]
+            return [(2, doc, body, first + i, piece[i:i + length], None if more is None else (np.frombuffer(more, "<i4") + i).astype("<i4").tobytes())
+                    for _, doc, body, first, piece, more in rows for i in range(len(piece) - length + 1)]
 
         ready: list[tuple] = []  # whole keys
         ready_bytes = 0
@@ -416,9 +437,9 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
         crowded = False
         for batch in batches:
             out: list[tuple] = []
-            for kind, key, doc, body, first, piece in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for kind, key, doc, body, first, piece, more in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if kind == 1:
-                    out.append((1, doc, body, 0, piece))
+                    out.append((1, doc, body, 0, piece, None))
                     continue
                 if current and current[0][0] != key:
                     if crowded:
@@ -430,7 +451,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
                     if ready_bytes >= block:
                         out += packed(_settle(ready, length))
                         ready, ready_bytes = [], 0
-                current.append((key, doc, body, first, piece))
+                current.append((key, doc, body, first, piece, more))
                 if len(current) >= crowd and (crowded or len({r[4] for r in current}) >= crowd):
                     out += one_by_one(current[1:])
                     current, crowded = current[:1], True
@@ -440,7 +461,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
                     for r in current:
                         if r[4] not in least or r[1] < least[r[4]][1]:
                             least[r[4]] = r
-                    out += packed((r[1], r[2], np.array([[r[3], r[3] + len(r[4]) - length + 1]])) for r in current
+                    out += packed((r[1], r[2], _placed(np.array([[0, len(r[4]) - length + 1]]), r[3], r[5])) for r in current
                                   if least[r[4]][1] < r[1])
                     current = [r for r in current if least[r[4]][1] >= r[1]]
                 if len(out) > 20_000:
@@ -455,7 +476,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
 
     # strings dealt out one by one meet at their bytes, in the order of the documents; cut sends each once per slice, so none is hot
     place = F.when(F.col("kind") == 2, F.xxhash64("piece")).otherwise(F.xxhash64("doc_id", "body"))
-    settled = (dealt.mapInArrow(settle, "kind int, doc_id long, body int, first long, piece binary").withColumn("place", place)
+    settled = (dealt.mapInArrow(settle, "kind int, doc_id long, body int, first long, piece binary, more binary").withColumn("place", place)
                .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place").sortWithinPartitions("place", "kind", "piece", "doc_id"))
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,7 +487,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
             spans: list[np.ndarray] = [np.empty((0, 2), np.int64)]
             owner: list[np.ndarray] = [np.empty(0, np.int64)]
             alone = []
-            for i, (k, piece) in enumerate(zip(kind.tolist(), batch.column("piece").to_pylist(), strict=True)):
+            for i, (k, piece, more) in enumerate(zip(kind.tolist(), batch.column("piece").to_pylist(), batch.column("more").to_pylist(), strict=True)):
                 if k == 1:
                     spans.append(np.frombuffer(piece, np.int64).reshape(-1, 2))
                     owner.append(np.full(len(spans[-1]), i))
@@ -474,6 +495,9 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
                     last, least = piece, ids[i]
                 elif ids[i] > least:
                     alone.append(i)
+                    if more is not None:
+                        spans.append(np.frombuffer(more, "<i4").astype(np.int64)[:, None] + [0, 1])
+                        owner.append(np.full(len(spans[-1]), i))
             spans.append(np.stack([first[alone], first[alone] + 1], 1))
             owner.append(np.array(alone, np.int64))
             at, row = np.concatenate(spans), np.concatenate(owner)
@@ -556,5 +580,5 @@ def brute_force(docs: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int
             if least[raw[p:p + length]] < i:
                 gone[p:p + length] = True
         rest = bytes(b for b, g in zip(raw, gone) if not g)
-        out[i] = (len(raw), int(gone.sum()), len(_intervals(gone, 0)), hashlib.sha256(rest).hexdigest())
+        out[i] = (len(raw), int(gone.sum()), len(_intervals(gone)), hashlib.sha256(rest).hexdigest())
     return out
