@@ -204,7 +204,10 @@ class Codec:
         at = np.cumsum([0, *map(len, raw)])
         # a word starts at a marker that no other one precedes in its text
         marks = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
-        starts = np.union1d(marks[np.diff(marks, prepend=-9) != 3], at[:-1][np.diff(at) > 0])
+        begins = np.zeros(len(data), bool)
+        begins[marks[np.diff(marks, prepend=-9) != 3]] = True
+        begins[at[:-1][np.diff(at) > 0]] = True
+        starts = np.flatnonzero(begins)
         words, places = distinct(data, starts)
         self._learn(self.known.unknown(words))
         bounds = np.searchsorted(starts, at)
@@ -226,24 +229,23 @@ class Codec:
         starts = np.flatnonzero(firsts)
         words, places = distinct(flat.astype("<u4").view(np.uint8), starts * 4)
         new = self.read.unknown(words)
-        lists = [np.frombuffer(w, "<u4") for w in new]
-        whole = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        ends = np.cumsum([0, *map(len, lists)])
+        whole = np.frombuffer(b"".join(new), "<u4")
+        heads = np.cumsum([0, *map(len, new)])[:-1] // 4
         # words with one marker, their first sign, can be told apart in a common text
-        single = (np.add.reduceat(self.marks[whole], ends[:-1]) == 1) & self.starts[whole[ends[:-1]]] if lists else []
-        simple = [(w, x) for w, x, s in zip(new, lists, single) if s]
-        others = [(w, x) for w, x, s in zip(new, lists, single) if not s]
+        single = ((np.add.reduceat(self.marks[whole], heads) == 1) & self.starts[whole[heads]]).tolist() if new else []
+        simple = [w for w, s in zip(new, single) if s]
+        others = [w for w, s in zip(new, single) if not s]
         for i in range(0, len(simple), 16_384):
             groups = [simple[j:j + 512] for j in range(i, min(i + 16_384, len(simple)), 512)]
-            found = self.plain.decode_batch([np.concatenate([x for _, x in g]).tolist() for g in groups], skip_special_tokens=False)
+            found = self.plain.decode_batch([np.frombuffer(b"".join(g), "<u4").tolist() for g in groups], skip_special_tokens=False)
             for group, text in zip(groups, found, strict=True):
                 parts = text.encode("utf-8").split(b" ")
                 if len(parts) == len(group) + 1 and not parts[0]:
-                    self.read.add([w for w, _ in group], [b" " + p for p in parts[1:]])
+                    self.read.add(group, [b" " + p for p in parts[1:]])
                 else:
                     others += group
-        found = self.plain.decode_batch([x.tolist() for _, x in others], skip_special_tokens=False) if others else []
-        self.read.add([w for w, _ in others], [t.encode("utf-8") for t in found])
+        found = self.plain.decode_batch([np.frombuffer(w, "<u4").tolist() for w in others], skip_special_tokens=False) if others else []
+        self.read.add(others, [t.encode("utf-8") for t in found])
         raw = assembled(list(map(self.read.used.__getitem__, words)), places, np.searchsorted(starts, sizes))
         return [r.removeprefix(b" ").decode("utf-8") for r in raw]
 

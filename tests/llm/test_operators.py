@@ -112,6 +112,17 @@ def test_sentencepiece_word_by_word_and_back_in_one_pass(docs, texts):
     assert codec.decode(lists) == codec.tokenizer.decode_batch([x.tolist() for x in lists], skip_special_tokens=False)
 
 
+def test_words_are_found_without_hashing_their_places(texts, monkeypatch):
+    codec = sentencepiece.Codec(sentencepiece._load("piece_bpe_32k.model"), 1)
+    some = [t or "" for t in texts.values()] + ["▁▁a ▁", " ", "a  b"]
+    monkeypatch.setattr(np, "union1d", None)  # took a sixth of the time
+    raw, _ = codec.encode(some)
+    whole = [e.ids if t else [] for t, e in zip(some, codec.tokenizer.encode_batch(some, add_special_tokens=False), strict=True)]
+    ids = [np.frombuffer(x, "<u4") for x in raw]
+    assert [x.tolist() for x in ids] == whole
+    assert codec.decode(ids) == codec.tokenizer.decode_batch(whole, skip_special_tokens=False)
+
+
 def test_parity_sees_a_wrong_normaliser_and_wrong_words():
     codec = sentencepiece.Codec(sentencepiece._load("piece_bpe_32k.model"), 1)
     texts = ["plain words", "two  blanks", ""]
