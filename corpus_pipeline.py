@@ -14,6 +14,9 @@ from rankflow.llm.common import fresh, table
 from rankflow.session import written
 
 TOXIC = 0.7
+# Bytes of words that each of packing's workers remembers, of parts and of words, and of texts it encodes at once.  All stages share
+# an executor, so packing takes less here than alone; the ids are the same.
+PACK_MEMORY, PACK_SLICE = 32 << 20, 2 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +53,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4,096 tokens, one row per piece with its ids."""
-    return packing.pack(docs, packing.word_encoder("word_bpe_49k.json"))
+    return packing.pack(docs, packing.word_encoder("word_bpe_49k.json", PACK_MEMORY), slice_bytes=PACK_SLICE)
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_copies), ("suffix_array", cut_repeats), ("secrets", redact_secrets),

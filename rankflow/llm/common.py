@@ -77,6 +77,7 @@ def appended(df: DataFrame, inputs: Sequence[str], outputs: Sequence[tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
+        pa.default_memory_pool().release_unused()  # what the worker's earlier tasks left
         for batch in batches:
             if fn is None:
                 fn = make()

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.words import Remembered, assembled, distinct, slices
+from rankflow.llm.words import SLICE, Remembered, assembled, distinct, slices
 from rankflow.session import written
 
 SIZE = 4096
@@ -173,7 +173,7 @@ def _task(level: int) -> tuple[int, int]:
 
 
 def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes]]], size: int = SIZE, open_windows: int = OPEN,
-         min_cut: int = MIN_CUT, fan_in: int = FAN_IN, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+         min_cut: int = MIN_CUT, fan_in: int = FAN_IN, end_id: int = END_ID, keep_ids: bool = True, slice_bytes: int = SLICE) -> DataFrame:
     """Pack all documents into sequences of at most `size` tokens, one row per piece.
 
     A document's ids are those of `encoder` (made once per worker process) and `end_id`; a null text is empty, so every row has at
@@ -184,6 +184,8 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
     end is written with the rest; `fan_in` tasks' leftovers are packed together again, round by round, until one task holds the last
     of them, cut to fill every sequence but the last.  Each round is computed once and written, so a lost executor cannot make
     two rounds disagree.  Repeated rows are packed as often as they occur; equal ids do not matter.
+
+    Texts are encoded `slice_bytes` at a time (a longer one alone); fewer take less memory and more time, the result is the same.
     """
     # each worker process keeps its copy, and with it the encoder, from task to task
     held = docs.sparkSession.sparkContext.broadcast({})
@@ -192,9 +194,10 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
         part, first_id = _task(0)
         packer = _Packer(size, open_windows, min_cut, first_id, keep_ids)
         end = np.array([end_id], "<u4").tobytes()
+        pa.default_memory_pool().release_unused()  # what the worker's earlier tasks left
         for batch in batches:
             encode = held.value.get("encode") or held.value.setdefault("encode", encoder())
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), slice_bytes):
                 some = batch.slice(a, b - a)
                 for doc, ids in zip(some.column(0).to_pylist(), encode([t or "" for t in some.column(1).to_pylist()]), strict=True):
                     ids += end
@@ -244,12 +247,15 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
     return result.drop("task") if keep_ids else result.drop("task", "ids")
 
 
-def word_encoder(path: str) -> Callable[[], WordEncoder]:
-    """A maker of encoders for `pack`; `path` is a tokenizers file, or its name among the installed public vocabularies."""
+def word_encoder(path: str, memory: int = MEMORY) -> Callable[[], WordEncoder]:
+    """A maker of encoders for `pack`; `path` is a tokenizers file, or its name among the installed public vocabularies.
+
+    `memory` bounds the bytes of words each remembers; with fewer it encodes words again that it has forgotten.
+    """
     def make() -> WordEncoder:
         import os
         if os.sep in path:
-            return WordEncoder(path)
+            return WordEncoder(path, memory)
         import public_tokenizers
-        return WordEncoder(public_tokenizers.path(path))
+        return WordEncoder(public_tokenizers.path(path), memory)
     return make

@@ -49,7 +49,7 @@ def letter_code(c: str) -> int:
 _TABLE = np.array([letter_code(chr(i).lower()) if len(chr(i).lower()) == 1 else 27 for i in range(0x250)], np.int64)
 
 
-def _slices(texts: list[str | None], size: int = 1 << 20) -> Iterator[str]:
+def _slices(texts: list[str | None], size: int = 1 << 18) -> Iterator[str]:
     """All texts, each after two blanks, in strings of about `size` signs; neighbours cut from one text share two signs."""
     held, n = [], 0
     for text in texts:
@@ -68,8 +68,9 @@ def letter_counts(docs: DataFrame) -> np.ndarray:
     reach the driver.  The result has 64^3 entries whatever the input."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CODES ** 3, np.int64)
-        for batch in batches:
-            for some in _slices(batch.column(0).to_pylist()):
+        pa.default_memory_pool().release_unused()  # what the worker's earlier tasks left
+        for texts in (b.column(0)[at:at + 256] for b in batches for at in range(0, b.num_rows, 256)):
+            for some in _slices(texts.to_pylist()):
                 signs = np.frombuffer(some.encode("utf-32-le", "surrogatepass"), np.uint32)
                 c = np.where(signs < len(_TABLE), _TABLE[np.minimum(signs, len(_TABLE) - 1)], 27 + signs % 37)
                 total += np.bincount(c[:-2] * 4096 + c[1:-1] * 64 + c[2:], minlength=CODES ** 3)

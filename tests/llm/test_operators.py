@@ -248,6 +248,13 @@ def test_word_encoder_agrees_with_whole_texts(texts):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_a_small_memory_changes_no_ids(texts):
+    some = [t or "" for t in texts.values()]
+    small = packing.word_encoder("word_bpe_49k.json", 1 << 12)()
+    assert small.parts.limit == small.words.limit == 1 << 12
+    assert [small([t])[0] for t in some] == packing.word_encoder("word_bpe_49k.json")()(some)
+
+
 def test_packing_with_the_vocabulary(docs, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
