@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from rankflow.llm.common import appended, labelled_sample
 from rankflow.llm.quality import Ftrl
+from rankflow.session import written
 
 # Signs that resemble letters (fixed values of the channel).
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a",
@@ -246,6 +247,56 @@ def word_grams(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out).astype(np.int64), np.concatenate(who)
 
 
+def feature_scales(made: DataFrame, bits: int) -> np.ndarray:
+    """The scale of each feature from rows (label, at): its log-ratio where it speaks for label 1, else 0.
+
+    Documents of either label with each feature are counted in tasks and added up before they reach the driver; of features
+    that no document of label 1 has, nothing does.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        having = np.zeros((2, 1 << bits), np.int32)
+        docs_of = [0, 0]
+        for batch in batches:
+            for label_of, at in zip(batch.column(0).to_pylist(), batch.column(1)):
+                having[label_of, np.unique(np.frombuffer(at.as_buffer(), np.int32))] += 1
+                docs_of[label_of] += 1
+        at = np.flatnonzero(having.any(axis=0))
+        # the last row counts the documents themselves
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, 1 << bits].astype(np.int32)), pa.array(np.r_[having[0, at], docs_of[0]].astype(np.int64)),
+                                          pa.array(np.r_[having[1, at], docs_of[1]].astype(np.int64))], names=["at", "n0", "n1"])
+
+    rows = (made.select("label", "at").mapInArrow(run, "at int, n0 long, n1 long").groupBy("at")
+            .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(f"n1 > 0 OR at = {1 << bits}").toArrow())
+    at, n0, n1 = (rows[c].to_numpy() for c in ("at", "n0", "n1"))
+    total = at == 1 << bits
+    all0, all1 = int(n0[total].sum()), int(n1[total].sum())
+    at, n0, n1 = at[~total], n0[~total].astype(float), n1[~total].astype(float)
+    ratio = np.log((n1 + 0.5) / (all1 + 1)) - np.log((n0 + 0.5) / (all0 + 1))
+    # what speaks for label 1, and how often it was seen, scales a feature: a small sample then learns from few of them
+    scale = np.zeros(1 << bits)
+    scale[at] = np.maximum(ratio, 0) * np.sqrt(n1 / (all1 + 1))
+    return scale
+
+
+def used_features(made: DataFrame, used: np.ndarray, bits: int) -> pa.Table:
+    """Rows (id, label, at, n): each document's distinct features among `used`, in order, and how often it has them."""
+    shared = made.sparkSession.sparkContext.broadcast(used.astype(np.int32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.zeros(1 << bits, bool)
+        there[shared.value] = True
+        for batch in batches:
+            found = []
+            for at in batch.column(2):
+                at = np.frombuffer(at.as_buffer(), np.int32)
+                found.append(np.unique(at[there[at]], return_counts=True))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([a.tobytes() for a, _ in found], pa.binary()),
+                 pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], names=["id", "label", "at", "n"])
+
+    return made.select("id", "label", "at").mapInArrow(run, "id long, label int, at binary, n binary").toArrow()
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 3, remainder: int = 1, bits: int = 20,
                    sample_rows: int = 6_000, updates: int = 12_000, seed: int = 42) -> dict:
     """Channel and word model from labelled rows whose crc32(doc_id) modulo `modulus` is not `remainder`.
@@ -269,23 +320,17 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(made, pa.binary())],
                                              names=["id", "label", "at"])
 
-    rows = (labelled_sample(docs, labels, label, modulus, remainder, sample_rows).select("id", "text", "label")
-            .mapInArrow(run, "id long, label int, at binary").toArrow()
-            .sort_by([("id", "ascending"), ("label", "ascending"), ("at", "ascending")]))
-    y = rows["label"].to_pylist()
-    # documents of either label with each feature
-    having = np.zeros((2, 1 << bits))
-    for at, label_of in zip(rows["at"], y, strict=True):
-        having[label_of, np.unique(np.frombuffer(at.as_buffer(), np.int32))] += 1
-    n1 = sum(y)
-    ratio = np.log((having[1] + 0.5) / (n1 + 1)) - np.log((having[0] + 0.5) / (len(y) - n1 + 1))
-    # what speaks for label 1, and how often it was seen, scales a feature: a small sample then learns from few of them
-    scale = np.maximum(ratio, 0) * np.sqrt(having[1] / (n1 + 1))
+    made = written(labelled_sample(docs, labels, label, modulus, remainder, sample_rows).select("id", "text", "label")
+                   .mapInArrow(run, "id long, label int, at binary"), "toxicity_features")
+    scale = feature_scales(made, bits)
+    used = np.flatnonzero(scale)
+    rows = used_features(made, used, bits).sort_by([("id", "ascending"), ("label", "ascending"), ("at", "ascending"), ("n", "ascending")])
     data = []
-    for at, label_of in zip(rows["at"], y, strict=True):
-        where, n = np.unique(np.frombuffer(at.as_buffer(), np.int32), return_counts=True)
-        used = scale[where] > 0
-        data.append((np.r_[where[used], 1 << bits], np.r_[n[used] * scale[where[used]], 1.0].astype(np.float32), label_of))
+    for at, n, label_of in zip(rows["at"], rows["n"], rows["label"].to_pylist(), strict=True):
+        at, n = np.frombuffer(at.as_buffer(), np.int32), np.frombuffer(n.as_buffer(), np.int32)
+        data.append((np.r_[at, np.int32(1 << bits)], np.r_[n * scale[at], 1.0].astype(np.float32), label_of))
+    del rows
+    pa.default_memory_pool().release_unused()
     model = Ftrl(bits, alpha=0.5, l1=1.0, l2=0.0)
     random = np.random.default_rng(seed)
     for _ in range(min(max(-(-updates // max(len(data), 1)), 3), 40)):

@@ -412,6 +412,26 @@ def test_toxicity_reads_disguised_words(spark, docs, rude, nothing):
     assert set(by_id(toxicity.score_toxicity(docs, untaught), "score").values()) == {(0.5,)}
 
 
+def test_toxicity_sends_the_driver_only_features_that_count(spark, rude, monkeypatch):
+    restorer, counted = toxicity.Restorer(toxicity.letter_costs(toxicity.letter_counts(rude[0]))), {}
+    for r in rude[0].collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            parts = r.text.lower().split()
+            words = {w for p in parts for w in restorer.words(p)} | set(restorer.spaced(parts))
+            counted[r.doc_id] = collections.Counter(toxicity.word_grams(sorted(words), 20)[0].tolist())
+    n = [sum(i % 4 != 0 for i in counted), sum(i % 4 == 0 for i in counted)]
+    having = [collections.Counter(f for i, c in counted.items() if (i % 4 == 0) == label for f in c) for label in (0, 1)]
+    speaks = {f for f in having[1] if (having[1][f] + 0.5) / (n[1] + 1) > (having[0][f] + 0.5) / (n[0] + 1)}
+    frame, sent = type(rude[0]), []
+    fetch = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda self: sent.append(fetch(self)) or sent[-1])
+    toxicity.train_toxicity(*rude)
+    rows = next(t for t in sent if "id" in t.column_names).to_pylist()
+    got = {r["id"]: dict(zip(np.frombuffer(r["at"], np.int32).tolist(), np.frombuffer(r.get("n", b""), np.int32).tolist())) for r in rows}
+    assert got == {i: {f: k for f, k in c.items() if f in speaks} for i, c in counted.items()}
+    assert 0 < sum(map(len, got.values())) < sum(map(len, counted.values()))
+
+
 def test_every_disguise_reaches_the_lattice(spark):
     """Few letters, signs at the edge, and separators of any kind and number."""
     words = "moron idiot shit ass crap asshole the of and hello world is good well known rap great idea to or music 2024-01-02 1500".split()
