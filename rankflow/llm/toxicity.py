@@ -279,7 +279,8 @@ def feature_scales(made: DataFrame, bits: int) -> np.ndarray:
 
 
 def used_features(made: DataFrame, used: np.ndarray, bits: int) -> pa.Table:
-    """Rows (id, label, at, n): each document's distinct features among `used`, in order, and how often it has them."""
+    """Rows (id, label, at, n): each document's distinct features among `used`, in order, and how often it has them, in a byte
+    each if the document has none more often than that holds, else in four (see `counts_of`)."""
     shared = made.sparkSession.sparkContext.broadcast(used.astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,11 +293,18 @@ def used_features(made: DataFrame, used: np.ndarray, bits: int) -> pa.Table:
                 found.append(np.unique(at[there[at]], return_counts=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([a.tobytes() for a, _ in found], pa.binary()),
-                 pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], names=["id", "label", "at", "n"])
+                 pa.array([n.astype(np.uint8 if n.max(initial=0) < 256 else np.int32).tobytes() for _, n in found], pa.binary())],
+                names=["id", "label", "at", "n"])
 
     return made.select("id", "label", "at").mapInArrow(run, "id long, label int, at binary, n binary").toArrow()
 
 
+def counts_of(at: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Features and counts of one row of `used_features`."""
+    at = np.frombuffer(at, np.int32)
+    return at, np.frombuffer(n, np.uint8 if len(n) == len(at) else np.int32)
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 3, remainder: int = 1, bits: int = 20,
                    sample_rows: int = 6_000, updates: int = 12_000, seed: int = 42) -> dict:
     """Channel and word model from labelled rows whose crc32(doc_id) modulo `modulus` is not `remainder`.
@@ -327,7 +335,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod
     rows = used_features(made, used, bits).sort_by([("id", "ascending"), ("label", "ascending"), ("at", "ascending"), ("n", "ascending")])
     data = []
     for at, n, label_of in zip(rows["at"], rows["n"], rows["label"].to_pylist(), strict=True):
-        at, n = np.frombuffer(at.as_buffer(), np.int32), np.frombuffer(n.as_buffer(), np.int32)
+        at, n = counts_of(at.as_buffer(), n.as_buffer())
         data.append((np.r_[at, np.int32(1 << bits)], np.r_[n * scale[at], 1.0].astype(np.float32), label_of))
     del rows
     pa.default_memory_pool().release_unused()

@@ -427,11 +427,20 @@ def test_toxicity_sends_the_driver_only_features_that_count(spark, rude, monkeyp
     monkeypatch.setattr(frame, "toArrow", lambda self: sent.append(fetch(self)) or sent[-1])
     toxicity.train_toxicity(*rude)
     rows = next(t for t in sent if "id" in t.column_names).to_pylist()
-    got = {r["id"]: dict(zip(np.frombuffer(r["at"], np.int32).tolist(), np.frombuffer(r.get("n", b""), np.int32).tolist())) for r in rows}
+    got = {r["id"]: dict(zip(*(x.tolist() for x in toxicity.counts_of(r["at"], r["n"])))) for r in rows}
     assert got == {i: {f: k for f, k in c.items() if f in speaks} for i, c in counted.items()}
     assert 0 < sum(map(len, got.values())) < sum(map(len, counted.values()))
 
 
+def test_counts_of_features_are_whole(spark):
+    """One byte, four bytes and no feature at all."""
+    seen = {1: [5] * 255 + [9, 7, 7], 2: [5] * 256 + [9], 3: [9], 4: []}
+    made = spark.createDataFrame([(i, 0, bytearray(np.array(x, np.int32).tobytes())) for i, x in seen.items()], "id long, label int, at binary")
+    rows = toxicity.used_features(made, np.array([5, 7]), 4).to_pylist()
+    got = {r["id"]: dict(zip(*(x.tolist() for x in toxicity.counts_of(r["at"], r["n"])))) for r in rows}
+    assert got == {1: {5: 255, 7: 2}, 2: {5: 256}, 3: {}, 4: {}} and sum(len(r["n"]) for r in rows) == 2 + 4
+
+
 def test_every_disguise_reaches_the_lattice(spark):
     """Few letters, signs at the edge, and separators of any kind and number."""
     words = "moron idiot shit ass crap asshole the of and hello world is good well known rap great idea to or music 2024-01-02 1500".split()
