@@ -35,6 +35,8 @@ LEAST_BUCKETS = 64
 # Bytes whose suffixes are sorted together, and distinct pieces of one key beyond which its strings are dealt out one by one.
 BLOCK = 1 << 18
 CROWD = 16_384
+# Intervals that a task collects before it sends them by document.
+SPANS = 1 << 19
 # Bits of a least gram's hash that travel as the key of a run, and of those of the grams beside it.  Strings of equal keys are compared, so a
 # chance match costs work only.
 KEY_BITS, SIDE_BITS = 48, 16
@@ -128,6 +130,20 @@ def _met(key: np.ndarray, side: np.ndarray, who: np.ndarray, told: np.ndarray |
     return shared, head
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """The places of keys in their order; narrow ones are sorted with their places, which is several times faster."""
+    bits = len(key).bit_length()
+    if int(key.max()) >> (62 - bits):
+        return np.argsort(key)
+    return np.sort(key << bits | np.arange(len(key))) & ((1 << bits) - 1)
+
+
+def _smaller(keys: np.ndarray, than: np.ndarray) -> np.ndarray:
+    """How many keys are smaller than each of `than`, in ascending order."""
+    marked = np.sort(np.concatenate([keys << 1 | 1, than << 1]))
+    return np.flatnonzero(marked & 1 == 0) - np.arange(len(than))
+
+
 def suffix_order(s: np.ndarray, depth: int = LENGTH, cover: int = 1) -> np.ndarray:
     """Positions of `s` in the order of their suffixes, compared over `depth` bytes at least (each sign stands for `cover`).
 
@@ -145,7 +161,7 @@ def suffix_order(s: np.ndarray, depth: int = LENGTH, cover: int = 1) -> np.ndarr
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sampled = np.concatenate([ones, twos])
     triple = (padded[sampled] * base + padded[np.minimum(sampled + 1, n + 2)]) * base + padded[np.minimum(sampled + 2, n + 2)]
-    by_triple = np.argsort(triple, kind="stable")
+    by_triple = _order(triple)
     ordered = triple[by_triple]
     fresh_name = np.r_[True, ordered[1:] != ordered[:-1]]
     if fresh_name.all() or 3 * cover >= depth:
@@ -159,26 +175,27 @@ def suffix_order(s: np.ndarray, depth: int = LENGTH, cover: int = 1) -> np.ndarr
     most = len(sampled) + 1
     rest = np.arange(0, n, 3)
     one = padded[rest] * most + rank[rest + 1]
-    rest_order = np.argsort(one, kind="stable")
+    rest_order = _order(one)
     rest, one = rest[rest_order], one[rest_order]
     two = (padded[rest] * base + padded[rest + 1]) * most + rank[rest + 2]
-    ones, twos = ones[ones < n], twos
-    before = (np.searchsorted(np.sort(padded[ones] * most + rank[ones + 1]), one)
-              + np.searchsorted(np.sort((padded[twos] * base + padded[twos + 1]) * most + rank[twos + 2]), two))
+    ones = ones[ones < n]
+    # both ascend with `rest`, but for suffixes that agree in `depth` bytes, whose order is open
+    before = (_smaller(padded[ones] * most + rank[ones + 1], one)
+              + _smaller((padded[twos] * base + padded[twos + 1]) * most + rank[twos + 2], two))
     inside = sampled[order]
-    inside = inside[inside < n]
-    place = np.concatenate([before * 2, np.arange(len(inside)) * 2 + 1])
-    return np.concatenate([rest, inside])[np.argsort(place, kind="stable")]
+    out, merged = np.empty(n, np.int64), np.zeros(n, bool)
+    place = before + np.arange(len(rest))
+    out[place], merged[place] = rest, True
+    out[~merged] = inside[inside < n]
+    return out
 
 
-def string_minima(pieces: list[bytes], owners: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece the smallest owner of each of its strings of `length` bytes, over all pieces."""
-    data = np.frombuffer(b"".join(pieces) + bytes(length + 8), np.uint8)
-    sizes = np.array([len(p) for p in pieces])
-    begins = np.cumsum(sizes) - sizes
+def string_minima(pieces: pa.BinaryArray, owners: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """The smallest owner of each string of `length` bytes over all pieces; the strings of one piece after those of the other."""
+    sizes = pc.binary_length(pieces).to_numpy().astype(np.int64)
+    data = np.frombuffer(b"".join(pieces.to_pylist()) + bytes(length + 8), np.uint8)
     counts = sizes - length + 1
-    piece = np.repeat(np.arange(len(pieces)), counts)
-    start = begins[piece] + np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = _ranges(np.cumsum(sizes) - sizes, counts)
     which = np.full(len(data), -1, np.int64)
     which[start] = np.arange(len(start))
     order = which[suffix_order(data.astype(np.int64) + 1, length)]
@@ -190,10 +207,15 @@ def string_minima(pieces: list[bytes], owners: np.ndarray, length: int = LENGTH)
         w = words[at + o]
         same &= w[1:] == w[:-1]
     heads = np.flatnonzero(np.r_[True, ~same])
-    least = np.minimum.reduceat(owners[piece[order]], heads)
+    least = np.minimum.reduceat(np.repeat(owners, counts)[order], heads)
     out = np.empty(len(start), np.int64)
     out[order] = np.repeat(least, np.diff(np.r_[heads, len(order)]))
-    return np.split(out, np.cumsum(counts)[:-1])
+    return out
+
+
+def _ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each count, one after the other."""
+    return np.repeat(begins - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
 def _intervals(flags: np.ndarray) -> np.ndarray:
@@ -295,32 +317,65 @@ def _shared_runs(keyed: DataFrame, text_of, length: int, buckets: int) -> DataFr
     return rows.groupBy("bucket").applyInArrow(meet, "doc_id long, body int, runs binary")
 
 
-def _placed(found: np.ndarray, first: int, more: bytes | None) -> np.ndarray:
-    """Intervals of a piece's strings, at each place where the document holds the piece."""
-    if more is None:
-        return found + first
-    return (found + np.r_[first, np.frombuffer(more, "<i4")][:, None, None]).reshape(-1, 2)
-
-
-def _settle(rows: list[tuple], length: int) -> Iterator[tuple]:
-    """(doc_id, body, intervals) of removed strings among rows (key, doc_id, body, first, piece, more) of whole keys."""
-    by_key: dict[int, dict[bytes, int]] = {}
-    for key, doc, _, _, piece, _ in rows:
-        pieces = by_key.setdefault(key, {})
-        if pieces.get(piece, doc) >= doc:
-            pieces[piece] = doc
-    several = [(p, d) for pieces in by_key.values() if len(pieces) > 1 for p, d in pieces.items()]
-    least = {}
-    if several:
-        minima = string_minima([p for p, _ in several], np.array([d for _, d in several], np.int64), length)
-        least = {p: m for (p, _), m in zip(several, minima)}
-    for key, doc, body, first, piece, more in rows:
-        if piece in least:
-            found = _intervals(least[piece] < doc)
-            if len(found):
-                yield doc, body, _placed(found, first, more)
-        elif by_key[key][piece] < doc:
-            yield doc, body, _placed(np.array([[0, len(piece) - length + 1]]), first, more)
+class _Rows:
+    """Rows of pieces as arrays: `which` piece each row holds, and the smallest document of each piece."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(batches)
+        self.key, self.doc, self.body, self.first = (rows[c].to_numpy() for c in ("key", "doc_id", "body", "first"))
+        self.more = pa.concat_arrays(rows["more"].chunks)
+        numbered = pa.concat_arrays(rows["piece"].chunks).dictionary_encode()
+        self.which, self.pieces = numbered.indices.to_numpy(), numbered.dictionary
+        self.owner = np.full(len(self.pieces), np.iinfo(np.int64).max)
+        np.minimum.at(self.owner, self.which, self.doc)
+        self.later = self.owner[self.which] < self.doc
+
+    def placed(self, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(doc_id, body, start, end) of intervals of the rows' pieces, at each place where the document holds the piece."""
+        shift = self.first[row]
+        again = np.flatnonzero(self.more.is_valid().to_numpy(zero_copy_only=False)[row])
+        if len(again):
+            places = [np.frombuffer(x, "<i4") for x in self.more.take(pa.array(row[again])).to_pylist()]
+            back = np.r_[np.arange(len(row)), np.repeat(again, [len(x) for x in places])]
+            shift = np.concatenate([shift, *places])
+            row, start, end = row[back], start[back], end[back]
+        return self.doc[row], self.body[row], start + shift, end + shift
+
+    def settled(self, rows: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+        """The same of all strings of rows that a smaller document holds as the same piece."""
+        return self.placed(rows, np.zeros(len(rows), np.int64), self.strings(length)[self.which[rows]])
+
+    def strings(self, length: int) -> np.ndarray:
+        """How many strings each piece holds."""
+        return pc.binary_length(self.pieces).to_numpy().astype(np.int64) - (length - 1)
+
+
+def _settle(batches: list[pa.RecordBatch], length: int) -> list[tuple[np.ndarray, ...]]:
+    """(doc_id, body, start, end) of removed strings among rows of whole keys, in arrays."""
+    rows = _Rows(batches)
+    key = np.empty(len(rows.pieces), np.int64)
+    key[rows.which] = rows.key  # equal pieces have equal keys
+    _, of, count = np.unique(key, return_inverse=True, return_counts=True)
+    several = count[of] > 1
+    out = [rows.settled(np.flatnonzero(rows.later & ~several[rows.which]), length)]
+    mixed = np.flatnonzero(several)
+    if len(mixed):
+        counts = rows.strings(length)[mixed]
+        begins = np.cumsum(counts) - counts
+        least = string_minima(rows.pieces.take(pa.array(mixed)), rows.owner[mixed], length)
+        place = np.full(len(rows.pieces), -1, np.int64)
+        place[mixed] = np.arange(len(mixed))
+        place = place[rows.which]
+        lost = np.flatnonzero((place >= 0) & (np.minimum.reduceat(least, begins)[place] < rows.doc))
+        place, counts = place[lost], counts[place[lost]]
+        row = np.repeat(np.arange(len(lost)), counts)
+        flags = least[_ranges(begins[place], counts)] < rows.doc[lost][row]
+        new = np.r_[True, row[1:] != row[:-1]][:len(row)]
+        starts = np.flatnonzero(flags & (new | ~np.r_[False, flags[:-1]][:len(row)]))
+        ends = np.flatnonzero(flags & np.r_[new[1:] | ~flags[1:], True][:len(row)]) + 1
+        base = (np.cumsum(counts) - counts)[row[starts]]
+        out.append(rows.placed(lost[row[starts]], starts - base, ends - base))
+    return out
 
 
 def _body() -> Column:
@@ -398,7 +453,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
                 more[i] = places[heads[i] + 1:ends[i]].tobytes()
             sent = sent[heads]
             gone = np.flatnonzero(goes)  # in the order of the documents
-            spans = np.stack([at["first"][gone].astype(np.int64), at["first"][gone].astype(np.int64) + at["count"][gone]], 1)
+            spans = np.stack([at["first"][gone], at["first"][gone] + at["count"][gone]], 1).astype("<i4")
             heads = np.flatnonzero(np.r_[True, doc[gone][1:] != doc[gone][:-1]][:len(gone)])
             lost = doc[gone][heads]
             columns = [
@@ -416,63 +471,94 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
              .sortWithinPartitions("kind", "key"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(rows: list[tuple]) -> pa.RecordBatch:
+        names = ["kind", "doc_id", "body", "first", "piece", "more"]
+        ready: list[pa.RecordBatch] = []  # whole keys
+        current: list[pa.RecordBatch] = []  # rows of the key that is being read
+        ready_bytes = current_rows = 0
+        last, crowded, limit = None, False, crowd
+        found: list[tuple[np.ndarray, ...]] = []
+
+        def packed() -> pa.RecordBatch:
+            """All that was found, one row per document."""
+            doc, body, start, end = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((body, doc))
+            doc, body = doc[order], body[order]
+            heads = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (body[1:] != body[:-1])][:len(doc)])
+            spans = np.stack([start[order], end[order]], 1).astype("<i4")
+            spans = [spans[a:b].tobytes() for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(doc)])]
+            none = pa.nulls(len(heads), pa.binary())
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(heads), 1, np.int32)), pa.array(doc[heads]), pa.array(body[heads]),
+                                               pa.array(np.zeros(len(heads), np.int64)), pa.array(spans, pa.binary()), none], names=names)
+
+        def one_by_one(part: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [(2, doc, body, first + i, piece[i:i + length], None if more is None else (np.frombuffer(more, "<i4") + i).astype("<i4").tobytes())
+                    for doc, body, first, piece, more in zip(*[part.column(c).to_pylist() for c in names[1:]]) for i in range(len(piece) - length + 1)]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["kind", "doc_id", "body", "first", "piece", "more"])
-
-        def packed(found) -> list[tuple]:
-            by_doc: dict[tuple[int, int], list] = {}
-            for doc, body, x in found:
-                by_doc.setdefault((doc, body), []).append(x)
-            return [(1, doc, body, 0, np.concatenate(x).astype(np.int64).tobytes(), None) for (doc, body), x in by_doc.items()]
-
-        def one_by_one(rows: list[tuple]) -> list[tuple]:
-            return [(2, doc, body, first + i, piece[i:i + length], None if more is None else (np.frombuffer(more, "<i4") + i).astype("<i4").tobytes())
-                    for _, doc, body, first, piece, more in rows for i in range(len(piece) - length + 1)]
-
-        ready: list[tuple] = []  # whole keys
-        ready_bytes = 0
-        current: list[tuple] = []  # rows of the key that is being read
-        crowded = False
+                (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=names)
+
+        def thinned() -> Iterator[pa.RecordBatch]:
+            """Deals the current key's strings out if it has very many pieces; else settles the rows that a smaller document's equal piece does."""
+            nonlocal current, current_rows, crowded, limit
+            rows = _Rows(current)
+            crowded = crowded or len(rows.pieces) >= crowd
+            if crowded:
+                for part in current:
+                    for at in range(0, len(part), 1000):
+                        yield one_by_one(part.slice(at, 1000))
+                current = []
+            else:
+                found.append(rows.settled(np.flatnonzero(rows.later), length))
+                current = pa.Table.from_batches(current).filter(pa.array(~rows.later)).to_batches()
+            current_rows = sum(map(len, current))
+            limit = current_rows + crowd
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            nonlocal current, current_rows, ready_bytes, crowded, limit
+            if current_rows >= crowd:
+                yield from thinned()
+            ready.extend(current)
+            ready_bytes += sum(pc.sum(pc.binary_length(p.column("piece"))).as_py() for p in current)
+            current, current_rows, crowded, limit = [], 0, False, crowd
+
+        def flushed(least: int) -> Iterator[pa.RecordBatch]:
+            """Settles the whole keys if they hold `least` bytes, and sends what is found if that is much or the last."""
+            nonlocal ready_bytes
+            if ready and ready_bytes >= least:
+                found.extend(_settle(ready, length))
+                ready.clear()
+                ready_bytes = 0
+            if found and (not least or sum(len(f[0]) for f in found) >= SPANS):
+                yield packed()
+
         for batch in batches:
-            out: list[tuple] = []
-            for kind, key, doc, body, first, piece, more in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if kind == 1:
-                    out.append((1, doc, body, 0, piece, None))
-                    continue
-                if current and current[0][0] != key:
-                    if crowded:
-                        out += one_by_one(current)
-                    else:
-                        ready += current
-                        ready_bytes += sum(len(r[4]) for r in current)
-                    current, crowded = [], False
-                    if ready_bytes >= block:
-                        out += packed(_settle(ready, length))
-                        ready, ready_bytes = [], 0
-                current.append((key, doc, body, first, piece, more))
-                if len(current) >= crowd and (crowded or len({r[4] for r in current}) >= crowd):
-                    out += one_by_one(current[1:])
-                    current, crowded = current[:1], True
-                elif len(current) >= 2 * crowd:
-                    # few different pieces: rows that a smaller document settles can go now
-                    least: dict[bytes, tuple] = {}
-                    for r in current:
-                        if r[4] not in least or r[1] < least[r[4]][1]:
-                            least[r[4]] = r
-                    out += packed((r[1], r[2], _placed(np.array([[0, len(r[4]) - length + 1]]), r[3], r[5])) for r in current
-                                  if least[r[4]][1] < r[1])
-                    current = [r for r in current if least[r[4]][1] >= r[1]]
-                if len(out) > 20_000:
-                    yield made(out)
-                    out = []
-            yield made(out)
-        if crowded:
-            yield made(one_by_one(current))
-            current = []
-        if ready or current:
-            yield made(packed(_settle(ready + current, length)))
+            n = int(np.count_nonzero(batch.column("kind").to_numpy() == 0))  # sorted by kind
+            if n < len(batch):
+                yield batch.slice(n).select(names)
+            key = batch.column("key").to_numpy()[:n]
+            heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:n])
+            size = pc.binary_length(batch.column("piece")).to_numpy()[:n].astype(np.int64)
+            full = np.diff((np.cumsum(size) - size)[heads] // block, prepend=0) > 0
+            # the first and the last key may go on in other batches; keys of very many rows are read alone too
+            alone = np.diff(np.r_[heads, n]) >= crowd
+            alone[:1] = alone[-1:] = True
+            cuts = np.flatnonzero(full | alone | np.r_[True, alone[:-1]][:len(alone)])
+            for a, b, single in zip(heads[cuts].tolist(), np.r_[heads[cuts[1:]], n].tolist(), alone[cuts].tolist()):
+                part = batch.slice(a, b - a)
+                if key[a] != last:
+                    yield from closed()
+                    last = key[a]
+                if single:
+                    current.append(part)
+                    current_rows += b - a
+                    if crowded or current_rows >= limit:
+                        yield from thinned()
+                else:
+                    ready.append(part)
+                    ready_bytes += int(size[a:b].sum())
+                yield from flushed(block)
+        yield from closed()
+        yield from flushed(0)
 
     # strings dealt out one by one meet at their bytes, in the order of the documents; cut sends each once per slice, so none is hot
     place = F.when(F.col("kind") == 2, F.xxhash64("piece")).otherwise(F.xxhash64("doc_id", "body"))
@@ -489,7 +575,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
             alone = []
             for i, (k, piece, more) in enumerate(zip(kind.tolist(), batch.column("piece").to_pylist(), batch.column("more").to_pylist(), strict=True)):
                 if k == 1:
-                    spans.append(np.frombuffer(piece, np.int64).reshape(-1, 2))
+                    spans.append(np.frombuffer(piece, "<i4").reshape(-1, 2).astype(np.int64))
                     owner.append(np.full(len(spans[-1]), i))
                 elif piece != last:
                     last, least = piece, ids[i]

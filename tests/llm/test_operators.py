@@ -4,9 +4,11 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -593,6 +595,44 @@ def test_repeats_within_a_document_of_another_slice(spark):
     assert got == suffix_dedup.brute_force([(i, t.encode()) for i, t in cases.items()])
 
 
+def settled(spark, monkeypatch, rows, block):
+    """What the task that sorts pieces finds in rows (key, doc_id, first, piece), read 1,000 at a time: its rows, and the starts lost per document."""
+    tasks = {}
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    real = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *rest: tasks.setdefault(f.__name__, f) and real(self, f, *rest))
+    suffix_dedup.remove_repeats(df, block=block)
+    batch = pa.RecordBatch.from_pylist([{"kind": 0, "key": k, "doc_id": d, "body": 0, "first": a, "piece": p, "more": None} for k, d, a, p in rows], pa.schema(
+        [("kind", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("body", pa.int32()), ("first", pa.int64()), ("piece", pa.binary()), ("more", pa.binary())]))
+    parts = [batch.slice(i, 1000) for i in range(0, len(rows), 1000)]
+    began = time.process_time()
+    out = [r for b in tasks["settle"](iter(parts)) for r in b.to_pylist()]
+    took = time.process_time() - began
+    found = collections.defaultdict(set)
+    for r in [r for b in tasks["later"](iter([pa.RecordBatch.from_pylist(out)])) for r in b.to_pylist()]:
+        for a, b in zip(r["starts"][::2], r["starts"][1::2]):
+            found[r["doc_id"]] |= set(range(a, b))
+    return out, dict(found), took
+
+
+def test_settled_blocks_send_one_row_per_document(spark, monkeypatch):
+    # every fourth key has a second piece that starts five bytes later; documents 2 and 3 lose what a smaller one holds
+    text = [np.random.default_rng(k).integers(97, 122, 65, dtype=np.uint8).tobytes() for k in range(2000)]
+    rows = [(k, d, 100 * k, t[5:] if d == 3 and k % 4 == 0 else t[:60]) for k, t in enumerate(text) for d in (1, 2, 3)]
+    out, found, _ = settled(spark, monkeypatch, rows, 1 << 14)
+    assert found == {2: {100 * k + i for k in range(2000) for i in range(11)},
+                     3: {100 * k + i for k in range(2000) for i in range(6 if k % 4 == 0 else 11)}}
+    assert len(out) == 2
+
+
+def test_a_key_of_very_many_rows_takes_time_in_proportion(spark, monkeypatch):
+    text = np.random.default_rng(1).integers(97, 122, 65, dtype=np.uint8).tobytes()
+    rows = [(7, d, 0, text[5:] if d % 2 else text[:60]) for d in range(32_000)] + [(8, 5, 50, text[:50])]
+    _, found, took = settled(spark, monkeypatch, rows, 1 << 18)
+    assert found == {1: set(range(6))} | {d: set(range(11)) for d in range(2, 32_000)}
+    assert took < 3
+
+
 def test_equal_and_missing_ids_do_not_remove_one_another(spark):
     text = prose(1, 40)
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text), (2, text)], "doc_id long, text string")
