@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.llm.common import give_back
 from rankflow.llm.words import SLICE, Remembered, assembled, distinct, slices
 from rankflow.session import written
 
@@ -194,7 +195,7 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
         part, first_id = _task(0)
         packer = _Packer(size, open_windows, min_cut, first_id, keep_ids)
         end = np.array([end_id], "<u4").tobytes()
-        pa.default_memory_pool().release_unused()  # what the worker's earlier tasks left
+        give_back()  # what the worker's earlier tasks left
         for batch in batches:
             encode = held.value.get("encode") or held.value.setdefault("encode", encoder())
             for a, b in slices(batch.column(1), slice_bytes):
@@ -206,6 +207,8 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
                     yield _batch(packer.out)
                     packer.out = []
         yield _batch(packer.out + packer.left(part))
+        packer = batch = some = None
+        give_back()
 
     def again(level: int, last: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from rankflow.llm.common import by_bytes
+from rankflow.llm.common import by_bytes, give_back
 from rankflow.session import written
 
 LENGTH = 50
@@ -284,6 +284,7 @@ def _shared_runs(keyed: DataFrame, text_of, length: int, buckets: int) -> DataFr
         return rows + [row(int(bucket[order[a]]), False, order[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(order)])]
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what the worker's earlier tasks left
         for batch in batches:
             for part in _text_slices(batch, text_of(batch)):
                 rows = told(part.column("doc_id").to_numpy(), part.column("body").to_numpy(), text_of(part).to_pylist())
@@ -425,6 +426,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
 
         A piece that its document repeats goes once, with the places behind the first as numbers of four bytes in `more`.
         """
+        give_back()
         for batch in (p for b in batches for p in _text_slices(b, text_of(b))):
             ids, bodies = batch.column("doc_id").to_numpy(), batch.column("body").to_numpy()
             number: dict[bytes, int] = {}  # equal pieces have equal keys
@@ -471,6 +473,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
              .sortWithinPartitions("kind", "key"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         names = ["kind", "doc_id", "body", "first", "piece", "more"]
         ready: list[pa.RecordBatch] = []  # whole keys
         current: list[pa.RecordBatch] = []  # rows of the key that is being read
@@ -567,6 +570,7 @@ def repeated_strings(docs: DataFrame, keyed: DataFrame, length: int = LENGTH, cr
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Intervals of starts per document: those found already, and those of single strings behind the first document that holds them."""
+        give_back()
         last, least = None, 0
         for batch in batches:
             kind, ids, bodies, first = (batch.column(c).to_numpy() for c in ("kind", "doc_id", "body", "first"))
@@ -619,9 +623,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, bl
     place = [c.lower() for c in columns].index("text")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        batch = part = None
         for batch in batches:
             for part in _text_slices(batch, batch.column("row").flatten()[place]):
                 yield dropped(part)
+        batch = part = None
+        give_back()
 
     def dropped(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, sizes, removed, spans = [], [], [], []

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import appended, labelled_sample
+from rankflow.llm.common import appended, give_back, labelled_sample
 from rankflow.llm.quality import Ftrl
 from rankflow.session import written
 
@@ -69,7 +69,7 @@ def letter_counts(docs: DataFrame) -> np.ndarray:
     reach the driver.  The result has 64^3 entries whatever the input."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CODES ** 3, np.int64)
-        pa.default_memory_pool().release_unused()  # what the worker's earlier tasks left
+        give_back()  # what the worker's earlier tasks left
         for texts in (b.column(0)[at:at + 256] for b in batches for at in range(0, b.num_rows, 256)):
             for some in _slices(texts.to_pylist()):
                 signs = np.frombuffer(some.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -338,7 +338,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod
         at, n = counts_of(at.as_buffer(), n.as_buffer())
         data.append((np.r_[at, np.int32(1 << bits)], np.r_[n * scale[at], 1.0].astype(np.float32), label_of))
     del rows
-    pa.default_memory_pool().release_unused()
+    give_back()
     model = Ftrl(bits, alpha=0.5, l1=1.0, l2=0.0)
     random = np.random.default_rng(seed)
     for _ in range(min(max(-(-updates // max(len(data), 1)), 3), 40)):

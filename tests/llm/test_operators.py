@@ -633,6 +633,21 @@ def test_a_key_of_very_many_rows_takes_time_in_proportion(spark, monkeypatch):
     assert took < 3
 
 
+def test_tasks_give_free_memory_back(spark, monkeypatch):
+    # a worker that sorted pieces lives on through the stages behind; what it left counts against them
+    tasks, calls = {}, []
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    real = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, *rest: tasks.setdefault(f.__name__, f) and real(self, f, *rest))
+    suffix_dedup.remove_repeats(df)
+    monkeypatch.setattr(suffix_dedup, "give_back", lambda: calls.append(1))
+    assert set(tasks) == {"tell", "cut", "settle", "later", "drop"}
+    for task in tasks.values():
+        before = len(calls)
+        list(task(iter([])))
+        assert len(calls) > before
+
+
 def test_equal_and_missing_ids_do_not_remove_one_another(spark):
     text = prose(1, 40)
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text), (2, text)], "doc_id long, text string")
