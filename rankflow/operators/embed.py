@@ -5,18 +5,23 @@ An embedding table is `feature, id, vec`.  Ids without a row have no vector.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rankflow.functions.vectors import as_vector, collected_sums, sum_vectors, zero_vector
+from rankflow.functions.vectors import as_vector, zero_vector
 from rankflow.operators.layout import BROADCAST_ROWS, lookup_join
 from rankflow.registry import EMBEDDING_DIM
 
 COMBINERS = ("mean", "sum", "sqrtn")
+# Blocks of rows per shuffle partition, for lookups that send vectors to blocks.
+BLOCKS = 16
+# Items of lists whose vectors are in memory together.
+BLOCK_ITEMS = 16_384
 
 
 def of_feature(emb: DataFrame, feature: str) -> DataFrame:
@@ -138,39 +143,170 @@ def safe_pool(ids: Column, emb: DataFrame, feature: str, bound: int, combiner: s
     return pooled(clean, F.coalesce(weights if weights is not None else ones, F.array()).cast("array<double>"))
 
 
-def pool(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, combiner: str = "mean",
-         weights: str | None = None, bound: int | None = None, mask_zero: bool = False,
-         dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Pool by join, for tables of any size: `key, vec` for the rows with at least one vector.
+# --- lists against tables of any size ------------------------------------------------------------------
+#
+# Rows are dealt into blocks by a hash of their key.  An id is looked up once per block, however often the block's lists
+# hold it, and its vector is sent to the block once: rows travel without vectors, and no id has more than one row per block.
+
+def blocks_of(key: Column, partitions: int, spread: Column | None = None) -> Column:
+    """The block of a row: all rows of a key share one.  `spread` deals out rows without a key, if they need not meet."""
+    rest = [] if spread is None else [F.when(key.isNull(), spread)]
+    return F.pmod(F.xxhash64(key, *rest), F.lit(partitions * BLOCKS))
+
 
-    The sums per element are partial aggregates, so each row of `df` sends one vector
-    per task to the shuffle, not one per item.
+def in_blocks(rows: DataFrame, needs: Column, vectors: DataFrame, schema: T.StructType,
+              answer: Callable[[pa.Table, pa.Table], pa.Table]) -> DataFrame:
+    """`answer` for every block of `rows` (column `__block`), given its rows and the rows of `vectors` that it needs.
+
+    `needs` are a row's keys in `vectors`, an array of structs with the names of the key columns.
     """
+    wanted = rows.select(F.col("__block").alias("__to"), F.explode(needs).alias("n")).select("__to", "n.*").distinct()
+    sent = wanted.join(vectors, [c for c in wanted.columns if c != "__to"])
+    return rows.groupBy("__block").cogroup(sent.groupBy("__to")).applyInArrow(answer, schema)
+
+
+def list_answers(df: DataFrame, key: str, items: Column, vectors: DataFrame, out: str, kind: T.DataType, whole: bool,
+                 answer: Callable[[pa.Table, np.ndarray, np.ndarray, int, pa.Table], pa.Array]) -> DataFrame:
+    """What `answer` makes of each key's items and their vectors, as column `out`.
+
+    `items` is an array of structs with the field `id`; the items of all rows of a key belong together.  `answer` gets the
+    block's rows, the items' rows and keys (numbered), the number of keys, and the vectors (`id, vec`), and gives a value per key, null for a key that has none.
+    With `whole` the rows of `df` are kept and get their key's value, without it there is one row per key with a value.
+    """
+    kept = [key, *(c for c in df.columns if c not in (key, out))] if whole else [key]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = blocks_of(F.col(key), partitions, F.xxhash64(items) if whole else None)
+    # a missing key meets no other when rows are kept, so its rows have no value
+    items = F.when(F.col(key).isNotNull(), items) if whole else items
+    rows = df.select(*[F.col(c) for c in kept], items.alias("__items"), block.alias("__block"))
+    needs = F.transform(F.filter("__items", lambda i: i["id"].isNotNull()), lambda i: F.struct(i["id"].alias("id")))
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, kind)])
+
+    def block_answer(some: pa.Table, sent: pa.Table) -> pa.Table:
+        keys = some.column(key).combine_chunks().dictionary_encode("encode")
+        codes = keys.indices.to_numpy(zero_copy_only=False)
+        lists = some.column("__items").combine_chunks()
+        sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        owners = np.repeat(np.arange(len(codes)), sizes)
+        values = answer(some, owners, codes[owners], len(keys.dictionary), sent)
+        if not whole:
+            first = np.unique(codes, return_index=True)[1]
+            some = some.take(pa.array(first))
+        elif not np.array_equal(codes, np.arange(len(codes))):
+            values = values.take(keys.indices)
+        return pa.table([*(some.column(c) for c in kept), values], names=[*kept, out])
+
+    answered = in_blocks(rows, needs, vectors, schema, block_answer)
+    return answered if whole else answered.where(F.col(out).isNotNull())
+
+
+def _items_of(table: pa.Table) -> pa.StructArray:
+    return table.column("__items").combine_chunks().flatten()
+
+
+def _numbers(column: pa.Array, missing) -> np.ndarray:
+    return column.fill_null(missing).to_numpy(zero_copy_only=False)
+
+
+def padded(vecs: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """Lists as a matrix of `dim` columns, and which elements there are, if not all; the others are 0."""
+    lengths, flat = vecs.value_lengths().to_numpy(zero_copy_only=False), vecs.flatten()
+    values = _numbers(flat, 0).astype(np.float64)
+    if not flat.null_count and len(values) == len(vecs) * dim and (lengths == dim).all():
+        return values.reshape(len(vecs), dim), None
+    lengths = np.nan_to_num(lengths).astype(np.int64)
+    rows = np.repeat(np.arange(len(vecs)), lengths)
+    at = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out, there = np.zeros((len(vecs), dim)), np.zeros((len(vecs), dim), bool)
+    inside = at < dim
+    out[rows[inside], at[inside]] = values[inside]
+    there[rows[inside], at[inside]] = flat.is_valid().to_numpy(zero_copy_only=False)[inside]
+    return out, there
+
+
+def matches(known: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places in `ids` and in `known` that hold the same id, in the order of `ids`; both may repeat ids."""
+    order = np.argsort(known, kind="stable")
+    low, high = (np.searchsorted(known[order], ids, side) for side in ("left", "right"))
+    item = np.repeat(np.arange(len(ids)), high - low)
+    step = np.arange(len(item)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+    return item, order[low[item] + step]
+
+
+def key_parts(keys: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Ascending `keys` in parts of about BLOCK_ITEMS that hold whole keys: the part, its different keys and where they start in it."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + BLOCK_ITEMS)))
+        begin, end = starts[at], starts[to] if to < len(starts) else len(keys)
+        yield slice(begin, end), keys[starts[at:to]], starts[at:to] - begin
+        at = to
+
+
+def masked_lists(matrix: np.ndarray, there: np.ndarray, filled: np.ndarray) -> pa.Array:
+    """Rows of a matrix as lists: null where not `filled`, with null elements where not `there`."""
+    sizes = np.where(filled, matrix.shape[1], 0)
+    kept = matrix if filled.all() else matrix[filled]
+    mask = None if there is None or there.all() else ~(there if filled.all() else there[filled]).ravel()
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    nulls = None if filled.all() else pa.array(~filled)
+    return pa.ListArray.from_arrays(offsets, pa.array(kept.ravel(), mask=mask), mask=nulls)
+
+
+def _pooled(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, out: str, combiner: str, weights: str | None, mask_zero: bool,
+            dim: int, whole: bool) -> DataFrame:
     if combiner not in COMBINERS:
         raise ValueError(f"unknown combiner {combiner!r}")
     weight = F.col(weights) if weights else F.transform(F.col(ids), lambda x: F.lit(1.0))
     pairs = F.arrays_zip(F.col(ids).alias("id"), weight.cast("array<double>").alias("w"))
-    items = df.select(F.col(key).alias("__row"), F.posexplode(pairs).alias("pos", "i")).select(
-        "__row", "pos", F.col("i.id").cast("bigint").alias("id"), "i.w")
-    items = items.where((F.col("id") >= (1 if mask_zero else 0)) & (F.col("w") > 0))
-    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, ["__row", "pos"]).where(F.col("vec").isNotNull())
-    sums = found.groupBy("__row").agg(
-        *sum_vectors(F.col("vec"), dim, F.col("w")), F.sum("w").alias("__w"), F.sum(F.col("w") * F.col("w")).alias("__ww"))
-    divisor = {"sum": F.lit(1.0), "mean": F.col("__w"), "sqrtn": F.sqrt("__ww")}[combiner]
-    return sums.select(F.col("__row").alias(key), F.transform(collected_sums(dim), lambda x: x / divisor).alias("vec"))
+    typed = F.transform(pairs, lambda i: F.struct(i["id"].cast("bigint").alias("id"), i["w"].alias("w")))
+    items = F.filter(typed, lambda i: (i["id"] >= (1 if mask_zero else 0)) & (i["w"] > 0))
+
+    def answer(rows: pa.Table, owners: np.ndarray, keys: np.ndarray, n: int, sent: pa.Table) -> pa.Array:
+        flat = _items_of(rows)
+        vecs, there = padded(sent.column("vec").combine_chunks(), dim)
+        item, at = matches(_numbers(sent.column("id").combine_chunks(), 0), _numbers(flat.field("id"), 0))
+        w = _numbers(flat.field("w"), 0)[item]
+        order = np.argsort(keys[item], kind="stable")
+        at, w, key_of = at[order], w[order], keys[item][order]
+        sums, seen, filled = np.zeros((n, dim)), None if there is None else np.zeros((n, dim), bool), np.zeros(n, bool)
+        for part, some, starts in key_parts(key_of):
+            share = w[part]
+            sums[some] = np.add.reduceat(vecs[at[part]] * share[:, None], starts)
+            if there is not None:
+                seen[some] = np.logical_or.reduceat(there[at[part]], starts)
+            if combiner != "sum":
+                total = np.add.reduceat(share if combiner == "mean" else share ** 2, starts)
+                sums[some] /= (total if combiner == "mean" else np.sqrt(total))[:, None]
+            filled[some] = True
+        return masked_lists(sums, seen, filled)
+
+    vectors = emb.where(F.col("feature") == feature).where("vec IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), "vec")
+    return list_answers(df, key, items, vectors, out, T.ArrayType(T.DoubleType()), whole, answer)
+
+
+def pool(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, combiner: str = "mean",
+         weights: str | None = None, bound: int | None = None, mask_zero: bool = False,
+         dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Pool for tables of any size: `key, vec` for the rows with at least one vector.
+
+    Vectors are sent to blocks of rows, see `in_blocks`; what is shuffled of a row is its key, ids and weights.  `bound` changes nothing.
+    """
+    return _pooled(df, ids, emb, feature, key, "vec", combiner, weights, mask_zero, dim, False)
 
 
 def with_safe_pool(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, out: str, bound: int | None, combiner: str = "mean",
                    weights: str | None = None, mask_zero: bool = False, dim: int = EMBEDDING_DIM) -> DataFrame:
     """Add the pooled vector of a list of ids, the zero vector for none, for tables of any size.
 
-    Tables within the broadcast limit are held per executor, larger ones joined; the result is the same.
+    Tables within the broadcast limit are held per executor, from larger ones vectors are sent to blocks of rows; the result is the same.
     """
     if bound is not None and bound <= BROADCAST_ROWS:
         vec = safe_pool(F.col(ids), emb, feature, bound, combiner, F.col(weights) if weights else None, mask_zero)
         return df.withColumn(out, vec)
-    pooled = pool(df, ids, emb, feature, key, combiner, weights, bound, mask_zero, dim).select(key, F.col("vec").alias(out))
-    return df.drop(out).join(pooled, key, "left").withColumn(out, F.coalesce(out, zero_vector(dim)))
+    pooled = _pooled(df, ids, emb, feature, key, out, combiner, weights, mask_zero, dim, True)
+    return pooled.withColumn(out, F.coalesce(out, zero_vector(dim)))
 
 
 def with_sequence(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, out: str, bound: int | None,

@@ -252,3 +252,69 @@ def test_two_tower_scores_by_the_plain_formula(spark):
         raw = fm.intercept + sum(linear[i] * v for i, v in zip(places, r["pair"].values))
         raw += sum(factors[i] @ factors[j] * r["pair"][int(i)] * r["pair"][int(j)] for i in places for j in places if i < j)
         assert abs(r.score - 1 / (1 + np.exp(-raw))) < 1e-9
+
+
+# --- what lookups in tables of any size shuffle -------------------------------------------------
+
+@pytest.fixture
+def no_small_tables(spark):
+    """Only tables that are marked for it are broadcast, as if the others were large."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def shuffled_bytes(df) -> int:
+    """Bytes of the rows that the shuffles of a collected frame took in."""
+    df.collect()
+
+    def walk(node) -> int:
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        children = node.children()
+        own = node.metrics().apply("dataSize").value() if name == "Exchange" else 0
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+WIDE = 64
+
+
+def wide_rows(spark, n=6000):
+    """Rows of six ids each, of ten in all; vectors and queries are floats."""
+    emb = spark.range(10).select(F.lit("f").alias("feature"), "id", F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda i: (
+        F.rand(5) + i).cast("float")).alias("vec"))
+    emb = spark.createDataFrame(emb.collect(), emb.schema)
+    rows = spark.range(n).select(F.col("id").alias("key"), F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: (F.col("id") + i) % 9 + 1).alias("ids"))
+    return rows, emb
+
+
+def test_pooling_large_tables_shuffles_no_vector_per_item(spark, no_small_tables):
+    rows, emb = wide_rows(spark)
+    pooled = embed.with_safe_pool(rows, "ids", emb, "f", "key", "out", None, "mean", None, True, WIDE)
+    assert shuffled_bytes(pooled) < rows.count() * WIDE * 8
+
+
+ODD_VECS = [("f", 1, [1.0, 2.0, None, 4.0]), ("f", 2, [8.0] * 4), ("f", 2, [4.0] * 4), ("f", 3, None), ("f", 4, [2.0, 2.0]), ("f", None, [9.0] * 4), ("g", 1, [7.0] * 4)]
+ODD_LISTS = [(1, [1]), (2, [2, 1]), (2, [2]), (None, [2, 2]), (None, [1]), (3, [3, 77, None]), (4, [4, 2]), (5, []), (6, None), (7, [1, 1])]
+
+
+def odd_frames(spark):
+    return (spark.createDataFrame(ODD_LISTS, "key long, ids array<long>").repartition(3),
+            spark.createDataFrame(ODD_VECS, "feature string, id long, vec array<double>"))
+
+
+def test_pooling_large_tables_with_repeated_and_missing_keys(spark):
+    """Rows of one key are pooled together, an id that the table repeats counts as often, missing elements count for nothing."""
+    df, emb = odd_frames(spark)
+    got = {r.key: r.vec for r in embed.pool(df, "ids", emb, "f", "key", "sum", dim=DIM).collect()}
+    assert got == {1: [1.0, 2.0, None, 4.0], 2: [25.0, 26.0, 24.0, 28.0], None: [25.0, 26.0, 24.0, 28.0], 4: [14.0, 14.0, 12.0, 12.0], 7: [2.0, 4.0, None, 8.0]}
+    whole = embed.with_safe_pool(df, "ids", emb, "f", "key", "out", None, "sum", dim=DIM)
+    assert whole.columns == ["key", "ids", "out"]
+    want = sorted([str((k, x, [0.0] * DIM if k is None else got.get(k, [0.0] * DIM))) for k, x in ODD_LISTS])
+    assert sorted(str((r.key, r.ids, r.out)) for r in whole.collect()) == want
