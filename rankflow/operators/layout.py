@@ -96,20 +96,22 @@ def lookup_join(facts: DataFrame, state: DataFrame, keys: Sequence[str], bound:
     values = [c for c in state.columns if c not in keys]
     hot = hot_keys(facts if counted is None else counted, keys, share or hot_share(facts))
     hot_state = state.join(F.broadcast(hot), keys, "left_semi").select(*keys, F.struct(*values).alias("__hot"))
-    seen = facts.join(F.broadcast(hot_state), keys, "left")
-    # Rows that are answered already, or cannot match, must not meet in one task either:
-    # their key is null and they are placed by `spread_by`.  The others are placed by a
-    # hash of the key; it is part of the join key on both sides, as a constant would be
-    # dropped from it.
+    marks = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys])
+    seen = facts.join(F.broadcast(marks), [facts[k] == marks[f"__h_{k}"] for k in keys], "left")
+    # Rows that are answered without the shuffle join, or cannot match, must not meet in one
+    # task either: their key is null and they are placed by `spread_by`.  The others are
+    # placed by a hash of the key; it is part of the join key on both sides, as a constant
+    # would be dropped from it.  Hot keys meet their state rows after the shuffle, which so
+    # carries no values.
     typed = {k: F.col(k).cast(state.schema[k].dataType) for k in keys}
-    settled = F.col("__hot").isNotNull()
+    settled = F.col(f"__h_{keys[0]}").isNotNull()
     for k in keys:
         settled = settled | typed[k].isNull()
     place = F.when(settled, F.xxhash64(*spread_by)).otherwise(F.xxhash64(*typed.values()))
-    seen = seen.withColumns({"__place": place, **{f"__k_{k}": F.when(~settled, c) for k, c in typed.items()}})
+    seen = seen.withColumns({"__place": place, **{f"__k_{k}": F.when(~settled, c) for k, c in typed.items()}}).drop(*[f"__h_{k}" for k in keys])
     cold = state.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.xxhash64(*keys).alias("__place"),
                         F.struct(*values).alias("__cold"))
-    joined = seen.join(cold, ["__place", *[f"__k_{k}" for k in keys]], "left")
+    joined = seen.join(cold, ["__place", *[f"__k_{k}" for k in keys]], "left").join(F.broadcast(hot_state), keys, "left")
     found = F.coalesce("__hot", "__cold")
     return joined.select(*[F.col(c) for c in facts.columns], *[found[v].alias(v) for v in values])
 

@@ -12,11 +12,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankflow.functions.numeric import sigmoid
 from rankflow.functions.vectors import as_vector, dot, relu_vector, softmax, zero_vector
-from rankflow.operators.embed import as_lists, list_rows, load_matrices, lookup, of_feature
-from rankflow.operators.layout import BROADCAST_ROWS, lookup_join
+from rankflow.operators.embed import as_lists, key_parts, list_answers, list_rows, load_matrices, lookup, masked_lists, matches, padded
+from rankflow.operators.layout import BROADCAST_ROWS
 from rankflow.registry import EMBEDDING_DIM
 
 TASK_NAMES = ("ctr", "fvtr", "unlock", "cvr")
@@ -102,23 +103,43 @@ def with_attention(df: DataFrame, query: str, ids: str, emb: DataFrame, feature:
                    dim: int = EMBEDDING_DIM) -> DataFrame:
     """Add the attention of a query vector over a list of ids, for tables of any size; an empty list gives the zero vector.
 
-    Tables within the broadcast limit are held per executor.  Larger ones are joined item by item; a row's weighted sum is one
-    aggregate of its items, whose weights are taken against the row's highest score.
+    Tables within the broadcast limit are held per executor.  From larger ones vectors are sent to blocks of rows, see `embed.in_blocks`;
+    a row's items are weighted against the row's highest score.
     """
     if bound is not None and bound <= BROADCAST_ROWS:
         return df.withColumn(out, attention_pool(F.col(query), F.col(ids), emb, feature, bound))
-    items = df.select(F.col(key).alias("__row"), as_vector(F.col(query)).alias("__q"), F.posexplode(ids).alias("pos", "id"))
-    items = items.withColumn("id", F.col("id").cast("bigint")).where("id > 0")
-    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, ["__row", "pos"]).where("vec IS NOT NULL")
-    scored = found.withColumn("s", dot(F.col("vec"), F.col("__q")) / F.sqrt(F.size("__q").cast("double")))
-    # a row has as many items as its list, so its scores are one short array
-    lists = scored.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", "s", "vec"))).alias("l"))
-    share = let(F.array_max(F.transform("l", lambda x: x["s"])), lambda top: F.transform("l", lambda x: F.exp(x["s"] - top)))
-    total = lambda v: F.aggregate(v, F.lit(0.0), lambda a, b: a + b)
-    vec = let(share, lambda w: let(total(w), lambda all_: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: total(
-        F.zip_with(F.col("l"), w, lambda x, y: F.get(x["vec"], i) * y / all_)))))
-    pooled = lists.select(F.col("__row").alias(key), vec.alias(out))
-    return df.drop(out).join(pooled, key, "left").withColumn(out, F.coalesce(out, zero_vector(dim)))
+    items = F.filter(F.transform(F.col(ids), lambda x: F.struct(x.cast("bigint").alias("id"))), lambda i: i["id"] > 0)
+    # queries travel with their rows, once, and as floats where that loses nothing
+    whole, half = as_vector(F.col(query)), F.col(query).cast("array<float>")
+    same = F.coalesce(as_vector(half) == whole, F.lit(False))
+    rows = df.select(*[F.col(c) for c in df.columns if c != query], F.when(same, half).alias("__half"), F.when(~same, whole).alias("__whole"))
+
+    def answer(rows: pa.Table, owners: np.ndarray, keys: np.ndarray, n: int, sent: pa.Table) -> pa.Array:
+        vecs, there = padded(sent.column("vec").combine_chunks(), dim)
+        parts = [padded(rows.column(c).combine_chunks(), dim) for c in ("__half", "__whole")]
+        q, q_there = parts[0][0] + parts[1][0], np.logical_or(*[np.ones_like(v, bool) if t is None else t for v, t in parts]).all(1)
+        ids = rows.column("__items").combine_chunks().flatten().field("id").to_numpy(zero_copy_only=False)
+        item, at = matches(sent.column("id").combine_chunks().to_numpy(zero_copy_only=False), ids)
+        order = np.argsort(keys[item], kind="stable")
+        at, row, key_of = at[order], owners[item][order], keys[item][order]
+        out, seen, filled = np.zeros((n, dim)), np.ones((n, dim), bool), np.zeros(n, bool)
+        usable = q_there[row] if there is None else q_there[row] & there.all(1)[at]
+        for part, some, starts in key_parts(key_of):
+            found = vecs[at[part]]
+            scores = np.einsum("id,id->i", q[row[part]], found) / np.sqrt(dim)
+            lengths = np.diff(np.r_[starts, len(scores)])
+            e = np.exp(scores - np.repeat(np.maximum.reduceat(scores, starts), lengths))
+            share = e / np.repeat(np.add.reduceat(e, starts), lengths)
+            out[some] = np.add.reduceat(found * share[:, None], starts)
+            seen[some] = np.logical_and.reduceat(usable[part], starts)[:, None]  # a missing element leaves no score
+            filled[some] = True
+        return masked_lists(out, seen, filled)
+
+    vectors = emb.where(F.col("feature") == feature).where("vec IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), "vec")
+    answered = list_answers(rows, key, items, vectors, out, T.ArrayType(T.DoubleType()), True, answer)
+    again = F.coalesce(as_vector(F.col("__half")), F.col("__whole")).cast(df.schema[query].dataType).alias(query)
+    columns = [key, *(c for c in df.columns if c not in (key, out))]
+    return answered.select(*[again if c == query else F.col(c) for c in columns], F.coalesce(out, zero_vector(dim)).alias(out))
 
 
 def dot_score(df: DataFrame, emb: DataFrame, left: tuple[str, str], right: tuple[str, str], bounds: tuple[int | None, int | None],

@@ -300,6 +300,22 @@ def test_pooling_large_tables_shuffles_no_vector_per_item(spark, no_small_tables
     assert shuffled_bytes(pooled) < rows.count() * WIDE * 8
 
 
+def test_attention_over_large_tables_shuffles_no_vector_per_item(spark, no_small_tables):
+    rows, emb = wide_rows(spark)
+    query = F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda i: (F.col("key") % 7 + i) * 0.0625)
+    out = score.with_attention(rows.withColumn("q", query), "q", "ids", emb, "f", "key", "out", None, WIDE)
+    assert shuffled_bytes(out) < 2 * rows.count() * WIDE * 8
+    inside = score.with_attention(rows.withColumn("q", query), "q", "ids", emb, "f", "key", "out", 10, WIDE)
+    both = out.join(inside.select("key", F.col("out").alias("inside")), "key").orderBy("key").limit(50).collect()
+    assert len(both) == 50 and all(np.allclose(r.out, r.inside) and r.q == [(r.key % 7 + i) * 0.0625 for i in range(WIDE)] for r in both)
+
+
+def test_lookup_join_shuffles_no_values_of_hot_keys(spark, no_small_tables):
+    rows, emb = wide_rows(spark)
+    found = embed.lookup(rows.withColumn("k", F.col("key") % 10), emb, "f", "k", "out", None, "key", WIDE)
+    assert shuffled_bytes(found.select("key", F.col("out")[0])) < rows.count() * WIDE * 4
+
+
 ODD_VECS = [("f", 1, [1.0, 2.0, None, 4.0]), ("f", 2, [8.0] * 4), ("f", 2, [4.0] * 4), ("f", 3, None), ("f", 4, [2.0, 2.0]), ("f", None, [9.0] * 4), ("g", 1, [7.0] * 4)]
 ODD_LISTS = [(1, [1]), (2, [2, 1]), (2, [2]), (None, [2, 2]), (None, [1]), (3, [3, 77, None]), (4, [4, 2]), (5, []), (6, None), (7, [1, 1])]
 
@@ -318,3 +334,18 @@ def test_pooling_large_tables_with_repeated_and_missing_keys(spark):
     assert whole.columns == ["key", "ids", "out"]
     want = sorted([str((k, x, [0.0] * DIM if k is None else got.get(k, [0.0] * DIM))) for k, x in ODD_LISTS])
     assert sorted(str((r.key, r.ids, r.out)) for r in whole.collect()) == want
+
+
+def test_attention_over_large_tables_with_repeated_and_missing_keys(spark):
+    """Items of all rows of a key share one softmax, each weighed by its own row's query; a score over a missing element is missing."""
+    df, emb = odd_frames(spark)
+    df = df.withColumn("q", F.when(~F.col("key").eqNullSafe(7), F.array(*[F.size("ids") * 0.1 + i / 3 for i in range(DIM)])))
+    rows = score.with_attention(df.where("key IS NULL OR key <> 2"), "q", "ids", emb, "f", "key", "out", None, DIM).collect()
+    got = {r.key: r.out for r in rows}
+    assert got[None] == got[3] == got[5] == got[6] == [0.0] * DIM and got[1] == got[4] == got[7] == [None] * DIM
+    df = spark.createDataFrame([(2, [2], [0.1, 0.7, 0.3, 0.01]), (2, [5], [1.0, 0.2, 0.1, 0.3])], "key long, ids array<long>, q array<double>")
+    emb = spark.createDataFrame([("f", 2, [8.0, 1.0, 2.0, 3.0]), ("f", 2, [4.0] * 4), ("f", 5, [0.5, 1.5, 2.5, 3.5])], "feature string, id long, vec array<double>")
+    got = score.with_attention(df, "q", "ids", emb, "f", "key", "out", None, DIM).orderBy("ids").collect()
+    vecs = np.array([[8.0, 1.0, 2.0, 3.0], [4.0] * 4, [0.5, 1.5, 2.5, 3.5]])
+    e = np.exp([vecs[0] @ got[0].q / 2, vecs[1] @ got[0].q / 2, vecs[2] @ got[1].q / 2])
+    assert all(r.out == pytest.approx((vecs * (e / e.sum())[:, None]).sum(0)) for r in got) and [r.q[3] for r in got] == [0.01, 0.3]
