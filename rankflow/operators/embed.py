@@ -314,8 +314,8 @@ def with_sequence(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: st
     """Add one vector per list position, for tables of any size; a missing list has none."""
     if bound is not None and bound <= BROADCAST_ROWS:
         return df.withColumn(out, lookup_sequence(F.col(ids), emb, feature, bound))
-    lists = lookup_sequence_by_join(df, ids, emb, feature, key, bound, dim).select(key, F.col("vecs").alias(out))
-    return df.drop(out).join(lists, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<array<double>>")))
+    lists = _sequences(df, ids, emb, feature, key, out, dim, True)
+    return lists.withColumn(out, F.coalesce(out, F.array().cast("array<array<double>>")))
 
 
 def lookup_sequence(ids: Column, emb: DataFrame, feature: str, bound: int) -> Column:
@@ -334,14 +334,41 @@ def lookup_sequence(ids: Column, emb: DataFrame, feature: str, bound: int) -> Co
     return vectors(F.coalesce(ids, F.array()).cast("array<bigint>"))
 
 
+def _sequences(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str, out: str, dim: int, whole: bool) -> DataFrame:
+    items = F.transform(F.col(ids), lambda x: F.struct(x.cast("bigint").alias("id")))
+
+    def answer(rows: pa.Table, owners: np.ndarray, keys: np.ndarray, n: int, sent: pa.Table) -> pa.Array:
+        flat = _items_of(rows).field("id")
+        vecs = sent.column("vec").combine_chunks().cast(pa.list_(pa.float64()))
+        item, at = matches(_numbers(sent.column("id").combine_chunks(), 0), np.where(flat.is_valid(), _numbers(flat, 0), 0))
+        there = flat.is_valid().to_numpy(zero_copy_only=False)[item]
+        item, at = item[there], at[there]
+        # an id without a row gets the zero vector, which stands behind the others
+        none = np.setdiff1d(np.arange(len(flat)), item)
+        item, at = np.r_[item, none], np.r_[at, np.full(len(none), len(vecs))]
+        place = np.arange(len(flat)) - np.searchsorted(owners, owners)
+        order = np.lexsort((item, place[item], keys[item]))
+        item, at = item[order], at[order]
+        spot = np.stack([keys[item], place[item]])
+        if (spot[:, 1:] == spot[:, :-1]).all(0).any():  # a key or an id that repeats: vectors of one position are in their own order
+            values = padded(pa.concat_arrays([vecs, as_lists(np.zeros((1, dim)))]), dim)[0][at]
+            order = np.lexsort((*values.T[::-1], place[item], keys[item]))
+            item, at = item[order], at[order]
+        counts = np.bincount(keys[item], minlength=n)
+        inner = pa.concat_arrays([vecs, as_lists(np.zeros((1, dim)))]).take(pa.array(at))
+        offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, inner, mask=pa.array(counts == 0) if (counts == 0).any() else None)
+
+    zero = zero_vector(dim).cast(emb.schema["vec"].dataType)
+    vectors = emb.where(F.col("feature") == feature).select(F.col("id").cast("bigint").alias("id"), F.coalesce("vec", zero).alias("vec"))
+    kind = T.ArrayType(T.ArrayType(T.DoubleType()))
+    return list_answers(df, key, items, vectors, out, kind, whole, answer)
+
+
 def lookup_sequence_by_join(df: DataFrame, ids: str, emb: DataFrame, feature: str, key: str,
                             bound: int | None = None, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """As `lookup_sequence` for tables of any size: `key, vecs`."""
-    items = df.select(F.col(key).alias("__row"), F.posexplode(ids).alias("pos", "id")).withColumn("id", F.col("id").cast("bigint"))
-    found = lookup_join(items, of_feature(emb, feature), ["id"], bound, ["__row", "pos"])
-    entry = F.struct("pos", F.coalesce("vec", zero_vector(dim)).alias("vec"))
-    lists = found.groupBy("__row").agg(F.array_sort(F.collect_list(entry)).alias("l"))
-    return lists.select(F.col("__row").alias(key), F.col("l.vec").alias("vecs"))
+    """As `lookup_sequence` for tables of any size: `key, vecs`.  Vectors are joined to blocks of rows, see `in_blocks`; `bound` changes nothing."""
+    return _sequences(df, ids, emb, feature, key, "vecs", dim, False)
 
 
 def shard_of(id_col: Column, shards: int, buckets: int) -> Column:

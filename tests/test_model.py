@@ -310,6 +310,12 @@ def test_attention_over_large_tables_shuffles_no_vector_per_item(spark, no_small
     assert len(both) == 50 and all(np.allclose(r.out, r.inside) and r.q == [(r.key % 7 + i) * 0.0625 for i in range(WIDE)] for r in both)
 
 
+def test_sequences_from_large_tables_shuffle_no_vector_per_item(spark, no_small_tables):
+    rows, emb = wide_rows(spark)
+    lists = embed.lookup_sequence_by_join(rows, "ids", emb, "f", "key", dim=WIDE)
+    assert shuffled_bytes(lists) < rows.count() * WIDE * 8
+
+
 def test_lookup_join_shuffles_no_values_of_hot_keys(spark, no_small_tables):
     rows, emb = wide_rows(spark)
     found = embed.lookup(rows.withColumn("k", F.col("key") % 10), emb, "f", "k", "out", None, "key", WIDE)
@@ -336,6 +342,17 @@ def test_pooling_large_tables_with_repeated_and_missing_keys(spark):
     assert sorted(str((r.key, r.ids, r.out)) for r in whole.collect()) == want
 
 
+def test_sequences_from_large_tables_with_repeated_and_missing_keys(spark):
+    df, emb = odd_frames(spark)
+    got = {r.key: r.vecs for r in embed.lookup_sequence_by_join(df, "ids", emb, "f", "key", dim=DIM).collect()}
+    one, none = ODD_VECS[0][2], [0.0] * DIM
+    assert got == {1: [one], 2: [[4.0] * 4, [4.0] * 4, [8.0] * 4, [8.0] * 4, one], None: [one, [4.0] * 4, [8.0] * 4, [4.0] * 4, [8.0] * 4],
+                   3: [none] * 3, 4: [[2.0, 2.0], [4.0] * 4, [8.0] * 4], 7: [one, one]}
+    whole = embed.with_sequence(df, "ids", emb, "f", "key", "out", None, DIM)
+    want = sorted(str((k, x, [] if k is None else got.get(k, []))) for k, x in ODD_LISTS)
+    assert sorted(str((r.key, r.ids, r.out)) for r in whole.collect()) == want
+
+
 def test_attention_over_large_tables_with_repeated_and_missing_keys(spark):
     """Items of all rows of a key share one softmax, each weighed by its own row's query; a score over a missing element is missing."""
     df, emb = odd_frames(spark)
