@@ -1,7 +1,9 @@
 """Column functions against plain Python on small edge tables."""
 
 import bisect
+import itertools
 import math
+import random
 from datetime import datetime
 
 import pytest
@@ -59,6 +61,30 @@ def test_scaling(spark):
     cuts = numeric.fit_quantiles(spark.range(1000).withColumn("x", F.col("id").cast("double")), ["x"], 4)["x"]
     assert [round(c / 250) for c in cuts] == [1, 2, 3]
 
+def test_exact_quantiles(spark):
+    """Against sorted values: ties, missing values, NaN and infinities, a constant and an empty column, as the finest sketch gives them."""
+    rng = random.Random(3)
+    rows = [(rng.gauss(0, 100), rng.choice([1, 1, 1, 2, None]), rng.choice([0.0, -0.0, 5.5, float("inf"), float("-inf"), None]),
+             float("nan") if i % 5 == 0 else float(i), 7.0, None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double, e double, f double").repartition(7)
+    for parts in (2, 10, 997):
+        got = numeric.fit_quantiles(df, list("abcdef"), parts, accuracy=100_000_000)
+        for i, c in enumerate("abcdef"):
+            values = sorted((float(r[i]) for r in rows if r[i] is not None), key=lambda x: (x != x, x))
+            want = [values[max(1, math.ceil(k / parts * len(values))) - 1] for k in range(1, parts)] if values else []
+            seen = [x for x, _ in itertools.groupby(map(str, sorted((x + 0.0 for x in want), key=lambda x: (x != x, x))))]
+            assert sorted(map(str, got[c])) == sorted(seen), (c, parts)
+
+
+def test_exact_quantiles_keep_few_values_in_a_task(spark, monkeypatch):
+    """No task holds the values of a column: the only sketches asked for are coarse ones, and ranks are exact even where those miss."""
+    asked = []
+    real = F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda col, probs, accuracy: asked.append(accuracy) or real(col, probs, 20))
+    df = spark.range(20000).select((F.col("id") * 7919 % 20000).cast("double").alias("x"))
+    got = numeric.fit_quantiles(df, ["x"], 8, accuracy=100_000_000)["x"]
+    assert got == [i * 2500.0 - 1 for i in range(1, 8)] and asked and max(asked) <= 10_000
+
 
 def test_elapsed_days_floors(spark):
     cases = [("2024-01-02 00:00:00", "2024-01-02 00:00:00"), ("2024-01-02 00:00:00", "2024-01-02 00:00:01"),
