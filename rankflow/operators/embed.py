@@ -154,13 +154,14 @@ def blocks_of(key: Column, partitions: int, spread: Column | None = None) -> Col
     return F.pmod(F.xxhash64(key, *rest), F.lit(partitions * BLOCKS))
 
 
-def in_blocks(rows: DataFrame, needs: Column, vectors: DataFrame, schema: T.StructType,
-              answer: Callable[[pa.Table, pa.Table], pa.Table]) -> DataFrame:
-    """`answer` for every block of `rows` (column `__block`), given its rows and the rows of `vectors` that it needs.
+def wanted_by(rows: DataFrame, needs: Column) -> DataFrame:
+    """Which keys the rows of each block need, each once: `needs` are a row's keys, an array of structs with the key columns' names."""
+    return rows.select(F.col("__block").alias("__to"), F.explode(needs).alias("n")).select("__to", "n.*").distinct()
 
-    `needs` are a row's keys in `vectors`, an array of structs with the names of the key columns.
-    """
-    wanted = rows.select(F.col("__block").alias("__to"), F.explode(needs).alias("n")).select("__to", "n.*").distinct()
+
+def in_blocks(rows: DataFrame, wanted: DataFrame, vectors: DataFrame, schema: T.StructType,
+              answer: Callable[[pa.Table, pa.Table], pa.Table]) -> DataFrame:
+    """`answer` for every block of `rows` (column `__block`), given its rows and the rows of `vectors` that it wants (`__to` and keys)."""
     sent = wanted.join(vectors, [c for c in wanted.columns if c != "__to"])
     return rows.groupBy("__block").cogroup(sent.groupBy("__to")).applyInArrow(answer, schema)
 
@@ -196,7 +197,7 @@ def list_answers(df: DataFrame, key: str, items: Column, vectors: DataFrame, out
             values = values.take(keys.indices)
         return pa.table([*(some.column(c) for c in kept), values], names=[*kept, out])
 
-    answered = in_blocks(rows, needs, vectors, schema, block_answer)
+    answered = in_blocks(rows, wanted_by(rows, needs), vectors, schema, block_answer)
     return answered if whole else answered.where(F.col(out).isNotNull())
 
 

@@ -7,22 +7,26 @@ Spark plans the graph, prunes what is not used and spreads the rows; a row's res
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankflow.functions.numeric import sigmoid
 from rankflow.functions.vectors import dot
-from rankflow.operators.embed import as_lists, list_rows, load_matrices
+from rankflow.operators.embed import as_lists, blocks_of, in_blocks, list_rows, load_matrices, wanted_by
+from rankflow.operators.layout import BROADCAST_ROWS
 from rankflow.operators.score import TASK_NAMES, let
 from rankflow.registry import EMBEDDING_DIM
 
 # Parameters of all layers together that an executor may be asked to hold.
 MAX_PARAMETERS = 100_000_000
+# Bytes of projected tables that a worker may be asked to hold.
+HELD_BYTES = 64 << 20
 # Rows that pass through the layers of a block together.
 BLOCK_ROWS = 1024
 # The widths of the reference's layers, and its shared experts.
@@ -284,49 +288,117 @@ def projected_attention(net: Network, projected: DataFrame, bounds: Mapping[str,
     `projected` is the union of `project_table` for the three layers, `bounds` the most rows of each of its features; it is held per executor.
     """
     q_layer, k_layer, v_layer = layers
-    matrices = load_matrices(projected, {f"{layer}/{p}": bounds[f"{layer}/{p}"] for layer, ps in
-                                         ((q_layer, query), (k_layer, lists), (v_layer, lists)) for p in ps}, net.dtype)
+    matrices = load_matrices(projected, {f: bounds[f] for f in _projected_features(query, lists, layers)}, net.dtype)
+    dtype, width, attend = net.dtype, net.layers[q_layer].outputs, _attention(net, list(query), list(lists), layers)
+
+    @F.arrow_udf(f"array<{net.kind}>")
+    def attended(ids: pa.Array, items: pa.Array) -> pa.Array:
+        return as_lists(_by_parts(attend, lambda feature, some: matrices[feature].rows(some), ids, items, width, dtype))
+
+    return attended(*_id_structs(query, lists))
+
+
+def with_projected_attention(df: DataFrame, net: Network, projected: DataFrame, bounds: Mapping[str, int], query: Mapping[str, Column],
+                             lists: Mapping[str, Column], key: str, out: str, layers: tuple[str, str, str] = ("query", "key", "value")) -> DataFrame:
+    """Add the attention over projected queries, keys and values, see `projected_attention`, for tables of any size.
+
+    Tables that take up to HELD_BYTES together are held per executor, from larger ones vectors are sent to blocks of rows, see
+    `embed.in_blocks`; the result is the same.
+    """
+    features = _projected_features(query, lists, layers)
+    dtype, width = net.dtype, net.layers[layers[0]].outputs
+    rows_held = [bounds[f] for f in features]
+    if sum(rows_held) * width * dtype.itemsize <= HELD_BYTES and max(rows_held) <= BROADCAST_ROWS:
+        return df.withColumn(out, projected_attention(net, projected, bounds, query, lists, layers))
+    ids, items = _id_structs(query, lists)
+    kept = [c for c in df.columns if c != out]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*[F.col(c) for c in kept], ids.alias("__ids"), items.alias("__items"), blocks_of(F.col(key), partitions, F.xxhash64(ids, items)).alias("__block"))
+    # a part's id is wanted once, whatever the number of tables that it stands in
+    one = lambda part: lambda i: F.struct(F.lit(part).alias("part"), i.alias("id"))
+    needs = F.concat(F.array(*[one(i)(F.col(f"__ids.q{i}")) for i in range(len(query))]),
+                     *[F.transform(F.filter(F.col(f"__items.l{i}"), lambda x: x > 0), one(len(query) + i)) for i in range(len(lists))])
+    tables = [[f"{layers[0]}/{p}"] for p in query] + [[f"{layer}/{p}" for layer in layers[1:]] for p in lists]
+    of_part = F.array(*[F.array(*map(F.lit, t)) for t in tables])
+    wanted = wanted_by(rows, needs).select("__to", F.explode(F.get(of_part, F.col("part"))).alias("feature"), "id")
+    attend = _attention(net, list(query), list(lists), layers)
+
+    def answer(some: pa.Table, sent: pa.Table) -> pa.Table:
+        names, known, vecs = sent.column("feature").to_numpy(), sent.column("id").to_numpy(), _matrix(sent.column("vec").combine_chunks(), dtype)
+        places = {f: (at := np.flatnonzero(names == f))[np.argsort(known[at], kind="stable")] for f in features}
+
+        def find(feature: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            place = places[feature]
+            if not len(place):
+                return np.zeros((0, width), dtype), np.zeros(len(ids), bool)
+            at = np.minimum(np.searchsorted(known[place], ids), len(place) - 1)
+            found = known[place[at]] == ids
+            return vecs[place[at[found]]], found
+
+        given, listed = (some.column(c).combine_chunks() for c in ("__ids", "__items"))
+        return pa.table([*(some.column(c) for c in kept), as_lists(_by_parts(attend, find, given, listed, width, dtype))], names=[*kept, out])
+
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(out, T.ArrayType(T.FloatType() if net.kind == "float" else T.DoubleType()))])
+    vectors = projected.where(F.col("vec").isNotNull()).select("feature", F.col("id").cast("bigint").alias("id"), "vec")
+    return in_blocks(rows, wanted, vectors, schema, answer)
+
+
+def _projected_features(query: Mapping[str, Column], lists: Mapping[str, Column], layers: tuple[str, str, str]) -> list[str]:
+    return [f"{layer}/{p}" for layer, parts in zip(layers, (query, lists, lists)) for p in parts]
+
+
+def _id_structs(query: Mapping[str, Column], lists: Mapping[str, Column]) -> tuple[Column, Column]:
+    return (F.struct(*[_whole(c).alias(f"q{i}") for i, c in enumerate(query.values())]),
+            F.struct(*[_whole_list(c).alias(f"l{i}") for i, c in enumerate(lists.values())]))
+
+
+def _by_parts(attend: Callable, find: Callable, ids: pa.StructArray, items: pa.StructArray, width: int, dtype) -> np.ndarray:
+    columns = [c.to_numpy(zero_copy_only=False) for c in ids.flatten()]
+    out = np.empty((len(ids), width), dtype)
+    for part in _blocks(len(ids)):
+        some = items.slice(part.start, part.stop - part.start).flatten()
+        out[part] = attend(find, [c[part] for c in columns], [tuple(a.astype(np.int64) for a in list_rows(c)) for c in some], part.stop - part.start)
+    return out
+
+
+def _attention(net: Network, query_parts: Sequence[str], list_parts: Sequence[str], layers: tuple[str, str, str]) -> Callable:
+    """A function of `find` (a feature's vectors of some ids, and which ids have one), the query ids per part, the list items and
+    their rows per part, and the number of rows.  Only positions that are no padding take up memory.
+    """
+    q_layer, k_layer, v_layer = layers
     shared, dtype, width = net.shared, net.dtype, net.layers[q_layer].outputs
-    query_parts, list_parts = list(query), list(lists)
 
-    def attend(ids: list[np.ndarray], flats: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    def attend(find: Callable, ids: list[np.ndarray], flats: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
         held = shared.value
         q = np.tile(held[q_layer][1], (n, 1))
         for part, column in zip(query_parts, ids):
-            vecs, found = matrices[f"{q_layer}/{part}"].rows(column)
+            vecs, found = find(f"{q_layer}/{part}", column)
             q[found] += vecs
-        places = [np.arange(len(rows)) - np.searchsorted(rows, rows) for _, rows in flats]
-        longest = max((int(p.max()) + 1 for p in places if len(p)), default=0)
-        if not longest:
-            return np.zeros((n, width), dtype)
-        keys, values = (np.tile(held[layer][1], (n * longest, 1)) for layer in (k_layer, v_layer))
-        real = np.zeros(n * longest, bool)
-        for part, (flat, rows), place in zip(list_parts, flats, places):
-            at = rows * longest + place
-            for layer, target in ((k_layer, keys), (v_layer, values)):
-                vecs, found = matrices[f"{layer}/{part}"].rows(flat)
-                known = found & (flat > 0)
-                target[at[known]] += vecs[known[found]]
-                real[at[known]] = True
-        real = real.reshape(n, longest)
-        scores = np.einsum("nd,ntd->nt", q, keys.reshape(n, longest, width)) / np.sqrt(width).astype(dtype)
-        scores = np.where(real, scores, -np.inf)
-        top = np.where(real.any(1), scores.max(1, initial=-np.inf), 0)
-        e = np.exp(scores - top[:, None])
-        share = e / np.maximum(e.sum(1, keepdims=True), np.finfo(dtype).tiny)
-        return np.einsum("nt,ntd->nd", share, values.reshape(n, longest, width)).astype(dtype)
-
-    @F.arrow_udf(f"array<{net.kind}>")
-    def attended(ids: pa.Array, items: pa.Array) -> pa.Array:
-        columns = [c.to_numpy(zero_copy_only=False) for c in ids.flatten()]
-        out = np.empty((len(ids), width), dtype)
-        for part in _blocks(len(ids)):
-            some = items.slice(part.start, part.stop - part.start).flatten()
-            out[part] = attend([c[part] for c in columns], [tuple(a.astype(np.int64) for a in list_rows(c)) for c in some], part.stop - part.start)
-        return as_lists(out)
+        lengths = np.max([np.bincount(rows, minlength=n) for _, rows in flats], axis=0)
+        begins = np.cumsum(lengths) - lengths
+        real, hits = np.zeros(lengths.sum(), bool), []
+        for part, (flat, rows) in zip(list_parts, flats):
+            at = (begins[rows] + np.arange(len(rows)) - np.searchsorted(rows, rows))[flat > 0]
+            for layer in (k_layer, v_layer):
+                vecs, found = find(f"{layer}/{part}", flat[flat > 0])
+                hits.append((layer, at[found], vecs))
+                real[at[found]] = True
+        out, owner = np.zeros((n, width), dtype), np.repeat(np.arange(n), lengths)[real]
+        if not len(owner):
+            return out
+        slot = np.cumsum(real) - 1
+        sums = {layer: np.tile(held[layer][1], (len(owner), 1)) for layer in (k_layer, v_layer)}
+        for layer, at, vecs in hits:
+            sums[layer][slot[at]] += vecs
+        scores = np.einsum("pd,pd->p", q[owner], sums[k_layer]) / np.sqrt(width).astype(dtype)
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        sizes = np.diff(np.r_[starts, len(owner)])
+        e = np.exp(scores - np.repeat(np.maximum.reduceat(scores, starts), sizes))
+        share = e / np.repeat(np.maximum(np.add.reduceat(e, starts), np.finfo(dtype).tiny), sizes)
+        out[owner[starts]] = np.add.reduceat(sums[v_layer] * share[:, None], starts)
+        return out
 
-    return attended(F.struct(*[_whole(c).alias(f"q{i}") for i, c in enumerate(query.values())]),
-                    F.struct(*[_whole_list(c).alias(f"l{i}") for i, c in enumerate(lists.values())]))
+    return attend
 
 
 def generated_weights(spark: SparkSession, layers: Sequence[Layer], seed: int = 42) -> DataFrame:

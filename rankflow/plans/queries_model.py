@@ -297,9 +297,9 @@ def projected_attention(spark, sf_dir):
     # an id without a row is padding to its part; the item beside it decides whether the position counts
     real = F.transform(ids, lambda x: F.when(x > 0, x).otherwise(0))
     after = F.transform(ids, lambda x: F.when(x > 0, x + 1).otherwise(0))
-    known = network.projected_attention(net, tables, dict.fromkeys(["query/item", "key/item", "key/after", "value/item", "value/after"], bound),
-                                        {"item": F.col("k")}, {"item": real, "after": after})
-    return rows.select("sample_id", digest(known).alias("attended"))
+    known = network.with_projected_attention(rows, net, tables, dict.fromkeys(["query/item", "key/item", "key/after", "value/item", "value/after"], bound),
+                                             {"item": F.col("k")}, {"item": real, "after": after}, "sample_id", "known")
+    return known.select("sample_id", digest(F.col("known")).alias("attended"))
 
 
 @query("a8_write_scores", on("raw_scored", """

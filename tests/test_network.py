@@ -122,6 +122,33 @@ def test_projected_attention(spark, monkeypatch):
         assert np.allclose(got[row], want), row
 
 
+def test_projected_attention_over_large_tables_holds_none_of_them(spark, monkeypatch):
+    """Tables beyond the limit reach the rows through blocks, with the result of tables that are held; keys may repeat or be missing."""
+    random, dim, width = np.random.default_rng(6), 4, 6
+    layers = [network.Layer("query", dim, width, "none"), network.Layer("key", 2 * dim, width, "none"), network.Layer("value", 2 * dim, width, "none")]
+    weights = [(n.name, p, random.normal(0, 1, n.inputs).tolist(), float(random.normal())) for n in layers for p in range(width)]
+    net = network.Network(spark.createDataFrame(weights, "layer string, place int, weights array<double>, bias double"), layers, np.float64)
+    table = spark.createDataFrame([("item", i, random.normal(0, 1, dim).tolist()) for i in range(12)], "feature string, id long, vec array<double>")
+    one, two = network.parts_of([("item", "item")], dim), network.parts_of([("item", "item"), ("after", "item")], dim)
+    projected = network.project_table(table, net, "query", one, dim)
+    for n in ("key", "value"):
+        projected = projected.unionByName(network.project_table(table, net, n, two, dim))
+    projected = written(projected, "projected")
+    rows = [(0, 1, [1, 2, 3]), (0, 99, [0, 4, 0, 99]), (None, None, [1]), (None, 1, None), (4, 1, []), (5, 2, [-3, None, 12]),
+            *[(i, i % 15, [i % 13] * (i % 4) + [2]) for i in range(8, 200)]]
+    df = spark.createDataFrame(rows, "key int, item int, items array<int>").repartition(3)
+    limits = dict.fromkeys(["query/item", "key/item", "key/after", "value/item", "value/after"], 12)
+    args = (net, projected, limits, {"item": F.col("item")}, {"item": F.col("items"), "after": F.transform("items", lambda x: x + 1)}, "key", "out")
+    inside = network.with_projected_attention(df, *args)
+    want = sorted((str(r["item"]), str(r["items"]), r["key"] or -1, r["out"]) for r in inside.collect())
+    monkeypatch.setattr(network, "HELD_BYTES", 1000)
+    monkeypatch.setattr(network, "load_matrices", lambda *a: pytest.fail("a large table was fetched"))
+    joined = network.with_projected_attention(df, *args)
+    got = sorted((str(r["item"]), str(r["items"]), r["key"] or -1, r["out"]) for r in joined.collect())
+    assert joined.columns == inside.columns and len(got) == len(rows) and all(a[:3] == b[:3] and np.allclose(a[3], b[3]) for a, b in zip(got, want))
+    assert any(np.any(r[3]) for r in got)
+
+
 def test_gathered_fields(spark):
     emb = spark.createDataFrame([(f, i, [float(i), float(len(f))]) for f in ("a", "bb", "ccc") for i in range(5)], "feature string, id long, vec array<float>")
     df = spark.createDataFrame([(1, 2, [1, 3, 0, 99]), (None, 99, None), (0, 4, [])], "a int, bb int, ccc array<int>")
