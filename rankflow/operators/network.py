@@ -16,11 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.functions.numeric import sigmoid
-from rankflow.functions.vectors import dot
 from rankflow.operators.embed import as_lists, blocks_of, in_blocks, list_rows, load_matrices, wanted_by
 from rankflow.operators.layout import BROADCAST_ROWS
-from rankflow.operators.score import TASK_NAMES, let
+from rankflow.operators.score import TASK_NAMES
 from rankflow.registry import EMBEDDING_DIM
 
 # Parameters of all layers together that an executor may be asked to hold.
@@ -92,7 +90,9 @@ class Network:
 def run_stack(x: np.ndarray, held: Mapping, stack: Sequence[str]) -> np.ndarray:
     for name in stack:
         weights, bias, activation = held[name]
-        x = ACTIVATIONS[activation](x @ weights + bias)
+        x = x @ weights
+        x += bias
+        x = np.maximum(x, 0, out=x) if activation == "relu" else ACTIVATIONS[activation](x)
     return x
 
 
@@ -121,24 +121,37 @@ def stack_block(net: Network, stacks: Sequence[Sequence[str]], x: Column) -> Col
     return block(x.cast(f"array<{net.kind}>"))
 
 
-def tower_block(net: Network, stacks: Sequence[Sequence[str]], fields: Column, gates: Column, extra: Column,
-                dim: int = EMBEDDING_DIM) -> Column:
-    """Stacks over gated fields: `fields` holds vectors of `dim` elements side by side, each is scaled by its gate, `extra` is put behind
-    them, and the outputs of all stacks stand side by side.
+def tower_scores(net: Network, common: Sequence[Sequence[str]], own: Mapping[str, tuple[Sequence[str], str, str]], fields: Column,
+                 gates: Column, extra: Column, dim: int = EMBEDDING_DIM) -> Column:
+    """A probability per task: stacks over gated fields, mixed by a gate of the task's own, and a sigmoid over one inner product.
 
-    The wide input exists inside the block only; gates and outputs, which are narrow, are columns.
+    `fields` holds vectors of `dim` elements side by side; a tower scales each by its gate and puts `extra` behind them.  `gates`
+    holds the gates of the tower that the `common` stacks share, then those of each task's.  `own` gives a task's stack, mixing layer and
+    head.  The towers and what the stacks give exist inside the block only.
     """
-    shared, dtype, width = net.shared, net.dtype, sum(net.width(s) for s in stacks)
+    shared, dtype, steps = net.shared, net.dtype, list(own.values())
 
-    @F.arrow_udf(f"array<{net.kind}>")
+    @F.arrow_udf("array<double>")
     def block(fields: pa.Array, gates: pa.Array, extra: pa.Array) -> pa.Array:
         held = shared.value
         f, g, e = (_matrix(c, dtype) for c in (fields, gates, extra))
-        out = np.empty((len(f), width), dtype)
+        out = np.empty((len(f), len(steps)))
         for part in _blocks(len(f)):
-            scaled = (f[part].reshape(g[part].shape[0], -1, dim) * g[part][:, :, None]).reshape(g[part].shape[0], -1)
-            x = np.hstack([scaled, e[part]])
-            out[part] = np.hstack([run_stack(x, held, s) for s in stacks])
+            n = part.stop - part.start
+            vecs, gate = f[part].reshape(n, -1, dim), g[part].reshape(n, 1 + len(steps), -1, 1)
+            x = np.empty((n, f.shape[1] + e.shape[1]), dtype)
+            x[:, f.shape[1]:] = e[part]
+
+            def tower(k: int) -> np.ndarray:
+                x[:, :f.shape[1]] = (vecs * gate[:, k]).reshape(n, -1)
+                return x
+
+            outs = [run_stack(tower(0), held, s).astype(np.float64) for s in common]
+            for k, (stack, mix, head) in enumerate(steps):
+                x = tower(1 + k)
+                share = run_stack(x, held, [mix]).astype(np.float64)
+                mixed = sum(o * share[:, i:i + 1] for i, o in enumerate([*outs, run_stack(x, held, stack)]))
+                out[part, k] = 1 / (1 + np.exp(-(mixed @ held[head][0][:, 0].astype(np.float64))))
         return as_lists(out)
 
     kind = f"array<{net.kind}>"
@@ -163,8 +176,8 @@ def score_tasks(df: DataFrame, net: Network, fields: str, gate_input: str, extra
                 dim: int = EMBEDDING_DIM) -> DataFrame:
     """Add a probability per task: gated fields through shared and own experts, mixed by a gate of the task's own.
 
-    `fields` and `extra` are arrays of fixed width without nulls.  Two passes through Python, whatever the number of tasks: the gates, then the towers, each input
-    sent once; mixing and heads are column expressions over the towers' narrow outputs.
+    `fields` and `extra` are arrays of fixed width without nulls.  Two passes through Python, whatever the number of tasks: the gates, then the towers with
+    mixing and heads, each input sent once.
     """
     depth = sum(1 for n in net.layers if n.startswith("shared_0_"))
     shared = sum(1 for n in net.layers if n.startswith("shared_") and n.endswith("_0"))
@@ -172,21 +185,10 @@ def score_tasks(df: DataFrame, net: Network, fields: str, gate_input: str, extra
     def expert(name: str) -> list[str]:
         return [f"{name}_{k}" for k in range(depth)]
 
-    columns = df.columns
-    width = net.width(expert("shared_0"))
-    gated = df.withColumns({f"__g_{n}": stack_block(net, [[f"{n}_gate", f"{n}_gate_out"]], F.col(gate_input)) for n in ("share", *tasks)})
-    stacks = {"share": [expert(f"shared_{i}") for i in range(shared)], **{t: [expert(f"{t}_expert"), [f"{t}_mix"]] for t in tasks}}
-    towers = gated.withColumns({f"__t_{n}": tower_block(net, s, F.col(fields), F.col(f"__g_{n}"), F.col(extra), dim) for n, s in stacks.items()})
-
-    def head(t: str) -> Column:
-        shares = F.slice(f"__t_{t}", width + 1, shared + 1)
-        outs = F.array(*[F.slice("__t_share", i * width + 1, width) for i in range(shared)], F.slice(f"__t_{t}", 1, width))
-        mixed = let(shares, lambda share: let(outs, lambda o: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.aggregate(
-            F.zip_with(o, share, lambda x, s: F.get(x, i).cast("double") * s), F.lit(0.0), lambda total, v: total + v))))
-        weights = F.array(*[F.lit(float(w)) for w in net.weights[f"{t}_out"][0][:, 0]])
-        return sigmoid(dot(mixed, weights))
-
-    return towers.select(*[F.col(c) for c in columns], *[head(t).alias(t) for t in tasks])
+    gated = df.withColumn("__gates_of_towers", stack_block(net, [[f"{n}_gate", f"{n}_gate_out"] for n in ("share", *tasks)], F.col(gate_input)))
+    scores = tower_scores(net, [expert(f"shared_{i}") for i in range(shared)], {t: (expert(f"{t}_expert"), f"{t}_mix", f"{t}_out") for t in tasks},
+                          F.col(fields), F.col("__gates_of_towers"), F.col(extra), dim)
+    return gated.withColumn("__scores", scores).select(*[F.col(c) for c in df.columns], *[F.get("__scores", F.lit(i)).alias(t) for i, t in enumerate(tasks)])
 
 
 def gather_fields(emb: DataFrame, scalars: Mapping[str, Column], lists: Mapping[str, Column], bounds: Mapping[str, int],
@@ -208,8 +210,10 @@ def gather_fields(emb: DataFrame, scalars: Mapping[str, Column], lists: Mapping[
     def mean(matrix, flat: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
         flat, rows = flat[flat > 0], rows[flat > 0]
         vecs, found = matrix.rows(flat)
-        out = np.zeros((n, dim), dtype)
-        np.add.at(out, rows[found], vecs)
+        out, owners = np.zeros((n, dim), dtype), rows[found]
+        if len(owners):
+            starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
+            out[owners[starts]] = np.add.reduceat(vecs, starts)
         return out / np.maximum(np.bincount(rows, minlength=n), 1).astype(dtype)[:, None]
 
     @F.arrow_udf(f"array<{kind}>")

@@ -36,8 +36,8 @@ def list_items(col: Column, emb_name: str) -> Column:
 
 
 def _filled() -> Column:
-    """Neither missing nor all white space."""
-    return F.col("value").rlike(r"\S")
+    """Neither missing nor all white space.  Most values tell by their first character: beyond the space nothing is white to the pattern."""
+    return (F.ascii("value") > 32) | F.col("value").rlike(r"\S")
 
 
 def vocab_values(df: DataFrame, registry: Registry, first_seen: str) -> DataFrame:

@@ -137,3 +137,11 @@ def test_refused_values_that_do_not_occur_today_stay(spark):
 def test_a_vocabulary_without_capacity_is_an_error(spark):
     with pytest.raises(Exception, match="no capacity"):
         vocab.extend_vocab(spark.createDataFrame([("b", "x", 1)], VALUES), vocab.empty_vocab(spark), {"a": 9}).collect()
+
+
+def test_values_of_white_space_only_are_left_out(spark):
+    """As the pattern says it, whatever the first character is."""
+    texts = ["", " ", "  \t", "\n\x0b\f\r", "a", " a", "\ta ", "\u00a0", " \u00a0", "\x1f", "\x00", "\u3000", "\u4f60", "!", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    kept = {r.value for r in df.where(vocab._filled()).collect()}
+    assert kept == {r.value for r in df.where(F.col("value").rlike(r"\S")).collect()} and {"a", " a", "\u00a0", "\x1f", "!"} <= kept
