@@ -48,16 +48,22 @@ def vocab_values(df: DataFrame, registry: Registry, first_seen: str) -> DataFram
     """
     registry = registry.present_in(df.columns)
     words: dict[str, list[Column]] = {}
+    scalars: dict[str, list[Column]] = {}
     for f in registry.group("sparse"):
-        words.setdefault(f.emb_name, []).append(F.array(normalise_category(F.col(f.name))))
+        scalars.setdefault(f.emb_name, []).append(normalise_category(F.col(f.name)))
+    for emb, texts in scalars.items():
+        words[emb] = [F.array(*texts)]
     for f in registry.group("sequence"):
         items = list_items(F.col(f.name), f.emb_name)
         words.setdefault(f.emb_name, []).append(F.coalesce(items, F.array().cast("array<string>")))
-    vocabularies = F.array(*[F.struct(F.lit(emb).alias("emb_name"), (F.concat(*lists) if len(lists) > 1 else lists[0]).alias("items"))
-                             for emb, lists in words.items()])
-    per_vocabulary = df.select(F.col(first_seen).alias("first_seen"), F.explode(vocabularies).alias("v"))
-    pairs = per_vocabulary.select("first_seen", F.col("v.emb_name").alias("emb_name"), F.explode("v.items").alias("value"))
-    return pairs.where(_filled()).groupBy("emb_name", "value").agg(F.min("first_seen").alias("first_seen"))
+    # the number of its vocabulary stands beside every value, so that one step opens all lists and few bytes are grouped
+    numbered = [(i, items) for i, lists in enumerate(words.values()) for items in lists]
+    lists = df.select(F.col(first_seen).alias("first_seen"), *[items.alias(f"__{k}") for k, (_, items) in enumerate(numbered)])
+    numbers = F.concat(*[F.array_repeat(F.lit(i), F.size(f"__{k}")) for k, (i, _) in enumerate(numbered)])
+    values = F.concat(*[F.col(f"__{k}") for k in range(len(numbered))])
+    pairs = lists.select("first_seen", F.explode(F.arrays_zip(numbers.alias("number"), values.alias("value"))).alias("v")).select("first_seen", "v.*")
+    found = pairs.where(_filled()).groupBy("number", "value").agg(F.min("first_seen").alias("first_seen"))
+    return found.select(F.get(F.array(*map(F.lit, words)), F.col("number")).alias("emb_name"), "value", "first_seen")
 
 
 def extend_vocab(values: DataFrame, existing: DataFrame, capacities: Mapping[str, int],
