@@ -210,10 +210,8 @@ def gather_fields(emb: DataFrame, scalars: Mapping[str, Column], lists: Mapping[
     def mean(matrix, flat: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
         flat, rows = flat[flat > 0], rows[flat > 0]
         vecs, found = matrix.rows(flat)
-        out, owners = np.zeros((n, dim), dtype), rows[found]
-        if len(owners):
-            starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
-            out[owners[starts]] = np.add.reduceat(vecs, starts)
+        out = np.zeros((n, dim), dtype)
+        np.add.at(out, rows[found], vecs)
         return out / np.maximum(np.bincount(rows, minlength=n), 1).astype(dtype)[:, None]
 
     @F.arrow_udf(f"array<{kind}>")
@@ -398,8 +396,18 @@ def _attention(net: Network, query_parts: Sequence[str], list_parts: Sequence[st
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         sizes = np.diff(np.r_[starts, len(owner)])
         e = np.exp(scores - np.repeat(np.maximum.reduceat(scores, starts), sizes))
-        share = e / np.repeat(np.maximum(np.add.reduceat(e, starts), np.finfo(dtype).tiny), sizes)
-        out[owner[starts]] = np.add.reduceat(sums[v_layer] * share[:, None], starts)
+        # totals run over a row's whole list, so that a score does not depend on how padding is left out
+        spread = np.zeros((n, lengths.max()), dtype)
+        spread[owner, (np.arange(len(real)) - np.repeat(begins, lengths))[real]] = e
+        share = e / np.maximum(spread.sum(1), np.finfo(dtype).tiny)[owner]
+        # rows with about as many positions are summed together
+        place, sort = np.arange(len(owner)) - np.repeat(starts, sizes), np.ceil(np.log2(sizes)).astype(np.int64)
+        for some in np.unique(sort):
+            mine = sort == some
+            chosen, row = np.repeat(mine, sizes), np.repeat(np.arange(mine.sum()), sizes[mine])
+            shares, values = np.zeros((mine.sum(), 1 << some), dtype), np.zeros((mine.sum(), 1 << some, width), dtype)
+            shares[row, place[chosen]], values[row, place[chosen]] = share[chosen], sums[v_layer][chosen]
+            out[owner[starts[mine]]] = np.einsum("nt,ntd->nd", shares, values)
         return out
 
     return attend
